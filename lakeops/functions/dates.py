@@ -140,22 +140,19 @@ def chunk_ranges(start: Column, end: Column, freq: str = "1M") -> Column:
         months = F.sequence(
             F.trunc(start, "month"), F.trunc(end, "month"), F.expr("interval 1 month")
         )
-        month_ends = F.filter(
-            F.transform(months, lambda d: F.last_day(d)), lambda m: (m >= start) & (m <= end)
-        )
-        sharded = F.size(month_ends) > 0
-        after = F.filter(month_ends, lambda m: m > start)
-        later = F.filter(after, lambda m, i: (i + 1) % step == 0)
-    starts = F.concat(F.array(start), F.coalesce(later, no_cuts))
-    chunk_end = lambda i: F.least(
-        F.coalesce(F.date_sub(F.get(starts, i + 1), 1), end), end
-    )
-    cut = F.transform(
-        starts,
-        lambda s, i: F.struct(
-            s.alias("start_date"),
-            chunk_end(i).alias("end_date"),
-            F.when(sharded, F.date_format(s, "yyyyMM")).alias("shard_id"),
+        month_ends = F.transform(months, lambda d: F.last_day(d))
+        later = F.filter(month_ends, lambda m: (m > start) & (m <= end))
+        if step > 1:
+            later = F.filter(later, lambda _, i: (i + 1) % step == 0)
+        sharded = F.last_day(start) <= end
+    later = F.coalesce(later, no_cuts)
+    cut = F.zip_with(
+        F.concat(F.array(start), later),
+        F.concat(F.transform(later, lambda d: F.date_sub(d, 1)), F.array(end)),
+        lambda first_day, last_day: F.struct(
+            first_day.alias("start_date"),
+            last_day.alias("end_date"),
+            F.when(sharded, F.date_format(first_day, "yyyyMM")).alias("shard_id"),
         ),
     )
     whole = F.array(

@@ -177,11 +177,17 @@ def write_single_file(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     write_partitioned(df, path, (PARTITION_COLUMN,), fmt, rebalance=True)
 
 
-def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """A whole table without partitions, files near the advisory size."""
+def write_snapshot(
+    df: DataFrame, path: str, fmt: str = "parquet", rebalance: bool = False
+) -> None:
+    """A whole table without partitions.
+
+    Tasks write what they hold, without a shuffle. Turn ``rebalance`` on when a
+    selective filter would leave many small files.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"Unsupported format: {fmt}")
-    _writer(df.hint("rebalance"), fmt).save(path)
+    _writer(df.hint("rebalance") if rebalance else df, fmt).save(path)
 
 
 # ------------------------------------------------------------------- stage and measure
@@ -200,7 +206,11 @@ def _read_staged(
 
 
 def materialize(
-    df: DataFrame, staging: str, keys: Sequence[str] = (PARTITION_COLUMN,), fmt: str = "parquet"
+    df: DataFrame,
+    staging: str,
+    keys: Sequence[str] = (PARTITION_COLUMN,),
+    fmt: str = "parquet",
+    rebalance: bool = True,
 ) -> list[dict]:
     """Write to staging, measure what arrived, and check nothing got lost.
 
@@ -210,7 +220,7 @@ def materialize(
     """
     spark = df.sparkSession
     seen = Observation()
-    spread = df.hint("rebalance", *keys) if keys else df.hint("rebalance")
+    spread = df.hint("rebalance", *keys) if rebalance else df
     counted = spread.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = _writer(counted, fmt)
     (writer.partitionBy(*keys) if keys else writer).save(staging)
@@ -225,27 +235,6 @@ def materialize(
 # ----------------------------------------------------------------------------- publish
 
 
-def _swap_in(spark: SparkSession, moves: list[tuple[str, str]], staging: str) -> None:
-    """Replace each target directory by its staged one.
-
-    The old directory steps aside into staging first. If a move fails, what was
-    already swapped stays, and the partition in hand gets its old content back.
-    """
-    aside_root = f"{staging}_replaced"
-    for number, (source, target) in enumerate(moves):
-        aside = f"{aside_root}/{number}"
-        had_old = files.exists(spark, target)
-        if had_old:
-            files.move(spark, target, aside)
-        try:
-            files.move(spark, source, target)
-        except Exception:
-            if had_old and not files.exists(spark, target):
-                files.move(spark, aside, target)
-            raise
-    files.delete(spark, aside_root)
-
-
 def _rewrite(
     spark: SparkSession, staging: str, table: LakeTable, data: T.StructType, dates: Sequence[str]
 ) -> None:
@@ -295,6 +284,7 @@ def publish_partitions(
     on_invalid: str = "quarantine",
     checks: dict[str, Column | str] | None = None,
     fail_dates: str = "raise",
+    rebalance: bool = True,
     copy: bool | None = None,
 ) -> PublishReport:
     """Publish a frame with a ``dt`` column; exactly the produced dates are replaced.
@@ -303,7 +293,8 @@ def publish_partitions(
     Rows whose ``dt`` is NULL go to quarantine, are dropped, or raise; they are
     counted either way. ``checks`` are named row conditions: a date with a
     failing row is not published, and raises unless ``fail_dates="skip"``.
-    ``copy`` forces publishing by Spark copy instead of renames.
+    ``rebalance=False`` saves the shuffle by date when the rows of a date already
+    sit together. ``copy`` forces publishing by Spark copy instead of renames.
 
     Everything is written once. Rejected rows share the staging write under
     their own ``_outcome`` directory, so no second pass over the input is needed
@@ -339,7 +330,7 @@ def publish_partitions(
     frame = frame.withColumn(OUTCOME, outcome)
 
     try:
-        metrics = materialize(frame, staging, (OUTCOME, PARTITION_COLUMN), table.fmt)
+        metrics = materialize(frame, staging, (OUTCOME, PARTITION_COLUMN), table.fmt, rebalance)
         if skipping is not None:
             report.skipped = sorted(skipping.get["dates"])
         good = {m[PARTITION_COLUMN]: m for m in metrics if m[OUTCOME] == OK}
@@ -372,7 +363,7 @@ def publish_partitions(
         elif dates:
             base = f"{staging}/{OUTCOME}={OK}"
             moves = [(f"{base}/{PARTITION_COLUMN}={d}", table.partition_path(d)) for d in dates]
-            _swap_in(spark, moves, staging)
+            files.replace_dirs(spark, moves, f"{staging}_replaced")
         if on_invalid == "quarantine":
             _keep_rejected(spark, table, staging, report.run_id, bad)
         if requested is not None:
@@ -458,12 +449,22 @@ def clear_partitions(
     return gone
 
 
+def publish_no_data(
+    spark: SparkSession, table: LakeTable, requested: Sequence[str], run_id: str | None = None
+) -> PublishReport:
+    """A run whose source had nothing: it succeeds and clears the requested dates."""
+    report = PublishReport(run_id or new_run_id(), "success")
+    report.cleared = clear_partitions(spark, table, requested, report.run_id)
+    return report
+
+
 def publish_snapshot(
     df: DataFrame,
     table: LakeTable,
     *,
     run_id: str | None = None,
     run_date: str | None = None,
+    rebalance: bool = False,
     copy: bool | None = None,
 ) -> PublishReport:
     """Replace a table without partitions; no rows means the table is emptied."""
@@ -471,7 +472,7 @@ def publish_snapshot(
     report = PublishReport(run_id or new_run_id(), "success")
     staging = table.staging(report.run_id)
     try:
-        metrics = materialize(df, staging, (), table.fmt)
+        metrics = materialize(df, staging, (), table.fmt, rebalance)
         total = metrics[0] if metrics else {}
         report.row_count = int(total.get("row_count") or 0)
         if report.row_count == 0:
@@ -484,7 +485,7 @@ def publish_snapshot(
             schema = all_text(df.schema) if table.fmt == "csv" else df.schema
             write_snapshot(scan_snapshot(spark, staging, table.fmt, schema), table.path, table.fmt)
         else:
-            _swap_in(spark, [(staging, table.path)], staging)
+            files.replace_dirs(spark, [(staging, table.path)], f"{staging}_replaced")
         dt = run_date or ""
         report.partitions = [
             {"dt": dt, "row_count": report.row_count, "file_count": total["file_count"]}

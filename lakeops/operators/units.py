@@ -6,15 +6,19 @@ expressions and joins, not driver lists, so a million of them is only a frame.
 
 from __future__ import annotations
 
+import logging
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import chunk_ranges, date_range_array
 
-UNIT_COLUMNS = ("job_index", "params", "meta")
+UNIT_SCHEMA = "job_index long, params map<string,string>, meta map<string,string>"
+
+logger = logging.getLogger(__name__)
 
 
 def _text_map(**values: Column | str | None) -> Column:
@@ -41,7 +45,8 @@ def date_spine(spark: SparkSession, start: str | date, end: str | date) -> DataF
     if date.fromisoformat(str(end)) < date.fromisoformat(str(start)):
         raise ValueError(f"End date {end} is before start date {start}")
     days = date_range_array(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))
-    return spark.range(1).select(F.explode(days).cast("string").alias("dt"))
+    spine = spark.range(1).select(F.explode(days).alias("dt"))
+    return spine.select(F.col("dt").cast("string"))
 
 
 def single_unit(spark: SparkSession) -> DataFrame:
@@ -97,6 +102,16 @@ def item_units(df: DataFrame, key: str = "symbol") -> DataFrame:
     )
 
 
+def sql_units(spark: SparkSession, sql: str, key: str = "symbol") -> DataFrame:
+    """Item units from a query; no units when it cannot be resolved or has no rows."""
+    try:
+        items = spark.sql(sql)
+    except AnalysisException as error:
+        logger.warning("No work units, the query failed: %s", error)
+        return spark.createDataFrame([], UNIT_SCHEMA)
+    return item_units(items, key)
+
+
 def _merged(left: str, right: str) -> Column:
     """Union of two maps where the right one wins on a key clash."""
     fresh = F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k))

@@ -14,6 +14,7 @@ from lakeops.operators.publish import (
     PublishReport,
     days_between,
     new_run_id,
+    publish_no_data,
     publish_partitions,
 )
 from lakeops.plans.models import Model, run_model
@@ -125,9 +126,8 @@ def _publish(
 ) -> PublishReport:
     frame = model.frame(spark, days)
     if frame is None:
-        frame = spark.createDataFrame([], f"{PARTITION_COLUMN} string")
-        checks = None
-    elif model.kind == "range":
+        return publish_no_data(spark, table, days, run_id)
+    if model.kind == "range":
         frame = in_range(frame, days[0], days[-1])
     return publish_partitions(
         frame,

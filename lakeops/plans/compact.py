@@ -17,11 +17,14 @@ def compacted(
     partition_column: str | None = None,
     run_date: str | None = None,
     order: Sequence[str] = LANDING_ORDER,
-) -> DataFrame:
-    """Newest row per key with its ``dt``, bookkeeping columns dropped."""
+) -> tuple[DataFrame, bool]:
+    """Newest row per key with its ``dt``, bookkeeping columns dropped.
+
+    Also tells whether the data decided the dates.
+    """
     newest = dedup_latest(parts, keys, order)
-    dated, _ = assign_partition(newest, partition_column, run_date)
-    return drop_internal(dated)
+    dated, by_data = assign_partition(newest, partition_column, run_date)
+    return drop_internal(dated), by_data
 
 
 def compact(
@@ -39,7 +42,9 @@ def compact(
     """Deduplicate parts, derive ``dt`` and publish every produced date.
 
     With a ``partition_column`` that exists the data decide the dates, otherwise
-    all rows go to ``run_date``.
+    all rows go to ``run_date`` and need no shuffle by date.
     """
-    frame = compacted(parts, keys, partition_column, run_date, order)
-    return publish_partitions(frame, table, mode=mode, on_invalid=on_invalid, run_id=run_id)
+    frame, by_data = compacted(parts, keys, partition_column, run_date, order)
+    return publish_partitions(
+        frame, table, mode=mode, on_invalid=on_invalid, rebalance=by_data, run_id=run_id
+    )

@@ -15,6 +15,7 @@ from lakeops.operators.normalize import conform, stamp
 from lakeops.operators.publish import (
     LakeTable,
     PublishReport,
+    publish_no_data,
     publish_partitions,
     publish_snapshot,
 )
@@ -113,7 +114,7 @@ def run_model(
             return PublishReport(run_id or "", "skipped")
         return publish_snapshot(frame, table, run_id=run_id, run_date=run_date)
     if frame is None:
-        frame = spark.createDataFrame([], f"{PARTITION_COLUMN} string")
+        return publish_no_data(spark, table, dates, run_id)
     return publish_partitions(frame, table, mode=mode, requested=dates, run_id=run_id)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,23 @@ from lakeops.operators.normalize import filter_date_range, project_existing, ren
 ORDER_COLUMNS = ("_ingest_order", "_row_index")
 
 
+def _portable(fn: Callable) -> bytes:
+    """The function as bytes any executor can load.
+
+    Functions of installed packages travel by name. Those of the user's own
+    modules travel with their code, since executors may not have the module.
+    """
+    module = sys.modules.get(getattr(fn, "__module__", None) or "")
+    place = getattr(module, "__file__", None) or ""
+    if module is None or module.__name__ == "__main__" or "-packages" in place:
+        return cloudpickle.dumps(fn)
+    cloudpickle.register_pickle_by_value(module)
+    try:
+        return cloudpickle.dumps(fn)
+    finally:
+        cloudpickle.unregister_pickle_by_value(module)
+
+
 def fetch(
     units: DataFrame,
     fn: Callable,
@@ -37,12 +56,16 @@ def fetch(
         [*schema.fields, *[T.StructField(c, T.LongType()) for c in ORDER_COLUMNS]]
     )
 
+    portable = _portable(fn)
+
     def run(batches: Iterator) -> Iterator:
         import inspect
         import io
 
         import pandas as pd
+        from pyspark import cloudpickle
 
+        fn = cloudpickle.loads(portable)
         accepted = inspect.signature(fn).parameters.values()
         takes_all = any(p.kind == p.VAR_KEYWORD for p in accepted)
         wanted = {p.name for p in accepted}

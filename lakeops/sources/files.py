@@ -41,6 +41,39 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"Could not move {source} to {target}")
 
 
+def replace_dirs(spark: SparkSession, moves: list[tuple[str, str]], aside_root: str) -> None:
+    """Put each source directory in the place of its target.
+
+    An existing target steps aside below ``aside_root`` first. If a move fails,
+    the partition in hand gets its old content back and the error goes up; what
+    was replaced before stays replaced.
+    """
+    if not moves:
+        return
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs, aside = _handle(spark, aside_root)
+    fs.mkdirs(aside)
+    parents = set()
+    for number, (source, target) in enumerate(moves):
+        parent = target.rsplit("/", 1)[0]
+        if parent not in parents:
+            fs.mkdirs(jvm_path(parent))
+            parents.add(parent)
+        new, place, old = jvm_path(source), jvm_path(target), jvm_path(aside, str(number))
+        had_old = fs.exists(place)
+        if had_old and not fs.rename(place, old):
+            raise OSError(f"Could not move {target} aside")
+        moved = False
+        try:
+            moved = fs.rename(new, place)
+        finally:
+            if not moved and had_old and not fs.exists(place):
+                fs.rename(old, place)
+        if not moved:
+            raise OSError(f"Could not move {source} to {target}")
+    fs.delete(aside, True)
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     """Locations matching a glob, as text."""
     fs, path = _handle(spark, pattern)
@@ -48,20 +81,12 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return [] if found is None else [status.getPath().toString() for status in found]
 
 
-def partition_values(
-    spark: SparkSession, table_path: str, column: str = "dt", suffix: str | None = None
-) -> list[str]:
-    """Partition values present on disk, from directory names alone.
-
-    With ``suffix`` only partitions that hold a file of that extension count.
-    """
-    tail = f"/*.{suffix}" if suffix else ""
+def partition_values(spark: SparkSession, table_path: str, column: str = "dt") -> list[str]:
+    """Partition values present on disk, from directory names alone."""
     marker = f"/{column}="
-    values = {
-        location.rsplit(marker, 1)[1].split("/", 1)[0]
-        for location in glob(spark, f"{table_path}/{column}=*{tail}")
-    }
-    return sorted(values)
+    return sorted(
+        location.rsplit(marker, 1)[1] for location in glob(spark, f"{table_path}/{column}=*")
+    )
 
 
 def file_system_handles_renames(spark: SparkSession, location: str) -> bool:

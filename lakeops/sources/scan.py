@@ -47,7 +47,8 @@ def scan_raw_csv(
 ) -> DataFrame:
     """Header CSV files of one, many or all ``dt`` directories, all columns as text.
 
-    Types are never inferred; ``conform`` casts later. ``multiline`` allows line
+    Types are never inferred; ``conform`` casts later. Empty values read as NULL.
+    ``multiline`` allows line
     breaks inside quoted values, at the price of one task per file: turn it off
     for large files known to hold none, and Spark splits them.
     """
@@ -181,9 +182,16 @@ def scan_partition(
     )
 
 
-def dates_with_files(spark: SparkSession, base: str, fmt: str = "csv") -> list[str]:
-    """Dates whose directory holds at least one file of the format (listing only)."""
-    return files.partition_values(spark, base, PARTITION_COLUMN, fmt)
+def dates_with_files(
+    spark: SparkSession, base: str, fmt: str = "csv", dates: Iterable[str] | None = None
+) -> list[str]:
+    """Dates (all, or those asked for) whose directory holds a file of the format."""
+    known = files.partition_values(spark, base, PARTITION_COLUMN) if dates is None else dates
+    return [
+        dt
+        for dt in sorted(set(known))
+        if files.glob(spark, f"{base}/{PARTITION_COLUMN}={dt}/*.{fmt}")
+    ]
 
 
 def missing_dates(df: DataFrame, requested: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
@@ -235,11 +243,9 @@ def raw_csv_input(
     """Input hook over dated CSV directories; ``dt`` stays visible for date ranges."""
 
     def hook(spark: SparkSession, dates: Sequence[str]) -> DataFrame | None:
-        present = set(dates_with_files(spark, base)) & set(dates)
+        present = dates_with_files(spark, base, "csv", dates)
         if not present:
             return None
-        return scan_raw_csv(
-            spark, base, columns, sorted(present), expose_dt=True, multiline=multiline
-        )
+        return scan_raw_csv(spark, base, columns, present, expose_dt=True, multiline=multiline)
 
     return hook

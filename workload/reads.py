@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.functions.dates import date_range_array
 from lakeops.functions.text import (
     join_location,
     json_sorted,
@@ -371,9 +372,8 @@ def absent(spark, sf_dir):
     bounds = orders.agg(
         F.min("dt").cast("date").alias("s"), F.max("dt").cast("date").alias("e")
     )
-    spine = bounds.select(
-        F.explode(F.sequence("s", "e", F.expr("interval 1 day"))).cast("string").alias("dt")
-    )
+    days = bounds.select(F.explode(date_range_array(F.col("s"), F.col("e"))).alias("dt"))
+    spine = days.select(F.col("dt").cast("string"))
     return missing_dates(orders.where("o_orderstatus = 'P'"), spine)
 
 
