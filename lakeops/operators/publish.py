@@ -107,11 +107,13 @@ class LakeTable:
         return scan_table(spark, self.path, schema)
 
 
-def read_csv_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_files(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True
+) -> DataFrame:
     return (
         spark.read.schema(schema)
         .options(**CSV_OPTIONS)
-        .option("multiLine", "true")
+        .option("multiLine", str(multiline).lower())
         .option("pathGlobFilter", "*.csv")
         .csv(path)
     )
@@ -194,17 +196,29 @@ def write_snapshot(
 
 
 def _read_staged(
-    spark: SparkSession, path: str, data: T.StructType, keys: Sequence[str], fmt: str
+    spark: SparkSession,
+    path: str,
+    data: T.StructType,
+    keys: Sequence[str],
+    fmt: str,
+    multiline: bool = True,
 ) -> DataFrame:
     fields = [f for f in data.fields if f.name not in keys]
     if fmt == "csv":
         fields = all_text(T.StructType(fields)).fields
     schema = T.StructType([*fields, *[T.StructField(k, T.StringType()) for k in keys]])
     if fmt == "csv":
-        return read_csv_files(spark, path, schema)
+        return read_csv_files(spark, path, schema, multiline)
     return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
 
 
+def _has_line_breaks(df: DataFrame) -> Column:
+    """Whether any text of a row contains a line break (one CSV row, many lines)."""
+    texts = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    found = [F.contains(t, F.lit(mark)) for t in texts for mark in ("\n", "\r")]
+    return F.coalesce(*[F.when(f, True) for f in found], F.lit(False))
+
+
 def materialize(
     df: DataFrame,
     staging: str,
@@ -221,10 +235,15 @@ def materialize(
     spark = df.sparkSession
     seen = Observation()
     spread = df.hint("rebalance", *keys) if rebalance else df
-    counted = spread.observe(seen, F.count(F.lit(1)).alias("rows"))
+    breaks = _has_line_breaks(df) if fmt == "csv" else F.lit(False)
+    counted = spread.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.max(breaks).alias("breaks")
+    )
     writer = _writer(counted, fmt)
     (writer.partitionBy(*keys) if keys else writer).save(staging)
-    staged = _read_staged(spark, staging, df.schema, keys, fmt)
+    # Without line breaks in any value CSV rows are lines: splittable, no parsing to count.
+    multiline = seen.get["breaks"] is not False
+    staged = _read_staged(spark, staging, df.schema, keys, fmt, multiline)
     metrics = [row.asDict() for row in partition_files(staged, keys).collect()]
     arrived = sum(m["row_count"] or 0 for m in metrics)
     if arrived != seen.get["rows"]:

@@ -162,7 +162,9 @@ def with_chunks(
     """
     as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
     chunks = chunk_ranges(as_column(start), as_column(end), freq)
-    width = units.agg(F.max(F.size(chunks))).first()[0] or 1
+    constant = not isinstance(start, Column) and not isinstance(end, Column)
+    measured = units.sparkSession.range(1) if constant else units
+    width = measured.agg(F.max(F.size(chunks))).first()[0] or 1
     spread = units.select(
         "job_index", "params", "meta", F.posexplode(chunks).alias("_i", "_chunk")
     )

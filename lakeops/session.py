@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_scratch: list[str] = []
+
 #: Settings the jobs in this package assume. All of them are Spark defaults or
 #: safe to set on a shared cluster; none depends on the size of the data.
 RECOMMENDED_CONF = {
@@ -56,5 +59,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder, never used twice."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder, never used twice, removed at exit."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    if not _scratch:
+        atexit.register(_remove_scratch, spark._jvm)
+    _scratch.append(path)
+    return path
+
+
+def _remove_scratch(jvm) -> None:
+    """Delete this process's scratch paths; the session may be stopped already."""
+    conf = None
+    for path in _scratch:
+        with contextlib.suppress(Exception):
+            conf = conf or jvm.org.apache.hadoop.conf.Configuration()
+            location = jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(conf).delete(location, True)

@@ -38,6 +38,7 @@ def fetch(
     fn: Callable,
     schema: T.StructType,
     parallelism: int | None = None,
+    rows_per_batch: int = 10_000,
 ) -> DataFrame:
     """Call ``fn(**params)`` once per unit on the executors and stack the rows.
 
@@ -46,6 +47,7 @@ def fetch(
     bounded that way), an object with ``csv_bytes``, or None. Missing columns
     become NULL, others are dropped. An exception fails the job.
     ``_ingest_order`` is the unit's index, ``_row_index`` the place within it.
+    Small results are handed to Spark together, about ``rows_per_batch`` at a time.
 
     Calls may be repeated when a task is retried, so write the result down
     before using it twice.
@@ -62,6 +64,7 @@ def fetch(
         import inspect
         import io
 
+        import numpy as np
         import pandas as pd
         from pyspark import cloudpickle
 
@@ -80,6 +83,18 @@ def fetch(
             else:
                 yield from result
 
+        held, held_rows = [], 0
+
+        def flush():
+            rows = pd.concat([part for part, _, _ in held], ignore_index=True)
+            rows = rows.reindex(columns=names)
+            for name in text_columns:
+                cells = rows[name].astype(object)
+                rows[name] = cells.map(str).where(cells.notna(), None)
+            rows["_ingest_order"] = np.repeat([i for _, i, _ in held], [len(f) for f, _, _ in held])
+            rows["_row_index"] = np.concatenate([np.arange(s, s + len(f)) for f, _, s in held])
+            return rows
+
         for batch in batches:
             for index, params in zip(batch["job_index"], batch["params"], strict=True):
                 given = dict(params)
@@ -88,14 +103,14 @@ def fetch(
                 for frame in frames(fn(**kwargs)):
                     if frame is None or frame.empty:
                         continue
-                    rows = frame.reindex(columns=names).reset_index(drop=True)
-                    for name in text_columns:
-                        values = rows[name].astype(object)
-                        rows[name] = values.map(str).where(values.notna(), None)
-                    rows["_ingest_order"] = int(index)
-                    rows["_row_index"] = range(seen, seen + len(rows))
-                    seen += len(rows)
-                    yield rows
+                    held.append((frame, int(index), seen))
+                    seen += len(frame)
+                    held_rows += len(frame)
+                    if held_rows >= rows_per_batch:
+                        yield flush()
+                        held, held_rows = [], 0
+        if held:
+            yield flush()
 
     tasks = parallelism or units.sparkSession.sparkContext.defaultParallelism
     return (

@@ -35,12 +35,20 @@ def explode_csv_payload(
     text = F.regexp_replace(F.decode(F.col(payload), "UTF-8"), "\r\n", "\n")
     text = F.regexp_replace(text, "^﻿", "")
     records = F.regexp_extract_all(text, F.lit(_RECORD), F.lit(1))
-    others = [F.col(c) for c in df.columns if c != payload]
+    others = [F.col(f"`{c}`") for c in df.columns if c != payload]
+    # Everything about the header is settled once per payload, before the lines
+    # fan out, so that only the small position array travels with each line.
+    header = _fields(F.get("_records", F.lit(0)))
+    places = F.array(
+        *[F.array_position("_header", name).cast("int") for name in schema.fieldNames()]
+    )
     lines = (
         df.select(*others, records.alias("_records"))
+        .select(*others, "_records", header.alias("_header"))
+        .select(*others, "_records", places.alias("_places"))
         .select(
             *others,
-            _fields(F.get("_records", F.lit(0))).alias("_header"),
+            "_places",
             F.posexplode(F.slice("_records", F.lit(2), F.size("_records"))).alias(
                 "_line", "_record"
             ),
@@ -48,9 +56,9 @@ def explode_csv_payload(
         .withColumn("_values", _fields(F.col("_record")))
     )
     columns = []
-    for field in schema.fields:
-        place = F.array_position("_header", field.name).cast("int") - 1
-        value = F.when(place >= 0, F.get("_values", place))
+    for number, field in enumerate(schema.fields):
+        place = F.get("_places", F.lit(number))
+        value = F.when(place > 0, F.get("_values", place - 1))
         cast = value.cast(field.dataType) if strict else value.try_cast(field.dataType)
         columns.append(cast.alias(field.name))
     return lines.select(*others, (F.col("_line") + 1).alias("_line"), *columns)

@@ -12,9 +12,8 @@ from lakeops.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    shared = tmp_path_factory.mktemp("shared")
-    session = local_session("tests", 8, **{"spark.checkpoint.dir": str(shared)})
+def spark():
+    session = local_session("tests", 8)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
