@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +37,10 @@ def append_manifest(spark: SparkSession, path: str, rows: Sequence[tuple]) -> No
     for row in rows:
         if row[3] < 0 or row[4] < 0:
             raise ValueError("file_count and row_count cannot be negative")
-    schema = T.StructType(MANIFEST_SCHEMA.fields[:-1])
+    names = MANIFEST_SCHEMA.fieldNames()[:-1]
+    columns = pa.table({name: [row[i] for row in rows] for i, name in enumerate(names)})
     (
-        spark.createDataFrame(list(rows), schema)
+        spark.createDataFrame(columns)
         .withColumn("generated_at", F.current_timestamp())
         .coalesce(1)
         .write.mode("append")

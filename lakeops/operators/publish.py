@@ -29,6 +29,10 @@ WRITE_MODES = ("overwrite", "skip_existing", "fail_if_exists")
 FORMATS = ("parquet", "csv")
 INVALID_MODES = ("quarantine", "drop", "raise")
 
+#: Hash slots for gathering rows by partition. Above 2000 Spark keeps only average
+#: block sizes per map task, and a hot slot would no longer be seen and split.
+HASH_SLOTS = 2000
+
 #: Staged rows are split by outcome; only this one is published.
 OK = "ok"
 OUTCOME = "_outcome"
@@ -130,6 +134,7 @@ class PublishReport:
     skipped: list[str] = field(default_factory=list)
     cleared: list[str] = field(default_factory=list)
     rejected: list[dict] = field(default_factory=list)
+    schema: T.StructType | None = field(default=None, repr=False)
 
     @property
     def partition_count(self) -> int:
@@ -143,6 +148,16 @@ class PublishReport:
 # --------------------------------------------------------------------------- writers
 
 
+def _gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition together, in as many tasks as its size needs.
+
+    Adaptive execution splits hash slots above the advisory size and joins small
+    ones. With far more slots than partitions a slot rarely holds two of them,
+    so splitting a hot partition does not cut its neighbours into small files.
+    """
+    return df.hint("rebalance", HASH_SLOTS, *keys)
+
+
 def _writer(df: DataFrame, fmt: str):
     writer = df.write.mode("overwrite").format(fmt)
     return writer.options(**CSV_OPTIONS) if fmt == "csv" else writer
@@ -165,7 +180,7 @@ def write_partitioned(
         raise ValueError(f"Unsupported format: {fmt}")
     if not keys:
         raise ValueError("At least one partition column is required")
-    spread = df.hint("rebalance", *keys) if rebalance else df
+    spread = _gathered(df, keys) if rebalance else df
     _writer(spread, fmt).partitionBy(*keys).save(path)
 
 
@@ -234,7 +249,9 @@ def materialize(
     """
     spark = df.sparkSession
     seen = Observation()
-    spread = df.hint("rebalance", *keys) if rebalance else df
+    spread = df
+    if rebalance:
+        spread = _gathered(df, keys) if keys else df.hint("rebalance")
     breaks = _has_line_breaks(df) if fmt == "csv" else F.lit(False)
     counted = spread.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.max(breaks).alias("breaks")
@@ -326,7 +343,7 @@ def publish_partitions(
     if PARTITION_COLUMN not in df.columns:
         raise ValueError(f"A {PARTITION_COLUMN} column is required")
     spark = df.sparkSession
-    report = PublishReport(run_id or new_run_id(), "success")
+    report = PublishReport(run_id or new_run_id(), "success", schema=df.schema)
     staging = table.staging(report.run_id)
     dt = F.col(PARTITION_COLUMN)
     frame = df.withColumn(PARTITION_COLUMN, dt.cast("string"))
@@ -468,6 +485,40 @@ def clear_partitions(
     return gone
 
 
+def adopt_partitions(
+    spark: SparkSession, table: LakeTable, schema: T.StructType, run_id: str | None = None
+) -> list[str]:
+    """Record partitions another tool completed (``_SUCCESS`` inside ``dt=...``).
+
+    Afterwards ``skip_existing`` and ``fail_if_exists`` respect them. Partitions
+    already in the manifest stay as they are.
+    """
+    marked = files.glob(spark, f"{table.path}/{PARTITION_COLUMN}=*/_SUCCESS")
+    found = sorted(m.rsplit(f"/{PARTITION_COLUMN}=", 1)[1].split("/")[0] for m in marked)
+    listed = spark.createDataFrame([(dt,) for dt in found], f"{PARTITION_COLUMN} string")
+    fresh = sorted(r[0] for r in exclude_dates(listed, table.completed(spark)).collect())
+    rows = keep_dates(table.read(spark, schema), fresh)
+    run = run_id or new_run_id("adopt")
+    log.append_manifest(
+        spark,
+        table.manifest_path,
+        [
+            (
+                table.dest,
+                m[PARTITION_COLUMN],
+                run,
+                m["file_count"],
+                m["row_count"],
+                log.SUCCESS,
+                "",
+                table.partition_path(m[PARTITION_COLUMN]),
+            )
+            for m in partition_files(rows).collect()
+        ],
+    )
+    return fresh
+
+
 def publish_no_data(
     spark: SparkSession, table: LakeTable, requested: Sequence[str], run_id: str | None = None
 ) -> PublishReport:
@@ -488,7 +539,7 @@ def publish_snapshot(
 ) -> PublishReport:
     """Replace a table without partitions; no rows means the table is emptied."""
     spark = df.sparkSession
-    report = PublishReport(run_id or new_run_id(), "success")
+    report = PublishReport(run_id or new_run_id(), "success", schema=df.schema)
     staging = table.staging(report.run_id)
     try:
         metrics = materialize(df, staging, (), table.fmt, rebalance)

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.operators.checks import backfill_summary
 from lakeops.operators.publish import (
@@ -36,6 +37,7 @@ class BackfillReport:
     row_count: int = 0
     jobs: int = 0
     cleared: list[str] = field(default_factory=list)
+    schema: T.StructType | None = field(default=None, repr=False)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         rows = [(dt, *outcome) for dt, outcome in sorted(self.outcomes.items())]
@@ -154,6 +156,7 @@ def _attempt(report: BackfillReport, days: Sequence[str], continue_on_error: boo
             report.outcomes[days[0]] = ("failed", type(error).__name__, str(error)[:500])
         return False
     report.row_count += result.row_count
+    report.schema = result.schema or report.schema
     report.cleared += result.cleared
     for day in days:
         report.outcomes[day] = ("success", None, None)

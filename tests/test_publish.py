@@ -18,6 +18,7 @@ from lakeops.operators.manifest import latest_manifest, manifest_json
 from lakeops.operators.publish import (
     LakeTable,
     PartitionExistsError,
+    adopt_partitions,
     cleanup,
     clear_partitions,
     publish_partitions,
@@ -265,6 +266,19 @@ def test_manifest(spark, lake):
     assert text.startswith('{"dest":"ods.t","file_count":1,"generated_at":"')
 
 
+def test_partitions_of_another_tool_are_adopted(spark, lake):
+    table = lake()
+    data = rows(spark, (1, "a", "2024-01-01"), (2, "b", "2024-01-02"), (3, "b", "2024-01-02"))
+    write_partitioned(data, table.path)
+    open(f"{table.partition_path('2024-01-02')}/_SUCCESS", "w").close()
+    assert adopt_partitions(spark, table, data.schema) == ["2024-01-02"]
+    row = latest_manifest(table.manifest(spark)).first()
+    assert (row["partition_date"], row["row_count"]) == ("2024-01-02", 2)
+    report = publish_partitions(data, table, mode="skip_existing")
+    assert report.skipped == ["2024-01-02"]
+    assert adopt_partitions(spark, table, data.schema) == []
+
+
 def test_table_paths():
     table = LakeTable("s3://bucket/lake/", "raw/daily", "x")
     assert table.path == "s3://bucket/lake/raw/daily/x"

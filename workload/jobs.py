@@ -13,7 +13,7 @@ from lakeops.plans.ingest import IngestSource, ingest
 from lakeops.plans.models import Model, run_model
 from lakeops.session import scratch_path
 from lakeops.sources.fetch import fetch, standardize
-from lakeops.sources.scan import raw_csv_input, scan_table
+from lakeops.sources.scan import raw_csv_input, scan_snapshot, scan_table
 from lakeops.sources.schemas import struct_of
 from workload import query
 from workload.common import dated_events, fresh_table, table
@@ -46,8 +46,8 @@ def daily_model(sf_dir):
 def backfill_range(spark, sf_dir):
     """Ten dates in one job."""
     target = fresh_table(spark, "daily_events")
-    backfill(spark, daily_model(sf_dir), target, "2024-01-03", "2024-01-12")
-    return scan_table(spark, target.path)
+    report = backfill(spark, daily_model(sf_dir), target, "2024-01-03", "2024-01-12")
+    return scan_table(spark, target.path, report.schema)
 
 
 @query(
@@ -56,7 +56,7 @@ def backfill_range(spark, sf_dir):
     WITH days AS (SELECT strftime(ts, '%Y-%m-%d') AS dt, max(value) > 150 AS bad FROM events
                   WHERE strftime(ts, '%Y-%m-%d') BETWEEN '2024-01-03' AND '2024-01-12' GROUP BY 1)
     SELECT count(*) AS total_dates, count(CASE WHEN NOT bad THEN 1 END) AS successful_count,
-           count(CASE WHEN bad THEN 1 END) AS failed_count, 0 AS skipped_count,
+           count(CASE WHEN bad THEN 1 END) AS failed_count, CAST(0 AS BIGINT) AS skipped_count,
            coalesce(min(CASE WHEN NOT bad THEN dt END), 'none') AS first_success,
            coalesce(max(CASE WHEN NOT bad THEN dt END), 'none') AS last_success,
            coalesce(string_agg(CASE WHEN bad THEN dt END, ',' ORDER BY dt), '') AS failed_dates
@@ -110,8 +110,9 @@ def isolated(spark, sf_dir):
 
     target = fresh_table(spark, "amounts")
     model = Model("amounts", sql, inputs={"tmp_amounts": amounts})
-    backfill(spark, model, target, "2024-01-03", "2024-01-12", continue_on_error=True)
-    return scan_table(spark, target.path)
+    days = "2024-01-03", "2024-01-12"
+    report = backfill(spark, model, target, *days, continue_on_error=True)
+    return scan_table(spark, target.path, report.schema)
 
 
 @query(
@@ -136,8 +137,8 @@ def model_params(spark, sf_dir):
         variables={"LABEL": "daily"},
         params={"floor": 25.0},
     )
-    backfill(spark, model, target, days[0], days[1])
-    return scan_table(spark, target.path)
+    report = backfill(spark, model, target, days[0], days[1])
+    return scan_table(spark, target.path, report.schema)
 
 
 @query(
@@ -155,8 +156,8 @@ def one_date(spark, sf_dir):
     """
     target = fresh_table(spark, "events_of_day")
     model = Model("events_of_day", sql, inputs={"tmp_events": _events_input(sf_dir)})
-    run_model(spark, model, target, ["2024-01-05"])
-    return scan_table(spark, target.path)
+    report = run_model(spark, model, target, ["2024-01-05"])
+    return scan_table(spark, target.path, report.schema)
 
 
 @query(
@@ -170,8 +171,8 @@ def snapshot_model(spark, sf_dir):
         "SELECT c_mktsegment AS segment, count(*) AS customers FROM tmp_customer GROUP BY 1",
         inputs={"tmp_customer": lambda spark, dates: table(spark, sf_dir, "customer")},
     )
-    run_model(spark, model, target)
-    return spark.read.parquet(target.path)
+    report = run_model(spark, model, target)
+    return scan_snapshot(spark, target.path, schema=report.schema)
 
 
 @query(
@@ -192,8 +193,8 @@ def raw_model(spark, sf_dir):
     hook = raw_csv_input(raw.path, ["event_id", "user_id", "event_type", "value"])
     target = fresh_table(spark, "daily_events")
     model = Model("daily_events", sql, inputs={"tmp_raw_events": hook})
-    backfill(spark, model, target, "2024-01-10", "2024-01-19")
-    return scan_table(spark, target.path)
+    report = backfill(spark, model, target, "2024-01-10", "2024-01-19")
+    return scan_table(spark, target.path, report.schema)
 
 
 def _greet(symbol):
@@ -209,7 +210,7 @@ def _greet(symbol):
     "fetch_units",
     """
     SELECT symbol, 'c-' || symbol AS label, length(symbol) AS size, i AS _ingest_order,
-           0 AS _row_index
+           CAST(0 AS BIGINT) AS _row_index
     FROM (SELECT symbol, row_number() OVER (ORDER BY symbol) - 1 AS i
           FROM (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS symbol FROM customer))
     WHERE symbol NOT LIKE '%7'
@@ -292,5 +293,5 @@ def ingest_flow(spark, sf_dir):
         "prices", units, _prices, schema, ["symbol", "trade_date"], "trade_date", "parquet"
     )
     root = scratch_path(spark, "lake")
-    ingest(spark, source, root, start=span[0], end=span[1])
-    return scan_table(spark, f"{root}/raw/prices")
+    result = ingest(spark, source, root, start=span[0], end=span[1])
+    return scan_table(spark, f"{root}/raw/prices", result.report.schema)

@@ -61,11 +61,11 @@ def _event_parts(spark, sf_dir):
 
 
 def compact_events(spark, sf_dir):
-    """Overlapping parts compacted into a dated table."""
+    """Overlapping parts compacted into a dated table, read back."""
     target = fresh_table(spark, "events")
     parts = _event_parts(spark, sf_dir)
-    compact(parts, target, keys=["event_id"], partition_column="ts")
-    return target
+    report = compact(parts, target, keys=["event_id"], partition_column="ts")
+    return scan_table(spark, target.path, report.schema)
 
 
 @query(
@@ -77,8 +77,7 @@ def compact_events(spark, sf_dir):
     """,
 )
 def compacted_counts(spark, sf_dir):
-    rows = scan_table(spark, compact_events(spark, sf_dir).path)
-    return rows.groupBy("dt").agg(
+    return compact_events(spark, sf_dir).groupBy("dt").agg(
         F.count(F.lit(1)).alias("row_count"), F.max("value").alias("max_value")
     )
 
@@ -92,9 +91,7 @@ def compacted_counts(spark, sf_dir):
     """,
 )
 def last_part(spark, sf_dir):
-    return scan_table(spark, compact_events(spark, sf_dir).path).select(
-        "event_id", "user_id", "event_type", "value"
-    )
+    return compact_events(spark, sf_dir).select("event_id", "user_id", "event_type", "value")
 
 
 @query("publish_readback", _EVENTS)
@@ -110,7 +107,7 @@ def readback_copy(spark, sf_dir):
     events = dated_events(spark, sf_dir)
     publish_partitions(events.withColumn("value", F.lit(0.0)), target, copy=True)
     publish_partitions(events, target, copy=True)
-    return scan_table(spark, target.path)
+    return scan_table(spark, target.path, events.schema)
 
 
 @query(
@@ -224,7 +221,7 @@ def snapshot_csv(spark, sf_dir):
     "manifest_latest",
     """
     SELECT 'ods.events' AS dest, strftime(ts, '%Y-%m-%d') AS partition_date, count(*) AS row_count,
-           1 AS file_count, 'success' AS status
+           CAST(1 AS BIGINT) AS file_count, 'success' AS status
     FROM events
     WHERE strftime(ts, '%Y-%m-%d') <> '2024-01-05' OR event_type = 'click' GROUP BY 1, 2
     """,
@@ -240,7 +237,7 @@ def manifest(spark, sf_dir):
 
 @query(
     "partition_files",
-    "SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS row_count, 1 AS file_count, "
+    "SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS row_count, CAST(1 AS BIGINT) AS file_count, "
     "true AS has_bytes FROM events GROUP BY 1",
 )
 def file_metrics(spark, sf_dir):
