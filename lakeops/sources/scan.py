@@ -35,6 +35,18 @@ def _partition_paths(spark: SparkSession, base: str, dates: Iterable[str]) -> li
     return [path for path in wanted if files.exists(spark, path)]
 
 
+def records_span_lines(spark: SparkSession, paths: Sequence[str]) -> bool:
+    """Whether any CSV record continues on the next line.
+
+    A record that ends on its line has an even number of quotes, so one odd line
+    gives it away. This is a plain line scan that splits files of any size and
+    stops at the first find.
+    """
+    lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not lines.text(list(paths)).where(quotes % 2 == 1).isEmpty()
+
+
 def scan_raw_csv(
     spark: SparkSession,
     base: str,
@@ -42,30 +54,31 @@ def scan_raw_csv(
     dates: Sequence[str] | None = None,
     *,
     expose_dt: bool = False,
-    multiline: bool = True,
+    multiline: bool | None = None,
     view: str | None = None,
 ) -> DataFrame:
     """Header CSV files of one, many or all ``dt`` directories, all columns as text.
 
     Types are never inferred; ``conform`` casts later. Empty values read as NULL.
-    ``multiline`` allows line
-    breaks inside quoted values, at the price of one task per file: turn it off
-    for large files known to hold none, and Spark splits them.
+    Records that span lines need one task per file (``multiline=True``), others
+    let Spark split the files (``False``). By default the lines are looked at
+    first, so that a large file is only read whole when it has to be.
     """
-    text = all_text(columns)
-    schema = with_partition(text)
-    reader = (
-        spark.read.schema(schema)
-        .options(**CSV_OPTIONS)
-        .option("multiLine", str(multiline).lower())
-        .option("pathGlobFilter", "*.csv")
-        .option("basePath", base)
-    )
-    if dates is None:
-        frame = reader.csv(base)
+    schema = with_partition(all_text(columns))
+    paths = [base] if dates is None else _partition_paths(spark, base, dates)
+    if paths:
+        if multiline is None:
+            multiline = records_span_lines(spark, paths)
+        frame = (
+            spark.read.schema(schema)
+            .options(**CSV_OPTIONS)
+            .option("multiLine", str(multiline).lower())
+            .option("pathGlobFilter", "*.csv")
+            .option("basePath", base)
+            .csv(paths)
+        )
     else:
-        paths = _partition_paths(spark, base, dates)
-        frame = reader.csv(paths) if paths else empty_table(spark, schema)
+        frame = empty_table(spark, schema)
     if not expose_dt:
         frame = frame.drop(PARTITION_COLUMN)
     if view:
@@ -238,7 +251,7 @@ def register_inputs(
 
 
 def raw_csv_input(
-    base: str, columns: T.StructType | list[str], *, multiline: bool = True
+    base: str, columns: T.StructType | list[str], *, multiline: bool | None = None
 ) -> InputHook:
     """Input hook over dated CSV directories; ``dt`` stays visible for date ranges."""
 

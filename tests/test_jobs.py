@@ -23,10 +23,19 @@ from lakeops.plans.models import (
     render,
     run_model,
 )
-from lakeops.plans.views import Layer, quote, register_views, table_function_sql, view_sql
+from lakeops.plans.views import (
+    Layer,
+    add_partitions,
+    quote,
+    register_views,
+    table_function_sql,
+    table_sql,
+    view_sql,
+)
 from lakeops.sources.scan import (
     dates_with_files,
     raw_csv_input,
+    records_span_lines,
     scan_parts,
     scan_partition,
     scan_raw_csv,
@@ -344,6 +353,41 @@ def test_views_and_functions(spark, lake, tmp_path):
     assert "dt" in one._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
 
 
+def test_declared_table(spark, lake, tmp_path):
+    table = lake("ods_declared")
+    publish_partitions(spark.sql("SELECT 1 AS x, '2024-01-01' AS dt"), table)
+    layer = Layer("d_ods", f"{table.root}/ods")
+    schema = struct_of(x=T.IntegerType(), y=T.StringType())
+    place = str(tmp_path / "db")
+    register_views(spark, {layer: ["ods_declared"]}, place, {"ods_declared": schema})
+    publish_partitions(spark.sql("SELECT 2 AS x, 'new' AS y, '2024-01-02' AS dt"), table)
+    add_partitions(spark, layer, "ods_declared", ["2024-01-02"])
+    add_partitions(spark, layer, "ods_declared", [])
+    assert values(spark.table("d_ods.ods_declared")) == [
+        (1, None, "2024-01-01"),
+        (2, "new", "2024-01-02"),
+    ]
+    one = spark.sql("SELECT * FROM ods_declared_dt('2024-01-02')")
+    assert values(one) == [(2, "new", "2024-01-02")]
+    with pytest.raises(ValueError, match="partitioned parquet"):
+        table_sql(Layer("d_ods", "x", fmt="csv"), "t", schema)
+
+
+def test_csv_scan_finds_records_that_span_lines(spark, tmp_path):
+    folder = tmp_path / "dt=2024-01-01"
+    folder.mkdir()
+    (folder / "a.csv").write_text('x,y\n1,"a ""b"", c"\n2,d\n')
+    assert not records_span_lines(spark, [str(folder)])
+    assert scan_raw_csv(spark, str(tmp_path), ["x", "y"]).count() == 2
+    (folder / "b.csv").write_text('x,y\n3,"two\nlines"\n')
+    assert records_span_lines(spark, [str(folder)])
+    assert values(scan_raw_csv(spark, str(tmp_path), ["x", "y"])) == [
+        ("1", 'a "b", c'),
+        ("2", "d"),
+        ("3", "two\nlines"),
+    ]
+
+
 def test_view_text():
     assert quote("a`b") == "`a``b`"
     with pytest.raises(ValueError, match="empty"):

@@ -13,10 +13,10 @@ from lakeops.functions.dates import (
     previous_day_utc,
 )
 from lakeops.operators.units import (
-    chunk_units,
     distinct_items,
     item_units,
     product,
+    range_unit,
     with_chunks,
 )
 from lakeops.plans.models import calendar_dim
@@ -274,7 +274,7 @@ def unit_override(spark, sf_dir):
     start, end = _order_span(spark, sf_dir)
     keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("symbol"))
     first = with_chunks(item_units(keys, "symbol"), start, start, "1D")
-    return product(first, chunk_units(spark, start, end, "100000D")).select(
+    return product(first, range_unit(spark, start, end)).select(
         "job_index",
         F.col("params")["symbol"].alias("symbol"),
         F.col("params")["start_date"].alias("start_date"),

@@ -20,7 +20,7 @@ from lakeops.operators.publish import (
 )
 from lakeops.plans.compact import compact
 from lakeops.plans.models import landing_model
-from lakeops.plans.views import Layer, register_views
+from lakeops.plans.views import Layer, add_partitions, register_views
 from lakeops.session import scratch_path
 from lakeops.sources.scan import (
     dates_with_files,
@@ -421,6 +421,71 @@ def typed_trade_dates(spark, sf_dir):
     return landing_model(rows, "ods_trade_date_hist")
 
 
+@query(
+    "ods_spot",
+    """
+    SELECT CAST(p_partkey AS VARCHAR) AS symbol, p_name AS name, p_retailprice AS amount,
+           DATE '2024-01-05' AS trade_date, '2024-01-05' AS dt FROM part
+    """,
+)
+def typed_spot(spark, sf_dir):
+    """Digit-only symbols stay text, amounts become doubles."""
+    target = fresh_table(spark, "fund_etf_spot", "csv")
+    raw = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("symbol"),
+        F.col("p_name").alias("name"),
+        F.col("p_retailprice").alias("amount"),
+        F.lit("20240105").alias("trade_date"),
+    )
+    compact(raw, target, keys=["symbol", "trade_date"], partition_column="trade_date")
+    rows = scan_raw_csv(spark, target.path, raw.columns, ["2024-01-05"])
+    return landing_model(rows, "ods_fund_etf_spot", "2024-01-05")
+
+
+@query(
+    "ods_whitelist",
+    """
+    SELECT CAST(s_suppkey AS VARCHAR) AS symbol, s_name AS name,
+           CAST(s_acctbal > 0 AS INTEGER) AS enabled, DATE '2024-01-05' AS trade_date,
+           '2024-01-06' AS dt FROM supplier
+    """,
+)
+def typed_whitelist(spark, sf_dir):
+    """A list stored under its run date, one row per symbol."""
+    target = fresh_table(spark, "etf_universe_whitelist", "csv")
+    listed = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("symbol"),
+        F.col("s_name").alias("name"),
+        (F.col("s_acctbal") > 0).cast("int").alias("enabled"),
+        F.lit("20240105").alias("trade_date"),
+    )
+    compact(listed, target, keys=["symbol"], run_date="2024-01-06")
+    rows = scan_raw_csv(spark, target.path, listed.columns, ["2024-01-06"])
+    return landing_model(rows, "ods_etf_universe_whitelist", "2024-01-06")
+
+
+@query(
+    "declared_table",
+    "SELECT event_type, max(value) AS max_value, strftime(ts, '%Y-%m-%d') AS dt FROM events "
+    "GROUP BY 1, 3",
+)
+def declared_table(spark, sf_dir):
+    """A catalog table with declared columns; new dates are added to it."""
+    target = fresh_table(spark, "events")
+    events = dated_events(spark, sf_dir)
+    publish_partitions(events.where("dt <= '2024-01-10'"), target)
+    suffix = target.root.rsplit("-", 1)[-1]
+    layer = Layer(f"ods_{suffix}", f"{target.root}/ods")
+    register_views(
+        spark, {layer: ["events"]}, f"{target.root}/databases", {"events": events.schema}
+    )
+    later = publish_partitions(events.where("dt > '2024-01-10'"), target)
+    add_partitions(spark, layer, "events", [p["dt"] for p in later.partitions])
+    return spark.sql(
+        f"SELECT event_type, max(value) AS max_value, dt FROM ods_{suffix}.events GROUP BY ALL"
+    )
+
+
 @query(
     "reference_list",
     """
