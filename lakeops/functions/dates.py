@@ -20,19 +20,26 @@ def parse_date(value: Column, fmt: str = COMPACT, strict: bool = False) -> Colum
     return F.to_date(value, fmt) if strict else F.try_to_date(value, fmt)
 
 
+#: Year, month and day with one kind of separator, then perhaps a time of day.
+_DAY = (
+    r"^\s*([0-9]{4})([-/\\ ])([0-9]{1,2})\2([0-9]{1,2})"
+    r"([ T]([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9](\.[0-9]+)?)?"
+    r"( ?(Z|UTC|[+-][0-9]{2}(:?[0-9]{2})?))?)?\s*$"
+)
+
+
 def normalize_dt_text(value: Column) -> Column:
     """Text to a ``yyyy-MM-dd`` partition key, or NULL when it is no date.
 
-    Accepts ``yyyyMMdd`` and year-month-day with ``-`` or ``/`` (one or two
-    digits for month and day, an optional time part). The patterns guard the
-    cast, which on its own would also take ``2024`` or ``2024-01``.
+    Accepts ``yyyyMMdd`` and year, month, day with ``-``, ``/``, a backslash or a
+    blank between them (one or two digits for month and day), followed by a
+    valid time or nothing. The patterns guard the cast, which on its own would
+    also take ``2024`` or ``2024-01``. Special words and years that do not have
+    four digits are no partition keys.
     """
-    text = F.trim(value)
-    day_part = F.regexp_replace(
-        F.substring_index(F.substring_index(text, " ", 1), "T", 1), "/", "-"
-    )
-    parsed = F.when(text.rlike(r"^[0-9]{8}$"), F.try_to_date(text, COMPACT)).when(
-        text.rlike(r"^[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}([ T].*)?$"), day_part.try_cast("date")
+    compact = F.trim(value)
+    parsed = F.when(compact.rlike(r"^[0-9]{8}$"), F.try_to_date(compact, COMPACT)).when(
+        value.rlike(_DAY), F.regexp_replace(value, _DAY, "$1-$3-$4").try_cast("date")
     )
     return F.date_format(parsed, DASHED)
 
@@ -113,39 +120,76 @@ def date_range_array(start: Column, end: Column) -> Column:
     ).otherwise(F.array().cast("array<date>"))
 
 
+def _anchors(start: Column, end: Column, unit: str) -> tuple[Column, Column]:
+    """Cut points of a calendar unit: (all from start's period on, the first one >= start)."""
+
+    def periods(name: str, step: str) -> Column:
+        return F.sequence(F.trunc(start, name), F.trunc(end, name), F.expr(f"interval {step}"))
+
+    def last_of(day: Column, months: int) -> Column:
+        return F.date_sub(F.add_months(day, months), 1)
+
+    if unit == "month end":
+        return F.transform(periods("month", "1 month"), F.last_day), F.last_day(start)
+    if unit == "quarter end":
+        ends = F.transform(periods("quarter", "3 month"), lambda d: last_of(d, 3))
+        return ends, last_of(F.trunc(start, "quarter"), 3)
+    if unit == "year end":
+        ends = F.transform(periods("year", "1 year"), lambda d: last_of(d, 12))
+        return ends, last_of(F.trunc(start, "year"), 12)
+    if unit == "month start":
+        first = F.trunc(start, "month")
+        following = F.when(first == start, start).otherwise(F.add_months(first, 1))
+        return periods("month", "1 month"), following
+    sunday = F.next_day(F.date_sub(start, 1), "Sun")
+    weeks = F.when(sunday <= end, F.sequence(sunday, end, F.expr("interval 7 day")))
+    return F.coalesce(weeks, F.array().cast("array<date>")), sunday
+
+
+#: Frequency names and the calendar unit they cut at (fixed values).
+FREQUENCIES = {
+    "M": "month end",
+    "ME": "month end",
+    "MS": "month start",
+    "Q": "quarter end",
+    "QE": "quarter end",
+    "Y": "year end",
+    "YE": "year end",
+    "A": "year end",
+    "W": "week",
+    "D": "day",
+}
+
+
 def chunk_ranges(start: Column, end: Column, freq: str = "1M") -> Column:
     """Contiguous ranges covering ``start``..``end`` as array<struct<start,end,shard_id>>.
 
-    ``nM`` (or ``nME``) cuts at every n-th month end after ``start``, ``nD`` after every n days,
-    ``month`` at calendar months. It is an array expression, so ranges can be
-    made per row without a window or a join; explode it for one row per range.
+    ``freq`` is a count and a name of ``FREQUENCIES``: ``nM`` cuts at every n-th
+    month end after ``start``, ``nW`` at Sundays, ``nD`` after every n days, and
+    so on; ``month`` cuts at calendar months. It is an array expression, so ranges
+    can be made per row without a window or a join; explode it for one row per range.
     A range without any cut point keeps a NULL ``shard_id``, others carry yyyyMM.
     """
     start, end = start.cast("date"), end.cast("date")
-    pattern = re.fullmatch(r"([0-9]*)(D|M|ME)|month", freq)
-    if not pattern:
-        raise ValueError(f"Unsupported frequency: {freq}")
-    step = int(pattern.group(1) or 1) if freq != "month" else 1
-    if step < 1:
+    pattern = re.fullmatch(r"([0-9]*)([A-Z]+)|month", freq)
+    name = pattern.group(2) if pattern else None
+    step = int(pattern.group(1) or 1) if name else 1
+    if not pattern or step < 1 or (name and name not in FREQUENCIES):
         raise ValueError(f"Unsupported frequency: {freq}")
-    no_cuts = F.array().cast("array<date>")
     sharded = F.lit(True)
-    if freq == "month":
+    if name is None:
         first = F.add_months(F.trunc(start, "month"), 1)
         later = F.when(first <= end, F.sequence(first, end, F.expr("interval 1 month")))
-    elif pattern.group(2) == "D":
+    elif name == "D":
         first = F.date_add(start, step)
         later = F.when(first <= end, F.sequence(first, end, F.expr(f"interval {step} day")))
     else:
-        months = F.sequence(
-            F.trunc(start, "month"), F.trunc(end, "month"), F.expr("interval 1 month")
-        )
-        month_ends = F.transform(months, lambda d: F.last_day(d))
-        later = F.filter(month_ends, lambda m: (m > start) & (m <= end))
+        cuts, first = _anchors(start, end, FREQUENCIES[name])
+        later = F.filter(cuts, lambda c: (c > start) & (c <= end))
         if step > 1:
             later = F.filter(later, lambda _, i: (i + 1) % step == 0)
-        sharded = F.last_day(start) <= end
-    later = F.coalesce(later, no_cuts)
+        sharded = first <= end
+    later = F.coalesce(later, F.array().cast("array<date>"))
     cut = F.zip_with(
         F.concat(F.array(start), later),
         F.concat(F.transform(later, lambda d: F.date_sub(d, 1)), F.array(end)),

@@ -52,6 +52,19 @@ def one(spark, column):
         (None, None),
         ("2024-02-30", None),
         ("20241399", None),
+        ("2024-01-05 junk", None),
+        ("2024-01-05 25:00:00", None),
+        ("2024-01-05 10", None),
+        ("2024-01-05T", None),
+        ("2024-01/05", None),
+        ("2024-01-05T10:00:00Z", "2024-01-05"),
+        ("2024-01-05 10:00:00.123+08:00", "2024-01-05"),
+        ("2024 01 05", "2024-01-05"),
+        ("2024\\01\\05", "2024-01-05"),
+        ("\t2024-01-05\n", "2024-01-05"),
+        ("\t20240105\t", None),
+        ("epoch", None),
+        ("24-1-5", None),
     ],
 )
 def test_normalize_dt_text(spark, text, expected):
@@ -125,13 +138,28 @@ def brute_chunks(start, end, freq):
     return out
 
 
-@pytest.mark.parametrize(("freq", "offset"), [("1M", "ME"), ("2M", "2ME"), ("7D", "7D"), ("1D", "D")])
+@pytest.mark.parametrize(
+    ("freq", "offset"),
+    [
+        ("1M", "ME"),
+        ("2M", "2ME"),
+        ("7D", "7D"),
+        ("1D", "D"),
+        ("W", "W"),
+        ("2W", "2W"),
+        ("MS", "MS"),
+        ("3MS", "3MS"),
+        ("Q", "QE"),
+        ("2QE", "2QE"),
+        ("Y", "YE"),
+    ],
+)
 def test_chunk_ranges_against_pandas(spark, freq, offset):
     starts = ["2023-12-31", "2024-01-01", "2024-01-15", "2024-01-31", "2024-02-29", "2024-03-30"]
     pairs = [
         (s, str(date.fromisoformat(s) + timedelta(days=n)))
         for s in starts
-        for n in (0, 1, 15, 19, 30, 31, 60, 91, 200)
+        for n in (0, 1, 5, 6, 7, 15, 19, 30, 31, 60, 91, 200, 400, 800)
     ]
     frame = spark.createDataFrame(pairs, "s string, e string")
     chunks = chunk_ranges(F.col("s"), F.col("e"), freq)
@@ -158,7 +186,7 @@ def test_chunk_ranges_examples(spark):
     ]
     assert chunks("2024-02-01", "2024-01-01", "1M") == [("2024-02-01", "2024-01-01")]
     with pytest.raises(ValueError, match="frequency"):
-        chunk_ranges(F.lit("2024-01-01"), F.lit("2024-01-01"), "1Q")
+        chunk_ranges(F.lit("2024-01-01"), F.lit("2024-01-01"), "1H")
 
 
 def test_date_spine(spark):
