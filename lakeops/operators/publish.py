@@ -154,8 +154,15 @@ def _gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     Adaptive execution splits hash slots above the advisory size and joins small
     ones. With far more slots than partitions a slot rarely holds two of them,
     so splitting a hot partition does not cut its neighbours into small files.
+    Where adaptive splitting is switched off the rows stay where they are: more
+    files, but no task that has to write a hot partition alone.
     """
-    return df.hint("rebalance", HASH_SLOTS, *keys)
+    conf = df.sparkSession.conf
+    splits = (
+        conf.get("spark.sql.adaptive.enabled"),
+        conf.get("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled"),
+    )
+    return df.hint("rebalance", HASH_SLOTS, *keys) if splits == ("true", "true") else df
 
 
 def _writer(df: DataFrame, fmt: str):
@@ -235,18 +242,20 @@ def _has_line_breaks(df: DataFrame) -> Column:
 
 
 def materialize(
-    df: DataFrame,
+    df: DataFrame | str,
     staging: str,
     keys: Sequence[str] = (PARTITION_COLUMN,),
     fmt: str = "parquet",
     rebalance: bool = True,
 ) -> list[dict]:
-    """Write to staging, measure what arrived, and check nothing got lost.
+    """Write a frame or a query to staging, measure what arrived, check nothing got lost.
 
     Rows are counted on their way into the files (after the last shuffle, so a
     retried task counts once) and again from the files; the two must agree.
     Returns one metrics dict per key combination.
     """
+    if isinstance(df, str):
+        df = SparkSession.active().sql(df)
     spark = df.sparkSession
     seen = Observation()
     spread = df
@@ -273,8 +282,11 @@ def materialize(
 
 def _rewrite(
     spark: SparkSession, staging: str, table: LakeTable, data: T.StructType, dates: Sequence[str]
-) -> None:
-    """Publish by copying with Spark: for stores where a rename is a copy anyway."""
+) -> dict[str, dict]:
+    """Publish by copying with Spark: for stores where a rename is a copy anyway.
+
+    Returns the metrics of the copied partitions, whose files differ from the staged ones.
+    """
     base = f"{staging}/{OUTCOME}={OK}"
     staged = _read_staged(spark, base, data, (PARTITION_COLUMN,), table.fmt)
     columns = [f.name for f in data.fields if f.name not in (OUTCOME, PARTITION_COLUMN)]
@@ -285,6 +297,10 @@ def _rewrite(
         .partitionBy(PARTITION_COLUMN)
         .save(table.path)
     )
+    plain = T.StructType([f for f in data.fields if f.name != OUTCOME])
+    copied = _read_staged(spark, table.path, plain, (PARTITION_COLUMN,), table.fmt)
+    metrics = partition_files(keep_dates(copied, dates)).collect()
+    return {m[PARTITION_COLUMN]: m.asDict() for m in metrics}
 
 
 def _listed(dates: DataFrame) -> list[str] | DataFrame:
@@ -395,7 +411,11 @@ def publish_partitions(
         if copy is None:
             copy = not files.file_system_handles_renames(spark, table.path)
         if dates and copy:
-            _rewrite(spark, staging, table, frame.schema, dates)
+            copied = _rewrite(spark, staging, table, frame.schema, dates)
+            lost = [d for d in dates if copied[d]["row_count"] != good[d]["row_count"]]
+            if lost:
+                raise ValidationError(f"Row counts changed while copying: {', '.join(lost[:20])}")
+            good |= copied
         elif dates:
             base = f"{staging}/{OUTCOME}={OK}"
             moves = [(f"{base}/{PARTITION_COLUMN}={d}", table.partition_path(d)) for d in dates]

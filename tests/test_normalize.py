@@ -31,8 +31,10 @@ FORMATS = {"trade_date": "yyyyMMdd"}
 
 
 def test_conform_orders_casts_and_fills(spark):
-    raw = spark.createDataFrame([("20240105", "1.5", "007", "x")], "trade_date string, amount string, symbol string, extra string")
-    schema = T.StructType([*SPOT.fields, T.StructField("market", T.StringType(), True, {"default": "SH"})])
+    ddl = "trade_date string, amount string, symbol string, extra string"
+    raw = spark.createDataFrame([("20240105", "1.5", "007", "x")], ddl)
+    market = T.StructField("market", T.StringType(), True, {"default": "SH"})
+    schema = T.StructType([*SPOT.fields, market])
     typed = conform(raw, schema, date_formats=FORMATS)
     assert typed.columns == ["symbol", "name", "amount", "trade_date", "market"]
     assert values(typed) == [("007", None, 1.5, date(2024, 1, 5), "SH")]

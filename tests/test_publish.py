@@ -21,6 +21,7 @@ from lakeops.operators.publish import (
     adopt_partitions,
     cleanup,
     clear_partitions,
+    materialize,
     publish_partitions,
     publish_snapshot,
     read_quarantine,
@@ -347,3 +348,32 @@ def test_backfill_summary(spark):
     row = backfill_summary(outcomes).first()
     assert row[:6] == (3, 2, 1, 0, "2024-01-02", "2024-01-03")
     assert [tuple(f) for f in row["failed_dates"]] == [("2024-01-01", "broken", "E")]
+
+
+def test_materialize_a_query(spark, tmp_path):
+    sql = "SELECT id, CAST(id % 2 AS STRING) AS dt FROM range(10)"
+    found = materialize(sql, str(tmp_path / "staging"))
+    assert sorted((m["dt"], m["row_count"], m["file_count"]) for m in found) == [
+        ("0", 5, 1),
+        ("1", 5, 1),
+    ]
+
+
+def test_without_adaptive_execution(spark, lake):
+    table = lake()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        data = spark.range(100).selectExpr("id", "concat('2024-01-0', id % 3 + 1) AS dt")
+        report = publish_partitions(data, table)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert report.row_count == 100 and report.partition_count == 3
+
+
+def test_copy_records_the_files_it_wrote(spark, lake):
+    table = lake()
+    data = spark.range(0, 100, 1, 4).selectExpr("id", "'2024-01-01' AS dt")
+    report = publish_partitions(data, table, copy=True, rebalance=False)
+    names = os.listdir(table.partition_path("2024-01-01"))
+    on_disk = [n for n in names if n.endswith(".parquet")]
+    assert report.partitions[0]["file_count"] == len(on_disk) and report.row_count == 100
