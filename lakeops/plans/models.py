@@ -22,7 +22,8 @@ from lakeops.operators.publish import (
 from lakeops.sources.scan import InputHook, register_inputs
 from lakeops.sources.schemas import PARTITION_COLUMN, SCHEMAS
 
-_PLACEHOLDER = re.compile(r"\$(?:(?P<escaped>\$)|\{(?P<name>[A-Za-z_][A-Za-z0-9_]*)\})")
+_NAME = r"[A-Za-z_][A-Za-z0-9_]*"
+_PLACEHOLDER = re.compile(rf"\$(?:(?P<escaped>\$)|\{{(?P<braced>{_NAME})\}}|(?P<bare>{_NAME}))")
 
 
 class MissingVariableError(ValueError):
@@ -30,16 +31,21 @@ class MissingVariableError(ValueError):
 
 
 def render(sql: str, variables: Mapping[str, str] | None = None) -> str:
-    """Fill ``${NAME}`` placeholders (``$$`` is a dollar sign), drop trailing ``;``.
+    """Fill ``${NAME}`` or ``$NAME`` (``$$`` is a dollar sign), drop trailing ``;``.
 
     Values are pasted as text. Prefer named parameters (``:name``), which Spark
     binds as typed literals.
     """
     given = variables or {}
-    missing = sorted({m["name"] for m in _PLACEHOLDER.finditer(sql) if m["name"]} - set(given))
+    named = {m["braced"] or m["bare"] for m in _PLACEHOLDER.finditer(sql) if not m["escaped"]}
+    missing = sorted(named - set(given))
     if missing:
         raise MissingVariableError(f"Missing template variable: {', '.join(missing)}")
-    text = _PLACEHOLDER.sub(lambda m: "$" if m["escaped"] else str(given[m["name"]]), sql)
+
+    def value(match: re.Match) -> str:
+        return "$" if match["escaped"] else str(given[match["braced"] or match["bare"]])
+
+    text = _PLACEHOLDER.sub(value, sql)
     text = text.strip().rstrip("; \t\r\n")
     if not text:
         raise ValueError("SQL is empty")

@@ -154,6 +154,7 @@ def test_ingest_failure_leaves_no_staging(spark, tmp_path):
 def test_render():
     assert render("SELECT '${A}' AS x ; ;\n", {"A": "1"}) == "SELECT '1' AS x"
     assert render("SELECT '$$5' AS x") == "SELECT '$5' AS x"
+    assert render("SELECT '$A', r'x$' AS x", {"A": "1"}) == "SELECT '1', r'x$' AS x"
     with pytest.raises(MissingVariableError, match="A, B"):
         render("${B} ${A}", {})
     for text in ("", " ;; "):

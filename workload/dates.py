@@ -249,6 +249,7 @@ def unit_product(spark, sf_dir):
     """,
 )
 def unit_product_items(spark, sf_dir):
+    """Two item lists combined; brands are few, so the result is linear in customers."""
     brands = item_units(table(spark, sf_dir, "part").select("p_brand"), "brand")
     names = item_units(table(spark, sf_dir, "customer").select("c_name"), "customer")
     return product(brands, names).select(
