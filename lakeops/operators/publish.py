@@ -22,8 +22,8 @@ from lakeops.operators import manifest as log
 from lakeops.operators.checks import ValidationError, partition_files
 from lakeops.operators.normalize import IN_LIST_LIMIT, exclude_dates, keep_dates
 from lakeops.sources import files
-from lakeops.sources.scan import CSV_OPTIONS, scan_snapshot, scan_table
-from lakeops.sources.schemas import PARTITION_COLUMN, all_text, with_partition
+from lakeops.sources.scan import CSV_OPTIONS, scan_raw_csv, scan_snapshot, scan_table
+from lakeops.sources.schemas import PARTITION_COLUMN, all_text
 
 WRITE_MODES = ("overwrite", "skip_existing", "fail_if_exists")
 FORMATS = ("parquet", "csv")
@@ -107,7 +107,7 @@ class LakeTable:
         if self.fmt == "csv":
             if schema is None:
                 raise ValueError("A CSV table is read with its column list")
-            return read_csv_files(spark, self.path, with_partition(all_text(schema)))
+            return scan_raw_csv(spark, self.path, schema, expose_dt=True)
         return scan_table(spark, self.path, schema)
 
 

@@ -74,8 +74,6 @@ def ingest(
     end = end or start
     run = safe_run_id(run_id or new_run_id("ingest"))
     units = source.units(spark, start, end)
-    if units.isEmpty():
-        return IngestResult(source.target, "skipped", "no_jobs")
     table = LakeTable(root, layer, source.target, source.fmt)
     landing = f"{table.staging(run)}_parts"
     try:
@@ -84,7 +82,8 @@ def ingest(
         parts = spark.read.schema(rows.schema).parquet(landing)
         fetched = parts.agg(F.count(F.lit(1))).first()[0]
         if fetched == 0:
-            return IngestResult(source.target, "skipped", "no_data")
+            reason = "no_jobs" if units.isEmpty() else "no_data"
+            return IngestResult(source.target, "skipped", reason)
         report = compact(
             parts,
             table,

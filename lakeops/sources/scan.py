@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,18 @@ def records_span_lines(spark: SparkSession, paths: Sequence[str]) -> bool:
     return not lines.text(list(paths)).where(quotes % 2 == 1).isEmpty()
 
 
+def csv_header(spark: SparkSession, base: str, paths: Sequence[str]) -> list[str] | None:
+    """Column names from the first line of one file; None when there is no file."""
+    reader = spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv")
+    try:
+        names = reader.option("basePath", base).csv(list(paths)).columns
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+    return [name for name in names if name != PARTITION_COLUMN]
+
+
 def scan_raw_csv(
     spark: SparkSession,
     base: str,
@@ -59,26 +72,39 @@ def scan_raw_csv(
 ) -> DataFrame:
     """Header CSV files of one, many or all ``dt`` directories, all columns as text.
 
-    Types are never inferred; ``conform`` casts later. Empty values read as NULL.
+    Columns are found by their header names, whatever their order; absent ones
+    are NULL. A file whose header differs from the others fails the scan rather
+    than shift its values. Types are never inferred; ``conform`` casts later.
+    Empty values read as NULL.
+
     Records that span lines need one task per file (``multiline=True``), others
     let Spark split the files (``False``). By default the lines are looked at
     first, so that a large file is only read whole when it has to be.
     """
-    schema = with_partition(all_text(columns))
+    wanted = all_text(columns)
     paths = [base] if dates is None else _partition_paths(spark, base, dates)
-    if paths:
+    header = csv_header(spark, base, paths) if paths else None
+    if header is None:
+        frame = empty_table(spark, with_partition(wanted))
+    else:
         if multiline is None:
             multiline = records_span_lines(spark, paths)
         frame = (
-            spark.read.schema(schema)
+            spark.read.schema(with_partition(all_text(header)))
             .options(**CSV_OPTIONS)
             .option("multiLine", str(multiline).lower())
+            .option("enforceSchema", "false")
             .option("pathGlobFilter", "*.csv")
             .option("basePath", base)
             .csv(paths)
         )
-    else:
-        frame = empty_table(spark, schema)
+        none = F.lit(None).cast("string")
+        found = [
+            F.col(f"`{name}`") if name in header else none.alias(name)
+            for name in wanted.fieldNames()
+            if name != PARTITION_COLUMN
+        ]
+        frame = frame.select(*found, PARTITION_COLUMN)
     if not expose_dt:
         frame = frame.drop(PARTITION_COLUMN)
     if view:

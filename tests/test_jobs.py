@@ -389,6 +389,26 @@ def test_csv_scan_finds_records_that_span_lines(spark, tmp_path):
     ]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    for dt, text in (("2024-01-01", "b,a\n1,2\n"), ("2024-01-02", "b,a\n3,4\n")):
+        (tmp_path / f"dt={dt}").mkdir()
+        (tmp_path / f"dt={dt}" / "x.csv").write_text(text)
+    for multiline in (True, False):
+        rows = scan_raw_csv(
+            spark, str(tmp_path), ["a", "absent", "b"], expose_dt=True, multiline=multiline
+        )
+        assert values(rows) == [("2", None, "1", "2024-01-01"), ("4", None, "3", "2024-01-02")]
+        assert values(rows, "a") == [("2",), ("4",)] and rows.count() == 2
+    (tmp_path / "dt=2024-01-03").mkdir()
+    (tmp_path / "dt=2024-01-03" / "x.csv").write_text("a,b\n5,6\n")
+    for multiline in (True, False):
+        rows = scan_raw_csv(spark, str(tmp_path), ["a", "b"], multiline=multiline)
+        with pytest.raises(Exception, match="header|schema"):
+            rows.collect()
+    alone = scan_raw_csv(spark, str(tmp_path), ["a", "b"], ["2024-01-03"])
+    assert values(alone) == [("5", "6")]
+
+
 def test_view_text():
     assert quote("a`b") == "`a``b`"
     with pytest.raises(ValueError, match="empty"):
