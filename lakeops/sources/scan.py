@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,17 +186,26 @@ def scan_table_nested(
 def scan_snapshot(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
 ) -> DataFrame:
-    """A table without partitions, as Parquet or header CSV (read as text)."""
+    """A table without partitions, as Parquet or header CSV (read as text).
+
+    CSV files whose header does not fit the others, or the schema, fail the scan.
+    """
     if fmt not in {"parquet", "csv"}:
         raise ValueError(f"Unsupported format: {fmt}")
     reader = spark.read.option("pathGlobFilter", f"*.{fmt}")
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        return reader.options(**CSV_OPTIONS).option("multiLine", "true").csv(path)
+        return _checked_csv(reader, path)
     return reader.parquet(path)
 
 
+def _checked_csv(reader: DataFrameReader, path: str) -> DataFrame:
+    """CSV with records of any shape and every file's header compared."""
+    options = {**CSV_OPTIONS, "multiLine": "true", "enforceSchema": "false"}
+    return reader.options(**options).csv(path)
+
+
 def scan_partition(
     spark: SparkSession, path: str, dt: str, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -254,7 +263,7 @@ def scan_reference_list(
     date_column: str = "trade_date",
 ) -> DataFrame:
     """A CSV list read as text, stamped with the run date unless it carries one."""
-    frame = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").csv(path)
+    frame = _checked_csv(spark.read, path)
     if date_column in frame.columns:
         return frame
     return frame.withColumn(date_column, F.lit(run_date))
