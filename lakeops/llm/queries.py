@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, packing, simhash
-from lakeops.llm.common import table
+from lakeops.llm import bpe, html_text, packing, quality, simhash, templates
+from lakeops.llm.common import fold, table
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_html_block_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -37,6 +43,16 @@ def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    held_out = fold("doc_id", 2, 4)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), learn_from=~held_out)
+    scored = quality.score(docs, model)
+    accepted = (F.col("score") >= quality.ACCEPT).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", accepted.alias("predicted"))
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
@@ -44,6 +60,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query
+def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = templates.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "kind", "windows", "n_windows")
+
+
 @query
 def op9_token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
