@@ -199,7 +199,7 @@ class _Pieces:
     """Ids of the pieces a worker has seen."""
 
     #: Pieces remembered; a full memory is emptied. Speed only.
-    REMEMBERED = 600_000
+    REMEMBERED = 1_500_000
     _made: dict[str, _Pieces] = {}
 
     @classmethod
