@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, html_text, packing, quality, simhash, templates
+from lakeops.llm import bpe, html_text, packing, quality, secret_scan, simhash, templates
 from lakeops.llm.common import fold, table
 from lakeops.session import scratch_path
 
@@ -66,6 +66,16 @@ def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "kind", "windows", "n_windows")
 
 
+@query
+def op8_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    kinds = F.transform("secrets", lambda s: s["kind"])
+    of_kind = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{secret_scan.KINDS[k]}") for k in range(3)]
+    digest = F.sha2(secret_scan.spelled(base).cast("binary"), 256)
+    return found.select("doc_id", *of_kind, digest.alias("base_sha256"), secret_scan.spelled(F.col("secrets")).alias("spans"))
+
+
 @query
 def op9_token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
