@@ -32,6 +32,8 @@ LONG_HEX = r"[0-9a-f]{24,}+"
 
 #: What is put to the tests.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+#: The least a candidate must hold without its padding.
+LEAST_SYMBOLS = 16
 #: Share of false discoveries allowed in each stratum.
 ALPHA = 0.05
 #: Structure in runs and neighbours that a key must not have, as a correlation.
@@ -149,14 +151,14 @@ def encoding_of(s: Column) -> Column:
 def tested(s: Column) -> Column:
     """Stratum (encoding and length class) and p-value bin of one candidate, without its padding: struct of two ints.
 
-    NULL if no encoding fits.
+    NULL if no encoding fits or too few symbols are left.
     """
 
     def bins(kind: Column, bare: Column) -> Column:
         p = p_value(bare, kind)
         bin_of = F.least(F.lit(BINS), F.floor(-10 * F.log10(F.greatest(p, F.lit(1e-30))) + 1e-9).cast("int"))
         place = kind * 16 + F.least(F.lit(15), F.floor(F.log2(F.length(bare))).cast("int"))
-        return F.when(kind.isNotNull(), F.struct(place.alias("stratum"), F.greatest(F.lit(0), bin_of).alias("bin")))
+        return F.when(kind.isNotNull() & (F.length(bare) >= LEAST_SYMBOLS), F.struct(place.alias("stratum"), F.greatest(F.lit(0), bin_of).alias("bin")))
 
     return let(F.rtrim(s, F.lit("=")), lambda bare: let(encoding_of(bare), lambda kind: bins(kind, bare)))
 
