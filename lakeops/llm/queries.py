@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, html_text, packing, quality, secret_scan, simhash, templates
-from lakeops.llm.common import fold, table
+from lakeops.llm import bpe, html_text, packing, quality, secret_scan, shards, simhash, templates
+from lakeops.llm.common import fold, table, whole_text
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,17 @@ def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "kind", "windows", "n_windows")
 
 
+@query
+def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = whole_text("text").cast("binary")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(data).cast("long") + 8).alias("size"), F.crc32(data).alias("text_crc32")
+    )
+    done = shards.shuffle_into_shards(docs, shards=24, seed=2)
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return done.select("doc_id", "size", "text_crc32", law, F.col("shard").cast("int").alias("shard"), "slot", grown)
+
+
 @query
 def op8_secret_randomness(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
