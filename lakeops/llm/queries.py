@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, html_text, packing, quality, secret_scan, shards, simhash, templates
+from lakeops.llm import bpe, html_text, packing, quality, secret_scan, shards, simhash, templates, topk
 from lakeops.llm.common import fold, table, whole_text
 from lakeops.session import scratch_path
 
@@ -93,3 +93,26 @@ def op9_token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     packing.write_token_files(docs, path, packing.library_encoder(BYTE_BPE), vocabulary=50_257, end_id=2)
     return packing.read_token_files(spark, path, with_ids=False)
+
+
+@query
+def op10_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    sound = F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+    vectors = table(spark, sf_dir, "embeddings").where(sound).select(F.col("vec_id").alias("id"), whole.alias("vector"))
+    return topk.top_k(vectors, F.col("id") % 50 == 0, k=5)
+
+
+ORACLES["op10_pivot_top_k"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS vector FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), ranked AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.vector, c.vector) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), numbered AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM ranked
+)
+SELECT query_id, rank, vec_id, score FROM numbered WHERE rank <= 5
+"""
