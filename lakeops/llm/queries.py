@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, html_text, packing, quality, secret_scan, shards, simhash, templates, topk
+from lakeops.llm import bpe, html_text, lm, packing, quality, secret_scan, shards, simhash, templates, topk
 from lakeops.llm.common import fold, table, whole_text
 from lakeops.session import scratch_path
 
@@ -66,6 +66,14 @@ def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "kind", "windows", "n_windows")
 
 
+@query
+def op6_gated_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 2, 7)
+    scored = lm.score(table(spark, sf_dir, "documents"), learn_from=~held_out)
+    wanted = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select("doc_id", held_out.alias("held_out"), *wanted)
+
+
 @query
 def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = whole_text("text").cast("binary")
