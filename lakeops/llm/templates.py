@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -60,24 +60,36 @@ _CODES = {NUMBER: _code("\x01number"), UNIT: _code("\x01unit"), NAME: _code("\x0
 
 @dataclass
 class Template:
-    """Template words of some texts: hash, kind and slot value of each, and where each text begins."""
+    """Template words of some texts: hash, kind and number (in ``words``) of each, and where each text begins."""
 
     codes: np.ndarray
     kinds: np.ndarray
-    values: list[str]
+    numbers: np.ndarray
     starts: np.ndarray
+    words: Words
+
+    def slots(self, at: int, length: int) -> list[str]:
+        """What fills the slots of a window; literals are empty."""
+        place = range(at, at + length)
+        return [self.words.bare[self.numbers[k]] if self.kinds[k] != LITERAL else "" for k in place]
 
 
-@dataclass
 class Words:
     """What a worker knows about raw words; emptied when full. A word's role depends on the word before it as well."""
 
-    number: dict[str, int] = field(default_factory=dict)
-    shape: list[tuple[int, int, bool, bool, str]] = field(default_factory=list)
-    FULL = 400_000
+    FULL = 800_000
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.bare: list[str] = []
+        self.codes, self.kinds = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int8)
+        self.units, self.ends = np.zeros(1 << 12, bool), np.zeros(1 << 12, bool)
 
     def of(self, word: str) -> int:
-        """Index of the word's shape: hash as a literal, kind, unit or not, sentence end or not, bare word."""
+        """Number of a word: its hash as a literal, kind, whether a unit, whether it ends a sentence, and its bare form."""
         at = self.number.get(word)
         if at is None:
             bare = _EDGE.sub("", word)
@@ -85,46 +97,42 @@ class Words:
             if kind == LITERAL and len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
                 kind = NAME
             low = bare.lower()
-            at = self.number[word] = len(self.shape)
-            self.shape.append((_code(low), kind, low in UNITS, word.rstrip("\"')")[-1:] in (".", "!", "?", ":"), low))
+            at = self.number[word] = len(self.bare)
+            if at == len(self.codes):
+                self.codes, self.kinds, self.units, self.ends = (
+                    np.concatenate([a, np.zeros_like(a)]) for a in (self.codes, self.kinds, self.units, self.ends)
+                )
+            self.bare.append(low)
+            self.codes[at], self.kinds[at] = _code(low), kind
+            self.units[at], self.ends[at] = low in UNITS, word.rstrip("\"')")[-1:] in (".", "!", "?", ":")
         return at
 
     def template(self, texts: list[str]) -> Template:
-        if len(self.shape) > self.FULL:
-            self.number.clear()
-            self.shape.clear()
+        if len(self.bare) > self.FULL:
+            self.clear()
         of, known = self.of, self.number.get
-        index: list[int] = []
-        starts = [0]
+        index: list[np.ndarray] = []
         for text in texts:
             words = text.split()
             found = list(map(known, words))
             if None in found:
-                words = [p for w in words for p in _parted(w)]
+                words = [p for w in words for p in (_parted(w) if w not in self.number else (w,))]
                 found = [of(w) for w in words]
-            index += found
-            starts.append(len(index))
-        at = np.array(index, dtype=np.int64)
-        if not len(at):
-            return Template(np.zeros(0, np.uint64), np.zeros(0, np.int8), [], np.zeros(len(texts) + 1, np.int64))
-        used, back = np.unique(at, return_inverse=True)
-        shapes = [self.shape[k] for k in used.tolist()]
-        codes = np.array([s[0] for s in shapes], dtype=np.uint64)[back]
-        kinds = np.array([s[1] for s in shapes], dtype=np.int8)[back]
-        units = np.array([s[2] for s in shapes])[back]
-        ends = np.array([s[3] for s in shapes])[back]
-        first = np.zeros(len(at) + 1, dtype=bool)
-        first[np.array(starts[:-1])] = True
-        opening = np.concatenate([[True], ends[:-1]]) | first[:-1]
-        behind = np.concatenate([[False], kinds[:-1] == NUMBER]) & ~first[:-1]
-        kinds = np.where((kinds == NAME) & opening, LITERAL, kinds)
-        kinds = np.where((kinds == LITERAL) & units & behind, UNIT, kinds)
+            index.append(np.array(found, dtype=np.int64))
+        starts = np.cumsum([0, *map(len, index)])
+        at = np.concatenate([np.zeros(0, np.int64), *index])
+        codes, kinds, units, ends = self.codes[at], self.kinds[at], self.units[at], self.ends[at]
+        opening = np.concatenate([[True], ends])
+        opening[starts] = True
+        behind = np.concatenate([[False], kinds == NUMBER])
+        behind[starts] = False
+        kinds[(kinds == NAME) & opening[:-1]] = LITERAL
+        kinds[(kinds == LITERAL) & units & behind[:-1]] = UNIT
         for kind, code in _CODES.items():
             codes[kinds == kind] = np.uint64(code)
         kept = kinds != EMPTY
         counts = np.concatenate([[0], np.cumsum(kept)])
-        values = [self.shape[k][4] for k in at[kept].tolist()] if kept.any() else []
-        return Template(codes[kept], kinds[kept], values, counts[np.array(starts)])
+        return Template(codes[kept], kinds[kept], at[kept], counts[starts], self)
 
 
 def _parted(word: str) -> list[str]:
@@ -154,10 +162,6 @@ def windows(template: Template, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at, hashes[at]
 
 
-def _slots(template: Template, at: int, length: int) -> list[str]:
-    return [template.values[k] if template.kinds[k] != LITERAL else "" for k in range(at, at + length)]
-
-
 ITEM = "item_id long, item_key long, item_at int, n_windows int, length int, hash long, item_slots array<string>"
 MEETING = "doc_id long, doc_key long, doc_at int, length int, hash long, doc_slots array<string>"
 
@@ -184,7 +188,7 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
                 length = min(WINDOW, n)
                 at, hashes = windows(template, length)
                 for a, h in zip(at.tolist(), hashes.view(np.int64).tolist(), strict=True):
-                    rows.append((name, key, a, len(at), length, h, _slots(template, a, length)))
+                    rows.append((name, key, a, len(at), length, h, template.slots(a, length)))
             yield pa.RecordBatch.from_pylist([dict(zip(_names(ITEM), r, strict=True)) for r in rows], schema=_arrow(ITEM))
 
     return source.mapInArrow(run, ITEM)
@@ -228,7 +232,7 @@ def document_windows(docs: DataFrame, words_of: Broadcast, lengths: list[int], d
                 at, hashes = at[passing], hashes[passing]
                 doc = np.searchsorted(template.starts, at, side="right") - 1
                 for a, h, d in zip(at.tolist(), hashes.view(np.int64).tolist(), doc.tolist(), strict=True):
-                    rows.append((names[d], keys[d], a - int(template.starts[d]), length, h, _slots(template, a, length)))
+                    rows.append((names[d], keys[d], a - int(template.starts[d]), length, h, template.slots(a, length)))
             yield pa.RecordBatch.from_pylist([dict(zip(_names(MEETING), r, strict=True)) for r in rows], schema=_arrow(MEETING))
 
     return source.mapInArrow(run, MEETING)
