@@ -9,10 +9,13 @@ under such a key, and the number of keys it meets under is the tally. Only what
 differs within a list, so a list holds at most ``2 ** (8 k)`` fingerprints, whatever the input: 65,536 for two bits.
 
 Only distinct fingerprints are indexed; documents with equal ones are members of one class beforehand.
+
+At wider distances, as similarities of 0.8 need, no minimum is guaranteed: see :func:`similar_documents`.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,37 +32,57 @@ SEED = 42
 BYTES = 8
 #: Shingles hashed at once: bounds the memory of very long texts.
 SLICE = 1 << 16
-_POSITION = (np.arange(BYTES) * 256).astype(np.int64)
-_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+#: The wide fingerprint: 64-bit words, sets of three positions in its index, and the seed that draws them.
+WIDE, POSITION_SETS, DRAWN = 4, 128, 5
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float32)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def fingerprint(text: str, shingle: int = 3) -> int:
-    """64-bit SimHash of a whole text, as a signed number.
+def _spread(hashes: np.ndarray, words: int) -> np.ndarray:
+    """``words`` 64-bit hashes of each shingle; the first is its XXH64, the others are mixed from it."""
+    if words == 1:
+        return hashes[:, None]
+    out = hashes[:, None] + _ODD * np.arange(words, dtype=np.uint64)
+    out[:, 1:] = (out[:, 1:] ^ (out[:, 1:] >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    out[:, 1:] = (out[:, 1:] ^ (out[:, 1:] >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    out[:, 1:] ^= out[:, 1:] >> np.uint64(31)
+    return out
+
+
+def fingerprint_words(text: str, shingle: int, words: int = 1) -> np.ndarray:
+    """SimHash of a whole text in ``words`` 64-bit words.
 
     A-Z are lower-cased, words are what lies between ASCII white space, shingles are counted as often as they
     occur. Texts with fewer words are one shingle; a text without words has fingerprint zero. A bit is set if it
-    is set in over half of the shingles' XXH64 hashes.
+    is set in over half of the shingles' hashes.
     """
-    words = text.encode("utf-8", "replace").lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    n = max(1, len(words) - shingle + 1)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    tokens = text.encode("utf-8", "replace").lower().split()
+    if not tokens:
+        return np.zeros(words, dtype=np.int64)
+    joined = b" ".join(tokens)
+    n = max(1, len(tokens) - shingle + 1)
+    ends = np.cumsum([len(w) + 1 for w in tokens]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    first, last = starts[:n].tolist(), ends[min(shingle, len(words)) - 1 :].tolist()
+    first, last = starts[:n].tolist(), ends[min(shingle, len(tokens)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros((BYTES, 8), dtype=np.int64)
+    width = BYTES * words
+    position = (np.arange(width) * 256).astype(np.int64)
+    counts = np.zeros((width, 8), dtype=np.int64)
     for at in range(0, n, SLICE):
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(first[at : at + SLICE], last[at : at + SLICE], strict=True)]
-        split = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, BYTES)
+        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(first[at : at + SLICE], last[at : at + SLICE], strict=True)], dtype="<u8")
+        split = _spread(hashes, words).view(np.uint8).reshape(-1, width)
         if len(split) < 400:
-            counts += np.unpackbits(split, axis=1, bitorder="little").sum(axis=0, dtype=np.int64).reshape(BYTES, 8)
+            counts += np.unpackbits(split, axis=1, bitorder="little").sum(axis=0, dtype=np.int64).reshape(width, 8)
         else:
-            tally = np.bincount((split + _POSITION).ravel(), minlength=256 * BYTES).reshape(BYTES, 256)
-            counts += tally @ _BITS
+            tally = np.bincount((split + position).ravel(), minlength=256 * width).reshape(width, 256)
+            counts += (tally.astype(np.float32) @ _BITS).astype(np.int64)
     set_bits = (2 * counts > n).astype(np.uint8).ravel()
-    return int(np.packbits(set_bits, bitorder="little").view("<i8")[0])
+    return np.packbits(set_bits, bitorder="little").view("<i8")
+
+
+def fingerprint(text: str, shingle: int = 3) -> int:
+    """The 64-bit fingerprint, as a signed number."""
+    return int(fingerprint_words(text, shingle)[0])
 
 
 def fingerprints(df: DataFrame, shingle: int = 3, text: str = "text", out: str = "fp") -> DataFrame:
@@ -156,3 +179,90 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     known = linked.join(smallest, "label").select("fp", "smallest")
     of_class = classes.join(known, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"))
     return rows.join(of_class, "fp").select("doc_id", "fp", "component_id")
+
+
+def allowed_bits(similarity: float, bits: int) -> int:
+    """Differing bits up to which fingerprints count as similar.
+
+    Texts whose shingle sets have this Jaccard similarity differ in a share ``angle / pi`` of the bits, with
+    binomial spread; 1.3 standard deviations more let nine in ten pairs pass that are just at the threshold.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * share + 1.3 * math.sqrt(bits * share * (1 - share)))
+
+
+def _position_sets() -> np.ndarray:
+    rng = np.random.default_rng(DRAWN)
+    return np.array([rng.choice(BYTES * WIDE, 3, replace=False) for _ in range(POSITION_SETS)])
+
+
+def _postings(classes: DataFrame) -> DataFrame:
+    """``key, node``: each wide fingerprint under each set of three positions with their bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = _position_sets()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words = np.stack([np.asarray(batch.column(f"fp{k}")) for k in range(WIDE)], axis=1)
+            data = words.astype("<i8").view(np.uint8).reshape(-1, BYTES * WIDE).astype(np.int64)
+            keys = np.arange(POSITION_SETS) << 24 | data[:, sets[:, 0]] << 16 | data[:, sets[:, 1]] << 8 | data[:, sets[:, 2]]
+            nodes = np.repeat(np.asarray(batch.column("node")), POSITION_SETS)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], names=["key", "node"])
+
+    return classes.mapInArrow(run, "key long, node long")
+
+
+def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, text_key, node, label``: classes of texts whose shingles are similar; equal labels mean one class.
+
+    For similarities whose fingerprints differ in too many bits for a guaranteed minimum of shared bytes: the fingerprint has
+    256 bits, 32 positional bytes, and is indexed under 128 sets of three positions. A pair just at 0.8 shares such a key
+    with probability about 0.85, one at 0.9 with over 0.99. Under a key every text is compared with two of those there,
+    others for each key, so that a group of any size costs its size and not its square; links run through the group.
+    All comparisons are settled by the whole fingerprints. text_key is the text's XXH64. Texts that are NULL, empty or
+    without words form one class.
+    """
+    spark = df.sparkSession
+    prepare_workers(spark)
+    source = df.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
+    source = source.withColumn("text_key", F.xxhash64("text"))
+    names = [f"fp{k}" for k in range(WIDE)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [fingerprint_words(t, shingle, WIDE) for t in batch.column("text").to_pylist()]
+            words = np.array(found, dtype=np.int64).reshape(-1, WIDE)
+            columns = [pa.array(np.ascontiguousarray(words[:, k])) for k in range(WIDE)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *columns], names=["doc_id", "text_key", *names])
+
+    kinds = "doc_id long, text_key long, " + ", ".join(f"{n} long" for n in names)
+    rows = written(source.mapInArrow(run, kinds).withColumn("node", F.xxhash64(*names)), "wide-fingerprints")
+    classes = written(rows.groupBy("node").agg(*(F.first(n).alias(n) for n in names)), "wide-classes")
+    ends = _postings(classes).groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    met = _postings(classes).join(ends, "key")
+    pairs = met.select("node", F.explode(F.array("low", "high")).alias("other")).where("node <> other")
+    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    sides = [classes.select(F.col("node").alias(s), *(F.col(n).alias(f"{s}_{n}") for n in names)) for s in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    apart = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in names), F.lit(0))
+    links = both.where(apart <= allowed_bits(similarity, 64 * WIDE)).select("a", "b")
+    labels = components(links)
+    return rows.join(labels, "node", "left").select("doc_id", "text_key", "node", F.coalesce("label", "node").alias("label"))
+
+
+def one_of_each(df: DataFrame, similarity: float = 0.8, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each class of similar ones, with all its columns: that with the smallest id, then text hash.
+
+    A NULL id is kept only where the class has no other. Rows that repeat an id and its text are one document.
+    """
+    rows = written(similar_documents(df, similarity, shingle, doc_id, text), "similar")
+    best = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("best"))
+    kept = written(best.select(F.col("best.doc_id").alias("_id"), F.col("best.text_key").alias("_key")), "kept")
+    same = F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(whole_text(text)) == F.col("_key"))
+    found = df.join(kept, same, "left_semi")
+    twice = rows.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    twice = written(twice, "repeated")
+    if twice.isEmpty():
+        return found
+    return found.join(twice, same, "left_anti").unionByName(found.join(twice, same, "left_semi").dropDuplicates([doc_id, text]))
