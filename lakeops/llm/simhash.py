@@ -192,8 +192,8 @@ def allowed_bits(similarity: float, bits: int) -> int:
 
 
 def _position_sets() -> np.ndarray:
-    rng = np.random.default_rng(DRAWN)
-    return np.array([rng.choice(BYTES * WIDE, 3, replace=False) for _ in range(POSITION_SETS)])
+    every = np.array(list(combinations(range(BYTES * WIDE), 3)))
+    return every[np.random.default_rng(DRAWN).choice(len(every), POSITION_SETS, replace=False)]
 
 
 def _postings(classes: DataFrame) -> DataFrame:

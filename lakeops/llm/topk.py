@@ -52,7 +52,7 @@ def with_pivot_distances(vectors: DataFrame, sample_size: int = PIVOT_SAMPLE) ->
     prepare_workers(spark)
     sample = vectors.orderBy(F.xxhash64("id"), "id").limit(sample_size).toArrow()["vector"].to_pylist()
     size = max((len(v) for v in sample), key=[len(v) for v in sample].count, default=0)
-    rows = np.array([v for v in sample if len(v) == size], dtype=np.float64).reshape(-1, size)
+    rows = np.array([v for v in sample if len(v) == size], dtype=np.float64).reshape(sum(len(v) == size for v in sample), size)
     sent = spark.sparkContext.broadcast(spread_out(rows, PIVOTS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from lakeops.llm import bpe, packing
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+AUTOMATON = bpe.Automaton(WORD_BPE)
+LIBRARY = Tokenizer.from_file(WORD_BPE)
+TEXTS = st.text(alphabet=st.sampled_from(list("abcdefgthein' \n\t.,!?0123456789ABCéÉñΣß<|>_-́\x1c\x85　")), max_size=40)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_automaton_encodes_as_the_library(text):
+    assert np.frombuffer(AUTOMATON.encode(text), "<i4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abtheinr", min_size=1, max_size=14))
+def test_each_word_is_an_accepted_path(word):
+    symbols = [*word[:-1], word[-1] + bpe.END]
+    tokens = AUTOMATON.word(symbols)
+    assert all(AUTOMATON.arc(a, b) for a, b in zip(tokens, tokens[1:], strict=False))
+    assert "".join(AUTOMATON.labels[t] for t in tokens) == word + bpe.END
+
+
+def test_round_trip_of_edge_rows(docs_of, edge_rows):
+    done = bpe.round_trip(docs_of(edge_rows), WORD_BPE).collect()
+    assert len(done) == len(edge_rows)
+    for row in done:
+        want = LIBRARY.encode(row.text or "", add_special_tokens=False).ids
+        assert row.ids == want
+        assert row.decoded == LIBRARY.decode(want, skip_special_tokens=False)
+
+
+def test_clashing_columns_and_no_rows(spark, docs_of):
+    frame = docs_of([(1, "one two")]).selectExpr("doc_id", "text", "'mine' AS IDS", "'mine' AS decoded")
+    row = bpe.round_trip(frame, WORD_BPE).first()
+    assert set(row.asDict()) == {"doc_id", "text", "ids", "decoded"} and row.decoded == "one</w> two</w>"
+    assert bpe.round_trip(docs_of([]), WORD_BPE).count() == 0
+    nothing = spark.createDataFrame([(None,)], "ids array<int>")
+    assert bpe.decode(nothing, WORD_BPE).first().decoded == ""
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 24), st.lists(st.integers(0, 2**24 - 1), max_size=60), st.integers(0, 60), st.integers(0, 60))
+def test_bits_round_trip_and_random_access(width, values, a, b):
+    ids = np.array(values, dtype=np.uint32) % (1 << width)
+    payload = packing.pack(ids, width)
+    assert len(payload) == -(-len(ids) * width // 8)
+    assert (packing.unpack(payload, len(ids), width) == ids).all()
+    first, last = sorted((min(a, len(ids)), min(b, len(ids))))
+    assert (packing.slice_ids(payload, first, last, width) == ids[first:last]).all()
+
+
+def test_bits_for():
+    assert [packing.bits_for(n) for n in (1, 2, 3, 256, 257, 50_257)] == [1, 1, 2, 8, 9, 16]
+    with pytest.raises(ValueError):
+        packing.pack(np.array([4], dtype=np.uint32), 2)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*"ab1.' \n\té\xa0\x1c", "<|endoftext|>", "  "]), max_size=20).map("".join))
+def test_pieces_encode_as_the_library(text):
+    library = Tokenizer.from_file(BYTE_BPE) if "library" not in _CACHE else _CACHE["library"]
+    _CACHE["library"] = library
+    got = packing._Pieces.of(BYTE_BPE).encode([text])[0].tolist()
+    assert got == library.encode(text, add_special_tokens=False).ids
+
+
+_CACHE: dict = {}
+
+
+def test_files_hold_all_documents_in_order(spark, docs_of, edge_rows, tmp_path):
+    library = Tokenizer.from_file(BYTE_BPE)
+    path = str(tmp_path / "tokens")
+    packing.write_token_files(docs_of(edge_rows), path, packing.library_encoder(BYTE_BPE), 50_257, end_id=2)
+    rows = sorted(packing.read_token_files(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == sorted((i for i, _ in edge_rows), key=lambda i: (i is not None, i or 0))
+    texts = {}
+    for i, t in edge_rows:
+        texts.setdefault(i, []).append(library.encode(t or "", add_special_tokens=False).ids + [2])
+    at = 0
+    for row in rows:
+        assert row.start == at and row.ids in texts[row.doc_id]
+        texts[row.doc_id].remove(row.ids)
+        assert row.n_tokens == len(row.ids)
+        assert row.ids_crc32 == zlib.crc32(np.array(row.ids, dtype="<u4").tobytes())
+        at += len(row.ids)
+
+
+def test_no_documents_give_no_blocks(spark, docs_of, tmp_path):
+    path = str(tmp_path / "none")
+    packing.write_token_files(docs_of([]), path, packing.library_encoder(BYTE_BPE), 50_257)
+    assert packing.read_token_files(spark, path).count() == 0
+
+
+def test_other_widths_read_back(spark, docs_of, tmp_path):
+    path = str(tmp_path / "narrow")
+
+    def encoder():
+        return lambda texts: [np.array([ord(c) % 11 for c in t], dtype=np.uint32) for t in texts]
+
+    packing.write_token_files(docs_of([(2, "abc"), (1, "xyz" * 50)]), path, encoder, 11)
+    rows = {r.doc_id: r for r in packing.read_token_files(spark, path).collect()}
+    assert rows[1].ids == [ord(c) % 11 for c in "xyz" * 50] and rows[2].start == 150
+    assert packing.blocks(spark, path).first().width == 4
