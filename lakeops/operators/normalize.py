@@ -15,9 +15,6 @@ from lakeops.sources.schemas import PARTITION_COLUMN
 #: Texts that stand for "no value" in a partition key (fixed values).
 EMPTY_KEYS = ("", "None", "nan", "NaT")
 
-#: Up to this many literal dates become an IN list, which prunes partitions.
-IN_LIST_LIMIT = 10_000
-
 
 def conform(
     df: DataFrame,
@@ -136,16 +133,14 @@ def keep_dates(
 ) -> DataFrame:
     """Rows of the given dates.
 
-    A list known to the driver becomes an IN filter, which prunes partitions
-    without a join. A frame is semi-joined on its key, with the join strategy
-    left to Spark's own size statistics.
+    A list known to the driver (at most one entry per partition, which the driver
+    knows anyhow) becomes a set filter, which prunes partitions without a join. A
+    frame is semi-joined on its key, with the join strategy left to Spark's own
+    size statistics. The kind of the argument decides, never its length.
     """
     if isinstance(dates, DataFrame):
         return df.join(dates.select(column), column, "left_semi")
-    wanted = sorted(set(dates))
-    if len(wanted) <= IN_LIST_LIMIT:
-        return df.where(F.col(column).isin(wanted))
-    return keep_dates(df, _dates_frame(df, wanted, column), column)
+    return df.where(F.col(column).isin(sorted(set(dates))))
 
 
 def exclude_dates(
@@ -157,14 +152,7 @@ def exclude_dates(
     unwanted = sorted(set(dates))
     if not unwanted:
         return df
-    if len(unwanted) <= IN_LIST_LIMIT:
-        return df.where(F.col(column).isNull() | ~F.col(column).isin(unwanted))
-    return exclude_dates(df, _dates_frame(df, unwanted, column), column)
-
-
-def _dates_frame(df: DataFrame, dates: Sequence[str], column: str) -> DataFrame:
-    rows = [(d,) for d in dates]
-    return df.sparkSession.createDataFrame(rows, f"{column} string")
+    return df.where(F.col(column).isNull() | ~F.col(column).isin(unwanted))
 
 
 def key_problem(df: DataFrame, column: str) -> Column:

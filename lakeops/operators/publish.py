@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from lakeops.operators import manifest as log
 from lakeops.operators.checks import ValidationError, partition_files
-from lakeops.operators.normalize import IN_LIST_LIMIT, exclude_dates, keep_dates
+from lakeops.operators.normalize import exclude_dates, keep_dates
 from lakeops.sources import files
 from lakeops.sources.scan import CSV_OPTIONS, scan_raw_csv, scan_snapshot, scan_table
 from lakeops.sources.schemas import PARTITION_COLUMN, all_text
@@ -35,12 +35,32 @@ HASH_SLOTS = 2000
 
 #: Staged rows are split by outcome; only this one is published.
 OK = "ok"
+INVALID_KEY = "invalid_key"
+OUTSIDE_RANGE = "outside_range"
 OUTCOME = "_outcome"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class PartitionExistsError(RuntimeError):
-    """``fail_if_exists`` met partitions that are already complete."""
+    """``fail_if_exists`` met partitions that are already complete: all of them in ``dates``."""
+
+    def __init__(self, dates: Sequence[str]):
+        self.dates = list(dates)
+        super().__init__(f"Partitions already exist: {shortened(self.dates)}")
+
+
+class RowChecksError(ValidationError):
+    """Rows failed their checks: all dates that have such rows in ``dates``."""
+
+    def __init__(self, dates: Sequence[str]):
+        self.dates = list(dates)
+        super().__init__(f"Row checks failed for {len(self.dates)} dates: {shortened(self.dates)}")
+
+
+def shortened(values: Sequence[str], shown: int = 20) -> str:
+    """A list as message text; whoever needs all of it reads the list itself."""
+    more = f" and {len(values) - shown} more" if len(values) > shown else ""
+    return ", ".join(values[:shown]) + more
 
 
 def new_run_id(prefix: str = "run") -> str:
@@ -48,8 +68,8 @@ def new_run_id(prefix: str = "run") -> str:
 
 
 def safe_run_id(run_id: str) -> str:
-    """A run id fit for a directory name."""
-    return "".join(c if c.isalnum() or c in "-_" else "_" for c in run_id)
+    """A run id fit for a directory name: word characters and hyphens stay."""
+    return re.sub(r"[^\w-]", "_", run_id)
 
 
 @dataclass(frozen=True)
@@ -165,8 +185,8 @@ def _gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", HASH_SLOTS, *keys) if splits == ("true", "true") else df
 
 
-def _writer(df: DataFrame, fmt: str):
-    writer = df.write.mode("overwrite").format(fmt)
+def _writer(df: DataFrame, fmt: str, mode: str = "overwrite"):
+    writer = df.write.mode(mode).format(fmt)
     return writer.options(**CSV_OPTIONS) if fmt == "csv" else writer
 
 
@@ -280,10 +300,28 @@ def materialize(
 # ----------------------------------------------------------------------------- publish
 
 
-def _rewrite(
+def _added_then_replaced(
+    spark: SparkSession, pattern: str, keep: Callable[[str], bool], write: Callable[[], None]
+) -> None:
+    """Write new files beside the old ones, then delete the old ones.
+
+    For stores where a rename is a copy: each row is written once into its final place. A
+    failed write leaves the old files and takes its own back. If the driver dies between
+    the write and the deletion both are visible, until the next run, to which both are old.
+    """
+    old = {f for f in files.glob(spark, pattern) if keep(f)}
+    try:
+        write()
+    except BaseException:
+        files.delete_all(spark, {f for f in files.glob(spark, pattern) if keep(f)} - old)
+        raise
+    files.delete_all(spark, old)
+
+
+def _copy_partitions(
     spark: SparkSession, staging: str, table: LakeTable, data: T.StructType, dates: Sequence[str]
 ) -> dict[str, dict]:
-    """Publish by copying with Spark: for stores where a rename is a copy anyway.
+    """Publish by copying with Spark.
 
     Returns the metrics of the copied partitions, whose files differ from the staged ones.
     """
@@ -291,11 +329,12 @@ def _rewrite(
     staged = _read_staged(spark, base, data, (PARTITION_COLUMN,), table.fmt)
     columns = [f.name for f in data.fields if f.name not in (OUTCOME, PARTITION_COLUMN)]
     rows = keep_dates(staged, dates).select(*columns, PARTITION_COLUMN)
-    (
-        _writer(rows, table.fmt)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COLUMN)
-        .save(table.path)
+    wanted = {f"{PARTITION_COLUMN}={d}" for d in dates}
+    _added_then_replaced(
+        spark,
+        f"{table.path}/{PARTITION_COLUMN}=*/*",
+        lambda location: location.rsplit("/", 2)[1] in wanted,
+        lambda: _writer(rows, table.fmt, "append").partitionBy(PARTITION_COLUMN).save(table.path),
     )
     plain = T.StructType([f for f in data.fields if f.name != OUTCOME])
     copied = _read_staged(spark, table.path, plain, (PARTITION_COLUMN,), table.fmt)
@@ -303,12 +342,6 @@ def _rewrite(
     return {m[PARTITION_COLUMN]: m.asDict() for m in metrics}
 
 
-def _listed(dates: DataFrame) -> list[str] | DataFrame:
-    """Dates as a driver list when few, else the frame itself."""
-    head = [r[0] for r in dates.limit(IN_LIST_LIMIT + 1).collect()]
-    return head if len(head) <= IN_LIST_LIMIT else dates
-
-
 def days_between(start: str, end: str) -> list[str]:
     """Inclusive list of days; an error when the end comes first."""
     first, last = date.fromisoformat(start), date.fromisoformat(end)
@@ -341,16 +374,21 @@ def publish_partitions(
 ) -> PublishReport:
     """Publish a frame with a ``dt`` column; exactly the produced dates are replaced.
 
-    ``requested`` limits the run to those dates and clears the ones without rows.
-    Rows whose ``dt`` is NULL go to quarantine, are dropped, or raise; they are
-    counted either way. ``checks`` are named row conditions: a date with a
-    failing row is not published, and raises unless ``fail_dates="skip"``.
-    ``rebalance=False`` saves the shuffle by date when the rows of a date already
-    sit together. ``copy`` forces publishing by Spark copy instead of renames.
+    ``requested`` names the run's dates: those without rows are cleared, and rows of other
+    dates are rejected as ``outside_range``. Filter the inputs to prune what is read; nothing is
+    left out of the result uncounted. Rejected rows, those whose ``dt`` is NULL too, go to
+    quarantine, are dropped, or raise; they are counted either way. ``checks`` are named row
+    conditions: a date with a failing row is not published, and raises unless
+    ``fail_dates="skip"``. ``rebalance=False`` saves the shuffle by date when the rows of a
+    date already sit together. ``copy`` forces publishing by Spark copy instead of renames.
+
+    ``skip_existing`` leaves complete dates out before anything is read, and ``fail_if_exists``
+    looks for them before anything is written. Where ``requested`` does not name the dates,
+    both look at the ``dt`` column alone first.
 
     Everything is written once. Rejected rows share the staging write under
     their own ``_outcome`` directory, so no second pass over the input is needed
-    to find or count them.
+    to find or count them. A run that failed can be repeated under its ``run_id``.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"Invalid write mode: {mode}")
@@ -361,30 +399,31 @@ def publish_partitions(
     spark = df.sparkSession
     report = PublishReport(run_id or new_run_id(), "success", schema=df.schema)
     staging = table.staging(report.run_id)
+    cleanup(spark, table, report.run_id)  # what a run with this id has left behind
     dt = F.col(PARTITION_COLUMN)
     frame = df.withColumn(PARTITION_COLUMN, dt.cast("string"))
-    if requested is not None:
-        frame = frame.where(dt.isin(sorted(set(requested))) | dt.isNull())
-
-    skipping: Observation | None = None
-    if mode == "skip_existing":
-        done = _listed(table.completed(spark))
-        if isinstance(done, DataFrame):
-            existing = frame.select(PARTITION_COLUMN).join(done, PARTITION_COLUMN, "left_semi")
-            report.skipped = sorted(r[0] for r in existing.distinct().collect())
+    asked = None if requested is None else sorted(set(requested))
+
+    if mode != "overwrite":
+        done = [r[0] for r in table.completed(spark).collect()]
+        if asked is not None:
+            existing = sorted(set(asked) & set(done))
         elif done:
-            skipping = Observation()
-            hit = F.when(dt.isin(done), dt)
-            frame = frame.observe(skipping, F.collect_set(hit).alias("dates"))
-        frame = exclude_dates(frame, done)
+            existing = sorted(r[0] for r in keep_dates(frame.select(PARTITION_COLUMN), done).distinct().collect())
+        else:
+            existing = []
+        if mode == "fail_if_exists" and existing:
+            raise PartitionExistsError(existing)
+        report.skipped = existing
+        frame = exclude_dates(frame, existing if asked is not None else done)
 
-    outcome = F.when(dt.isNull(), F.lit("invalid_key")).otherwise(outcome_of_checks(checks or {}))
-    frame = frame.withColumn(OUTCOME, outcome)
+    outcome = F.when(dt.isNull(), F.lit(INVALID_KEY))
+    if asked is not None:
+        outcome = outcome.when(~dt.isin(asked), F.lit(OUTSIDE_RANGE))
+    frame = frame.withColumn(OUTCOME, outcome.otherwise(outcome_of_checks(checks or {})))
 
     try:
         metrics = materialize(frame, staging, (OUTCOME, PARTITION_COLUMN), table.fmt, rebalance)
-        if skipping is not None:
-            report.skipped = sorted(skipping.get["dates"])
         good = {m[PARTITION_COLUMN]: m for m in metrics if m[OUTCOME] == OK}
         bad = [m for m in metrics if m[OUTCOME] != OK]
         report.rejected = sorted(
@@ -394,68 +433,39 @@ def publish_partitions(
             ),
             key=lambda r: (r["dt"] or "", r["outcome"]),
         )
-        if on_invalid == "raise" and any(m[PARTITION_COLUMN] is None for m in bad):
-            rows = sum(m["row_count"] for m in bad if m[PARTITION_COLUMN] is None)
+        unusable = [m for m in bad if m[OUTCOME] in (INVALID_KEY, OUTSIDE_RANGE)]
+        if on_invalid == "raise" and unusable:
+            rows = sum(m["row_count"] for m in unusable)
             raise ValidationError(f"{rows} rows without a valid partition key")
-        failed_dates = {m[PARTITION_COLUMN] for m in bad if m[PARTITION_COLUMN] is not None}
+        failed_dates = {m[PARTITION_COLUMN] for m in bad if m not in unusable}
         if failed_dates and fail_dates == "raise":
-            listed = ", ".join(sorted(failed_dates)[:20])
-            raise ValidationError(f"Row checks failed for {len(failed_dates)} dates: {listed}")
+            raise RowChecksError(sorted(failed_dates))
         dates = sorted(set(good) - failed_dates)
-        if mode == "fail_if_exists" and dates:
-            hit = keep_dates(table.completed(spark), dates)
-            existing = sorted(r[0] for r in hit.limit(20).collect())
-            if existing:
-                raise PartitionExistsError(f"Partitions already exist: {', '.join(existing)}")
-
         if copy is None:
             copy = not files.file_system_handles_renames(spark, table.path)
+        if on_invalid == "quarantine":
+            _keep_rejected(spark, table, staging, report.run_id, bad, frame.schema if copy else None)
         if dates and copy:
-            copied = _rewrite(spark, staging, table, frame.schema, dates)
+            copied = _copy_partitions(spark, staging, table, frame.schema, dates)
             lost = [d for d in dates if copied[d]["row_count"] != good[d]["row_count"]]
             if lost:
-                raise ValidationError(f"Row counts changed while copying: {', '.join(lost[:20])}")
+                raise ValidationError(f"Row counts changed while copying: {shortened(lost)}")
             good |= copied
+            _record(spark, table, report, good, dates)
         elif dates:
             base = f"{staging}/{OUTCOME}={OK}"
             moves = [(f"{base}/{PARTITION_COLUMN}={d}", table.partition_path(d)) for d in dates]
-            files.replace_dirs(spark, moves, f"{staging}_replaced")
-        if on_invalid == "quarantine":
-            _keep_rejected(spark, table, staging, report.run_id, bad)
-        if requested is not None:
+            moved: list[str] = []
+            try:
+                files.replace_dirs(spark, moves, f"{staging}_replaced", moved.append)
+            finally:
+                # Also when a move fails: the manifest says what lies in the table.
+                _record(spark, table, report, good, [d for d in dates if table.partition_path(d) in moved])
+        if asked is not None:
             untouched = set(dates) | failed_dates | set(report.skipped)
             report.cleared = clear_partitions(
-                spark, table, sorted(set(requested) - untouched), report.run_id
+                spark, table, sorted(set(asked) - untouched), report.run_id
             )
-
-        source = f"{staging}/{OUTCOME}={OK}"
-        report.partitions = [
-            {
-                "dt": d,
-                "row_count": good[d]["row_count"],
-                "file_count": good[d]["file_count"],
-                "byte_count": good[d]["byte_count"],
-            }
-            for d in dates
-        ]
-        report.row_count = sum(p["row_count"] for p in report.partitions)
-        log.append_manifest(
-            spark,
-            table.manifest_path,
-            [
-                (
-                    table.dest,
-                    p["dt"],
-                    report.run_id,
-                    p["file_count"],
-                    p["row_count"],
-                    log.SUCCESS,
-                    f"{source}/{PARTITION_COLUMN}={p['dt']}",
-                    table.partition_path(p["dt"]),
-                )
-                for p in report.partitions
-            ],
-        )
         if not report.partitions and not report.cleared:
             report.status = "skipped"
         return report
@@ -463,13 +473,52 @@ def publish_partitions(
         cleanup(spark, table, report.run_id)
 
 
+def _record(
+    spark: SparkSession, table: LakeTable, report: PublishReport, metrics: dict[str, dict], dates: Sequence[str]
+) -> None:
+    """Note published dates in the report and the manifest."""
+    source = f"{table.staging(report.run_id)}/{OUTCOME}={OK}"
+    measured = ("row_count", "file_count", "byte_count")
+    report.partitions = [{"dt": d, **{k: metrics[d][k] for k in measured}} for d in dates]
+    report.row_count = sum(p["row_count"] for p in report.partitions)
+    rows = [
+        (
+            table.dest,
+            p["dt"],
+            report.run_id,
+            p["file_count"],
+            p["row_count"],
+            log.SUCCESS,
+            f"{source}/{PARTITION_COLUMN}={p['dt']}",
+            table.partition_path(p["dt"]),
+        )
+        for p in report.partitions
+    ]
+    log.append_manifest(spark, table.manifest_path, rows)
+
+
 def _keep_rejected(
-    spark: SparkSession, table: LakeTable, staging: str, run_id: str, bad: list[dict]
+    spark: SparkSession,
+    table: LakeTable,
+    staging: str,
+    run_id: str,
+    bad: list[dict],
+    data: T.StructType | None = None,
 ) -> None:
-    """Move rejected rows below the quarantine path, by outcome and run."""
+    """Put rejected rows below the quarantine path, by outcome and run; a repeated run replaces its own.
+
+    With a schema they are copied by Spark, else their directories are renamed.
+    """
     for outcome in sorted({m[OUTCOME] for m in bad}):
         target = f"{table.quarantine_path}/{OUTCOME}={outcome}/run={safe_run_id(run_id)}"
-        files.move(spark, f"{staging}/{OUTCOME}={outcome}", target)
+        source = f"{staging}/{OUTCOME}={outcome}"
+        files.delete(spark, target)
+        if data is None:
+            files.move(spark, source, target)
+        else:
+            plain = T.StructType([f for f in data.fields if f.name != OUTCOME])
+            rows = _read_staged(spark, source, plain, (PARTITION_COLUMN,), table.fmt)
+            _writer(rows, table.fmt).partitionBy(PARTITION_COLUMN).save(target)
 
 
 def read_quarantine(spark: SparkSession, table: LakeTable, schema: T.StructType) -> DataFrame:
@@ -486,14 +535,14 @@ def clear_partitions(
     spark: SparkSession, table: LakeTable, dates: Sequence[str], run_id: str | None = None
 ) -> list[str]:
     """Remove the data of these dates and their completion; returns those that had any."""
-    gone = []
-    for dt in sorted(set(dates)):
+    for dt in dates:
         if not re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", dt):
             raise ValueError(f"Not a partition date: {dt}")
-        if files.exists(spark, table.partition_path(dt)):
-            files.delete(spark, table.partition_path(dt))
-            gone.append(dt)
+    present = set(files.partition_values(spark, table.path)) if dates else set()
+    recorded = {r[0] for r in keep_dates(table.completed(spark), dates).collect()} if dates else set()
+    gone = sorted(set(dates) & (present | recorded))
     run = run_id or new_run_id("clear")
+    # The record goes first: a date that looks complete must have its rows.
     log.append_manifest(
         spark,
         table.manifest_path,
@@ -502,6 +551,7 @@ def clear_partitions(
             for dt in gone
         ],
     )
+    files.delete_all(spark, [table.partition_path(dt) for dt in gone if dt in present])
     return gone
 
 
@@ -573,7 +623,10 @@ def publish_snapshot(
             copy = not files.file_system_handles_renames(spark, table.path)
         if copy:
             schema = all_text(df.schema) if table.fmt == "csv" else df.schema
-            write_snapshot(scan_snapshot(spark, staging, table.fmt, schema), table.path, table.fmt)
+            staged = scan_snapshot(spark, staging, table.fmt, schema)
+            _added_then_replaced(
+                spark, f"{table.path}/*", lambda _: True, lambda: _writer(staged, table.fmt, "append").save(table.path)
+            )
         else:
             files.replace_dirs(spark, [(staging, table.path)], f"{staging}_replaced")
         dt = run_date or ""
@@ -602,5 +655,12 @@ def publish_snapshot(
 
 
 def cleanup(spark: SparkSession, table: LakeTable, run_id: str) -> None:
-    """Remove a run's staging directories; safe to call at any time."""
-    files.delete(spark, table.staging(run_id))
+    """Remove a run's staging directories; safe to call at any time.
+
+    Data that had stepped aside for the run and was not replaced returns to its place.
+    """
+    staging = table.staging(run_id)
+    aside = f"{staging}_replaced"
+    partitions = any("=" in name.rsplit("/", 1)[1] for name in files.glob(spark, f"{aside}/*"))
+    files.put_back(spark, table.path if partitions else table.path.rsplit("/", 1)[0], aside)
+    files.delete(spark, staging)

@@ -11,10 +11,11 @@ from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import chunk_ranges, date_range_array
+from lakeops.session import scratch_path
 
 UNIT_SCHEMA = "job_index long, params map<string,string>, meta map<string,string>"
 
@@ -91,12 +92,21 @@ def item_units(df: DataFrame, key: str = "symbol") -> DataFrame:
     """One unit per distinct item, indexed 0.. in item order.
 
     A gap-free index needs a global sort, not a global window: the range sort
-    spreads the items and zipWithIndex only adds per-partition offsets.
+    spreads the items, and each partition's rows only add the count of those before it.
+    The sorted items are written down first, so that places and counts are of one sort.
     """
-    items = distinct_items(df, key).orderBy(key)
-    indexed = items.rdd.zipWithIndex().map(lambda pair: (pair[1], pair[0][0]))
-    return df.sparkSession.createDataFrame(indexed, "job_index long, item string").select(
-        "job_index",
+    spark = df.sparkSession
+    path = scratch_path(spark, "work-units")
+    place = F.monotonically_increasing_id().alias("place")
+    distinct_items(df, key).orderBy(key).select(F.col(key).alias("item"), place).write.parquet(path)
+    placed = spark.read.schema("item string, place long").parquet(path)
+    placed = placed.withColumn("part", F.shiftright("place", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    within = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(offsets, "part").select(
+        (F.col("offset") + within).alias("job_index"),
         _text_map(**{key: F.col("item")}).alias("params"),
         _no_entries().alias("meta"),
     )

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.operators.checks import backfill_summary
 from lakeops.operators.publish import (
+    INVALID_KEY,
+    OUTSIDE_RANGE,
     LakeTable,
     PublishReport,
     days_between,
@@ -19,7 +20,6 @@ from lakeops.operators.publish import (
     publish_partitions,
 )
 from lakeops.plans.models import Model, run_model
-from lakeops.sources.schemas import PARTITION_COLUMN
 
 OUTCOME_SCHEMA = "dt string, status string, error_type string, error string"
 
@@ -37,6 +37,8 @@ class BackfillReport:
     row_count: int = 0
     jobs: int = 0
     cleared: list[str] = field(default_factory=list)
+    #: Rows that were not published: outcome, ``dt`` and ``row_count`` of each kind.
+    rejected: list[dict] = field(default_factory=list)
     schema: T.StructType | None = field(default=None, repr=False)
 
     def frame(self, spark: SparkSession) -> DataFrame:
@@ -50,11 +52,6 @@ class BackfillReport:
         return sorted(dt for dt, outcome in self.outcomes.items() if outcome[0] == status)
 
 
-def in_range(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows whose ``dt`` lies in the inclusive range; prunes partitions."""
-    return df.where(F.col(PARTITION_COLUMN).between(start, end))
-
-
 def backfill(
     spark: SparkSession,
     model: Model,
@@ -69,7 +66,9 @@ def backfill(
 ) -> BackfillReport:
     """Publish the model for every date from start to end inclusive.
 
-    A range model runs as one job for all dates. Dates whose rows fail a check
+    A range model runs as one job for all dates. Rows whose ``dt`` is NULL or outside the run's dates are not
+    published but kept in quarantine and counted in ``rejected``; the model's SQL prunes what is read by
+    its ``:start_date`` and ``:end_date``. Dates whose rows fail a check
     are left out and reported; dates without rows succeed and are cleared. When
     the job itself raises and ``continue_on_error`` is set, the range is halved
     until the failing dates stand alone, so k bad dates among n cost about
@@ -129,8 +128,6 @@ def _publish(
     frame = model.frame(spark, days)
     if frame is None:
         return publish_no_data(spark, table, days, run_id)
-    if model.kind == "range":
-        frame = in_range(frame, days[0], days[-1])
     return publish_partitions(
         frame,
         table,
@@ -153,15 +150,16 @@ def _attempt(report: BackfillReport, days: Sequence[str], continue_on_error: boo
                 f"{len(report.dates('success'))} dates done"
             ) from error
         if len(days) == 1:
-            report.outcomes[days[0]] = ("failed", type(error).__name__, str(error)[:500])
+            report.outcomes[days[0]] = ("failed", type(error).__name__, str(error))
         return False
     report.row_count += result.row_count
     report.schema = result.schema or report.schema
     report.cleared += result.cleared
     for day in days:
         report.outcomes[day] = ("success", None, None)
+    report.rejected += result.rejected
     for bad in result.rejected:
-        if bad["dt"] is not None:
+        if bad["outcome"] not in (INVALID_KEY, OUTSIDE_RANGE):
             note = f"{bad['row_count']} rows failed {bad['outcome']}"
             known = report.outcomes[bad["dt"]]
             text = note if known[0] == "success" else f"{known[2]}; {note}"

@@ -14,6 +14,7 @@ from lakeops.functions.dates import coerce_date
 from lakeops.operators.normalize import filter_date_range, project_existing, rename
 
 ORDER_COLUMNS = ("_ingest_order", "_row_index")
+CELLS = "_cells"
 
 
 def _portable(fn: Callable) -> bytes:
@@ -33,6 +34,16 @@ def _portable(fn: Callable) -> bytes:
         cloudpickle.unregister_pickle_by_value(module)
 
 
+def _named_call(fn: Callable) -> Callable[[dict], object]:
+    """A call of ``fn`` with those entries of a mapping that its signature can take."""
+    import inspect
+
+    kinds = {name: p.kind for name, p in inspect.signature(fn).parameters.items()}
+    if inspect.Parameter.VAR_KEYWORD in kinds.values():
+        return lambda given: fn(**given)
+    return lambda given: fn(**{name: given[name] for name in kinds.keys() & given.keys()})
+
+
 def fetch(
     units: DataFrame,
     fn: Callable,
@@ -45,7 +56,8 @@ def fetch(
     ``fn`` gets the parameters its signature names (all of them with ``**kwargs``)
     and returns a pandas frame, an iterator of frames (large results stay
     bounded that way), an object with ``csv_bytes``, or None. Missing columns
-    become NULL, others are dropped. An exception fails the job.
+    become NULL, others are dropped. CSV is read as text, so leading zeros and ``NA``
+    stay what they are, and cast by Spark; empty cells are NULL. An exception fails the job.
     ``_ingest_order`` is the unit's index, ``_row_index`` the place within it.
     Small results are handed to Spark together, about ``rows_per_batch`` at a time.
 
@@ -54,55 +66,55 @@ def fetch(
     """
     names = schema.fieldNames()
     text_columns = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
-    out = T.StructType(
-        [*schema.fields, *[T.StructField(c, T.LongType()) for c in ORDER_COLUMNS]]
-    )
+    order = [T.StructField(c, T.LongType()) for c in ORDER_COLUMNS]
+    #: The cells of a CSV result as they were read; Spark casts them to the declared types.
+    cells = T.StructField(CELLS, T.MapType(T.StringType(), T.StringType()))
+    out = T.StructType([*schema.fields, *order, cells])
 
     portable = _portable(fn)
 
     def run(batches: Iterator) -> Iterator:
-        import inspect
         import io
 
         import numpy as np
         import pandas as pd
         from pyspark import cloudpickle
 
-        fn = cloudpickle.loads(portable)
-        accepted = inspect.signature(fn).parameters.values()
-        takes_all = any(p.kind == p.VAR_KEYWORD for p in accepted)
-        wanted = {p.name for p in accepted}
+        call = _named_call(cloudpickle.loads(portable))
 
-        def frames(result):
+        def of_payload(payload: bytes) -> pd.DataFrame:
+            text = pd.read_csv(io.BytesIO(payload), dtype=str, keep_default_na=False, na_filter=False)
+            known = [c for c in text.columns if c in names]
+            kept = [{k: v or None for k, v in row.items()} for row in text[known].to_dict("records")]
+            return pd.DataFrame({CELLS: kept}, columns=[CELLS])
+
+        def parts(result) -> Iterator:
+            """The frames of one call, those without rows left out."""
             if result is None:
                 return
             if hasattr(result, "csv_bytes"):
-                yield pd.read_csv(io.BytesIO(result.csv_bytes))
-            elif isinstance(result, pd.DataFrame):
-                yield result
-            else:
-                yield from result
+                result = of_payload(result.csv_bytes)
+            for frame in [result] if isinstance(result, pd.DataFrame) else result:
+                if frame is not None and len(frame):
+                    yield frame
 
         held, held_rows = [], 0
 
         def flush():
             rows = pd.concat([part for part, _, _ in held], ignore_index=True)
-            rows = rows.reindex(columns=names)
+            rows = rows.reindex(columns=[*names, CELLS])
             for name in text_columns:
-                cells = rows[name].astype(object)
-                rows[name] = cells.map(str).where(cells.notna(), None)
+                found = rows[name].astype(object)
+                rows[name] = found.map(str).where(found.notna(), None)
+            rows[CELLS] = rows[CELLS].astype(object).where(rows[CELLS].notna(), None)
             rows["_ingest_order"] = np.repeat([i for _, i, _ in held], [len(f) for f, _, _ in held])
             rows["_row_index"] = np.concatenate([np.arange(s, s + len(f)) for f, _, s in held])
-            return rows
+            return rows[out.names]
 
         for batch in batches:
             for index, params in zip(batch["job_index"], batch["params"], strict=True):
-                given = dict(params)
-                kwargs = given if takes_all else {k: given[k] for k in given if k in wanted}
                 seen = 0
-                for frame in frames(fn(**kwargs)):
-                    if frame is None or frame.empty:
-                        continue
+                for frame in parts(call(dict(params))):
                     held.append((frame, int(index), seen))
                     seen += len(frame)
                     held_rows += len(frame)
@@ -112,12 +124,14 @@ def fetch(
         if held:
             yield flush()
 
+    def typed(field: T.StructField):
+        own = F.col(f"`{field.name}`")
+        cell = F.col(CELLS)[field.name].cast(field.dataType)
+        return F.when(F.col(CELLS).isNotNull(), cell).otherwise(own).alias(field.name)
+
     tasks = parallelism or units.sparkSession.sparkContext.defaultParallelism
-    return (
-        units.select("job_index", "params")
-        .repartition(tasks, "job_index")
-        .mapInPandas(run, schema=out)
-    )
+    dealt = units.select("job_index", "params").repartition(tasks, "job_index")
+    return dealt.mapInPandas(run, schema=out).select(*map(typed, schema.fields), *ORDER_COLUMNS)
 
 
 def standardize(

@@ -6,6 +6,8 @@ Every call names an exact directory, never a string prefix, so clearing
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import SparkSession
 
 
@@ -41,26 +43,31 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"Could not move {source} to {target}")
 
 
-def replace_dirs(spark: SparkSession, moves: list[tuple[str, str]], aside_root: str) -> None:
+def replace_dirs(
+    spark: SparkSession,
+    moves: list[tuple[str, str]],
+    aside_root: str,
+    on_moved: Callable[[str], None] = lambda target: None,
+) -> None:
     """Put each source directory in the place of its target.
 
-    An existing target steps aside below ``aside_root`` first. If a move fails,
-    the partition in hand gets its old content back and the error goes up; what
-    was replaced before stays replaced.
+    An existing target steps aside below ``aside_root``, under its own name, first. If a
+    move fails, the partition in hand gets its old content back and the error goes up; what
+    was replaced before stays replaced, and ``on_moved`` was called for it.
     """
     if not moves:
         return
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path
     fs, aside = _handle(spark, aside_root)
     fs.mkdirs(aside)
-    parents = set()
-    for number, (source, target) in enumerate(moves):
-        parent = target.rsplit("/", 1)[0]
-        if parent not in parents:
+    present: dict[str, set[str]] = {}
+    for source, target in moves:
+        parent, name = target.rsplit("/", 1)
+        if parent not in present:
             fs.mkdirs(jvm_path(parent))
-            parents.add(parent)
-        new, place, old = jvm_path(source), jvm_path(target), jvm_path(aside, str(number))
-        had_old = fs.exists(place)
+            present[parent] = {status.getPath().getName() for status in fs.listStatus(jvm_path(parent))}
+        new, place, old = jvm_path(source), jvm_path(target), jvm_path(aside, name)
+        had_old = name in present[parent]
         if had_old and not fs.rename(place, old):
             raise OSError(f"Could not move {target} aside")
         moved = False
@@ -71,9 +78,29 @@ def replace_dirs(spark: SparkSession, moves: list[tuple[str, str]], aside_root:
                 fs.rename(old, place)
         if not moved:
             raise OSError(f"Could not move {source} to {target}")
+        on_moved(target)
     fs.delete(aside, True)
 
 
+def put_back(spark: SparkSession, parent: str, aside_root: str) -> None:
+    """Return what stepped aside and was not replaced to ``parent``; then drop the rest."""
+    fs, aside = _handle(spark, aside_root)
+    if not fs.exists(aside):
+        return
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.listStatus(aside):
+        place = jvm_path(parent, status.getPath().getName())
+        if not fs.exists(place) and not fs.rename(status.getPath(), place):
+            raise OSError(f"Could not put {place} back")
+    fs.delete(aside, True)
+
+
+def delete_all(spark: SparkSession, locations: Iterable[str]) -> None:
+    """Delete exactly these locations."""
+    for location in locations:
+        delete(spark, location)
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     """Locations matching a glob, as text."""
     fs, path = _handle(spark, pattern)

@@ -99,11 +99,14 @@ def test_date_sets(spark):
     assert values(only_partition(frame, "b"), "v") == [(2,)]
 
 
-def test_long_date_lists_become_joins(spark, monkeypatch):
-    monkeypatch.setattr("lakeops.operators.normalize.IN_LIST_LIMIT", 1)
+def test_long_date_lists_stay_filters(spark, capsys):
     frame = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "dt string, v int")
-    assert values(keep_dates(frame, ["a", "b"]), "v") == [(1,), (2,)]
-    assert values(exclude_dates(frame, ["a", "b"]), "v") == [(3,)]
+    many = [f"x{k}" for k in range(20_000)]
+    assert values(keep_dates(frame, ["a", "b", *many]), "v") == [(1,), (2,)]
+    left = exclude_dates(frame, ["a", "b", *many])
+    assert values(left, "v") == [(3,)]
+    left.explain()
+    assert "Join" not in capsys.readouterr().out
 
 
 def test_split_valid_partition(spark):

@@ -90,15 +90,36 @@ def test_write_modes(spark, lake):
         publish_partitions(more, table, mode="append")
 
 
-def test_skip_existing_with_more_dates_than_fit_a_list(spark, lake, monkeypatch):
-    monkeypatch.setattr(publish, "IN_LIST_LIMIT", 1)
+def test_skip_existing_reads_no_finished_dates(spark, lake, tmp_path, monkeypatch):
+    """Finished dates are partition filters of the scan that is written from."""
+    source, table = str(tmp_path / "source"), lake()
+    days = [f"2024-01-{d:02}" for d in range(1, 6)]
+    rows(spark, *[(k, "old", d) for k, d in enumerate(days)]).write.partitionBy("dt").parquet(source)
+    publish_partitions(scan_table(spark, source).where("dt < '2024-01-05'"), table)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plans = []
+    whole = publish.materialize
+
+    def watched(frame, *args):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return whole(frame, *args)
+
+    monkeypatch.setattr(publish, "materialize", watched)
+    report = publish_partitions(scan_table(spark, source), table, mode="skip_existing")
+    assert report.skipped == days[:4] and [p["dt"] for p in report.partitions] == days[4:]
+    assert all(day in plans[0].split("PartitionFilters", 1)[1].split("]", 1)[0] for day in days[:4])
+    again = publish_partitions(scan_table(spark, source), table, mode="skip_existing", requested=days)
+    assert again.skipped == days and again.cleared == [] and again.status == "skipped"
+
+
+def test_fail_if_exists_writes_nothing(spark, lake, monkeypatch):
     table = lake()
-    old = rows(spark, (1, "old", "2024-01-01"), (2, "old", "2024-01-02"))
-    publish_partitions(old, table)
-    more = rows(spark, (1, "new", "2024-01-02"), (2, "new", "2024-01-03"))
-    report = publish_partitions(more, table, mode="skip_existing")
-    assert report.skipped == ["2024-01-02"]
-    assert values(scan_table(spark, table.path), "v") == [("new",), ("old",), ("old",)]
+    publish_partitions(rows(spark, (1, "old", "2024-01-01")), table)
+    monkeypatch.setattr(publish, "materialize", lambda *a, **k: pytest.fail("staged before the check"))
+    for requested in (["2024-01-01", "2024-01-02"], None):
+        with pytest.raises(PartitionExistsError) as caught:
+            publish_partitions(rows(spark, (1, "new", "2024-01-01")), table, mode="fail_if_exists", requested=requested)
+        assert caught.value.dates == ["2024-01-01"]
 
 
 def test_requested_dates_without_rows_are_cleared(spark, lake):

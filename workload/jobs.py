@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.dates import dashed_date
-from lakeops.operators.publish import publish_partitions
+from lakeops.operators.publish import publish_partitions, read_quarantine
 from lakeops.operators.units import item_units, with_chunks
 from lakeops.plans.backfill import backfill
 from lakeops.plans.ingest import IngestSource, ingest
@@ -50,6 +50,29 @@ def backfill_range(spark, sf_dir):
     return scan_table(spark, target.path, report.schema)
 
 
+@query(
+    "backfill_quarantine",
+    """
+    SELECT CASE WHEN event_type = 'click' THEN 'invalid_key'
+                WHEN strftime(ts, '%Y-%m-%d') NOT BETWEEN '2024-01-03' AND '2024-01-12' THEN 'outside_range'
+                ELSE 'published' END AS outcome, count(*) AS row_count
+    FROM events GROUP BY 1
+    """,
+)
+def quarantined(spark, sf_dir):
+    """A model that returns foreign dates and rows without one: all are published or counted as rejected."""
+    sql = """
+        SELECT event_id, value, CASE WHEN event_type <> 'click' THEN dt END AS dt FROM tmp_events
+        WHERE :start_date <= :end_date
+    """
+    target = fresh_table(spark, "events")
+    model = Model("events", sql, inputs={"tmp_events": _events_input(sf_dir)})
+    report = backfill(spark, model, target, "2024-01-03", "2024-01-12")
+    published = scan_table(spark, target.path, report.schema).select(F.lit("published").alias("outcome"))
+    rejected = read_quarantine(spark, target, report.schema).select(F.col("_outcome").alias("outcome"))
+    return published.unionByName(rejected).groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query(
     "backfill_summary",
     """
@@ -222,6 +245,34 @@ def fetched(spark, sf_dir):
     return fetch(item_units(keys, "symbol"), _greet, schema)
 
 
+def _padded(symbol):
+    """A user function whose result is CSV text: padded keys, NA and gaps."""
+    from types import SimpleNamespace
+
+    number = int(symbol)
+    size = "" if number % 3 == 0 else str(number)
+    label = "NA" if number % 2 else ""
+    return SimpleNamespace(csv_bytes=f"symbol,label,size,other\n{number:08},{label},{size},x\n".encode())
+
+
+@query(
+    "fetch_csv_payload",
+    """
+    SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS symbol,
+           CASE WHEN c_custkey % 2 = 1 THEN 'NA' ELSE 'none' END AS label,
+           CASE WHEN c_custkey % 3 = 0 THEN CAST(-1 AS BIGINT) ELSE c_custkey END AS size
+    FROM (SELECT DISTINCT c_custkey FROM customer)
+    """,
+)
+def fetched_csv(spark, sf_dir):
+    """Texts of a CSV payload arrive as they were, and gaps as NULL."""
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("symbol"))
+    schema = struct_of(symbol=T.StringType(), label=T.StringType(), size=T.LongType())
+    rows = fetch(item_units(keys, "symbol"), _padded, schema)
+    gaps = F.coalesce("label", F.lit("none")).alias("label"), F.coalesce("size", F.lit(-1)).alias("size")
+    return rows.select("symbol", *gaps)
+
+
 @query(
     "standardize_fetched",
     """

@@ -102,7 +102,7 @@ def readback(spark, sf_dir):
 
 @query("publish_by_copy", _EVENTS)
 def readback_copy(spark, sf_dir):
-    """Published twice with Spark's dynamic partition overwrite instead of renames."""
+    """Published twice by Spark's writer instead of renames."""
     target = fresh_table(spark, "events")
     events = dated_events(spark, sf_dir)
     publish_partitions(events.withColumn("value", F.lit(0.0)), target, copy=True)
@@ -110,6 +110,27 @@ def readback_copy(spark, sf_dir):
     return scan_table(spark, target.path, events.schema)
 
 
+@query("publish_rerun", _EVENTS + " WHERE event_type <> 'view'")
+def rerun(spark, sf_dir):
+    """The same run twice, with rejected rows: the second time replaces the first."""
+    target = fresh_table(spark, "events")
+    events = dated_events(spark, sf_dir)
+    keyed = events.withColumn("dt", F.when(F.col("event_type") != "view", F.col("dt")))
+    for value in (F.lit(0.0), F.col("value")):
+        publish_partitions(keyed.withColumn("value", value), target, run_id="nightly/1")
+    return scan_table(spark, target.path, events.schema)
+
+
+@query("snapshot_by_copy", "SELECT * FROM customer")
+def snapshot_copied(spark, sf_dir):
+    """A snapshot replaced by Spark's writer instead of renames."""
+    target = fresh_table(spark, "customer")
+    customer = table(spark, sf_dir, "customer")
+    publish_snapshot(customer.where("c_acctbal > 0"), target, copy=True)
+    publish_snapshot(customer, target, copy=True)
+    return scan_snapshot(spark, target.path)
+
+
 @query(
     "publish_csv_readback",
     """
