@@ -112,11 +112,17 @@ def item_units(df: DataFrame, key: str = "symbol") -> DataFrame:
     )
 
 
-def sql_units(spark: SparkSession, sql: str, key: str = "symbol") -> DataFrame:
-    """Item units from a query; no units when it cannot be resolved or has no rows."""
+def sql_units(spark: SparkSession, sql: str, key: str = "symbol", missing_ok: bool = False) -> DataFrame:
+    """Item units from a query; no rows give no units.
+
+    A query that cannot be resolved raises, unless ``missing_ok`` says that its tables may not exist yet: then it is
+    logged and gives no units.
+    """
     try:
         items = spark.sql(sql)
     except AnalysisException as error:
+        if not missing_ok:
+            raise
         logger.warning("No work units, the query failed: %s", error)
         return spark.createDataFrame([], UNIT_SCHEMA)
     return item_units(items, key)

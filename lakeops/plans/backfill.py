@@ -135,6 +135,7 @@ def _publish(
         checks=checks,
         fail_dates="skip" if continue_on_error else "raise",
         run_id=run_id,
+        rebalance=model.kind != "date",
     )
 
 

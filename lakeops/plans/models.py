@@ -112,8 +112,13 @@ def run_model(
     mode: str = "overwrite",
     run_id: str | None = None,
     run_date: str | None = None,
+    rebalance: bool | None = None,
 ) -> PublishReport:
-    """Run a model and publish its rows; requested dates without rows are cleared."""
+    """Run a model and publish its rows; requested dates without rows are cleared.
+
+    The rows of a one-date model sit together anyhow and are written where they are; those of a range model
+    are gathered by date first, unless ``rebalance`` says otherwise.
+    """
     frame = model.frame(spark, dates)
     if model.kind == "snapshot":
         if frame is None:
@@ -121,7 +126,8 @@ def run_model(
         return publish_snapshot(frame, table, run_id=run_id, run_date=run_date)
     if frame is None:
         return publish_no_data(spark, table, dates, run_id)
-    return publish_partitions(frame, table, mode=mode, requested=dates, run_id=run_id)
+    spread = model.kind != "date" if rebalance is None else rebalance
+    return publish_partitions(frame, table, mode=mode, requested=dates, run_id=run_id, rebalance=spread)
 
 
 # --------------------------------------------------------------- landing (typed) models

@@ -9,7 +9,7 @@ from conftest import values
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.operators.publish import LakeTable, publish_partitions
+from lakeops.operators.publish import LakeTable, publish_partitions, publish_snapshot
 from lakeops.operators.units import item_units, range_unit, single_unit
 from lakeops.plans.backfill import BackfillError, backfill
 from lakeops.plans.compact import compact
@@ -23,15 +23,7 @@ from lakeops.plans.models import (
     render,
     run_model,
 )
-from lakeops.plans.views import (
-    Layer,
-    add_partitions,
-    quote,
-    register_views,
-    table_function_sql,
-    table_sql,
-    view_sql,
-)
+from lakeops.plans.views import Entry, add_partitions, create_databases, named, register, register_all
 from lakeops.sources.scan import (
     dates_with_files,
     raw_csv_input,
@@ -50,48 +42,38 @@ logging.getLogger("SQLQueryContextLogger").setLevel(logging.CRITICAL)
 SAMPLE = struct_of(symbol=T.StringType(), trade_date=T.StringType(), value=T.LongType())
 
 
-def sample_rows(**kwargs):
-    """Three rows, AAA twice on one day, optionally limited to a range."""
+#: Readings of three gauges; the second one of ``g2`` on the 7th arrived in the same part and counts.
+READINGS = [("g1", "20240307", 5), ("g2", "20240307", 6), ("g2", "20240307", 8), ("g3", "20240319", 7)]
+
+
+def sample_rows(start_date=None, end_date=None):
+    """The readings within the asked days."""
     import pandas as pd
 
-    frame = pd.DataFrame(
-        {
-            "symbol": ["AAA", "BBB", "AAA"],
-            "trade_date": ["20240101", "20240102", "20240101"],
-            "value": [1, 2, 3],
-        }
-    )
-    start, end = kwargs.get("start_date"), kwargs.get("end_date")
-    if start:
-        frame = frame[frame["trade_date"] >= start.replace("-", "")]
-    if end:
-        frame = frame[frame["trade_date"] <= end.replace("-", "")]
-    return frame
+    low, high = ((d or default).replace("-", "") for d, default in ((start_date, "0"), (end_date, "9")))
+    kept = [r for r in READINGS if low <= r[1] <= high]
+    return pd.DataFrame(kept, columns=["symbol", "trade_date", "value"])
 
 
 # ------------------------------------------------------------------------- compaction
 
 
 def test_compact_parts(spark, lake, tmp_path):
-    first = tmp_path / "part_000000.parquet"
-    second = tmp_path / "part_000001.parquet"
-    pd.DataFrame(
-        {"symbol": ["AAA", "BBB"], "trade_date": ["20240101", "20240102"], "value": [1, 2]}
-    ).to_parquet(first)
-    pd.DataFrame({"symbol": ["AAA"], "trade_date": ["20240101"], "value": [3]}).to_parquet(second)
-    parts = scan_parts(spark, str(first), str(second))
-    table = lake("test_target", "csv", "raw")
-    options = {"keys": ["symbol", "trade_date"], "partition_column": "trade_date"}
-    report = compact(parts, table, **options)
-    assert report.partition_count == 2 and report.row_count == 2
-    columns = ["symbol", "trade_date", "value"]
-    rows = scan_raw_csv(spark, table.path, columns, expose_dt=True)
-    assert values(rows) == [
-        ("AAA", "20240101", "3", "2024-01-01"),
-        ("BBB", "20240102", "2", "2024-01-02"),
-    ]
-    again = compact(parts, table, mode="skip_existing", **options)
-    assert again.skipped == ["2024-01-01", "2024-01-02"] and again.row_count == 0
+    """Six parts of shifting days, each newer than the last: the newest value of a gauge and day stays."""
+    newest, paths = {}, []
+    for part in range(6):
+        rows = [(f"g{g}", f"2024030{1 + (g + part) % 3}", 100 * part + g) for g in range(5)]
+        newest |= {(s, d): v for s, d, v in rows}
+        paths.append(str(tmp_path / f"part_{part:06}.parquet"))
+        spark.createDataFrame(rows, SAMPLE).toPandas().to_parquet(paths[-1])
+    table = lake("gauges", "csv", "raw")
+    by_day = {"keys": list(SAMPLE.fieldNames()[:2]), "partition_column": "trade_date"}
+    report = compact(scan_parts(spark, *reversed(paths)), table, **by_day)
+    assert (report.partition_count, report.row_count) == (3, len(newest))
+    found = values(scan_raw_csv(spark, table.path, SAMPLE.fieldNames(), expose_dt=True))
+    assert found == sorted((s, d, str(v), f"{d[:4]}-{d[4:6]}-{d[6:]}") for (s, d), v in newest.items())
+    idle = compact(scan_parts(spark, *paths), table, mode="skip_existing", **by_day)
+    assert idle.skipped == [p["dt"] for p in report.partitions] and idle.status == "skipped"
 
 
 def test_compact_to_the_run_date(spark, lake):
@@ -118,11 +100,11 @@ def test_ingest_fixture(spark, tmp_path):
         ["symbol", "trade_date"], "trade_date",
     )
     root = str(tmp_path / "lake")
-    result = ingest(spark, source, root, start="2024-01-01", end="2024-01-31", run_date="2024-02-01")
-    assert result.status == "ok" and result.fetched_rows == 3
-    assert [p["dt"] for p in result.report.partitions] == ["2024-01-01", "2024-01-02"]
+    result = ingest(spark, source, root, start="2024-03-01", end="2024-03-31", run_date="2024-04-01")
+    assert result.status == "ok" and result.fetched_rows == len(READINGS)
+    assert [p["dt"] for p in result.report.partitions] == ["2024-03-07", "2024-03-19"]
     rows = scan_raw_csv(spark, f"{root}/raw/sample", ["symbol", "trade_date", "value"])
-    assert values(rows, "symbol", "value") == [("AAA", "3"), ("BBB", "2")]
+    assert values(rows, "symbol", "value") == [("g1", "5"), ("g2", "8"), ("g3", "7")]
     empty = ingest(spark, source, root, start="2030-01-01", run_date="2030-01-01")
     assert (empty.status, empty.reason) == ("skipped", "no_data")
     idle = IngestSource("idle", lambda s, a, b: item_units(s.range(0), "id"), sample_rows, SAMPLE)
@@ -336,42 +318,54 @@ def test_dates_with_files(spark, tmp_path):
     assert scan_raw_csv(spark, base, ["x"], ["2030-01-03"]).count() == 0
 
 
-def test_views_and_functions(spark, lake, tmp_path):
-    table = lake("ods_daily")
+def test_catalog_tables_and_functions(spark, lake, tmp_path):
+    table = lake("daily")
     publish_partitions(spark.sql("SELECT 1 AS x, '2024-01-01' AS dt"), table)
-    layer = Layer("v_ods", f"{table.root}/ods")
-    register_views(spark, {layer: ["ods_daily"]}, location=str(tmp_path / "db"))
+    place = str(tmp_path / "db")
+    register_all(spark, {"v_ods": [Entry(table, struct_of(x=T.IntegerType()))]}, place)
     publish_partitions(
         spark.sql("SELECT 2 AS x, 'new' AS y, explode(array('1900-01-01', '2024-01-02')) AS dt"), table
     )
-    register_views(spark, {layer: ["ods_daily"]}, location=str(tmp_path / "db"))
-    assert values(spark.table("v_ods.ods_daily")) == [
-        (1, None, "2024-01-01"),
-        (2, "new", "2024-01-02"),
-    ]
-    one = spark.sql("SELECT * FROM ods_daily_dt('2024-01-02')")
+    wider = Entry(table, struct_of(x=T.IntegerType(), y=T.StringType()))
+    register_all(spark, {"v_ods": [wider]}, place)
+    assert values(spark.table("v_ods.daily")) == [(1, None, "2024-01-01"), (2, "new", "2024-01-02")]
+    one = spark.sql("SELECT * FROM v_ods_daily_dt('2024-01-02')")
     assert values(one) == [(2, "new", "2024-01-02")]
     assert "dt" in one._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
-
-
-def test_declared_table(spark, lake, tmp_path):
-    table = lake("ods_declared")
-    publish_partitions(spark.sql("SELECT 1 AS x, '2024-01-01' AS dt"), table)
-    layer = Layer("d_ods", f"{table.root}/ods")
-    schema = struct_of(x=T.IntegerType(), y=T.StringType())
-    place = str(tmp_path / "db")
-    register_views(spark, {layer: ["ods_declared"]}, place, {"ods_declared": schema})
-    publish_partitions(spark.sql("SELECT 2 AS x, 'new' AS y, '2024-01-02' AS dt"), table)
-    add_partitions(spark, layer, "ods_declared", ["2024-01-02"])
-    add_partitions(spark, layer, "ods_declared", [])
-    assert values(spark.table("d_ods.ods_declared")) == [
-        (1, None, "2024-01-01"),
-        (2, "new", "2024-01-02"),
-    ]
-    one = spark.sql("SELECT * FROM ods_declared_dt('2024-01-02')")
-    assert values(one) == [(2, "new", "2024-01-02")]
-    with pytest.raises(ValueError, match="partitioned parquet"):
-        table_sql(Layer("d_ods", "x", fmt="csv"), "t", schema)
+    publish_partitions(spark.sql("SELECT 3 AS x, 'more' AS y, '2024-01-03' AS dt"), table)
+    add_partitions(spark, "v_ods", "daily", ["2024-01-03"])
+    add_partitions(spark, "v_ods", "daily", [])
+    assert spark.table("v_ods.daily").count() == 3
+
+
+def test_functions_of_two_layers_do_not_meet(spark, lake, tmp_path):
+    a, b = lake("same", layer="a"), lake("same", layer="b")
+    for table, x in ((a, 1), (b, 2)):
+        publish_partitions(spark.sql(f"SELECT {x} AS x, '2024-01-01' AS dt"), table)
+    schema = struct_of(x=T.IntegerType())
+    register_all(spark, {"l_a": [Entry(a, schema)], "l_b": [Entry(b, schema)]}, str(tmp_path / "db"))
+    assert [spark.sql(f"SELECT x FROM l_{k}_same_dt('2024-01-01')").first().x for k in "ab"] == [1, 2]
+    clash = LakeTable(str(tmp_path / "lake"), "a", "b_same")
+    publish_partitions(spark.sql("SELECT 3 AS x, '2024-01-01' AS dt"), clash)
+    create_databases(spark, ["l"], str(tmp_path / "db"))
+    with pytest.raises(ValueError, match="already reads"):
+        register(spark, "l", Entry(clash, schema))
+
+
+def test_snapshot_and_csv_tables(spark, lake, tmp_path):
+    flat, csv = lake("flat"), LakeTable(str(tmp_path / "lake"), "raw", "c", "csv")
+    publish_snapshot(spark.sql("SELECT 1 AS x"), flat)
+    publish_partitions(spark.sql("SELECT 'a \"b\", c' AS x, '2024-01-01' AS dt"), csv)
+    create_databases(spark, ["s_raw"], str(tmp_path / "db"))
+    register(spark, "s_raw", Entry(flat, struct_of(x=T.IntegerType()), partitioned=False))
+    register(spark, "s_raw", Entry(csv, struct_of(x=T.StringType())))
+    assert values(spark.table("s_raw.flat")) == [(1,)]
+    assert values(spark.table("s_raw.c")) == [('a "b", c', "2024-01-01")]
+    with pytest.raises(ValueError, match="laid out twice"):
+        register(spark, "s_raw", Entry(csv, struct_of(x=T.StringType()), doubled=True))
+    assert named("a`b", "c") == "`a``b`.`c`"
+    with pytest.raises(ValueError, match="empty"):
+        named("a", "")
 
 
 def test_csv_scan_finds_records_that_span_lines(spark, tmp_path):
@@ -409,27 +403,3 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     assert values(alone) == [("5", "6")]
 
 
-def test_view_text():
-    assert quote("a`b") == "`a``b`"
-    with pytest.raises(ValueError, match="empty"):
-        quote("")
-    flat = Layer("dw", "s3://b/lake/dw", partitioned=False)
-    assert "SELECT * FROM parquet.`s3://b/lake/dw/t`" in view_sql(flat, "t")
-    csv = Layer("raw", "s3://b/lake/raw", fmt="csv")
-    assert "csv.`s3://b/lake/raw/t`" in view_sql(csv, "t")
-    with pytest.raises(ValueError, match="Unsupported"):
-        view_sql(Layer("raw", "x", fmt="txt"), "t")
-    with pytest.raises(ValueError, match="partitioned by dt"):
-        table_function_sql(flat, "t", "x INT")
-    with pytest.raises(ValueError, match="parquet only"):
-        table_function_sql(csv, "t", "x INT")
-    for layer, name in ((Layer("a", "/"), "t"), (Layer("a", "x"), "")):
-        with pytest.raises(ValueError, match="empty|required"):
-            view_sql(layer, name)
-
-
-def test_csv_view(spark, lake, tmp_path):
-    table = LakeTable(str(tmp_path / "lake"), "raw", "c", "csv")
-    publish_partitions(spark.sql("SELECT 'a \"b\", c' AS x, '2024-01-01' AS dt"), table)
-    register_views(spark, {Layer("v_raw", f"{table.root}/raw", fmt="csv"): ["c"]}, str(tmp_path))
-    assert values(spark.table("v_raw.c")) == [('a "b", c', "2024-01-01")]

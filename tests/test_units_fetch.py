@@ -3,6 +3,7 @@ from __future__ import annotations
 import pandas as pd
 import pytest
 from conftest import values
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,7 +52,9 @@ def test_items(spark):
     assert values(distinct_items(frame.select("n"), "symbol")) == [("1",), ("2",), ("3",), ("4",)]
     frame.createOrReplaceTempView("items_view")
     assert len(listed(sql_units(spark, "SELECT symbol FROM items_view WHERE n < 3"))) == 2
-    assert listed(sql_units(spark, "SELECT symbol FROM no_such_table")) == []
+    assert listed(sql_units(spark, "SELECT symbol FROM no_such_table", missing_ok=True)) == []
+    with pytest.raises(AnalysisException):
+        sql_units(spark, "SELECT symbol FROM no_such_table")
     assert listed(sql_units(spark, "SELECT symbol FROM items_view WHERE n > 9")) == []
 
 

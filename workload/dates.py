@@ -8,11 +8,11 @@ from lakeops.functions.dates import (
     chunk_ranges,
     compact_date,
     dashed_date,
-    date_range_array,
     normalize_dt_text,
     previous_day_utc,
 )
 from lakeops.operators.units import (
+    date_spine,
     distinct_items,
     item_units,
     product,
@@ -121,13 +121,11 @@ def day_before(spark, sf_dir):
     """,
 )
 def spine(spark, sf_dir):
-    days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("d"))
+    days = table(spark, sf_dir, "orders").groupBy(dashed_date(F.to_date("o_orderdate")).alias("dt"))
     per_day = days.agg(F.count(F.lit(1)).alias("n"))
-    bounds = per_day.agg(F.min("d").alias("s"), F.max("d").alias("e"))
-    all_days = bounds.select(F.explode(date_range_array(F.col("s"), F.col("e"))).alias("d"))
-    return all_days.join(per_day, "d", "left").select(
-        dashed_date(F.col("d")).alias("dt"), F.coalesce("n", F.lit(0)).alias("orders")
-    )
+    bounds = per_day.agg(F.min("dt"), F.max("dt")).first()
+    all_days = date_spine(spark, *bounds)
+    return all_days.join(per_day, "dt", "left").select("dt", F.coalesce("n", F.lit(0)).alias("orders"))
 
 
 def _chunks_per_customer(spark, sf_dir, freq):

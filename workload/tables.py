@@ -9,6 +9,7 @@ from lakeops.operators.checks import partition_files
 from lakeops.operators.manifest import latest_manifest
 from lakeops.operators.normalize import key_problem
 from lakeops.operators.publish import (
+    LakeTable,
     PartitionExistsError,
     clear_partitions,
     publish_partitions,
@@ -20,8 +21,9 @@ from lakeops.operators.publish import (
 )
 from lakeops.plans.compact import compact
 from lakeops.plans.models import landing_model
-from lakeops.plans.views import Layer, add_partitions, register_views
+from lakeops.plans.views import Entry, add_partitions, create_databases, register, register_all
 from lakeops.session import scratch_path
+from lakeops.sources import files
 from lakeops.sources.scan import (
     dates_with_files,
     scan_parts,
@@ -286,14 +288,37 @@ def one_partition(spark, sf_dir):
     return scan_partition(spark, target.path, "2024-01-05", events.schema)
 
 
+def _database(spark, target):
+    """A database of its own beside the lake, and its name."""
+    name = f"ods_{target.root.rsplit('-', 1)[-1]}"
+    create_databases(spark, [name], f"{target.root}/databases")
+    return name
+
+
 @query("scan_partition_function", _EVENTS + " WHERE strftime(ts, '%Y-%m-%d') = '2024-01-05'")
-def partition_function(spark, sf_dir):
-    """Database, view and table function over a published table."""
-    target, _ = _published(spark, sf_dir)
-    suffix = target.root.rsplit("-", 1)[-1]
-    layer = Layer(f"ods_{suffix}", f"{target.root}/ods")
-    register_views(spark, {layer: ["events"]}, location=f"{target.root}/databases")
-    return spark.sql("SELECT * FROM events_dt('2024-01-05')")
+def one_by_function(spark, sf_dir):
+    """Database, catalog table and table function over a published table."""
+    target, events = _published(spark, sf_dir)
+    database = _database(spark, target)
+    register(spark, database, Entry(target, events.schema))
+    return spark.sql(f"SELECT * FROM {database}_events_dt('2024-01-05')")
+
+
+@query(
+    "partition_function_two_layers",
+    "SELECT 'ods' AS layer, count(*) AS row_count FROM events WHERE strftime(ts, '%Y-%m-%d') = '2024-01-05' "
+    "UNION ALL SELECT 'dwd', count(*) FROM events WHERE strftime(ts, '%Y-%m-%d') = '2024-01-05' AND event_type = 'click'",
+)
+def two_layers(spark, sf_dir):
+    """Two layers with a table of the same name: each function reads its own."""
+    target, events = _published(spark, sf_dir)
+    other = LakeTable(target.root, "dwd", "events")
+    publish_partitions(events.where("event_type = 'click'"), other)
+    names = {layer: f"{layer}_{target.root.rsplit('-', 1)[-1]}" for layer in ("ods", "dwd")}
+    entries = {names["ods"]: [Entry(target, events.schema)], names["dwd"]: [Entry(other, events.schema)]}
+    register_all(spark, entries, f"{target.root}/databases")
+    counts = [f"SELECT '{k}' AS layer, count(*) AS row_count FROM {v}_events_dt('2024-01-05')" for k, v in names.items()]
+    return spark.sql(" UNION ALL ".join(counts))
 
 
 @query(
@@ -302,13 +327,23 @@ def partition_function(spark, sf_dir):
     "GROUP BY 1, 2",
 )
 def layer_view(spark, sf_dir):
-    target, _ = _published(spark, sf_dir)
-    suffix = target.root.rsplit("-", 1)[-1]
-    layer = Layer(f"ods_{suffix}", f"{target.root}/ods")
-    register_views(spark, {layer: ["events"]}, location=f"{target.root}/databases")
-    return spark.sql(
-        f"SELECT dt, event_type, count(*) AS row_count FROM ods_{suffix}.events GROUP BY ALL"
-    )
+    target, events = _published(spark, sf_dir)
+    database = _database(spark, target)
+    register(spark, database, Entry(target, events.schema))
+    return spark.sql(f"SELECT dt, event_type, count(*) AS row_count FROM {database}.events GROUP BY ALL")
+
+
+@query("view_nested", _EVENTS)
+def doubled_view(spark, sf_dir):
+    """A view over the layout dt=X/dt=X/file, and its partition function."""
+    events = dated_events(spark, sf_dir)
+    target = fresh_table(spark, "events")
+    path = scratch_path(spark, "doubled")
+    write_partitioned(events.withColumn("outer", F.col("dt")), path, ("outer", "dt"))
+    for found in files.glob(spark, f"{path}/outer=*"):
+        files.move(spark, found, f"{target.path}/dt={found.rsplit('=', 1)[1]}")
+    database = _database(spark, target)
+    return register(spark, database, Entry(target, events.schema, doubled=True)).select(*EVENT_COLUMNS)
 
 
 @query("scan_table_nested", _EVENTS)
@@ -494,16 +529,11 @@ def declared_table(spark, sf_dir):
     target = fresh_table(spark, "events")
     events = dated_events(spark, sf_dir)
     publish_partitions(events.where("dt <= '2024-01-10'"), target)
-    suffix = target.root.rsplit("-", 1)[-1]
-    layer = Layer(f"ods_{suffix}", f"{target.root}/ods")
-    register_views(
-        spark, {layer: ["events"]}, f"{target.root}/databases", {"events": events.schema}
-    )
+    database = _database(spark, target)
+    register(spark, database, Entry(target, events.schema))
     later = publish_partitions(events.where("dt > '2024-01-10'"), target)
-    add_partitions(spark, layer, "events", [p["dt"] for p in later.partitions])
-    return spark.sql(
-        f"SELECT event_type, max(value) AS max_value, dt FROM ods_{suffix}.events GROUP BY ALL"
-    )
+    add_partitions(spark, database, "events", [p["dt"] for p in later.partitions])
+    return spark.sql(f"SELECT event_type, max(value) AS max_value, dt FROM {database}.events GROUP BY ALL")
 
 
 @query(
