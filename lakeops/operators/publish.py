@@ -122,12 +122,15 @@ class LakeTable:
         """Partitions published successfully, as ``dt``."""
         return log.completed_partitions(self.manifest(spark))
 
-    def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
-        """The published rows; CSV tables need their schema and come as text."""
+    def read(self, spark: SparkSession, schema: T.StructType | None = None, multiline: bool = True) -> DataFrame:
+        """The published rows; CSV tables need their schema and come as text.
+
+        Without line breaks in CSV values, ``multiline=False`` lets Spark split the files.
+        """
         if self.fmt == "csv":
             if schema is None:
                 raise ValueError("A CSV table is read with its column list")
-            return scan_raw_csv(spark, self.path, schema, expose_dt=True)
+            return scan_raw_csv(spark, self.path, schema, expose_dt=True, multiline=multiline)
         return scan_table(spark, self.path, schema)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -29,6 +31,9 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
+#: Header lines the driver asks for at a time.
+HEADERS_AT_ONCE = 16
+
 
 def _partition_paths(spark: SparkSession, base: str, dates: Iterable[str]) -> list[str]:
     """Directories of the wanted dates that exist, so no other one is listed."""
@@ -36,18 +41,6 @@ def _partition_paths(spark: SparkSession, base: str, dates: Iterable[str]) -> li
     return [path for path in wanted if files.exists(spark, path)]
 
 
-def records_span_lines(spark: SparkSession, paths: Sequence[str]) -> bool:
-    """Whether any CSV record continues on the next line.
-
-    A record that ends on its line has an even number of quotes, so one odd line
-    gives it away. This is a plain line scan that splits files of any size and
-    stops at the first find.
-    """
-    lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not lines.text(list(paths)).where(quotes % 2 == 1).isEmpty()
-
-
 def csv_header(spark: SparkSession, base: str, paths: Sequence[str]) -> list[str] | None:
     """Column names from the first line of one file; None when there is no file."""
     reader = spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv")
@@ -60,6 +53,22 @@ def csv_header(spark: SparkSession, base: str, paths: Sequence[str]) -> list[str
     return [name for name in names if name != PARTITION_COLUMN]
 
 
+def _dates_by_header(spark: SparkSession, base: str, dates: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Directories of the dates, grouped by the header of their files.
+
+    A date's header is the first line of one of its files. The driver asks for several dates at a time;
+    each costs a task that reads one line.
+    """
+    paths = _partition_paths(spark, base, dates)
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda path: csv_header(spark, base, [path]), paths))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, header in zip(paths, headers, strict=True):
+        if header is not None:
+            groups.setdefault(tuple(header), []).append(path)
+    return groups
+
+
 def scan_raw_csv(
     spark: SparkSession,
     base: str,
@@ -67,30 +76,29 @@ def scan_raw_csv(
     dates: Sequence[str] | None = None,
     *,
     expose_dt: bool = False,
-    multiline: bool | None = None,
+    multiline: bool = False,
     view: str | None = None,
 ) -> DataFrame:
     """Header CSV files of one, many or all ``dt`` directories, all columns as text.
 
     Columns are found by their header names, whatever their order; absent ones
-    are NULL. A file whose header differs from the others fails the scan rather
-    than shift its values. Types are never inferred; ``conform`` casts later.
-    Empty values read as NULL.
-
-    Records that span lines need one task per file (``multiline=True``), others
-    let Spark split the files (``False``). By default the lines are looked at
-    first, so that a large file is only read whole when it has to be.
+    are NULL. Each date is read by its own header, so a source may gain, lose or
+    reorder columns from one date to the next. Within a date, a file whose header
+    differs from the others fails the scan rather than shift its values. Types are
+    never inferred; ``conform`` casts later. Empty values read as NULL.
+
+    Say ``multiline=True`` for a source whose values hold line breaks: Spark then
+    reads each file in one task, so such files should be of bounded size. Otherwise
+    files are split. Data are read once, by the job that uses the frame.
     """
     wanted = all_text(columns)
-    paths = [base] if dates is None else _partition_paths(spark, base, dates)
-    header = csv_header(spark, base, paths) if paths else None
-    if header is None:
-        frame = empty_table(spark, with_partition(wanted))
-    else:
-        if multiline is None:
-            multiline = records_span_lines(spark, paths)
-        frame = (
-            spark.read.schema(with_partition(all_text(header)))
+    known = files.partition_values(spark, base, PARTITION_COLUMN) if dates is None else dates
+    groups = _dates_by_header(spark, base, known)
+    none = F.lit(None).cast("string")
+    frames = []
+    for header, paths in groups.items():
+        rows = (
+            spark.read.schema(with_partition(all_text(list(header))))
             .options(**CSV_OPTIONS)
             .option("multiLine", str(multiline).lower())
             .option("enforceSchema", "false")
@@ -98,13 +106,13 @@ def scan_raw_csv(
             .option("basePath", base)
             .csv(paths)
         )
-        none = F.lit(None).cast("string")
         found = [
             F.col(f"`{name}`") if name in header else none.alias(name)
             for name in wanted.fieldNames()
             if name != PARTITION_COLUMN
         ]
-        frame = frame.select(*found, PARTITION_COLUMN)
+        frames.append(rows.select(*found, PARTITION_COLUMN))
+    frame = reduce(DataFrame.unionByName, frames) if frames else empty_table(spark, with_partition(wanted))
     if not expose_dt:
         frame = frame.drop(PARTITION_COLUMN)
     if view:
@@ -184,10 +192,16 @@ def scan_table_nested(
 
 
 def scan_snapshot(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """A table without partitions, as Parquet or header CSV (read as text).
 
+    ``multiline=False`` lets Spark split CSV files whose values hold no line breaks.
+
     CSV files whose header does not fit the others, or the schema, fail the scan.
     """
     if fmt not in {"parquet", "csv"}:
@@ -196,13 +210,13 @@ def scan_snapshot(
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        return _checked_csv(reader, path)
+        return _checked_csv(reader, path, multiline)
     return reader.parquet(path)
 
 
-def _checked_csv(reader: DataFrameReader, path: str) -> DataFrame:
-    """CSV with records of any shape and every file's header compared."""
-    options = {**CSV_OPTIONS, "multiLine": "true", "enforceSchema": "false"}
+def _checked_csv(reader: DataFrameReader, path: str, multiline: bool) -> DataFrame:
+    """CSV with every file's header compared."""
+    options = {**CSV_OPTIONS, "multiLine": str(multiline).lower(), "enforceSchema": "false"}
     return reader.options(**options).csv(path)
 
 
@@ -235,11 +249,9 @@ def dates_with_files(
 ) -> list[str]:
     """Dates (all, or those asked for) whose directory holds a file of the format."""
     known = files.partition_values(spark, base, PARTITION_COLUMN) if dates is None else dates
-    return [
-        dt
-        for dt in sorted(set(known))
-        if files.glob(spark, f"{base}/{PARTITION_COLUMN}={dt}/*.{fmt}")
-    ]
+    marker = f"/{PARTITION_COLUMN}="
+    listed = files.glob(spark, f"{base}/{PARTITION_COLUMN}=*/*.{fmt}")
+    return sorted(set(known) & {location.rsplit(marker, 1)[1].split("/")[0] for location in listed})
 
 
 def missing_dates(df: DataFrame, requested: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
@@ -261,9 +273,10 @@ def scan_reference_list(
     path: str,
     run_date: str,
     date_column: str = "trade_date",
+    multiline: bool = True,
 ) -> DataFrame:
     """A CSV list read as text, stamped with the run date unless it carries one."""
-    frame = _checked_csv(spark.read, path)
+    frame = _checked_csv(spark.read, path, multiline)
     if date_column in frame.columns:
         return frame
     return frame.withColumn(date_column, F.lit(run_date))
@@ -276,24 +289,34 @@ InputHook = Callable[[SparkSession, Sequence[str]], "DataFrame | None"]
 def register_inputs(
     spark: SparkSession, inputs: dict[str, InputHook], dates: Sequence[str]
 ) -> bool:
-    """Create one temp view per input; False as soon as one has no data."""
+    """Create one temp view per input; False as soon as one has no data.
+
+    A hook with ``present(spark, dates)`` names the dates it has data for. All inputs are limited to the dates
+    that every such hook has, so a date for which one of them is missing is a date without data.
+    """
+    common = list(dates)
+    for hook in inputs.values():
+        if dates and hasattr(hook, "present"):
+            common = hook.present(spark, common)
+            if not common:
+                return False
     for view, hook in inputs.items():
-        frame = hook(spark, dates)
+        frame = hook(spark, common)
         if frame is None:
             return False
         frame.createOrReplaceTempView(view)
     return True
 
 
-def raw_csv_input(
-    base: str, columns: T.StructType | list[str], *, multiline: bool | None = None
-) -> InputHook:
+def raw_csv_input(base: str, columns: T.StructType | list[str], *, multiline: bool = False) -> InputHook:
     """Input hook over dated CSV directories; ``dt`` stays visible for date ranges."""
 
+    def present(spark: SparkSession, dates: Sequence[str]) -> list[str]:
+        return dates_with_files(spark, base, "csv", dates)
+
     def hook(spark: SparkSession, dates: Sequence[str]) -> DataFrame | None:
-        present = dates_with_files(spark, base, "csv", dates)
-        if not present:
-            return None
-        return scan_raw_csv(spark, base, columns, present, expose_dt=True, multiline=multiline)
+        days = present(spark, dates)
+        return scan_raw_csv(spark, base, columns, days, expose_dt=True, multiline=multiline) if days else None
 
+    hook.present = present
     return hook

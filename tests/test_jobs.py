@@ -27,7 +27,6 @@ from lakeops.plans.views import Entry, add_partitions, create_databases, named,
 from lakeops.sources.scan import (
     dates_with_files,
     raw_csv_input,
-    records_span_lines,
     scan_parts,
     scan_partition,
     scan_raw_csv,
@@ -116,7 +115,7 @@ def test_ingest_without_partition_column_uses_the_run_date(spark, tmp_path):
     source = IngestSource("list", lambda s, a, b: single_unit(s), sample_rows, SAMPLE, ["symbol"])
     root = str(tmp_path / "lake")
     result = ingest(spark, source, root, run_date="2024-03-03")
-    assert [(p["dt"], p["row_count"]) for p in result.report.partitions] == [("2024-03-03", 2)]
+    assert [(p["dt"], p["row_count"]) for p in result.report.partitions] == [("2024-03-03", 3)]
     assert len(default_run_date(spark)) == 10
 
 
@@ -368,15 +367,13 @@ def test_snapshot_and_csv_tables(spark, lake, tmp_path):
         named("a", "")
 
 
-def test_csv_scan_finds_records_that_span_lines(spark, tmp_path):
+def test_records_that_span_lines_are_declared(spark, tmp_path):
     folder = tmp_path / "dt=2024-01-01"
     folder.mkdir()
     (folder / "a.csv").write_text('x,y\n1,"a ""b"", c"\n2,d\n')
-    assert not records_span_lines(spark, [str(folder)])
     assert scan_raw_csv(spark, str(tmp_path), ["x", "y"]).count() == 2
     (folder / "b.csv").write_text('x,y\n3,"two\nlines"\n')
-    assert records_span_lines(spark, [str(folder)])
-    assert values(scan_raw_csv(spark, str(tmp_path), ["x", "y"])) == [
+    assert values(scan_raw_csv(spark, str(tmp_path), ["x", "y"], multiline=True)) == [
         ("1", 'a "b", c'),
         ("2", "d"),
         ("3", "two\nlines"),
@@ -395,11 +392,16 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
         assert values(rows, "a") == [("2",), ("4",)] and rows.count() == 2
     (tmp_path / "dt=2024-01-03").mkdir()
     (tmp_path / "dt=2024-01-03" / "x.csv").write_text("a,b\n5,6\n")
+    (tmp_path / "dt=2024-01-04").mkdir()
+    (tmp_path / "dt=2024-01-04" / "x.csv").write_text("c,b\n7,8\n")
+    rows = scan_raw_csv(spark, str(tmp_path), ["a", "b", "c"])
+    assert values(rows) == [("2", "1", None), ("4", "3", None), ("5", "6", None), (None, "8", "7")]
+    alone = scan_raw_csv(spark, str(tmp_path), ["a", "b"], ["2024-01-03"])
+    assert values(alone) == [("5", "6")]
+    (tmp_path / "dt=2024-01-03" / "y.csv").write_text("b,a\n5,6\n")
     for multiline in (True, False):
         rows = scan_raw_csv(spark, str(tmp_path), ["a", "b"], multiline=multiline)
         with pytest.raises(Exception, match="header|schema"):
             rows.collect()
-    alone = scan_raw_csv(spark, str(tmp_path), ["a", "b"], ["2024-01-03"])
-    assert values(alone) == [("5", "6")]
 
 

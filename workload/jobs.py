@@ -220,6 +220,31 @@ def raw_model(spark, sf_dir):
     return scan_table(spark, target.path, report.schema)
 
 
+@query(
+    "model_two_inputs_gap",
+    """
+    SELECT count(*) AS events, strftime(ts, '%Y-%m-%d') AS dt FROM events
+    WHERE strftime(ts, '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-19'
+      AND strftime(ts, '%Y-%m-%d') NOT IN ('2024-01-12', '2024-01-15') GROUP BY 2
+    """,
+)
+def two_inputs(spark, sf_dir):
+    """Two raw inputs, each without one of the dates: neither of these is published from the other's half."""
+    a, b = (fresh_table(spark, name, "csv") for name in ("a", "b"))
+    events = dated_events(spark, sf_dir)
+    publish_partitions(events.where("dt <> '2024-01-12'").select("event_id", "dt"), a)
+    publish_partitions(events.where("dt <> '2024-01-15'").select("event_id", "dt"), b)
+    sql = """
+        SELECT count(DISTINCT event_id) AS events, dt
+        FROM (SELECT * FROM tmp_a UNION ALL SELECT * FROM tmp_b)
+        WHERE dt BETWEEN :start_date AND :end_date GROUP BY dt
+    """
+    target = fresh_table(spark, "daily")
+    inputs = {f"tmp_{t.name}": raw_csv_input(t.path, ["event_id"]) for t in (a, b)}
+    report = backfill(spark, Model("daily", sql, inputs=inputs), target, "2024-01-10", "2024-01-19")
+    return scan_table(spark, target.path, report.schema)
+
+
 def _greet(symbol):
     """A user function: one row per work unit."""
     import pandas as pd

@@ -151,6 +151,7 @@ def csv_readback(spark, sf_dir):
         ["doc_id", "text", "lang", "source", "n_chars"],
         dates_with_files(spark, target.path, "csv"),
         expose_dt=True,
+        multiline=True,
     )
     return rows.withColumns(
         {"doc_id": F.col("doc_id").cast("long"), "n_chars": F.col("n_chars").cast("long")}
@@ -376,6 +377,25 @@ def evolved(spark, sf_dir):
     return rows.select("event_id", "value", F.coalesce("props", F.lit("none")).alias("props"), "dt")
 
 
+@query(
+    "scan_raw_csv_evolved",
+    """
+    SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
+           CASE WHEN strftime(ts, '%Y-%m-%d') > '2024-01-20' THEN CAST(user_id AS VARCHAR) ELSE 'none' END AS user_id,
+           strftime(ts, '%Y-%m-%d') AS dt FROM events
+    """,
+)
+def raw_evolved(spark, sf_dir):
+    """A raw source whose header gains a column and changes its order; each date is read by its own."""
+    target = fresh_table(spark, "events", "csv")
+    events = dated_events(spark, sf_dir)
+    publish_partitions(events.where("dt <= '2024-01-10'").select("event_id", "event_type", "dt"), target)
+    publish_partitions(events.where("dt BETWEEN '2024-01-11' AND '2024-01-20'").select("event_type", "event_id", "dt"), target)
+    publish_partitions(events.where("dt > '2024-01-20'").select("user_id", "event_type", "event_id", "dt"), target)
+    rows = scan_raw_csv(spark, target.path, ["event_id", "event_type", "user_id"], expose_dt=True)
+    return rows.withColumn("user_id", F.coalesce("user_id", F.lit("none")))
+
+
 @query(
     "scan_raw_csv",
     """
