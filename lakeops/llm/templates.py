@@ -31,8 +31,8 @@ WINDOW = 8
 LEAST_WORDS = 5
 #: Windows with a smaller share of literals are no evidence.
 LEAST_LITERALS = 0.5
-#: A document is contaminated by an item if it has this share of its windows, or this many.
-LEAST_SHARE, ENOUGH_WINDOWS = 0.5, 16
+#: A document is contaminated by an item if it has this share of its windows, or this many: thirteen words in a row.
+LEAST_SHARE, ENOUGH_WINDOWS = 0.5, 6
 #: Bits of the bitmap: 2 MB whatever the benchmark holds.
 BITMAP_BITS = 24
 
