@@ -34,16 +34,6 @@ def _portable(fn: Callable) -> bytes:
         cloudpickle.unregister_pickle_by_value(module)
 
 
-def _named_call(fn: Callable) -> Callable[[dict], object]:
-    """A call of ``fn`` with those entries of a mapping that its signature can take."""
-    import inspect
-
-    kinds = {name: p.kind for name, p in inspect.signature(fn).parameters.items()}
-    if inspect.Parameter.VAR_KEYWORD in kinds.values():
-        return lambda given: fn(**given)
-    return lambda given: fn(**{name: given[name] for name in kinds.keys() & given.keys()})
-
-
 def fetch(
     units: DataFrame,
     fn: Callable,
@@ -74,13 +64,20 @@ def fetch(
     portable = _portable(fn)
 
     def run(batches: Iterator) -> Iterator:
+        import inspect
         import io
 
         import numpy as np
         import pandas as pd
         from pyspark import cloudpickle
 
-        call = _named_call(cloudpickle.loads(portable))
+        user = cloudpickle.loads(portable)
+        kinds = {name: p.kind for name, p in inspect.signature(user).parameters.items()}
+        takes_any = inspect.Parameter.VAR_KEYWORD in kinds.values()
+
+        def call(given: dict):
+            """With those entries that the signature can take."""
+            return user(**(given if takes_any else {name: given[name] for name in kinds.keys() & given.keys()}))
 
         def of_payload(payload: bytes) -> pd.DataFrame:
             text = pd.read_csv(io.BytesIO(payload), dtype=str, keep_default_na=False, na_filter=False)

@@ -9,6 +9,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import rows_of
+from workload import ORACLES, QUERIES
 
 SF_DIR = Path("/root/testdata/sf0.001")
 
@@ -24,13 +25,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    frame = queries()[name](spark, str(SF_DIR))
-    cursor = con.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, str(SF_DIR))
+    cursor = con.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(frame.columns)
     assert rows_of(frame.columns, frame.collect()) == rows_of(columns, cursor.fetchall())
