@@ -77,7 +77,7 @@ class Template:
 class Words:
     """What a worker knows about raw words; emptied when full. A word's role depends on the word before it as well."""
 
-    FULL = 800_000
+    FULL = 500_000
 
     def __init__(self):
         self.clear()
