@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.llm.common import carried, forget, prepare_workers, whole_text, written
+from lakeops.llm.templates import bitmap, passing
 
 SEED = 42
 BYTES = 8
@@ -34,6 +35,10 @@ BYTES = 8
 SLICE = 1 << 16
 #: The wide fingerprint: 64-bit words, sets of three positions in its index, and the seed that draws them.
 WIDE, POSITION_SETS, DRAWN = 4, 128, 5
+#: One in so many texts is counted for the order of shingles, and the commonest ones that are put last, at most.
+COUNTED, COMMON = 16, 1 << 18
+#: Parts of the list that one class has under one shingle.
+PARTS = 64
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float32)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -196,58 +201,131 @@ def _position_sets() -> np.ndarray:
     return every[np.random.default_rng(DRAWN).choice(len(every), POSITION_SETS, replace=False)]
 
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """``key, node``: each wide fingerprint under each set of three positions with their bytes."""
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    """XXH64 of the distinct shingles of a whole text, sorted; words and shingles as in :func:`fingerprint_words`."""
+    tokens = text.encode("utf-8", "replace").lower().split()
+    if not tokens:
+        return np.zeros(0, dtype=np.uint64)
+    joined = b" ".join(tokens)
+    n = max(1, len(tokens) - shingle + 1)
+    ends = np.cumsum([len(w) + 1 for w in tokens]) - 1
+    first, last = np.concatenate([[0], ends[:-1] + 1])[:n].tolist(), ends[min(shingle, len(tokens)) - 1 :].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(first, last, strict=True)), np.uint64, n))
+
+
+def _prefix(shingles: np.ndarray, similarity: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in the order that all sets share: those not in ``common`` by hash, then those by count.
+
+    Two sets of at least this similarity have a common shingle among theirs, whatever the order; putting common
+    shingles last only keeps the lists short.
+    """
+    n = len(shingles)
+    rank = np.zeros(n, dtype=np.int64)
+    if len(common):
+        place = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        known = common[place] == shingles
+        rank[known] = counts[place[known]]
+    kept = n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
+    return shingles[np.lexsort((shingles, rank))[:kept]]
+
+
+def _common_shingles(source: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``COMMON`` of the commonest shingles, sorted, and their counts, by a sample of texts: see :func:`_prefix`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text, shingle).view(np.int64))], names=["shingle"])
+
+    sample = source.where(F.pmod("text_key", F.lit(COUNTED)) == 0).select("text").mapInArrow(run, "shingle long")
+    found = sample.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "shingle").limit(COMMON).toArrow()
+    hashes = np.asarray(found["shingle"]).astype(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.asarray(found["n"]).astype(np.int64)[order]
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, source: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Those of ``a, b`` (nodes) whose sets of distinct shingles have at least this Jaccard similarity, written.
+
+    Only texts in some pair are read into sets; the bitmap of fixed size that finds them only saves work.
+    """
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = written(classes.select("node", "text_key").join(nodes, "node"), "wanted")
+    sent = source.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.col("text_key").alias("hash"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = _position_sets()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            words = np.stack([np.asarray(batch.column(f"fp{k}")) for k in range(WIDE)], axis=1)
-            data = words.astype("<i8").view(np.uint8).reshape(-1, BYTES * WIDE).astype(np.int64)
-            keys = np.arange(POSITION_SETS) << 24 | data[:, sets[:, 0]] << 16 | data[:, sets[:, 1]] << 8 | data[:, sets[:, 2]]
-            nodes = np.repeat(np.asarray(batch.column("node")), POSITION_SETS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], names=["key", "node"])
+            keys = np.asarray(batch.column("text_key")).astype(np.int64)
+            for at in np.flatnonzero(passing(keys.view(np.uint64), sent.value)).tolist():
+                found = shingle_set(batch.column("text")[at].as_py(), shingle).view(np.int64)
+                sets = pa.array([found], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 1]), sets], names=["text_key", "shingles"])
 
-    return classes.mapInArrow(run, "key long, node long")
+    read = source.select("text_key", "text").mapInArrow(run, "text_key long, shingles array<long>").dropDuplicates(["text_key"])
+    sets = written(wanted.join(read, "text_key").select("node", "shingles"), "shingle-sets")
+    sides = [sets.select(F.col("node").alias(s), F.col("shingles").alias(f"of_{s}")) for s in "ab"]
+    shared, total = F.size(F.array_intersect("of_a", "of_b")), F.size("of_a") + F.size("of_b")
+    linked = pairs.join(sides[0], "a").join(sides[1], "b").where(shared * (1 + similarity) >= total * similarity - 1e-9)
+    return written(linked.select("a", "b"), "verified")
 
 
 def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, text_key, node, label``: classes of texts whose shingles are similar; equal labels mean one class.
 
-    For similarities whose fingerprints differ in too many bits for a guaranteed minimum of shared bytes: the fingerprint has
-    256 bits, 32 positional bytes, and is indexed under 128 sets of three positions. A pair just at 0.8 shares such a key
-    with probability about 0.85, one at 0.9 with over 0.99. Under a key every text is compared with two of those there,
-    others for each key, so that a group of any size costs its size and not its square; links run through the group.
-    All comparisons are settled by the whole fingerprints. text_key is the text's XXH64. Texts that are NULL, empty or
-    without words form one class.
+    Two texts are linked exactly if their sets of distinct shingles have at least this Jaccard similarity; classes are
+    the connected components of the links. At such similarities fingerprints guarantee no minimum of shared bytes, so
+    candidates come from the sets themselves: in one order of all shingles, two similar sets share one of their first
+    ones (prefix filter), at places from which enough is left of both (position filter). Both are necessary
+    conditions, no pair is lost.
+
+    First each set is compared with the smallest and the largest node of each of its lists, so that a large group of
+    near copies becomes one class at the cost of its size. Then all pairs in a list that are not of one class yet are
+    compared, list by list of the classes' members. All links are settled by the whole sets. text_key is the text's XXH64.
+    Texts that are NULL, empty or without words form one class.
     """
     spark = df.sparkSession
     prepare_workers(spark)
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     source = source.withColumn("text_key", F.xxhash64("text"))
-    names = [f"fp{k}" for k in range(WIDE)]
+    order = spark.sparkContext.broadcast(_common_shingles(source, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint_words(t, shingle, WIDE) for t in batch.column("text").to_pylist()]
-            words = np.array(found, dtype=np.int64).reshape(-1, WIDE)
-            columns = [pa.array(np.ascontiguousarray(words[:, k])) for k in range(WIDE)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *columns], names=["doc_id", "text_key", *names])
-
-    kinds = "doc_id long, text_key long, " + ", ".join(f"{n} long" for n in names)
-    rows = written(source.mapInArrow(run, kinds).withColumn("node", F.xxhash64(*names)), "wide-fingerprints")
-    classes = written(rows.groupBy("node").agg(*(F.first(n).alias(n) for n in names)), "wide-classes")
-    ends = _postings(classes).groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    met = _postings(classes).join(ends, "key")
-    pairs = met.select("node", F.explode(F.array("low", "high")).alias("other")).where("node <> other")
-    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    sides = [classes.select(F.col("node").alias(s), *(F.col(n).alias(f"{s}_{n}") for n in names)) for s in "ab"]
-    both = pairs.join(sides[0], "a").join(sides[1], "b")
-    apart = sum((F.bit_count(F.col(f"a_{n}").bitwiseXOR(F.col(f"b_{n}"))) for n in names), F.lit(0))
-    links = both.where(apart <= allowed_bits(similarity, 64 * WIDE)).select("a", "b")
+            sets = [shingle_set(t, shingle) for t in batch.column("text").to_pylist()]
+            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
+            prefixes = pa.array([_prefix(s, similarity, *order.value).view(np.int64) for s in sets], pa.list_(pa.int64()))
+            columns = [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), prefixes]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), *columns], names=["doc_id", "text_key", "node", "size", "prefix"]
+            )
+
+    kinds = "doc_id long, text_key long, node long, size int, prefix array<long>"
+    rows = written(source.mapInArrow(run, kinds), "shingle-prefixes")
+    classes = written(rows.groupBy("node").agg(F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("prefix").alias("prefix")), "classes")
+    postings = classes.select(F.posexplode("prefix").alias("pos", "shingle"), "node", "size").select("shingle", F.struct("node", "size", "pos").alias("x"))
+    ends = postings.groupBy("shingle").agg(F.min("x").alias("low"), F.max("x").alias("high")).where("low.node <> high.node")
+    lists = written(postings.join(ends, "shingle"), "lists")
+
+    def pairs(frame: DataFrame, x: str, y: str) -> DataFrame:
+        """Distinct pairs of two entries that are far enough from the ends of their sets to be similar."""
+        left = F.least(*(F.col(f"{s}.size") - F.col(f"{s}.pos") for s in (x, y)))
+        enough = left * (1 + similarity) >= (F.col(f"{x}.size") + F.col(f"{y}.size")) * similarity - 1e-9
+        met = frame.where((F.col(f"{x}.node") != F.col(f"{y}.node")) & enough)
+        return met.select(*(f(f"{x}.node", f"{y}.node").alias(s) for f, s in ((F.least, "a"), (F.greatest, "b")))).distinct()
+
+    first = written(pairs(lists.select("x", F.explode(F.array("low", "high")).alias("y")), "x", "y"), "star-pairs")
+    links = _verified(first, classes, source, similarity, shingle)
     labels = components(links)
+    placed = lists.select("shingle", F.col("x.node").alias("node"), "x").join(labels, "node", "left")
+    members = placed.groupBy("shingle", F.coalesce("label", "node").alias("label"), F.pmod("node", F.lit(PARTS)).alias("part")).agg(F.collect_list("x").alias("xs"))
+    members = written(members.select("shingle", "label", "xs"), "members")
+    mixed = members.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("shingle")
+    members = members.join(mixed, "shingle")
+    other = members.select("shingle", F.col("label").alias("label_y"), F.col("xs").alias("ys"))
+    met = members.join(other, "shingle").where("label < label_y").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
+    second = written(pairs(met, "x", "y").join(first, ["a", "b"], "left_anti"), "list-pairs")
+    labels = components(links.unionByName(_verified(second, classes, source, similarity, shingle)))
     return rows.join(labels, "node", "left").select("doc_id", "text_key", "node", F.coalesce("label", "node").alias("label"))
 
 

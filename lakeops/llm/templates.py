@@ -210,7 +210,7 @@ def bitmap(items: DataFrame) -> np.ndarray:
     return words.view(np.uint64)
 
 
-def _passing(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+def passing(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     place = hashes >> np.uint64(64 - BITMAP_BITS)
     return (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
@@ -228,7 +228,7 @@ def document_windows(docs: DataFrame, words_of: Broadcast, lengths: list[int], d
             rows = []
             for length in lengths:
                 at, hashes = windows(template, length)
-                passing = _passing(hashes, words_of.value)
+                passing = passing(hashes, words_of.value)
                 at, hashes = at[passing], hashes[passing]
                 doc = np.searchsorted(template.starts, at, side="right") - 1
                 for a, h, d in zip(at.tolist(), hashes.view(np.int64).tolist(), doc.tolist(), strict=True):

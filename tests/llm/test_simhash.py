@@ -132,3 +132,43 @@ def test_one_of_each_keeps_one_of_a_group_and_every_other(docs_of, edge_rows):
 def test_allowed_bits():
     assert simhash.allowed_bits(1.0, 256) == 0 < simhash.allowed_bits(0.9, 256) < simhash.allowed_bits(0.8, 256) < 64
     assert np.unique(simhash._position_sets(), axis=0).shape == (simhash.POSITION_SETS, 3)
+
+
+def jaccard(a, b):
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a, b)]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def classes_of(docs_of, texts):
+    """Groups of documents by single links at 0.8, by brute force, and those found."""
+    split = [t.split() for t in texts]
+    label = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if label[a] != label[b] and jaccard(split[a], split[b]) >= 0.8:
+                label = [label[b] if x == label[a] else x for x in label]
+    found = {}
+    for row in simhash.similar_documents(docs_of(list(enumerate(texts)))).collect():
+        found.setdefault(row.label, set()).add(row.doc_id)
+    want = {}
+    for at, x in enumerate(label):
+        want.setdefault(x, set()).add(at)
+    return sorted(map(sorted, want.values())), sorted(map(sorted, found.values()))
+
+
+def test_all_pairs_just_similar_in_full_lists_are_found(docs_of):
+    """A passage shared by all texts, and pairs at 0.8 to 0.85 among them."""
+    rng = random.Random(11)
+    passage, texts = words(77, 60), []
+    for k in range(60):
+        base = passage + words(9_000 + k, 140)
+        copy = list(base)
+        for at in rng.sample(range(65, 195), 40):
+            before = list(copy)
+            copy[at] = "changed"
+            if jaccard(base, copy) < 0.8:
+                copy = before
+                break
+        texts += [" ".join(base), " ".join(copy)]
+    want, got = classes_of(docs_of, texts)
+    assert got == want and sum(len(g) == 2 for g in want) == 60
