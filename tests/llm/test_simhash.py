@@ -172,3 +172,19 @@ def test_all_pairs_just_similar_in_full_lists_are_found(docs_of):
         texts += [" ".join(base), " ".join(copy)]
     want, got = classes_of(docs_of, texts)
     assert got == want and sum(len(g) == 2 for g in want) == 60
+
+
+def test_a_template_family_below_the_threshold_stays_whole(docs_of):
+    """Texts at 0.6 to 0.79 of each other are no near duplicates, however many there are."""
+    rng = random.Random(12)
+    form, texts = words(78, 300), []
+    for k in range(80):
+        own = list(form)
+        at = rng.randrange(30, 240)
+        own[at : at + 36] = words(20_000 + k, 36)
+        texts.append(" ".join(own))
+    split = [t.split() for t in texts]
+    near = [jaccard(split[a], split[b]) for a in range(80) for b in range(a)]
+    assert sum(0.6 <= x < 0.8 for x in near) > 800
+    want, got = classes_of(docs_of, texts)
+    assert got == want
