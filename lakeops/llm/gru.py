@@ -166,10 +166,21 @@ class Gru:
             at = slice(turn * WINDOW, (turn + 1) * WINDOW)
             state, gradients = self.gradients(before[at], tokens[at], state)
             step = rate * (1 - 0.9 * turn / n) * np.sqrt(1 - 0.99 ** (turn + 1)) / (1 - 0.9 ** (turn + 1))
+            step = np.float32(step)
             for name, g in gradients.items():
-                first[name] += 0.1 * (g - first[name])
-                second[name] += 0.01 * (g * g - second[name])
-                self.weights[name] -= step * first[name] / (np.sqrt(second[name]) + 1e-5)
+                one, two = first[name], second[name]
+                # In place: a step costs the memory traffic of all parameters.
+                one *= np.float32(0.9)
+                two *= np.float32(0.99)
+                one += np.float32(0.1) * g
+                np.multiply(g, g, out=g)
+                g *= np.float32(0.01)
+                two += g
+                np.sqrt(two, out=g)
+                g += np.float32(1e-5)
+                np.divide(one, g, out=g)
+                g *= step
+                self.weights[name] -= g
 
     def gradients(self, before: np.ndarray, tokens: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         """Last state, and the mean gradients of one window (steps by streams) with what comes before it held fixed."""

@@ -2,8 +2,8 @@
 
 1. Word counts of all training texts (map-side sums, one shuffle).
 2. The commonest words, at most ``FREQUENT``, go to the workers; the ``HEAD`` first of them are the model's own words.
-3. The recurrent model learns from a fixed share of the training texts, so that it grows with the corpus: in each
-   round groups of texts train copies, whose parameters Spark averages.
+3. The recurrent model learns from all training texts: in each round groups of texts train copies, whose
+   parameters Spark averages.
 4. One pass scores all texts. What it needs to know about words that were not sent along, their counts, is
    joined afterwards: a shuffle of rare words only.
 """
@@ -25,8 +25,8 @@ from lakeops.llm.gru import HEAD, TAIL_CLASSES, Gru, tail_class
 
 #: Words sent to the workers, at most.
 FREQUENT = 1 << 18
-#: One in so many training texts teaches the recurrent model.
-TAUGHT = 16
+#: One in so many training texts teaches the recurrent model: all.
+TAUGHT = 1
 GROUP_TEXTS = 1_000
 ROUNDS = 2
 #: Distinct words a task sums up before it hands them on, and tokens scored at once.

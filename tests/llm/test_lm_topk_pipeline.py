@@ -113,6 +113,17 @@ def test_training_helps_on_held_out_texts(docs_of, monkeypatch):
     assert sum(r.score for r in got if r.out) > sum(r.base_score for r in got if r.out) + 100
 
 
+def test_every_training_text_teaches(docs_of, monkeypatch):
+    """With NULL ids, one text, or many: all of them are lessons."""
+    lessons = []
+    original = lm.written
+    monkeypatch.setattr(lm, "written", lambda df, label: lessons.append((label, kept := original(df, label))) or kept)
+    for rows in ([(None, "a b c")], [(3, "a b c")], [(k, f"word{k % 7} x y") for k in range(50)]):
+        lessons.clear()
+        lm.score(docs_of(rows), F.lit(True))
+        assert dict(lessons)["lessons"].count() == len(rows)
+
+
 # Top-k search
 
 
