@@ -30,8 +30,10 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: HEX, but without the runs that are too short to count; a longer run is one match of either.
 LONG_HEX = r"[0-9a-f]{24,}+"
 
-#: What is put to the tests.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+#: What is put to the tests: '=' only ends a candidate, so that the value of an assignment stands alone.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+=*+"
+#: Parts of a candidate that no encoding fits, from the finest: an earlier part that counts stands for the later ones around it.
+PARTS = (r"[A-Za-z0-9+]{20,}+=*+", r"[A-Za-z0-9+/]{20,}+=*+", r"[A-Za-z0-9_-]{20,}+=*+")
 #: The least a candidate must hold without its padding.
 LEAST_SYMBOLS = 16
 #: Share of false discoveries allowed in each stratum.
@@ -163,6 +165,14 @@ def tested(s: Column) -> Column:
     return let(F.rtrim(s, F.lit("=")), lambda bare: let(encoding_of(bare), lambda kind: bins(kind, bare)))
 
 
+def _fits(s: Column) -> Column:
+    return encoding_of(F.rtrim(s, F.lit("="))).isNotNull()
+
+
+def _parts(s: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(s, F.lit(pattern), F.lit(0))
+
+
 def _located(text: Column, pattern: str, hits: Column, worth: Column) -> Column:
     """Start, end and ``worth`` of each hit in code points, from the text between the hits.
 
@@ -196,6 +206,7 @@ def thresholds(df: DataFrame, text: str = "text", alpha: float = ALPHA) -> dict[
     ``16 * len(ENCODINGS)`` strata of ``BINS + 1`` bins reach the driver.
     """
     candidates = df.select(F.explode(F.regexp_extract_all(whole_text(text), F.lit(CANDIDATE), F.lit(0))).alias("s"))
+    candidates = candidates.select(F.explode(F.when(_fits(F.col("s")), F.array("s")).otherwise(F.flatten(F.array(*(_parts(F.col("s"), p) for p in PARTS))))).alias("s"))
     placed = candidates.select(tested(F.col("s")).alias("t")).where("t IS NOT NULL")
     counted: dict[int, dict[int, int]] = {}
     for row in placed.groupBy("t.stratum", "t.bin").count().collect():
@@ -215,7 +226,7 @@ def scan(df: DataFrame, text: str = "text", out: str = "secrets", alpha: float =
 
     kind is an index into :data:`KINDS`; positions are code points, the end is exclusive. Hits of the base patterns are
     all kept; a random string is added where no base hit covers it. Two passes over the texts, no shuffle of
-    rows: the first one counts the candidates' test results, the second finds the spans. NULL and empty texts have
+    rows but of distinct candidates: the first one counts the candidates' test results, the second finds the spans. NULL and empty texts have
     none; rows stay one to one; a column called like the result is replaced.
     """
     lowest = thresholds(df, text, alpha)
@@ -243,11 +254,34 @@ def scan(df: DataFrame, text: str = "text", out: str = "secrets", alpha: float =
         _located(whole, ASSIGN, F.col("_assign"), lengths(values)).alias("_assign_at"),
         _located(whole, ACCESS, F.col("_access"), lengths(F.col("_access"))).alias("_access_at"),
         _located(whole, LONG_HEX, F.col("_hex"), lengths(F.col("_hex"))).alias("_hex_at"),
-        F.transform("_random", counts).alias("_worth"),
+        F.transform("_random", lambda s: F.when(_fits(s), counts(s)).otherwise(2)).alias("_worth"),
     )
     none = F.array().cast("array<struct<start:int,end:int,worth:int>>")
-    some = F.exists("_worth", lambda w: w == 1)
+    some = F.exists("_worth", lambda w: w > 0)
     rows = rows.withColumn("_random_at", F.when(some, _located(whole, CANDIDATE, F.col("_random"), F.col("_worth"))).otherwise(none))
+
+    def within(span: Column) -> Column:
+        """Parts that count of a candidate without encoding (worth 2), placed in the text; any other span itself."""
+        run = F.substring(whole, span["start"] + 1, span["end"] - span["start"])
+
+        def beside(taken: Column, more: Column) -> Column:
+            return F.concat(taken, F.filter(more, lambda s: ~F.exists(taken, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
+
+        def of(pattern: str) -> Column:
+            hits = _parts(run, pattern)
+            return F.filter(_located(run, pattern, hits, F.transform(hits, counts)), lambda s: s["worth"] == 1)
+
+        fine, *wider = map(of, PARTS)
+        found = fine
+        for more in wider:
+            found = let(F.struct(found.alias("taken"), more.alias("more")), lambda g: beside(g["taken"], g["more"]))
+        moved = F.transform(
+            found, lambda s: F.struct((s["start"] + span["start"]).alias("start"), (s["end"] + span["start"]).alias("end"), s["worth"].alias("worth"))
+        )
+        return F.when(span["worth"] == 2, moved).otherwise(F.array(span))
+
+    mixed = F.exists("_worth", lambda w: w == 2)
+    rows = rows.withColumn("_random_at", F.when(mixed, F.flatten(F.transform("_random_at", within))).otherwise(F.col("_random_at")))
     base = F.concat(*(_of_kind(F.col(f"_{k}_at"), k) for k in KINDS[:3]))
     rows = rows.withColumn("_base", base)
     added = F.filter(

@@ -114,6 +114,20 @@ def test_random_strings_are_found_and_words_are_not(docs_of):
     assert all(spans == [(4, 3, 44)] for (i, _), spans in got.items() if i in found)
 
 
+ALPHANUMERIC = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_keys_behind_a_name_or_a_path_are_found(docs_of):
+    secrets = keys(7, 60, ALPHANUMERIC, 40)
+    before = ["STRIPE_KEY=", "?session=", "some-path/to_a/file-name/"]
+    rows = [(k, f"say {before[k % 3]}{s} now") for k, s in enumerate(secrets)]
+    got = scanned(docs_of(rows))
+    for at in range(3):
+        ends = {4 + len(before[at]): 44 + len(before[at])}
+        good = [spans for (i, _), spans in got.items() if i % 3 == at and spans == [(a, 3, b) for a, b in ends.items()]]
+        assert len(good) >= 17
+
+
 def plain_p(s, encoding):
     """The three tests, by the book."""
     import math
