@@ -200,13 +200,14 @@ def _of_kind(spans: Column, kind: str) -> Column:
 
 
 def thresholds(df: DataFrame, text: str = "text", alpha: float = ALPHA) -> dict[int, int]:
-    """For each stratum with discoveries the lowest bin that counts, over all candidates of the corpus.
+    """For each stratum with discoveries the lowest bin that counts, over all distinct candidates of the corpus:
+    copies of a text, or of a long identifier, do not decide about the keys beside them.
 
     Benjamini-Hochberg on binned p-values, each counted as the upper edge of its bin. At most
     ``16 * len(ENCODINGS)`` strata of ``BINS + 1`` bins reach the driver.
     """
-    candidates = df.select(F.explode(F.regexp_extract_all(whole_text(text), F.lit(CANDIDATE), F.lit(0))).alias("s"))
-    candidates = candidates.select(F.explode(F.when(_fits(F.col("s")), F.array("s")).otherwise(F.flatten(F.array(*(_parts(F.col("s"), p) for p in PARTS))))).alias("s"))
+    candidates = df.select(F.explode(F.regexp_extract_all(whole_text(text), F.lit(CANDIDATE), F.lit(0))).alias("s")).distinct()
+    candidates = candidates.select(F.explode(F.when(_fits(F.col("s")), F.array("s")).otherwise(F.flatten(F.array(*(_parts(F.col("s"), p) for p in PARTS))))).alias("s")).distinct()
     placed = candidates.select(tested(F.col("s")).alias("t")).where("t IS NOT NULL")
     counted: dict[int, dict[int, int]] = {}
     for row in placed.groupBy("t.stratum", "t.bin").count().collect():

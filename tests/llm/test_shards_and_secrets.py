@@ -128,6 +128,14 @@ def test_keys_behind_a_name_or_a_path_are_found(docs_of):
         assert len(good) >= 17
 
 
+def test_copies_do_not_decide_about_keys(docs_of):
+    secrets = keys(8, 20, ALPHANUMERIC, 40)
+    rows = [(k, f"say {s} now") for k, s in enumerate(secrets)]
+    rows += [(1_000 + k, "say thisIsAVeryLongCamelCaseIdentifierName1 now") for k in range(3_000)]
+    found = {i for (i, _), spans in scanned(docs_of(rows)).items() if spans}
+    assert len(found & set(range(20))) >= 17 and max(found) < 1_000
+
+
 def plain_p(s, encoding):
     """The three tests, by the book."""
     import math
