@@ -228,8 +228,8 @@ def document_windows(docs: DataFrame, words_of: Broadcast, lengths: list[int], d
             rows = []
             for length in lengths:
                 at, hashes = windows(template, length)
-                passing = passing(hashes, words_of.value)
-                at, hashes = at[passing], hashes[passing]
+                passed = passing(hashes, words_of.value)
+                at, hashes = at[passed], hashes[passed]
                 doc = np.searchsorted(template.starts, at, side="right") - 1
                 for a, h, d in zip(at.tolist(), hashes.view(np.int64).tolist(), doc.tolist(), strict=True):
                     rows.append((names[d], keys[d], a - int(template.starts[d]), length, h, template.slots(a, length)))
