@@ -4,7 +4,8 @@ Words become literals or typed placeholders: numbers, units behind a number, and
 sentence). Windows of this template are hashed and hash-joined with those of the benchmark, so a question whose
 numbers or names were exchanged still meets its original. What fills the slots is then compared: along one
 alignment of a document with an item, each value of the item must always have become the same value of the
-document. Alignments that break this rule are chance meetings of common templates.
+document. Of alignments that break this rule only the windows with the item's own values count; the others are
+chance meetings of common templates.
 
 The join sees only windows that pass a bitmap of fixed size over the benchmark's hashes. The bitmap only saves
 work: whatever passes is decided by the join.
@@ -241,8 +242,8 @@ def document_windows(docs: DataFrame, words_of: Broadcast, lengths: list[int], d
 def contaminations(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """Documents that hold benchmark items: ``doc_id, doc_key, item_id, kind, windows, n_windows``.
 
-    One row for each contaminated document and item. kind: ``copy`` if all slots hold the item's own values, else
-    ``reparameterised``. NULL and empty texts hold nothing; documents or items that share an id and a text give one
+    One row for each contaminated document and item. kind: ``copy`` if all slots of an alignment hold the item's own
+    values, or those of enough windows where its others contradict each other; else ``reparameterised``. NULL and empty texts hold nothing; documents or items that share an id and a text give one
     row; an empty table on either side gives none.
     """
     spark = docs.sparkSession
@@ -261,18 +262,24 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
         (F.col("doc_at") - F.col("item_at")).alias("shift"),
         F.filter(filled, lambda s: s["item"] != "").alias("filled"),
     )
+    own = F.forall("filled", lambda s: s["item"] == s["doc"])
     # An alignment has at most as many rows as the item has windows.
     lines = aligned.groupBy("doc_id", "doc_key", "item_id", "item_key", "n_windows", "shift").agg(
-        F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_list("filled"))).alias("filled")
+        F.collect_set("item_at").alias("places"),
+        F.array_distinct(F.flatten(F.collect_list("filled"))).alias("filled"),
+        F.collect_set(F.when(own, F.col("item_at"))).alias("verbatim"),
     )
     values = F.transform("filled", lambda s: s["item"])
-    lines = lines.where(F.size("filled") == F.size(F.array_distinct(values)))
-    same = F.forall("filled", lambda s: s["item"] == s["doc"])
+    consistent = F.size("filled") == F.size(F.array_distinct(values))
+    enough_of = lambda n: (n >= LEAST_SHARE * F.col("n_windows")) | (n >= ENOUGH_WINDOWS)
+    places = F.when(consistent, F.col("places")).otherwise(F.col("verbatim"))
+    same = F.when(consistent, F.forall("filled", lambda s: s["item"] == s["doc"])).otherwise(enough_of(F.size("verbatim")))
+    lines = lines.select("doc_id", "doc_key", "item_id", "item_key", "n_windows", places.alias("places"), same.alias("same"))
     found = lines.groupBy("doc_id", "doc_key", "item_id", "item_key", "n_windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("windows"),
-        F.max(same).alias("copied"),
+        F.max("same").alias("copied"),
     )
-    enough = (F.col("windows") >= LEAST_SHARE * F.col("n_windows")) | (F.col("windows") >= ENOUGH_WINDOWS)
+    enough = enough_of(F.col("windows"))
     kind = F.when(F.col("copied"), "copy").otherwise("reparameterised")
     return found.where(enough).select("doc_id", "doc_key", "item_id", kind.alias("kind"), "windows", "n_windows")
 

@@ -206,3 +206,14 @@ def test_clean_keeps_the_rest(spark, docs_of, edge_rows):
     assert got.count() == len(edge_rows) + 1 and "hash" in got.columns
     assert templates.clean(docs_of([]), bench).count() == 0
     assert templates.clean(docs_of(rows), items(spark, [])).count() == len(rows)
+
+
+def test_one_contradiction_does_not_hide_a_copy(spark, docs_of):
+    """Sixty words are copied; one later mention of a repeated number is changed, so the alignment contradicts itself."""
+    plain = prose(901, 50).split()
+    item = plain[:5] + ["17"] + plain[5:44] + ["17"] + plain[44:]
+    copy = list(item)
+    copy[45] = "18"
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = templates.contaminations(docs_of([(1, " ".join(copy)), (2, prose(902, 60))]), benchmark).collect()
+    assert [(r.doc_id, r.item_id, r.kind) for r in got] == [(1, 1, "copy")]
