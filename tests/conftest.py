@@ -25,9 +25,3 @@ def lake(tmp_path):
         return LakeTable(str(tmp_path / "lake"), layer, name, fmt)
 
     return make
-
-
-def values(df, *columns):
-    """Rows as sorted tuples."""
-    rows = df.select(*columns).collect() if columns else df.collect()
-    return sorted((tuple(r) for r in rows), key=lambda r: tuple(str(v) for v in r))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import values
+from support import values
 
 from lakeops.operators import manifest as log
 from lakeops.operators import publish

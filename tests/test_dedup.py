@@ -4,7 +4,7 @@ import random
 
 import pandas as pd
 import pytest
-from conftest import values
+from support import values
 
 from lakeops.operators.dedup import dedup_last, dedup_latest
 from lakeops.sources.scan import scan_parts

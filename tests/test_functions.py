@@ -4,7 +4,7 @@ from datetime import date, timedelta
 
 import pandas as pd
 import pytest
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 
 from lakeops.functions.dates import (

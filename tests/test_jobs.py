@@ -5,7 +5,7 @@ from datetime import date
 
 import pandas as pd
 import pytest
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

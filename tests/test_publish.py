@@ -3,7 +3,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 
 from lakeops.operators import publish

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import values
+from support import values
 
 from lakeops.operators.publish import (
     PartitionExistsError,
