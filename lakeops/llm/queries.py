@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, html_text, lm, packing, quality, secret_scan, shards, simhash, templates, topk
+from lakeops.llm import bpe, clustering, html_text, lm, packing, quality, secret_scan, shards, simhash, templates, topk, toxicity, whitening
 from lakeops.llm.common import fold, table, whole_text
 from lakeops.session import scratch_path
 
@@ -124,3 +124,65 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM numbered WHERE rank <= 5
 """
+
+
+@query
+def op11_polarisation_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    wanted = ["whitened", "explained", "identity_error"]
+    return white.select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), *wanted)
+
+
+@query
+def op12_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 0, 5)
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn_from=~held_out)
+    toxic = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return toxicity.score(docs, lexicon).select("doc_id", held_out.alias("held_out"), "score", toxic.alias("predicted"), "n_hits", "n_words")
+
+
+@query
+def op13_bisector_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = clustering.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=16, rounds=3, size=64)
+    spelled = F.concat_ws(",", F.col("centroid").cast("array<string>"))
+    whole = [F.col(c).try_cast("long").alias(c) for c in ("distance", "cluster_inertia", "inertia")]
+    return done.select("vec_id", "cluster", *whole, F.sha2(spelled.cast("binary"), 256).alias("centroid_sha256"))
+
+
+def _clustering_sql(k: int = 16, rounds: int = 3) -> str:
+    """The contract's rounds in SQL, distances by plain comparison with every centroid."""
+    apart = "CAST(list_sum(list_transform(range(1, 65), lambda d: (v.x[d] - c.x[d]) * (v.x[d] - c.x[d]))) AS BIGINT)"
+    steps = [
+        """v AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+)""",
+        f"""c0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)) NULLS LAST, x) - 1 AS INTEGER) AS cluster, x
+    FROM v ORDER BY cluster LIMIT {k}
+)""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (
+    SELECT rid, min(struct_pack(distance := distance, cluster := cluster)) AS best
+    FROM (SELECT v.rid, c.cluster, {apart} AS distance FROM v, c{n} c) GROUP BY rid
+)""")
+        if n < rounds:
+            steps.append(f"""c{n + 1} AS MATERIALIZED (
+    SELECT o.cluster, coalesce(m.x, o.x) AS x FROM c{n} o LEFT JOIN (
+        SELECT cluster, list(mean ORDER BY d) AS x FROM (
+            SELECT cluster, d, CAST((sum(e) - ((sum(e) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS mean
+            FROM (SELECT a.best.cluster AS cluster, unnest(range(1, 65)) AS d, unnest(v.x) AS e FROM a{n} a JOIN v USING (rid)) GROUP BY cluster, d
+        ) GROUP BY cluster
+    ) m USING (cluster)
+)""")
+    return f"""WITH {", ".join(steps)}
+SELECT v.vec_id, a.best.cluster AS cluster, a.best.distance AS distance,
+       CAST(sum(a.best.distance) OVER (PARTITION BY a.best.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.best.distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} a USING (rid) JOIN c{rounds} c ON c.cluster = a.best.cluster
+"""
+
+
+ORACLES["op13_bisector_tournament"] = _clustering_sql()

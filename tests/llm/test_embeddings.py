@@ -1,0 +1,212 @@
+"""Whitening and centroid clustering against plain arithmetic on whole numbers."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+from fractions import Fraction
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from lakeops.llm import clustering, whitening
+
+SF_DIR = Path("/root/testdata/sf0.001")
+
+VECTORS = T.StructType(
+    [
+        T.StructField("vec_id", T.LongType()),
+        T.StructField("embedding", T.ArrayType(T.FloatType())),
+        T.StructField("label", T.IntegerType()),
+    ]
+)
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(*r, 0) for r in rows], VECTORS)
+
+
+def random_rows(n, size, seed=1):
+    rng = np.random.default_rng(seed)
+    mixed = rng.normal(size=(size, size)) / size
+    return [(i, [float(np.float32(v)) for v in rng.normal(size=size) @ mixed]) for i in range(n)]
+
+
+UNSOUND = [(90, None), (91, [math.nan, 1.0, 2.0]), (92, [math.inf, 0.0, 1.0]), (93, [None, 1.0, 2.0])]
+
+
+def exact_fit(rows):
+    """Distinct whole-numbered vectors, their sums, and the covariance matrix in fractions."""
+    x = sorted({tuple(math.floor(64 * c) + 1_000_000 for c in v) for _, v in rows})
+    n, size = len(x), len(x[0])
+    sums = [sum(v[d] for v in x) for d in range(size)]
+    y = [[n * v[d] - sums[d] for d in range(size)] for v in x]
+    cov = [[Fraction(sum(r[i] * r[j] for r in y), n**3) for j in range(size)] for i in range(size)]
+    return n, sums, np.array([[float(c) for c in row] for row in cov])
+
+
+def check_whitened(got, rows, components):
+    n, sums, cov = exact_fit(rows)
+    size = len(sums)
+    values = np.linalg.eigvalsh(cov)[::-1]
+    by_row = {}
+    for r in got:
+        by_row.setdefault((r["vec_id"], r["deviation"]), []).append(r)
+    white = []
+    for vec_id, v in rows:
+        x = [math.floor(64 * c) + 1_000_000 for c in v]
+        deviation = sum((n * x[d] - sums[d]) ** 2 for d in range(size))
+        own = sorted(by_row[vec_id, deviation], key=lambda r: r["component"])[:: max(1, len(by_row[vec_id, deviation]) // min(components, size))]
+        assert [r["component"] for r in own] == list(range(1, min(components, size) + 1))
+        assert all(r["n"] == n for r in own)
+        for r in own:
+            assert r["explained"] == pytest.approx(values[r["component"] - 1] / values.sum(), rel=1e-9)
+        # squared distance to the mean in the whitened space does not depend on the axes' signs
+        if components >= size:
+            centred = np.array([float(Fraction(x[d]) - Fraction(sums[d], n)) for d in range(size)])
+            assert sum(r["whitened"] ** 2 for r in own) == pytest.approx(centred @ np.linalg.solve(cov, centred), rel=1e-6)
+        white.append((tuple(x), [r["whitened"] for r in own]))
+    z = np.array([w for _, w in dict(white).items()]) if len(dict(white)) == n else None
+    assert z is not None
+    z = z - z.mean(axis=0)
+    assert np.abs(z.T @ z / n - np.eye(z.shape[1])).max() < 1e-9
+    assert all(r["identity_error"] < 1e-9 for r in got)
+
+
+@pytest.mark.parametrize("components", [16, 3])
+def test_whitened_as_in_fractions(spark, components):
+    rows = random_rows(60, 6)
+    repeated = [*rows, rows[5], (77, rows[6][1]), (None, rows[7][1])]
+    got = whitening.whiten(vectors(spark, [*repeated, *UNSOUND]).repartition(5), components=components)
+    assert got.columns == ["vec_id", "label", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    got = got.collect()
+    assert len(got) == len(repeated) * min(components, 6)
+    check_whitened([r for r in got if r["vec_id"] is not None], [r for r in repeated if r[0] is not None], components)
+
+
+def test_deviation_is_exact_beyond_long(spark):
+    rows = [(i, [float(2.0**40 * i), float(2.0**30 * (i * i)), 0.5]) for i in range(40)]
+    got = {(r["vec_id"], r["component"]): r for r in whitening.whiten(vectors(spark, rows)).collect()}
+    n, sums, _ = exact_fit(rows)
+    x = [math.floor(64 * c) + 1_000_000 for c in rows[39][1]]
+    exact = sum((n * x[d] - sums[d]) ** 2 for d in range(3))
+    assert int(got[39, 1]["deviation"]) == exact > 2**63
+    assert max(c for _, c in got) == 2  # the third dimension is constant
+
+
+def test_whitening_edges(spark):
+    assert whitening.whiten(vectors(spark, [])).collect() == []
+    assert whitening.whiten(vectors(spark, [*UNSOUND, (1, [])])).collect() == []
+    # one vector, however often, has no variance and so no components
+    assert whitening.whiten(vectors(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])])).collect() == []
+    # lengths are spaces of their own
+    two = random_rows(30, 4) + random_rows(20, 3, seed=2)
+    got = whitening.whiten(vectors(spark, [(i, v) for i, (_, v) in enumerate(two)])).collect()
+    assert len(got) == 30 * 4 + 20 * 3
+    check_whitened([r for r in got if r["vec_id"] < 30], two[:30], 16)
+    # huge entries count as the largest one that is held, and nothing fails; the small dimension is lost in rounding
+    huge = [(1, [3e38, 1.0]), (2, [-3e38, 2.0]), (3, [0.0, 5.0])]
+    assert len(whitening.whiten(vectors(spark, huge)).collect()) == 3
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame(
+        [(i, v, 1, "a", "b", 2, "x") for i, v in random_rows(20, 4)],
+        "vec_id long, embedding array<float>, component int, _x string, _size string, c0 int, `dotted.name` string",
+    )
+    got = whitening.whiten(df)
+    assert got.columns == ["vec_id", "_x", "_size", "c0", "dotted.name", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    assert got.where("_x = 'a' and _size = 'b' and c0 = 2").count() == 80
+    other = df.withColumnRenamed("component", "cluster").withColumnRenamed("_size", "_key")
+    done = clustering.cluster(other, k=3, size=4)
+    assert done.columns == ["vec_id", "_x", "_key", "c0", "dotted.name", "cluster", "distance", "cluster_inertia", "inertia", "centroid"]
+    assert done.where("_x = 'a' and _key = 'b'").count() == 20
+
+
+# ------------------------------------------------------------------------- clustering
+
+
+def plain_clusters(rows, k, rounds, size):
+    kept = [(i, [math.floor(64 * c) for c in v]) for i, v in rows if v is not None and len(v) == size and all(c is not None and math.isfinite(c) for c in v)]
+    first = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"1:{r[0]}".encode()).hexdigest(), r[1]))
+    centroids = [x for _, x in first[:k]]
+
+    def nearest(x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), n) for n, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        own = {}
+        for _, x in kept:
+            own.setdefault(nearest(x)[1], []).append(x)
+        centroids = [[sum(col) // len(own[n]) for col in zip(*own[n], strict=True)] if n in own else c for n, c in enumerate(centroids)]
+    final = [(i, *reversed(nearest(x))) for i, x in kept]
+    inertia = {}
+    for _, c, d in final:
+        inertia[c] = inertia.get(c, 0) + d
+    return [(i, c, d, inertia[c], sum(inertia.values()), tuple(centroids[c])) for i, c, d in final]
+
+
+def clustered(df, **kwargs):
+    rows = clustering.cluster(df, **kwargs).collect()
+    return [
+        (r["vec_id"], r["cluster"], int(r["distance"]), int(r["cluster_inertia"]), int(r["inertia"]), tuple(r["centroid"])) for r in rows
+    ]
+
+
+def ordered(rows):
+    return sorted(rows, key=str)
+
+
+@pytest.mark.parametrize(("n", "k", "rounds"), [(80, 5, 3), (80, 16, 0), (3, 5, 2), (1, 4, 3)])
+def test_tournament_as_by_all_distances(spark, n, k, rounds):
+    rows = random_rows(n, 4)
+    rows += [(500 + i, v) for i, v in rows[: n // 3]]  # repeated vectors, so ties between equal seeds
+    rows += [(None, [0.1, 0.2, 0.3, 0.4]), (7, [9.0, 9.0, 9.0, 9.0]), *UNSOUND, (95, [1.0]), (96, [])]
+    got = clustered(vectors(spark, rows).repartition(6), k=k, rounds=rounds, size=4)
+    assert ordered(got) == ordered(plain_clusters(rows, k, rounds, 4))
+
+
+def test_empty_clusters_stay_and_ties_go_to_the_smaller_number(spark):
+    # all seeds equal: the first takes everything, the others stay where they are
+    rows = [(i, [1.0, 1.0]) for i in range(10)] + [(100, [3.0, 1.0])]
+    got = clustered(vectors(spark, rows), k=4, rounds=2, size=2)
+    assert ordered(got) == ordered(plain_clusters(rows, 4, 2, 2))
+    assert len({c for i, c, *_ in got if i < 10}) == 1
+
+
+def test_clustering_edges(spark):
+    assert clustered(vectors(spark, []), k=4, size=4) == []
+    assert clustered(vectors(spark, UNSOUND), k=4, size=3) == []
+    huge = [(1, [3e38, -3e38]), (2, [-3e38, 3e38]), (3, [0.0, 0.5])]
+    got = clustered(vectors(spark, huge), k=2, rounds=1, size=2)
+    held = [(i, [max(min(c, 2.0**47), -(2.0**47)) for c in v]) for i, v in huge]
+    assert ordered(got) == ordered(plain_clusters(held, 2, 1, 2))
+
+
+def test_bisectors_beyond_64_bits():
+    far = clustering.Bisectors.of([[2**60, 0], [2**60, 3], [-(2**60), 0]])
+    winner, distance = far.nearest(np.array([[2**60, 1], [2**60, 2], [-5, 0]], dtype=np.int64))
+    assert winner.tolist() == [0, 1, 2] and distance[:2].tolist() == [1, 1]
+    assert distance[2] == (2**60 - 5) ** 2
+
+
+# --------------------------------------------------------------------- whole queries
+
+
+@pytest.mark.skipif(not SF_DIR.is_dir(), reason="no test tables")
+def test_queries_on_the_small_tables(spark):
+    from lakeops.llm.queries import QUERIES
+
+    rows = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
+    got = QUERIES["op11_polarisation_whitening"](spark, str(SF_DIR))
+    kinds = dict(got.dtypes)
+    assert (kinds["component"], kinds["n"], kinds["deviation"], kinds["whitened"]) == ("int", "bigint", "bigint", "double")
+    check_whitened(got.collect(), rows, 16)
+    found = QUERIES["op13_bisector_tournament"](spark, str(SF_DIR))
+    want = plain_clusters([r for r in rows], 16, 3, 64)
+    digest = lambda c: hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()
+    columns = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    assert found.columns == columns
+    assert ordered(tuple(r) for r in found.collect()) == ordered((*w[:5], digest(w[5])) for w in want)

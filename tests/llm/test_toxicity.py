@@ -1,0 +1,122 @@
+"""The toxicity lexicon: folding, matching, exceptions, learning, held-out accuracy."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeops.llm import toxicity
+
+SF_DIR = Path("/root/testdata/sf0.01")
+WORDS = ["river", "stone", "window", "garden", "paper", "silver", "morning", "travel", "winter", "music", "bottle", "carpet"]
+INSULTS = ["gronkel", "fizzwit", "blarnog"]
+
+
+def test_fold():
+    assert toxicity.fold("") == " " and toxicity.fold("?! 12 _") == " "
+    assert toxicity.fold("You IDIOT!!") == " you idiot "
+    assert toxicity.fold("1d10t m0r0n $tup!d tr@sh") == " idiot moron stupid trash "
+    assert toxicity.fold("\u0456d\u0456\u043et \uff4d\uff4fr\u200bon \u00eddi\u00f4t st\u00adupid") == " idiot moron idiot stupid "
+    assert toxicity.fold("in 2024, 15 cats") == " in cats "
+
+
+def test_longest_entry_and_exceptions_count():
+    lexicon = toxicity.Lexicon({" gronk": 3.0, " gronkade": 0.0, " trash ": 2.0}, (" trash can ", " big trash "))
+    found = lambda t: toxicity.hits(lexicon.automaton(), toxicity.fold(t))
+    assert [w for _, w in found("Gronkel, gronk and GRONKING")] == [3.0, 3.0, 3.0]
+    assert found("a gronkade; the trash can; big trash") == []
+    assert [w for _, w in found("trash, can: trash")] == [2.0]
+    assert [w for _, w in found("big trash can trash")] == [2.0]
+    assert found("") == [] and toxicity.hits(toxicity.Lexicon().automaton(), " a ") == []
+
+
+def corpus(n=600, seed=3):
+    """Documents with labels: toxic ones hold invented insults, often disguised; 'gronkelberry' is harmless."""
+    rng = random.Random(seed)
+    docs, labels = [], []
+    for i in range(n):
+        words = rng.choices(WORDS, k=rng.randint(20, 60))
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(4):
+                insult = rng.choice(INSULTS)
+                words.insert(rng.randrange(len(words)), insult.replace("o", "0") if i % 8 == 0 else insult.upper())
+        elif i % 4 == 1:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), "gronkelberry")
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    # copies of one toxic text, which say much about a harmless word
+    for i in range(n, n + 150):
+        docs.append((i, "zebra lamp zebra lamp blarnog zebra lamp" + (" ." if i % 2 else "")))
+        labels.append((i, 1))
+    return docs, labels
+
+
+def test_learns_insults_not_copies(spark, docs_of):
+    docs, labels = corpus()
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    lexicon = toxicity.fit(docs_of(docs), table, learn_from=F.lit(True))
+    weights = {e.strip(): w for e, w in lexicon.entries.items()}
+    assert all(any(w > 0 and insult.startswith(e) for e, w in weights.items()) for insult in INSULTS)
+    assert not any(w > 0 and e in ("zebra", "lamp", *WORDS) for e, w in weights.items())
+    fresh = [
+        (1, " ".join(WORDS * 2)),
+        (2, "river stone you gr0nkel and fizzw\u0456t " + " ".join(WORDS)),
+        (3, "gronkelberry river gronkelberry " + " ".join(WORDS)),
+        (4, None),
+        (5, ""),
+        (6, "zebra lamp " + " ".join(WORDS)),
+        (None, "blarnog fizzwit gronkel " + " ".join(WORDS)),
+        (7, " ".join(WORDS * 2)),
+    ]
+    got = {(r["doc_id"], r["text"]): r for r in toxicity.score(docs_of(fresh), lexicon).collect()}
+    score = {k[0]: r["score"] for k, r in got.items()}
+    assert score[2] >= 0.5 and score[None] >= 0.5
+    assert max(score[i] for i in (1, 3, 4, 5, 6)) < 0.5
+    assert score[1] == score[7] and all(0 <= s <= 1 for s in score.values())
+
+
+def test_without_labels_and_without_rows(spark, docs_of, edge_rows):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    lexicon = toxicity.fit(docs_of(edge_rows), none, learn_from=F.lit(True))
+    got = toxicity.score(docs_of(edge_rows), lexicon).collect()
+    assert len(got) == len(edge_rows) and {r["score"] for r in got} == {0.0}
+    odd = spark.createDataFrame([(5, 1), (5, 0), (None, 1), (7, None), (3, 9)], "doc_id long, toxic int")
+    assert toxicity.fit(docs_of(edge_rows), odd, learn_from=F.lit(True)).scale == ()
+    one = spark.createDataFrame([(3, 0), (7, 0), (4, 0)], "doc_id long, toxic int")
+    some = toxicity.score(docs_of(edge_rows), toxicity.fit(docs_of(edge_rows), one, learn_from=F.lit(True))).collect()
+    assert all(0 <= r["score"] < 0.5 for r in some)
+    assert toxicity.score(docs_of([]), lexicon).collect() == []
+
+
+def test_clashing_columns_and_long_texts(spark):
+    lexicon = toxicity.Lexicon({" gronkel ": 5.0}, (), (-3.0, 30.0, 1.0, 0.5))
+    long = "river " * 300_000 + "gronkel"
+    rows = [(1, long, "a", "b", "c", 1.5), (2, "gronkel", "a", "b", "c", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, folded string, _total string, c0 string, score double")
+    got = toxicity.score(df, lexicon)
+    assert got.columns == ["doc_id", "text", "folded", "_total", "c0", "score", "n_hits", "n_words"]
+    found = {r["doc_id"]: r for r in got.collect()}
+    assert found[1]["n_hits"] == 1 and found[1]["n_words"] == 300_001 and found[1]["folded"] == "a"
+    assert found[2]["score"] > 0.5 > found[1]["score"]
+
+
+@pytest.mark.skipif(not SF_DIR.is_dir(), reason="no test tables")
+def test_held_out_accuracy_of_the_query(spark):
+    from lakeops.llm.queries import QUERIES
+
+    got = QUERIES["op12_lexicon_toxicity"](spark, str(SF_DIR))
+    assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert len(rows) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in rows.items())
+    assert all(r["predicted"] == int(r["score"] >= 0.5) for r in rows.values())
+    truth = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    held = [(truth[i], r["predicted"]) for i, r in rows.items() if r["held_out"] and i in truth]
+    right = sum(t == p for t, p in held)
+    assert right >= 0.93 * len(held)
