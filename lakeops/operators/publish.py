@@ -122,10 +122,10 @@ class LakeTable:
         """Partitions published successfully, as ``dt``."""
         return log.completed_partitions(self.manifest(spark))
 
-    def read(self, spark: SparkSession, schema: T.StructType | None = None, multiline: bool = True) -> DataFrame:
+    def read(self, spark: SparkSession, schema: T.StructType | None = None, multiline: bool = False) -> DataFrame:
         """The published rows; CSV tables need their schema and come as text.
 
-        Without line breaks in CSV values, ``multiline=False`` lets Spark split the files.
+        Spark splits CSV files. Say ``multiline=True`` where values hold line breaks: each file is then read by one task.
         """
         if self.fmt == "csv":
             if schema is None:
@@ -570,7 +570,7 @@ def adopt_partitions(
     found = sorted(m.rsplit(f"/{PARTITION_COLUMN}=", 1)[1].split("/")[0] for m in marked)
     listed = spark.createDataFrame([(dt,) for dt in found], f"{PARTITION_COLUMN} string")
     fresh = sorted(r[0] for r in exclude_dates(listed, table.completed(spark)).collect())
-    rows = keep_dates(table.read(spark, schema), fresh)
+    rows = keep_dates(table.read(spark, schema, multiline=True), fresh)
     run = run_id or new_run_id("adopt")
     log.append_manifest(
         spark,
@@ -626,7 +626,7 @@ def publish_snapshot(
             copy = not files.file_system_handles_renames(spark, table.path)
         if copy:
             schema = all_text(df.schema) if table.fmt == "csv" else df.schema
-            staged = scan_snapshot(spark, staging, table.fmt, schema)
+            staged = scan_snapshot(spark, staging, table.fmt, schema, multiline=True)
             _added_then_replaced(
                 spark, f"{table.path}/*", lambda _: True, lambda: _writer(staged, table.fmt, "append").save(table.path)
             )

@@ -19,7 +19,7 @@ from lakeops.operators.publish import (
     publish_no_data,
     publish_partitions,
 )
-from lakeops.plans.models import Model, run_model
+from lakeops.plans.models import Model, NotOverDays, run_model
 
 OUTCOME_SCHEMA = "dt string, status string, error_type string, error string"
 
@@ -37,6 +37,10 @@ class BackfillReport:
     row_count: int = 0
     jobs: int = 0
     cleared: list[str] = field(default_factory=list)
+    #: How the model ran: ``range``, ``set`` (a date model for all dates in one plan), ``loop`` or ``snapshot``.
+    form: str = "range"
+    #: Why a date model ran as a loop.
+    why_loop: str | None = None
     #: Rows that were not published: outcome, ``dt`` and ``row_count`` of each kind.
     rejected: list[dict] = field(default_factory=list)
     schema: T.StructType | None = field(default=None, repr=False)
@@ -72,8 +76,9 @@ def backfill(
     are left out and reported; dates without rows succeed and are cleared. When
     the job itself raises and ``continue_on_error`` is set, the range is halved
     until the failing dates stand alone, so k bad dates among n cost about
-    k log n jobs instead of n. Date models run one job per date; a snapshot runs
-    once. Without ``continue_on_error`` a range model publishes nothing when any
+    k log n jobs instead of n. A date model runs for all dates in one job too if it provably asks for its own date
+    alone (``Model.frame_of_days``), else one job per date; ``form`` in the report says which. A snapshot runs
+    once. Without ``continue_on_error`` a run of many dates publishes nothing when any
     date fails.
     """
     days = days_between(start, end)
@@ -82,12 +87,19 @@ def backfill(
     run = run_id or new_run_id("backfill")
     report = BackfillReport(table.dest, {})
     if model.kind == "snapshot":
+        report.form = "snapshot"
         _attempt(
             report, [start], continue_on_error,
             lambda: run_model(spark, model, table, run_id=run, run_date=start),
         )
         return report
     if model.kind == "date":
+        report.form = "set"
+        try:
+            model.frame_of_days(spark, days)
+        except NotOverDays as reason:
+            report.form, report.why_loop = "loop", str(reason)
+    if report.form == "loop":
         for day in days:
             _attempt(
                 report, [day], continue_on_error,
@@ -125,7 +137,8 @@ def _publish(
     continue_on_error: bool,
     run_id: str,
 ) -> PublishReport:
-    frame = model.frame(spark, days)
+    one_date = model.kind == "date" and len(days) == 1
+    frame = model.frame(spark, days) if one_date or model.kind != "date" else model.frame_of_days(spark, days)
     if frame is None:
         return publish_no_data(spark, table, days, run_id)
     return publish_partitions(
@@ -135,7 +148,7 @@ def _publish(
         checks=checks,
         fail_dates="skip" if continue_on_error else "raise",
         run_id=run_id,
-        rebalance=model.kind != "date",
+        rebalance=not one_date,
     )
 
 

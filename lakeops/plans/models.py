@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,33 @@ _NAME = r"[A-Za-z_][A-Za-z0-9_]*"
 _PLACEHOLDER = re.compile(rf"\$(?:(?P<escaped>\$)|\{{(?P<braced>{_NAME})\}}|(?P<bare>{_NAME}))")
 
 
+#: A date as it stands in a model's SQL: as a stamp on the result, as a date literal, quoted, or as a parameter.
+_QUOTED = re.compile(r"'\$(?:\{PARTITION_DATE\}|PARTITION_DATE\b)'")
+_PARAMETER = re.compile(r":partition_date\b")
+_AS_DATE = re.compile(rf"\bDATE\s*(?:{_QUOTED.pattern})", re.IGNORECASE)
+_STAMP = re.compile(rf"(?:{_QUOTED.pattern}|{_PARAMETER.pattern})\s+AS\s+`?dt`?(?!\w)", re.IGNORECASE)
+_DAY = "_day.partition_date"
+#: How the optimizer prints the relation that stands for an input's other days; it is never read.
+_MARK = "LogicalRDD ["
+
+
+class NotOverDays(ValueError):
+    """A date model that can only be run date by date."""
+
+
+def _names_date(sql: str) -> bool:
+    return any("PARTITION_DATE" in (m["braced"], m["bare"]) for m in _PLACEHOLDER.finditer(sql))
+
+
+def _optimized(frame: DataFrame) -> str:
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _is_empty(frame: DataFrame) -> bool:
+    """Whether the optimizer proves that the frame has no rows."""
+    return _optimized(frame).startswith("LocalRelation <empty>")
+
+
 class MissingVariableError(ValueError):
     """A template names a variable that was not given."""
 
@@ -40,7 +70,7 @@ def render(sql: str, variables: Mapping[str, str] | None = None) -> str:
     named = {m["braced"] or m["bare"] for m in _PLACEHOLDER.finditer(sql) if not m["escaped"]}
     missing = sorted(named - set(given))
     if missing:
-        raise MissingVariableError(f"Missing template variable: {', '.join(missing)}")
+        raise MissingVariableError(f"No value was given for {', '.join(missing)}")
 
     def value(match: re.Match) -> str:
         return "$" if match["escaped"] else str(given[match["braced"] or match["bare"]])
@@ -73,14 +103,14 @@ class Model:
         location = Path(path)
         text = location.read_text(encoding="utf-8")
         if not text.strip():
-            raise ValueError(f"SQL file is empty: {location}")
+            raise ValueError(f"No SQL in {location}")
         return cls(location.stem, text, **kwargs)
 
     @property
     def kind(self) -> str:
         if re.search(r":(start_date|end_date)\b", self.sql):
             return "range"
-        if "${PARTITION_DATE}" in self.sql or re.search(r":partition_date\b", self.sql):
+        if _names_date(self.sql) or _PARAMETER.search(self.sql):
             return "date"
         return "snapshot"
 
@@ -99,8 +129,82 @@ class Model:
             if not dates:
                 raise ValueError(f"Model {self.name} needs dates")
             args |= {"start_date": min(dates), "end_date": max(dates)}
-        text = render(self.sql, variables)
-        return spark.sql(text, args=args) if args else spark.sql(text)
+        return self._result(spark, render(self.sql, variables), args)
+
+    def _result(self, spark: SparkSession, text: str, args: Mapping[str, object]) -> DataFrame:
+        return spark.sql(text, args=dict(args)) if args else spark.sql(text)
+
+    def _over_days(self, days: Sequence[str]) -> str | None:
+        """The SQL of a date model as a lateral join with a list of days; None if the date is used in other ways.
+
+        The date may be a quoted placeholder or a parameter. Where it only stamps ``dt``, the stamp is put on
+        outside the lateral join, since Spark takes no outer reference in the select list of an aggregate.
+        """
+        sql, stamps = _STAMP.subn("CAST(NULL AS STRING) AS dt", self.sql)
+        sql = _AS_DATE.sub(f"CAST({_DAY} AS DATE)", sql)
+        sql = _QUOTED.sub(_DAY, _PARAMETER.sub(_DAY, sql))
+        if _names_date(sql):
+            return None
+        listed = ", ".join(f"('{date.fromisoformat(day)}')" for day in days)
+        columns = f"_model.* EXCEPT (dt), {_DAY} AS dt" if stamps else "_model.*"
+        return f"SELECT {columns} FROM VALUES {listed} AS _day(partition_date), LATERAL ({render(sql, self.variables)}) AS _model"
+
+    def frame_of_days(self, spark: SparkSession, days: Sequence[str]) -> DataFrame | None:
+        """A date model's rows for several days in one plan, the same rows as day by day.
+
+        That is so if the model asks each input only for the day it is run for, and returns that day's rows alone.
+        Both are left to the optimizer to prove: it must drop an input's other days wherever they are read, and
+        rows of another day must come out as empty. Raises :class:`NotOverDays` if the proof or the plan fails; None
+        if an input has no data for any day.
+        """
+        if self.kind != "date":
+            raise NotOverDays(f"{self.name} is no model of one date")
+        text = self._over_days(days)
+        if text is None:
+            raise NotOverDays(f"{self.name} uses its date inside other text")
+        if not self._asks_for_its_day_only(spark, days):
+            raise NotOverDays(f"{self.name} reads other dates than the one it is run for")
+        wanted = list(days)
+        for hook in self.inputs.values():
+            if hasattr(hook, "present"):
+                wanted = hook.present(spark, wanted)
+        if not wanted or not register_inputs(spark, dict(self.inputs), wanted):
+            return None
+        try:
+            frame = self._result(spark, self._over_days(wanted), self.params)
+            if PARTITION_COLUMN not in frame.columns:
+                raise NotOverDays(f"{self.name} returns no {PARTITION_COLUMN}")
+            named = self._result(spark, self._over_days(wanted).replace("SELECT ", f"SELECT {_DAY} AS _asked, ", 1), self.params)
+            foreign = named.where(F.col(PARTITION_COLUMN) != F.col("_asked"))
+            if not _STAMP.search(self.sql) and not _is_empty(foreign):
+                raise NotOverDays(f"{self.name} may return rows of another date")
+        except (AnalysisException, Py4JJavaError) as error:
+            raise NotOverDays(f"{self.name} has no plan over several dates: {type(error).__name__}") from error
+        return frame
+
+    def _asks_for_its_day_only(self, spark: SparkSession, days: Sequence[str]) -> bool:
+        """Whether the optimizer drops every other day of the inputs, wherever the model reads them."""
+        day = days[0]
+        for view, hook in self.inputs.items():
+            frame = next((f for f in (hook(spark, [d]) for d in days) if f is not None), None)
+            if frame is None:
+                return True  # nothing to read on any day
+            if PARTITION_COLUMN not in frame.columns:
+                return False
+            # Relations that only the plan knows: some rows of the day, and marked ones of all other days and of none. All
+            # must be there, or an empty side of a join would hide what the other side reads.
+            row = F.from_json(F.col("id").cast("string"), frame.schema).alias("r")
+            own = spark.range(2).select(row).select("r.*").withColumn(PARTITION_COLUMN, F.lit(day))
+            marked = spark.createDataFrame(spark.sparkContext.emptyRDD(), frame.schema)
+            dt = F.col(PARTITION_COLUMN)
+            undated = marked.withColumn(PARTITION_COLUMN, F.lit(None).cast("string"))
+            every = own.unionByName(marked.where((dt < day) | (dt > day))).unionByName(undated)
+            every.createOrReplaceTempView(view)
+        variables, args = dict(self.variables) | {"PARTITION_DATE": day}, dict(self.params)
+        if _PARAMETER.search(self.sql):
+            args["partition_date"] = day
+        found = self._result(spark, render(self.sql, variables), args)
+        return _MARK not in _optimized(found)
 
 
 def run_model(

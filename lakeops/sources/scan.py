@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.text import ingest_order, partition_of
-from lakeops.sources import files
+from lakeops.sources import files, peek
+from lakeops.sources.drift import scan_groups
 from lakeops.sources.schemas import (
     PARTITION_COLUMN,
     SEED_PARTITION,
@@ -31,42 +32,61 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
-#: Header lines the driver asks for at a time.
-HEADERS_AT_ONCE = 16
+#: Bytes read from the head of a file to find its header line; doubled until the line ends.
+HEAD_BYTES = 65_536
 
 
 def _partition_paths(spark: SparkSession, base: str, dates: Iterable[str]) -> list[str]:
     """Directories of the wanted dates that exist, so no other one is listed."""
-    wanted = [f"{base}/{PARTITION_COLUMN}={dt}" for dt in sorted(set(dates))]
-    return [path for path in wanted if files.exists(spark, path)]
-
-
-def csv_header(spark: SparkSession, base: str, paths: Sequence[str]) -> list[str] | None:
-    """Column names from the first line of one file; None when there is no file."""
-    reader = spark.read.options(**CSV_OPTIONS).option("pathGlobFilter", "*.csv")
-    try:
-        names = reader.option("basePath", base).csv(list(paths)).columns
-    except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
-        raise
-    return [name for name in names if name != PARTITION_COLUMN]
-
-
-def _dates_by_header(spark: SparkSession, base: str, dates: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Directories of the dates, grouped by the header of their files.
-
-    A date's header is the first line of one of its files. The driver asks for several dates at a time;
-    each costs a task that reads one line.
+    present = set(files.partition_values(spark, base, PARTITION_COLUMN))
+    return [f"{base}/{PARTITION_COLUMN}={dt}" for dt in sorted(set(dates) & present)]
+
+
+def _heads(size: int):
+    def look(store, path: str) -> str:
+        """The file's first record: up to a line break outside quotes."""
+        wanted, text = size, b""
+        while True:
+            with store.open_input_stream(path) as stream:
+                text = stream.read(wanted)
+            quoted = False
+            for place, byte in enumerate(text):
+                if byte == 34:
+                    quoted = not quoted
+                elif byte in (10, 13) and not quoted:
+                    return text[:place].decode("utf-8-sig")
+            if len(text) < wanted:
+                return text.decode("utf-8-sig")
+            wanted *= 2
+
+    return look
+
+
+def _first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, seen``: the first line of each file, found by Spark's text reader in the files' first blocks."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").text(list(paths))
+    place = F.monotonically_increasing_id().alias("place")
+    starts = lines.where(F.col("_metadata.file_block_start") == 0).select(F.col("_metadata.file_path").alias("path"), "value", place)
+    return starts.groupBy("path").agg(F.min_by("value", "place").alias("seen"))
+
+
+def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """CSV files below the directories, grouped by their own header; one job, whatever their number.
+
+    The driver holds file names, as it does for any scan, and one line for each kind of header. Empty files have no header and
+    no rows.
     """
-    paths = _partition_paths(spark, base, dates)
-    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
-        headers = list(pool.map(lambda path: csv_header(spark, base, [path]), paths))
+    if not paths:
+        return {}
+    if peek.opened_by_tasks(paths):
+        seen = peek.seen_in_files(peek.data_files(spark, paths, "csv"), _heads(HEAD_BYTES))
+    else:
+        seen = _first_lines(spark, paths)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers, strict=True):
-        if header is not None:
-            groups.setdefault(tuple(header), []).append(path)
-    return groups
+    for row in seen.where(F.trim("seen") != "").toLocalIterator():
+        (header,) = csv.reader(io.StringIO(row["seen"]))
+        groups.setdefault(tuple(header), []).append(row["path"])
+    return {header: sorted(found) for header, found in sorted(groups.items())}
 
 
 def scan_raw_csv(
@@ -81,11 +101,10 @@ def scan_raw_csv(
 ) -> DataFrame:
     """Header CSV files of one, many or all ``dt`` directories, all columns as text.
 
-    Columns are found by their header names, whatever their order; absent ones
-    are NULL. Each date is read by its own header, so a source may gain, lose or
-    reorder columns from one date to the next. Within a date, a file whose header
-    differs from the others fails the scan rather than shift its values. Types are
-    never inferred; ``conform`` casts later. Empty values read as NULL.
+    Columns are found by their header names, whatever their order; absent ones are NULL. Each
+    file is read by its own header, so a source may gain, lose or reorder columns from one file
+    to the next. One small job looks at the files' first lines, whatever the number of dates.
+    Types are never inferred; ``conform`` casts later. Empty values read as NULL.
 
     Say ``multiline=True`` for a source whose values hold line breaks: Spark then
     reads each file in one task, so such files should be of bounded size. Otherwise
@@ -93,7 +112,7 @@ def scan_raw_csv(
     """
     wanted = all_text(columns)
     known = files.partition_values(spark, base, PARTITION_COLUMN) if dates is None else dates
-    groups = _dates_by_header(spark, base, known)
+    groups = files_by_header(spark, _partition_paths(spark, base, known))
     none = F.lit(None).cast("string")
     frames = []
     for header, paths in groups.items():
@@ -102,7 +121,6 @@ def scan_raw_csv(
             .options(**CSV_OPTIONS)
             .option("multiLine", str(multiline).lower())
             .option("enforceSchema", "false")
-            .option("pathGlobFilter", "*.csv")
             .option("basePath", base)
             .csv(paths)
         )
@@ -120,21 +138,31 @@ def scan_raw_csv(
     return frame
 
 
-def scan_parts(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
+def scan_parts(
+    spark: SparkSession, *paths: str, schema: T.StructType | None = None, mixed_types: bool = False, strict: bool = True
+) -> DataFrame:
     """Parquet part files plus their place in the landing order.
 
     ``_ingest_order`` comes from the file name, ``_ingest_file`` and
     ``_row_index`` make the order total. Columns are matched by name, so parts
-    written by different versions stack with NULLs.
+    written by different versions stack with NULLs. Parts that store a column in different
+    types are read by their own and cast to the declared or else the common type; a declared
+    schema is taken at its word, without a look at the footers, unless ``mixed_types`` is said.
     """
-    reader = spark.read.option("pathGlobFilter", "*.parquet")
-    reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
-    return reader.parquet(*paths).select(
-        "*",
-        ingest_order(F.col("_metadata.file_path")).alias("_ingest_order"),
-        F.col("_metadata.file_path").alias("_ingest_file"),
-        F.col("_metadata.row_index").alias("_row_index"),
-    )
+    if schema is not None and not mixed_types:
+        rows = spark.read.option("pathGlobFilter", "*.parquet").schema(schema).parquet(*paths)
+        return rows.select(
+            "*",
+            ingest_order(F.col("_metadata.file_path")).alias("_ingest_order"),
+            F.col("_metadata.file_path").alias("_ingest_file"),
+            F.col("_metadata.row_index").alias("_row_index"),
+        )
+    places = {"_ingest_file": "_metadata.file_path", "_row_index": "_metadata.row_index"}
+    found = scan_groups(spark, paths, schema, strict=strict, metadata=places)
+    if found is None:
+        raise ValueError(f"No Parquet file below {', '.join(paths)}")
+    data = [F.col(f"`{c}`") for c in found.columns if c not in places]
+    return found.select(*data, ingest_order(F.col("_ingest_file")).alias("_ingest_order"), *places)
 
 
 def _text_partition(
@@ -147,18 +175,24 @@ def _text_partition(
     return with_partition(schema)
 
 
-def scan_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def scan_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, *, mixed_types: bool = False, strict: bool = True
+) -> DataFrame:
     """A ``dt``-partitioned Parquet table, columns matched by name, seed dropped.
 
-    Give the declared ``schema`` for large tables: without it Spark reads the
-    footers of all files to merge their schemas.
+    Give the declared ``schema`` for large tables: without it one job reads the footers of all files.
+
+    Files that store a column in different types are read by their own types and cast to the declared or else the common one
+    (wider numbers, text where there is no other). A declared schema is taken at its word, without a look at the footers, unless
+    ``mixed_types`` is said. Filters on ``dt`` prune files either way. ``strict`` casts raise on what does not fit.
     """
-    return (
-        spark.read.schema(_text_partition(spark, path, schema))
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(path)
-        .where(F.col(PARTITION_COLUMN) != SEED_PARTITION)
-    )
+    if schema is not None and not mixed_types:
+        rows = spark.read.schema(with_partition(schema)).option("pathGlobFilter", "*.parquet").parquet(path)
+    else:
+        rows = scan_groups(spark, [path], schema, base=path, strict=strict)
+        if rows is None:
+            return empty_table(spark, with_partition(schema or T.StructType([])))
+    return rows.where(F.col(PARTITION_COLUMN) != SEED_PARTITION)
 
 
 def scan_table_nested(
@@ -196,11 +230,11 @@ def scan_snapshot(
     path: str,
     fmt: str = "parquet",
     schema: T.StructType | None = None,
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """A table without partitions, as Parquet or header CSV (read as text).
 
-    ``multiline=False`` lets Spark split CSV files whose values hold no line breaks.
+    Spark splits CSV files. Say ``multiline=True`` where values hold line breaks: each file is then read by one task.
 
     CSV files whose header does not fit the others, or the schema, fail the scan.
     """
@@ -273,9 +307,12 @@ def scan_reference_list(
     path: str,
     run_date: str,
     date_column: str = "trade_date",
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
-    """A CSV list read as text, stamped with the run date unless it carries one."""
+    """A CSV list read as text, stamped with the run date unless it carries one.
+
+    Say ``multiline=True`` where values hold line breaks.
+    """
     frame = _checked_csv(spark.read, path, multiline)
     if date_column in frame.columns:
         return frame

@@ -398,10 +398,11 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     assert values(rows) == [("2", "1", None), ("4", "3", None), ("5", "6", None), (None, "8", "7")]
     alone = scan_raw_csv(spark, str(tmp_path), ["a", "b"], ["2024-01-03"])
     assert values(alone) == [("5", "6")]
-    (tmp_path / "dt=2024-01-03" / "y.csv").write_text("b,a\n5,6\n")
+    # files of one date with headers of their own
+    (tmp_path / "dt=2024-01-03" / "y.csv").write_text("b,a\n9,10\n")
+    (tmp_path / "dt=2024-01-03" / "empty.csv").write_text("")
     for multiline in (True, False):
-        rows = scan_raw_csv(spark, str(tmp_path), ["a", "b"], multiline=multiline)
-        with pytest.raises(Exception, match="header|schema"):
-            rows.collect()
+        rows = scan_raw_csv(spark, str(tmp_path), ["a", "b"], ["2024-01-03"], expose_dt=True, multiline=multiline)
+        assert values(rows) == [("10", "9", "2024-01-03"), ("5", "6", "2024-01-03")]
 
 

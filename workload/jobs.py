@@ -371,3 +371,18 @@ def ingest_flow(spark, sf_dir):
     root = scratch_path(spark, "lake")
     result = ingest(spark, source, root, start=span[0], end=span[1])
     return scan_table(spark, f"{root}/raw/prices", result.report.schema)
+
+
+@query("backfill_date_model_set", _DAILY_ORACLE.replace("max(value)", "count(DISTINCT user_id) AS users, max(value)").replace("1, 4", "1, 5"))
+def date_model_as_set(spark, sf_dir):
+    """A model written for one date, run for ten dates in one job."""
+    sql = """
+        SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users, max(value) AS max_value, '${PARTITION_DATE}' AS dt
+        FROM tmp_events WHERE dt = '${PARTITION_DATE}' GROUP BY event_type
+    """
+    target = fresh_table(spark, "daily_events")
+    model = Model("daily_events", sql, inputs={"tmp_events": _events_input(sf_dir)})
+    report = backfill(spark, model, target, "2024-01-03", "2024-01-12")
+    if (report.form, report.jobs) != ("set", 1):
+        raise AssertionError(f"The model ran as {report.form}: {report.why_loop}")
+    return scan_table(spark, target.path, report.schema)

@@ -570,3 +570,80 @@ def reference_list(spark, sf_dir):
     )
     write_snapshot(listed, path, "csv")
     return scan_reference_list(spark, path, "20240105")
+
+
+@query(
+    "scan_type_drift",
+    """
+    SELECT event_id,
+           CASE WHEN strftime(ts, '%Y-%m-%d') <= '2024-01-10' THEN CAST(user_id AS VARCHAR)
+                WHEN strftime(ts, '%Y-%m-%d') <= '2024-01-20' THEN CAST(user_id AS VARCHAR) || '.5'
+                ELSE 'u' || CAST(user_id AS VARCHAR) END AS user_id,
+           CASE WHEN strftime(ts, '%Y-%m-%d') <= '2024-01-10' THEN value
+                ELSE floor(value) END AS value,
+           strftime(ts, '%Y-%m-%d') AS dt
+    FROM events WHERE strftime(ts, '%Y-%m-%d') <> '2024-01-15'
+    """,
+)
+def type_drift(spark, sf_dir):
+    """One column as BIGINT, DOUBLE and VARCHAR in three thirds of the dates, another as DOUBLE and BIGINT."""
+    target = fresh_table(spark, "events")
+    events, user = dated_events(spark, sf_dir), F.col("user_id")
+    thirds = [
+        ("dt <= '2024-01-10'", user.cast("long"), F.col("value")),
+        ("dt BETWEEN '2024-01-11' AND '2024-01-20'", user + F.lit(0.5), F.floor("value")),
+        ("dt > '2024-01-20'", F.concat(F.lit("u"), user.cast("string")), F.floor("value").cast("int")),
+    ]
+    for some, as_stored, value in thirds:
+        publish_partitions(events.where(some).select("event_id", as_stored.alias("user_id"), value.alias("value"), "dt"), target)
+    return scan_table(spark, target.path).where("dt <> '2024-01-15'")
+
+
+@query(
+    "parts_type_drift",
+    """
+    SELECT event_id, user_id, CASE WHEN event_type = 'click' THEN floor(value) + 1
+                                   WHEN event_type = 'error' THEN floor(value) + 0.25 ELSE value END AS value,
+           strftime(ts, '%Y-%m-%d') AS dt FROM events
+    """,
+)
+def part_type_drift(spark, sf_dir):
+    """Parts of one run that store a column as DOUBLE, BIGINT and VARCHAR, compacted in its declared type."""
+    base = scratch_path(spark, "parts")
+    events = dated_events(spark, sf_dir).select("event_id", "user_id", "value", "dt", "event_type")
+    whole = F.floor("value")
+    parts = [
+        events,
+        events.where("event_type = 'click'").withColumn("value", whole + 1),
+        events.where("event_type = 'error'").withColumn("value", F.concat(whole.cast("string"), F.lit(".25"))),
+    ]
+    for number, part in enumerate(parts):
+        part.drop("event_type").write.parquet(f"{base}/part_{number:06d}.parquet")
+    target = fresh_table(spark, "events")
+    declared = events.drop("event_type").schema
+    report = compact(scan_parts(spark, base, schema=declared, mixed_types=True), target, keys=["event_id"], partition_column="dt")
+    return scan_table(spark, target.path, report.schema)
+
+
+@query(
+    "scan_raw_csv_mixed_headers",
+    """
+    SELECT CAST(event_id AS VARCHAR) AS event_id, event_type,
+           CASE WHEN event_type IN ('view', 'error') THEN CAST(user_id AS VARCHAR) ELSE 'none' END AS user_id,
+           strftime(ts, '%Y-%m-%d') AS dt FROM events
+    """,
+)
+def raw_mixed_headers(spark, sf_dir):
+    """Each date holds files with three headers, as several writers left them; each file is read by its own."""
+    events = dated_events(spark, sf_dir)
+    target = fresh_table(spark, "events", "csv")
+    writers = [
+        ("event_type = 'view'", ["event_id", "user_id", "event_type"]),
+        ("event_type = 'error'", ["event_type", "user_id", "event_id"]),
+        ("event_type NOT IN ('view', 'error')", ["event_type", "event_id"]),
+    ]
+    for some, columns in writers:
+        rows = events.where(some).select(*columns, "dt")
+        rows.write.mode("append").option("header", "true").partitionBy("dt").csv(target.path)
+    rows = scan_raw_csv(spark, target.path, ["event_id", "event_type", "user_id"], expose_dt=True)
+    return rows.withColumn("user_id", F.coalesce("user_id", F.lit("none")))
