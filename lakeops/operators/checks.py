@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.sources.schemas import PARTITION_COLUMN
@@ -13,7 +13,11 @@ METRIC_COLUMNS = ("dt", "row_count", "file_count", "byte_count", "has_data")
 
 
 class ValidationError(ValueError):
-    """Staged output does not match what was expected of it."""
+    """Staged output does not match what was expected of it; ``violations`` holds all that was found, if it was compared by date."""
+
+    def __init__(self, message: str, violations: Sequence[dict] = ()):
+        self.violations = list(violations)
+        super().__init__(message)
 
 
 def partition_counts(df: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
@@ -120,13 +124,25 @@ def validate_metrics(
 
 
 def raise_on_violations(violations: DataFrame, shown: int = 20) -> None:
-    """Raise when the frame has rows; the message lists the first few."""
-    rows = violations.orderBy(*violations.columns[:2]).limit(shown).collect()
+    """Raise when the frame has rows: all of them go with the error, the first few into its message.
+
+    There is at most one row for each date.
+    """
+    rows = [r.asDict() for r in violations.orderBy(*violations.columns[:2]).collect()]
     if rows:
-        listed = "; ".join(
-            f"{r[0]}: {r['problem']} (expected {r['expected']}, found {r['actual']})" for r in rows
-        )
-        raise ValidationError(f"Output failed validation: {listed}")
+        column = violations.columns[0]
+        listed = "; ".join(f"{r[column]}: {r['problem']} (expected {r['expected']}, found {r['actual']})" for r in rows[:shown])
+        more = f" and {len(rows) - shown} more" if len(rows) > shown else ""
+        raise ValidationError(f"Output failed validation: {listed}{more}", rows)
+
+
+def key_mark(keys: Sequence[str]) -> Column:
+    """A number for a row's keys. Its sum over all rows changes if a row moves from one key to another.
+
+    An empty text counts as NULL, which is what becomes of it in a directory name.
+    """
+    parts = [F.nullif(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return F.xxhash64(*parts).cast("decimal(38,0)")
 
 
 def backfill_summary(outcomes: DataFrame) -> DataFrame:
@@ -135,6 +151,7 @@ def backfill_summary(outcomes: DataFrame) -> DataFrame:
     status is ``success``, ``failed`` or ``skipped``. The failed list holds at
     most one entry per date, so it is bounded by the length of the range.
     """
+    # Names of the columns and statuses are fixed values.
     status = F.col("status")
     failed = F.struct(
         F.col("dt").alias("date"), F.col("error"), F.col("error_type")

@@ -18,12 +18,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.functions.text import partition_of
 from lakeops.operators import manifest as log
-from lakeops.operators.checks import ValidationError, partition_files
+from lakeops.operators.checks import ValidationError, key_mark, partition_files, raise_on_violations, validate_metrics
 from lakeops.operators.normalize import exclude_dates, keep_dates
-from lakeops.sources import files
-from lakeops.sources.scan import CSV_OPTIONS, scan_raw_csv, scan_snapshot, scan_table
-from lakeops.sources.schemas import PARTITION_COLUMN, all_text
+from lakeops.sources import files, peek
+from lakeops.sources.scan import CSV_OPTIONS, dates_with_files, scan_raw_csv, scan_snapshot, scan_table
+from lakeops.sources.schemas import PARTITION_COLUMN, SEED_PARTITION, all_text
 
 WRITE_MODES = ("overwrite", "skip_existing", "fail_if_exists")
 FORMATS = ("parquet", "csv")
@@ -37,6 +38,7 @@ HASH_SLOTS = 2000
 OK = "ok"
 INVALID_KEY = "invalid_key"
 OUTSIDE_RANGE = "outside_range"
+EXISTING = "existing"
 OUTCOME = "_outcome"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -274,8 +276,8 @@ def materialize(
     """Write a frame or a query to staging, measure what arrived, check nothing got lost.
 
     Rows are counted on their way into the files (after the last shuffle, so a
-    retried task counts once) and again from the files; the two must agree.
-    Returns one metrics dict per key combination.
+    retried task counts once) and again from the files; the two must agree, in all and,
+    by a checksum over the keys of all rows, for each key. Returns one metrics dict per key combination.
     """
     if isinstance(df, str):
         df = SparkSession.active().sql(df)
@@ -285,19 +287,21 @@ def materialize(
     if rebalance:
         spread = _gathered(df, keys) if keys else df.hint("rebalance")
     breaks = _has_line_breaks(df) if fmt == "csv" else F.lit(False)
-    counted = spread.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.max(breaks).alias("breaks")
-    )
+    marks = F.sum(key_mark(keys) if keys else F.lit(0).cast("decimal(38,0)")).alias("marks")
+    counted = spread.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(breaks).alias("breaks"), marks)
     writer = _writer(counted, fmt)
     (writer.partitionBy(*keys) if keys else writer).save(staging)
     # Without line breaks in any value CSV rows are lines: splittable, no parsing to count.
     multiline = seen.get["breaks"] is not False
     staged = _read_staged(spark, staging, df.schema, keys, fmt, multiline)
-    metrics = [row.asDict() for row in partition_files(staged, keys).collect()]
+    found = partition_files(staged, keys)
+    metrics = [row.asDict() for row in (found.withColumn("_mark", key_mark(keys)) if keys else found).collect()]
     arrived = sum(m["row_count"] or 0 for m in metrics)
     if arrived != seen.get["rows"]:
         raise ValidationError(f"Wrote {seen.get['rows']} rows to {staging} but found {arrived}")
-    return metrics
+    if keys and sum(int(m["_mark"]) * m["row_count"] for m in metrics) != int(seen.get["marks"] or 0):
+        raise ValidationError(f"Rows written to {staging} lie under other keys than they were written for")
+    return [{k: v for k, v in m.items() if k != "_mark"} for m in metrics]
 
 
 # ----------------------------------------------------------------------------- publish
@@ -308,8 +312,8 @@ def _added_then_replaced(
 ) -> None:
     """Write new files beside the old ones, then delete the old ones.
 
-    For stores where a rename is a copy: each row is written once into its final place. A
-    failed write leaves the old files and takes its own back. If the driver dies between
+    For stores where a rename is a copy: Spark writes each row straight into the table (give the store's own committer;
+    the default one renames task output). A failed write leaves the old files and takes its own back. If the driver dies between
     the write and the deletion both are visible, until the next run, to which both are old.
     """
     old = {f for f in files.glob(spark, pattern) if keep(f)}
@@ -374,6 +378,9 @@ def publish_partitions(
     fail_dates: str = "raise",
     rebalance: bool = True,
     copy: bool | None = None,
+    expected: DataFrame | None = None,
+    existing: Sequence[str] | None = None,
+    stage_existing: bool = False,
 ) -> PublishReport:
     """Publish a frame with a ``dt`` column; exactly the produced dates are replaced.
 
@@ -387,7 +394,12 @@ def publish_partitions(
 
     ``skip_existing`` leaves complete dates out before anything is read, and ``fail_if_exists``
     looks for them before anything is written. Where ``requested`` does not name the dates,
-    both look at the ``dt`` column alone first.
+    both look at the ``dt`` column alone first, unless ``existing`` names the frame's complete dates. If already the dates
+    cost much, say ``stage_existing``: rows of complete dates are staged with the others, under an outcome of their
+    own, and not published. A date that is recorded as complete but has no files is not complete.
+
+    ``expected`` holds ``dt, row_count, file_count`` (and ``has_data``) of the dates as the caller knows them; staged
+    dates that differ raise with all violations before anything is replaced.
 
     Everything is written once. Rejected rows share the staging write under
     their own ``_outcome`` directory, so no second pass over the input is needed
@@ -407,28 +419,38 @@ def publish_partitions(
     frame = df.withColumn(PARTITION_COLUMN, dt.cast("string"))
     asked = None if requested is None else sorted(set(requested))
 
+    done: list[str] = []
+    late = stage_existing and asked is None and mode != "overwrite"
     if mode != "overwrite":
-        done = [r[0] for r in table.completed(spark).collect()]
+        done = complete_dates(spark, table)
         if asked is not None:
-            existing = sorted(set(asked) & set(done))
-        elif done:
-            existing = sorted(r[0] for r in keep_dates(frame.select(PARTITION_COLUMN), done).distinct().collect())
-        else:
-            existing = []
-        if mode == "fail_if_exists" and existing:
-            raise PartitionExistsError(existing)
-        report.skipped = existing
-        frame = exclude_dates(frame, existing if asked is not None else done)
+            report.skipped = sorted(set(asked) & set(done))
+        elif existing is not None:
+            report.skipped = sorted(set(existing) & set(done))
+        elif done and not late:
+            report.skipped = sorted(r[0] for r in keep_dates(frame.select(PARTITION_COLUMN), done).distinct().collect())
+        if mode == "fail_if_exists" and report.skipped:
+            raise PartitionExistsError(report.skipped)
+        if not late:
+            frame = exclude_dates(frame, report.skipped if asked is not None else done)
 
     outcome = F.when(dt.isNull(), F.lit(INVALID_KEY))
+    if late and done:
+        outcome = outcome.when(dt.isin(done), F.lit(EXISTING))
     if asked is not None:
         outcome = outcome.when(~dt.isin(asked), F.lit(OUTSIDE_RANGE))
     frame = frame.withColumn(OUTCOME, outcome.otherwise(outcome_of_checks(checks or {})))
 
     try:
         metrics = materialize(frame, staging, (OUTCOME, PARTITION_COLUMN), table.fmt, rebalance)
+        if late:
+            report.skipped = sorted(m[PARTITION_COLUMN] for m in metrics if m[OUTCOME] == EXISTING)
+            if mode == "fail_if_exists" and report.skipped:
+                raise PartitionExistsError(report.skipped)
         good = {m[PARTITION_COLUMN]: m for m in metrics if m[OUTCOME] == OK}
-        bad = [m for m in metrics if m[OUTCOME] != OK]
+        bad = [m for m in metrics if m[OUTCOME] not in (OK, EXISTING)]
+        if expected is not None:
+            raise_on_violations(validate_metrics(expected, _measured(spark, list(good.values()))))
         report.rejected = sorted(
             (
                 {"outcome": m[OUTCOME], "dt": m[PARTITION_COLUMN], "row_count": m["row_count"]}
@@ -450,9 +472,9 @@ def publish_partitions(
             _keep_rejected(spark, table, staging, report.run_id, bad, frame.schema if copy else None)
         if dates and copy:
             copied = _copy_partitions(spark, staging, table, frame.schema, dates)
-            lost = [d for d in dates if copied[d]["row_count"] != good[d]["row_count"]]
-            if lost:
-                raise ValidationError(f"Row counts changed while copying: {shortened(lost)}")
+            # Files may be cut otherwise, rows may not.
+            staged = [good[d] | {"file_count": copied.get(d, {}).get("file_count", 0)} for d in dates]
+            raise_on_violations(validate_metrics(_measured(spark, staged), _measured(spark, list(copied.values()))))
             good |= copied
             _record(spark, table, report, good, dates)
         elif dates:
@@ -476,6 +498,42 @@ def publish_partitions(
         cleanup(spark, table, report.run_id)
 
 
+def _measured(spark: SparkSession, metrics: Sequence[dict]) -> DataFrame:
+    """Metrics as a frame, one row for each date."""
+    rows = [(m[PARTITION_COLUMN], m["row_count"], m["file_count"]) for m in metrics]
+    return spark.createDataFrame(rows, f"{PARTITION_COLUMN} string, row_count long, file_count long")
+
+
+def complete_dates(spark: SparkSession, table: LakeTable) -> list[str]:
+    """Dates recorded as complete whose files are there."""
+    recorded = [r[0] for r in table.completed(spark).collect()]
+    return dates_with_files(spark, table.path, table.fmt, recorded) if recorded else []
+
+
+def reconcile(spark: SparkSession, table: LakeTable) -> DataFrame:
+    """The manifest against one listing of the table: ``dt, state, recorded_files, found_files``, a row for each date.
+
+    state is ``ok``, ``files_missing`` (recorded, nothing there), ``unrecorded`` (there, never recorded or cleared since) or
+    ``file_count_differs``. Spark lists the files; none is opened. The seed partition is no date.
+    """
+    marker = f"/{PARTITION_COLUMN}="
+    if files.glob(spark, f"{table.path}{marker}*/*.{table.fmt}"):
+        listed = peek.data_files(spark, [table.path], table.fmt)
+    else:
+        listed = spark.createDataFrame([], "path string")
+    dated = listed.select(partition_of(F.col("path")).alias(PARTITION_COLUMN)).where(F.col(PARTITION_COLUMN) != SEED_PARTITION)
+    found = dated.groupBy(PARTITION_COLUMN).agg(F.count(F.lit(1)).alias("found_files"))
+    latest = log.latest_manifest(table.manifest(spark)).where(F.col("status") == log.SUCCESS)
+    known = latest.select(F.col("partition_date").alias(PARTITION_COLUMN), F.col("file_count").alias("recorded_files"))
+    state = (
+        F.when(F.col("found_files").isNull(), "files_missing")
+        .when(F.col("recorded_files").isNull(), "unrecorded")
+        .when(F.col("recorded_files") != F.col("found_files"), "file_count_differs")
+        .otherwise("ok")
+    )
+    return known.join(found, PARTITION_COLUMN, "full_outer").select(PARTITION_COLUMN, state.alias("state"), "recorded_files", "found_files")
+
+
 def _record(
     spark: SparkSession, table: LakeTable, report: PublishReport, metrics: dict[str, dict], dates: Sequence[str]
 ) -> None:
@@ -619,6 +677,14 @@ def publish_snapshot(
         total = metrics[0] if metrics else {}
         report.row_count = int(total.get("row_count") or 0)
         if report.row_count == 0:
+            # The record goes first: a snapshot that looks complete must have its rows.
+            recorded = [r[0] for r in table.completed(spark).collect()]
+            log.append_manifest(
+                spark,
+                table.manifest_path,
+                [(table.dest, dt, report.run_id, 0, 0, log.CLEARED, "", table.path) for dt in recorded],
+            )
+            report.cleared = sorted(recorded)
             files.delete(spark, table.path)
             report.status = "cleared"
             return report

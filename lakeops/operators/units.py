@@ -7,6 +7,7 @@ expressions and joins, not driver lists, so a million of them is only a frame.
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
 
@@ -88,27 +89,29 @@ def distinct_items(df: DataFrame, key: str) -> DataFrame:
     return df.where(value.isNotNull()).select(value.cast("string").alias(key)).distinct()
 
 
-def item_units(df: DataFrame, key: str = "symbol") -> DataFrame:
-    """One unit per distinct item, indexed 0.. in item order.
+def numbered(df: DataFrame, order: str, out: str) -> DataFrame:
+    """Rows numbered 0.. without gaps in the order of a column.
 
-    A gap-free index needs a global sort, not a global window: the range sort
-    spreads the items, and each partition's rows only add the count of those before it.
-    The sorted items are written down first, so that places and counts are of one sort.
+    That needs a global sort, not a global window: the range sort spreads the rows, and each partition's rows only add
+    the count of those before it. The sorted rows are written down first, so that places and counts are of one sort.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "work-units")
-    place = F.monotonically_increasing_id().alias("place")
-    distinct_items(df, key).orderBy(key).select(F.col(key).alias("item"), place).write.parquet(path)
-    placed = spark.read.schema("item string, place long").parquet(path)
-    placed = placed.withColumn("part", F.shiftright("place", 33))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    within = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.join(offsets, "part").select(
-        (F.col("offset") + within).alias("job_index"),
-        _text_map(**{key: F.col("item")}).alias("params"),
-        _no_entries().alias("meta"),
+    sorted_rows = df.orderBy(order).withColumn("_place", F.monotonically_increasing_id())
+    sorted_rows.write.parquet(path)
+    placed = spark.read.schema(sorted_rows.schema).parquet(path).withColumn("_part", F.shiftright("_place", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(offsets, "_part").withColumn(out, F.col("_offset") + within).drop("_part", "_place", "_offset")
+
+
+def item_units(df: DataFrame, key: str = "symbol") -> DataFrame:
+    """One unit per distinct item, indexed 0.. in item order."""
+    items = distinct_items(df, key).select(F.col(key).alias("item"))
+    return numbered(items, "item", "job_index").select(
+        "job_index", _text_map(**{key: F.col("item")}).alias("params"), _no_entries().alias("meta")
     )
 
 
@@ -134,40 +137,49 @@ def _merged(left: str, right: str) -> Column:
     return F.map_concat(fresh, F.col(right))
 
 
-def product(*strategies: DataFrame, buckets: int = 32) -> DataFrame:
+def _placed(units: DataFrame, side: str) -> tuple[DataFrame, int]:
+    """Units with a place 0.. without gaps in index order, and their number."""
+    found = units.agg(F.count(F.lit(1)), F.min("job_index"), F.max("job_index")).first()
+    dense = found[0] == 0 or (found[1], found[2]) == (0, found[0] - 1)
+    placed = units.withColumn("_at", F.col("job_index")) if dense else numbered(units, "job_index", "_at")
+    return placed.select(F.col("_at").alias(f"_{side}"), F.col("params").alias(f"_p{side}"), F.col("meta").alias(f"_m{side}")), found[0]
+
+
+def product(*strategies: DataFrame) -> DataFrame:
     """Every combination of the strategies' units; later ones win on key clashes.
 
-    Each right unit lives in one hash bucket and each left unit is repeated once
-    per bucket, so all pairs meet exactly once in an equi-join that spreads over
-    ``buckets`` keys instead of a single Cartesian task grid. The index keeps
-    the order of nested loops, left outermost.
+    The combinations are numbered: number i stands for left unit ``i div m`` and right unit ``i mod m``. So a plain range,
+    dealt evenly whatever the sizes, is joined to either side by its place; no side is repeated or compared with
+    the other. The number is the index, which keeps the order of nested loops, left outermost. For a side of a few
+    options see :func:`with_options`, which needs no join.
     """
     if not strategies:
         raise ValueError("At least one strategy is required")
 
     def combine(left: DataFrame, right: DataFrame) -> DataFrame:
-        width = right.count()
-        spread = left.select(
-            F.col("job_index").alias("_left"),
-            F.col("params").alias("_p1"),
-            F.col("meta").alias("_m1"),
-            F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_bucket"),
-        )
-        placed = right.select(
-            F.col("job_index").alias("_right"),
-            F.col("params").alias("_p2"),
-            F.col("meta").alias("_m2"),
-            F.pmod(F.xxhash64("job_index"), F.lit(buckets)).cast("int").alias("_bucket"),
-        )
-        return spread.join(placed, "_bucket").select(
-            (F.col("_left") * F.lit(width) + F.col("_right")).alias("job_index"),
-            _merged("_p1", "_p2").alias("params"),
-            _merged("_m1", "_m2").alias("meta"),
+        (left_units, n), (right_units, m) = _placed(left, "l"), _placed(right, "r")
+        number = left.sparkSession.range(n * m).select(F.col("id").alias("job_index"))
+        places = number.select("job_index", F.expr(f"job_index div {max(m, 1)}").alias("_l"), F.expr(f"job_index % {max(m, 1)}").alias("_r"))
+        return (
+            places.join(left_units, "_l")
+            .join(right_units, "_r")
+            .select("job_index", _merged("_pl", "_pr").alias("params"), _merged("_ml", "_mr").alias("meta"))
         )
 
     return reduce(combine, strategies)
 
 
+def with_options(units: DataFrame, options: Sequence[Mapping[str, str]]) -> DataFrame:
+    """Product of any units with a declared list of parameters: one unit for each option, in order, without a join."""
+    if not options:
+        raise ValueError("At least one option is required")
+    listed = F.array(*[_text_map(**option) for option in options])
+    spread = units.select("job_index", "params", "meta", F.posexplode(listed).alias("_i", "_option"))
+    return spread.select(
+        (F.col("job_index") * F.lit(len(options)) + F.col("_i")).alias("job_index"), _merged("params", "_option").alias("params"), "meta"
+    )
+
+
 def with_chunks(
     units: DataFrame, start: str | Column, end: str | Column, freq: str = "1M"
 ) -> DataFrame:

@@ -17,6 +17,7 @@ from lakeops.operators.units import (
     single_unit,
     sql_units,
     with_chunks,
+    with_options,
 )
 from lakeops.sources.fetch import fetch, standardize
 from lakeops.sources.schemas import struct_of
@@ -67,7 +68,8 @@ def test_product_is_complete_ordered_and_later_wins(spark):
         (str(i), d) for i in range(7) for d in ("2024-01-01", "2024-02-01", "2024-03-01")
     ]
     assert both == listed(with_chunks(items, "2024-01-01", "2024-03-10", "month"))
-    assert both == listed(product(items, chunks, buckets=2))
+    gaps = items.withColumn("job_index", F.col("job_index") * 7 + 3)  # indexes with gaps give the same combinations
+    assert both == listed(product(gaps, chunks)) == listed(product(items, chunks.withColumn("job_index", F.col("job_index") + 5)))
     clash = product(range_unit(spark, "2020-01-01"), range_unit(spark, "2024-01-01"))
     assert listed(clash)[0][1]["start_date"] == "2024-01-01"
     three = product(items, items, single_unit(spark))
@@ -159,3 +161,16 @@ def test_standardize(spark):
     frame = standardize(raw, names, columns, start="2024-01-02", compact=True)
     assert values(frame) == [("20240109", 3.0)]
     assert standardize(raw, names, columns).count() == 3
+
+
+def test_options_need_no_join(spark):
+    units = range_unit(spark, "2024-01-01", "2024-01-31")
+    both = with_options(units, [{"adjust": "qfq"}, {"adjust": "hfq", "start_date": "2024-01-15"}])
+    rows = [(r["job_index"], dict(r["params"])) for r in both.orderBy("job_index").collect()]
+    assert rows == [
+        (0, {"start_date": "2024-01-01", "end_date": "2024-01-31", "adjust": "qfq"}),
+        (1, {"start_date": "2024-01-15", "end_date": "2024-01-31", "adjust": "hfq"}),
+    ]
+    assert "Join" not in both._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="option"):
+        with_options(units, [])

@@ -15,6 +15,7 @@ from lakeops.operators.publish import (
     publish_partitions,
     publish_snapshot,
     read_quarantine,
+    reconcile,
     write_partitioned,
     write_single_file,
     write_snapshot,
@@ -647,3 +648,79 @@ def raw_mixed_headers(spark, sf_dir):
         rows.write.mode("append").option("header", "true").partitionBy("dt").csv(target.path)
     rows = scan_raw_csv(spark, target.path, ["event_id", "event_type", "user_id"], expose_dt=True)
     return rows.withColumn("user_id", F.coalesce("user_id", F.lit("none")))
+
+
+@query(
+    "reconcile_partitions",
+    """
+    SELECT strftime(ts, '%Y-%m-%d') AS dt,
+           CASE strftime(ts, '%Y-%m-%d') WHEN '2024-01-03' THEN 'files_missing' WHEN '2024-01-05' THEN 'file_count_differs'
+                WHEN '2024-01-07' THEN 'unrecorded' ELSE 'ok' END AS state
+    FROM events GROUP BY 1
+    """,
+)
+def reconciled(spark, sf_dir):
+    """A date whose files vanished, one with a foreign file, one that was written past the manifest."""
+    target = fresh_table(spark, "events")
+    events = dated_events(spark, sf_dir)
+    publish_partitions(events.where("dt <> '2024-01-07'"), target)
+    files.delete(spark, target.partition_path("2024-01-03"))
+    events.where("dt IN ('2024-01-05', '2024-01-07')").coalesce(1).write.mode("append").partitionBy("dt").parquet(target.path)
+    return reconcile(spark, target).select("dt", "state")
+
+
+@query(
+    "skip_existing_lost_files",
+    "SELECT strftime(ts, '%Y-%m-%d') AS dt, max(CASE WHEN strftime(ts, '%Y-%m-%d') = '2024-01-03' THEN value + 100 ELSE value END) "
+    "AS max_value FROM events GROUP BY 1",
+)
+def lost_files(spark, sf_dir):
+    """A date that is recorded as complete but whose files are gone is published again."""
+    target, events = _published(spark, sf_dir)
+    files.delete(spark, target.partition_path("2024-01-03"))
+    publish_partitions(events.withColumn("value", F.col("value") + 100), target, mode="skip_existing")
+    return scan_table(spark, target.path, events.schema).groupBy("dt").agg(F.max("value").alias("max_value"))
+
+
+@query(
+    "snapshot_emptied",
+    "SELECT 'kept' AS name, count(*) AS row_count, true AS has_files FROM customer UNION ALL SELECT 'emptied', CAST(0 AS BIGINT), false",
+)
+def emptied(spark, sf_dir):
+    """Two snapshots of which one loses all its rows: the manifest names the other alone."""
+    customer = table(spark, sf_dir, "customer")
+    kept, gone = fresh_table(spark, "kept"), fresh_table(spark, "emptied")
+    for target in (kept, gone):
+        publish_snapshot(customer, target, run_date="2024-01-05")
+    publish_snapshot(customer.where("c_custkey < 0"), gone, run_date="2024-01-06")
+    rows = [
+        latest_manifest(t.manifest(spark)).agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"))
+        .select(F.lit(t.name).alias("name"), "row_count", F.lit(files.exists(spark, t.path)).alias("has_files"))
+        for t in (kept, gone)
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+@query(
+    "compact_skip_existing",
+    """
+    SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS row_count,
+           max(CASE WHEN strftime(ts, '%Y-%m-%d') <= '2024-01-10' THEN value
+                    WHEN event_type = 'click' THEN value + 101 ELSE value + 100 END) AS max_value
+    FROM events GROUP BY 1
+    """,
+)
+def compact_skipping(spark, sf_dir):
+    """Overlapping parts over a table that has some of the dates; the key holds the date, so the dedup never sees those."""
+    target = fresh_table(spark, "events")
+    events = table(spark, sf_dir, "events").drop("props")
+    compact(events.where("ts < '2024-01-11'"), target, keys=["event_id", "ts"], partition_column="ts")
+    base = scratch_path(spark, "parts")
+    raised = events.withColumn("value", F.col("value") + 100)
+    raised.write.parquet(f"{base}/part_000000.parquet")
+    raised.where("event_type = 'click'").withColumn("value", F.col("value") + 1).write.parquet(f"{base}/part_000001.parquet")
+    parts = scan_parts(spark, f"{base}/part_*", schema=events.schema)
+    report = compact(parts, target, keys=["event_id", "ts"], partition_column="ts", mode="skip_existing")
+    return scan_table(spark, target.path, report.schema).groupBy("dt").agg(
+        F.count(F.lit(1)).alias("row_count"), F.max("value").alias("max_value")
+    )
