@@ -78,8 +78,8 @@ def backfill(
     until the failing dates stand alone, so k bad dates among n cost about
     k log n jobs instead of n. A date model runs for all dates in one job too if it provably asks for its own date
     alone (``Model.frame_of_days``), else one job per date; ``form`` in the report says which. A snapshot runs
-    once. Without ``continue_on_error`` a run of many dates publishes nothing when any
-    date fails.
+    once. Without ``continue_on_error`` a range model publishes nothing when any
+    date fails, and a date model the dates before the failing one.
     """
     days = days_between(start, end)
     if targets is not None and table.dest not in targets and table.layer not in targets:
@@ -97,8 +97,17 @@ def backfill(
         report.form = "set"
         try:
             model.frame_of_days(spark, days)
+            if not continue_on_error:
+                # One job for all dates. If it fails, the loop publishes those before the bad one and stops there.
+                _attempt(
+                    report, days, False,
+                    lambda: _publish(spark, model, table, days, checks, False, _run_of(run, days)),
+                )
+                return report
         except NotOverDays as reason:
             report.form, report.why_loop = "loop", str(reason)
+        except BackfillError as error:
+            report.form, report.why_loop = "loop", f"the job for all dates failed: {type(error.__cause__).__name__}"
     if report.form == "loop":
         for day in days:
             _attempt(

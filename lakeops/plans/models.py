@@ -103,7 +103,7 @@ class Model:
         location = Path(path)
         text = location.read_text(encoding="utf-8")
         if not text.strip():
-            raise ValueError(f"No SQL in {location}")
+            raise ValueError(f"{location} is empty, a model needs SQL")
         return cls(location.stem, text, **kwargs)
 
     @property
