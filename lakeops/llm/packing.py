@@ -225,37 +225,60 @@ class _Pieces:
         self.odd = re.compile(f"[\t\x0b-\r\x1c-\x1f{space[4:]}]").search
         self.known: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
+        tokens = self.tokenizer.get_vocab()
+        mark = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]  # how tokens spell a space
+        self.takes_space = np.zeros(max(tokens.values()) + 1, dtype=bool)
+        self.takes_space[[n for token, n in tokens.items() if token.startswith(mark)]] = True
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         if len(self.known) + len(self.spaced) > self.REMEMBERED:
             self.known.clear()
             self.spaced.clear()
-        cut, found = [], []
-        lost: set[tuple[bool, str]] = set()
-        for text in texts:
+        done: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        plain, other, cut = [], [], []
+        for at, text in enumerate(texts):
             if self.special is not None and "<|" in text and self.special.search(text):
                 whole = self.special.fullmatch
-                parts, after = [p for s in self.special.split(text) for p in ([s] if whole(s) else self.pieces(s))], False
+                other.append(at)
+                cut.append([p for s in self.special.split(text) for p in ([s] if whole(s) else self.pieces(s))])
             elif "  " in text or " \n" in text or "\n " in text or text[-1:] == " " or self.odd(text):
-                parts, after = self.pieces(text), False
+                other.append(at)
+                cut.append(self.pieces(text))
             else:
-                parts, after = text.split(" "), True
-            ids = list(map((self.spaced if after else self.known).get, parts))
-            if after:
-                ids[0] = self.known.get(parts[0])
-            if None in ids:
-                lost.update((after and at > 0, parts[at]) for at, x in enumerate(ids) if x is None)
-            cut.append((parts, after))
-            found.append(ids)
+                plain.append(at)
+        lost = {p for parts in cut for p in parts if p not in self.known}
         if lost:
-            self.learn(list(lost))
-            for (parts, after), ids in zip(cut, found, strict=True):
-                if None in ids:
-                    ids[:] = [
-                        x if x is not None else (self.spaced if after and at else self.known)[parts[at]] for at, x in enumerate(ids)
-                    ]
-        return [np.frombuffer(b"".join(ids), dtype="<u4") for ids in found]
+            self.learn([(False, p) for p in lost])
+        for at, parts in zip(other, cut, strict=True):
+            done[at] = np.frombuffer(b"".join([self.known[p] for p in parts]), dtype="<u4")
+        for at, ids in zip(plain, self.cut_at_spaces([texts[at] for at in plain]), strict=True):
+            done[at] = ids
+        return done
+
+    def cut_at_spaces(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts that fall apart at single spaces. Each different piece of the batch is looked up once."""
+        if not texts:
+            return []
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        starts = parts.offsets.to_numpy()
+        flat = parts.flatten()
+        coded = flat.dictionary_encode()
+        at, different = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        # A text's first piece has no space before it.
+        first = flat.take(pa.array(starts[:-1])).to_pylist()
+        lost = [(True, p) for p in different if p and p not in self.spaced] + [(False, p) for p in set(first) if p not in self.known]
+        if lost:
+            self.learn(lost)
+        found = [self.spaced[p] if p else b"" for p in different] + [self.known[p] for p in first]
+        at[starts[:-1]] = len(different) + np.arange(len(first))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool, begins = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(lengths) - lengths
+        each = lengths[at]
+        ends = np.cumsum(each)
+        ids = pool[np.repeat(begins[at] - (ends - each), each) + np.arange(int(each.sum()))]
+        cuts = np.concatenate([[0], ends])[starts]
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
     def learn(self, pieces: list[tuple[bool, str]]) -> None:
         """Ask the library for pieces not seen yet; with True, a space comes before the piece.
@@ -265,11 +288,13 @@ class _Pieces:
         spaced = [p for after, p in pieces if after]
         for at in range(0, len(spaced), 2_000):
             some = spaced[at : at + 2_000]
-            got = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
+            got = self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0]
             ids = np.array(got.ids, dtype="<u4")
-            first = np.array([a for a, _ in got.offsets], dtype=np.int64)
-            starts = np.cumsum([0] + [len(p) + 1 for p in some])
-            cuts = (4 * np.searchsorted(first, starts)).tolist()
+            # A piece begins with the one token that takes in the space before it.
+            starts = np.flatnonzero(self.takes_space[ids])
+            if len(starts) != len(some):
+                raise ValueError("The tokenizer does not keep a space with the piece behind it")
+            cuts = (4 * np.append(starts, len(ids))).tolist()
             raw = ids.tobytes()
             self.spaced.update((p, raw[a:b]) for p, a, b in zip(some, cuts, cuts[1:], strict=False))
         alone = [p for after, p in pieces if not after]
