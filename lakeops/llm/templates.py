@@ -7,6 +7,9 @@ alignment of a document with an item, each value of the item must always have be
 document. Of alignments that break this rule only the windows with the item's own values count; the others are
 chance meetings of common templates.
 
+Copies need no template: windows over the bare lower-cased words themselves are joined too, without any
+condition on literals and for items of almost any length, so nothing that makes a template poor hides a copy.
+
 The join sees only windows that pass a bitmap of fixed size over the benchmark's hashes. The bitmap only saves
 work: whatever passes is decided by the join.
 """
@@ -20,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +32,9 @@ from lakeops.llm.common import prepare_workers, whole_text, written
 
 #: Template words in a window; an item with fewer is one window of its own length.
 WINDOW = 8
-#: Items with fewer template words are no evidence and never match.
-LEAST_WORDS = 5
-#: Windows with a smaller share of literals are no evidence.
+#: Items with fewer words do not match as templates, and not at all: a word or two prove nothing.
+LEAST_WORDS, LEAST_COPIED = 5, 3
+#: Windows with a smaller share of literals do not match as templates.
 LEAST_LITERALS = 0.5
 #: A document is contaminated by an item if it has this share of its windows, or this many: thirteen words in a row.
 LEAST_SHARE, ENOUGH_WINDOWS = 0.5, 6
@@ -61,16 +65,19 @@ _CODES = {NUMBER: _code("\x01number"), UNIT: _code("\x01unit"), NAME: _code("\x0
 
 @dataclass
 class Template:
-    """Template words of some texts: hash, kind and number (in ``words``) of each, and where each text begins."""
+    """Words of some texts: hash in the template and as such, kind and number (in ``words``) of each, and where each text begins."""
 
     codes: np.ndarray
+    plain: np.ndarray
     kinds: np.ndarray
     numbers: np.ndarray
     starts: np.ndarray
     words: Words
 
     def slots(self, at: int, length: int) -> list[str]:
-        """What fills the slots of a window; literals are empty."""
+        """What fills the slots of a window; literals are empty. A window of bare words has no slots."""
+        if length < 0:
+            return []
         place = range(at, at + length)
         return [self.words.bare[self.numbers[k]] if self.kinds[k] != LITERAL else "" for k in place]
 
@@ -78,13 +85,14 @@ class Template:
 class Words:
     """What a worker knows about raw words; emptied when full. A word's role depends on the word before it as well."""
 
-    FULL = 500_000
+    FULL = 250_000
 
     def __init__(self):
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
+        self.pairs: dict[str, tuple[int, int]] = {}
         self.bare: list[str] = []
         self.codes, self.kinds = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int8)
         self.units, self.ends = np.zeros(1 << 12, bool), np.zeros(1 << 12, bool)
@@ -98,6 +106,7 @@ class Words:
             if kind == LITERAL and len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
                 kind = NAME
             low = bare.lower()
+            low = word if low == word else low
             at = self.number[word] = len(self.bare)
             if at == len(self.codes):
                 self.codes, self.kinds, self.units, self.ends = (
@@ -108,21 +117,37 @@ class Words:
             self.units[at], self.ends[at] = low in UNITS, word.rstrip("\"')")[-1:] in (".", "!", "?", ":")
         return at
 
+    def numbers(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of words; a measure such as 12kg has two, other words have -1 as their second."""
+        first, second = np.empty(len(words), np.int64), np.full(len(words), -1, np.int64)
+        for i, word in enumerate(words):
+            at = self.number.get(word)
+            if at is None:
+                pair = self.pairs.get(word)
+                if pair is None:
+                    parts = _parted(word)
+                    if len(parts) == 1:
+                        first[i] = self.of(word)
+                        continue
+                    pair = self.pairs[word] = (self.of(parts[0]), self.of(parts[1]))
+                at, second[i] = pair
+            first[i] = at
+        return first, second
+
     def template(self, texts: list[str]) -> Template:
         if len(self.bare) > self.FULL:
             self.clear()
-        of, known = self.of, self.number.get
-        index: list[np.ndarray] = []
-        for text in texts:
-            words = text.split()
-            found = list(map(known, words))
-            if None in found:
-                words = [p for w in words for p in (_parted(w) if w not in self.number else (w,))]
-                found = [of(w) for w in words]
-            index.append(np.array(found, dtype=np.int64))
-        starts = np.cumsum([0, *map(len, index)])
-        at = np.concatenate([np.zeros(0, np.int64), *index])
+        parts = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pa.array(texts, pa.large_string())))
+        starts, coded = parts.offsets.to_numpy(), parts.flatten().dictionary_encode()
+        # each different word of the batch is looked at once
+        first, second = self.numbers(coded.dictionary.to_pylist())
+        index = coded.indices.to_numpy()
+        at, more = first[index], second[index]
+        pairs = np.flatnonzero(more >= 0)
+        at = np.insert(at, pairs + 1, more[pairs])
+        starts = starts + np.searchsorted(pairs, starts)
         codes, kinds, units, ends = self.codes[at], self.kinds[at], self.units[at], self.ends[at]
+        plain = codes.copy()
         opening = np.concatenate([[True], ends])
         opening[starts] = True
         behind = np.concatenate([[False], kinds == NUMBER])
@@ -133,7 +158,7 @@ class Words:
             codes[kinds == kind] = np.uint64(code)
         kept = kinds != EMPTY
         counts = np.concatenate([[0], np.cumsum(kept)])
-        return Template(codes[kept], kinds[kept], at[kept], counts[starts], self)
+        return Template(codes[kept], plain[kept], kinds[kept], at[kept], counts[starts], self)
 
 
 def _parted(word: str) -> list[str]:
@@ -143,22 +168,28 @@ def _parted(word: str) -> list[str]:
 
 
 def windows(template: Template, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Position and hash (unsigned) of each window that lies in one text and has enough literals."""
-    n = len(template.codes) - length + 1
+    """Position and hash (unsigned) of each window that lies in one text and, as a template, has enough literals.
+
+    A negative length asks for windows over the bare words, all of them.
+    """
+    size = abs(length)
+    n = len(template.codes) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashes = np.full(n, length, dtype=np.uint64)
-    literals = np.zeros(n, dtype=np.int16)
-    is_literal = (template.kinds == LITERAL).astype(np.int16)
+    codes = template.codes if length > 0 else template.plain
+    hashes = np.full(n, size if length > 0 else size + WINDOW, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(length):
-            hashes += template.codes[k : k + n] * _PLACE[k]
-            literals += is_literal[k : k + n]
+        for k in range(size):
+            hashes += codes[k : k + n] * _PLACE[k]
         hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
         hashes ^= hashes >> np.uint64(32)
-    fits = literals >= LEAST_LITERALS * length
+    if length > 0:
+        counts = np.concatenate([[0], np.cumsum(template.kinds == LITERAL)])
+        fits = counts[size:] - counts[:-size] >= LEAST_LITERALS * size
+    else:
+        fits = np.ones(n, dtype=bool)
     for cut in template.starts[1:-1]:
-        fits[max(0, cut - length + 1) : cut] = False
+        fits[max(0, cut - size + 1) : cut] = False
     at = np.flatnonzero(fits)
     return at, hashes[at]
 
@@ -172,7 +203,7 @@ def _names(schema: str) -> list[str]:
 
 
 def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """Template windows of the benchmark's items. NULL texts count as empty."""
+    """Windows of the benchmark's items, as templates and (with negative lengths) as bare words. NULL texts count as empty."""
     prepare_workers(benchmark.sparkSession)
     source = benchmark.select(F.col(item_id).cast("long").alias("item_id"), whole_text(text).alias("text"))
     source = source.withColumn("item_key", F.xxhash64("text"))
@@ -184,12 +215,13 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
             for name, key, text in zip(*(batch.column(c).to_pylist() for c in ("item_id", "item_key", "text")), strict=True):
                 template = words.template([text])
                 n = len(template.codes)
-                if n < LEAST_WORDS:
-                    continue
-                length = min(WINDOW, n)
-                at, hashes = windows(template, length)
-                for a, h in zip(at.tolist(), hashes.view(np.int64).tolist(), strict=True):
-                    rows.append((name, key, a, len(at), length, h, template.slots(a, length)))
+                size = min(WINDOW, n)
+                for least, length in ((LEAST_WORDS, size), (LEAST_COPIED, -size)):
+                    if n < least:
+                        continue
+                    at, hashes = windows(template, length)
+                    for a, h in zip(at.tolist(), hashes.view(np.int64).tolist(), strict=True):
+                        rows.append((name, key, a, len(at), length, h, template.slots(a, length)))
             yield pa.RecordBatch.from_pylist([dict(zip(_names(ITEM), r, strict=True)) for r in rows], schema=_arrow(ITEM))
 
     return source.mapInArrow(run, ITEM)
@@ -248,9 +280,11 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
     """
     spark = docs.sparkSession
     items = written(benchmark_windows(benchmark, item_id, text), "benchmark-windows")
-    lengths = sorted(r["length"] for r in items.select("length").distinct().collect())  # at most WINDOW of them
+    lengths = sorted(r["length"] for r in items.select("length").distinct().collect())  # at most twice WINDOW
     sent = spark.sparkContext.broadcast(bitmap(items))
-    met = document_windows(docs, sent, lengths, doc_id, text).join(items.dropDuplicates(["item_id", "item_key", "item_at"]), ["hash", "length"])
+    met = document_windows(docs, sent, lengths, doc_id, text).join(
+        items.dropDuplicates(["item_id", "item_key", "item_at", "length"]), ["hash", "length"]
+    )
     filled = F.arrays_zip(F.col("item_slots").alias("item"), F.col("doc_slots").alias("doc"))
     aligned = met.select(
         "doc_id",
@@ -258,13 +292,14 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
         "item_id",
         "item_key",
         "n_windows",
+        (F.col("length") < 0).alias("bare"),
         "item_at",
         (F.col("doc_at") - F.col("item_at")).alias("shift"),
         F.filter(filled, lambda s: s["item"] != "").alias("filled"),
     )
     own = F.forall("filled", lambda s: s["item"] == s["doc"])
     # An alignment has at most as many rows as the item has windows.
-    lines = aligned.groupBy("doc_id", "doc_key", "item_id", "item_key", "n_windows", "shift").agg(
+    lines = aligned.groupBy("doc_id", "doc_key", "item_id", "item_key", "n_windows", "bare", "shift").agg(
         F.collect_set("item_at").alias("places"),
         F.array_distinct(F.flatten(F.collect_list("filled"))).alias("filled"),
         F.collect_set(F.when(own, F.col("item_at"))).alias("verbatim"),
@@ -274,14 +309,18 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
     enough_of = lambda n: (n >= LEAST_SHARE * F.col("n_windows")) | (n >= ENOUGH_WINDOWS)
     places = F.when(consistent, F.col("places")).otherwise(F.col("verbatim"))
     same = F.when(consistent, F.forall("filled", lambda s: s["item"] == s["doc"])).otherwise(enough_of(F.size("verbatim")))
-    lines = lines.select("doc_id", "doc_key", "item_id", "item_key", "n_windows", places.alias("places"), same.alias("same"))
-    found = lines.groupBy("doc_id", "doc_key", "item_id", "item_key", "n_windows").agg(
+    lines = lines.select("doc_id", "doc_key", "item_id", "item_key", "n_windows", "bare", places.alias("places"), same.alias("same"))
+    found = lines.groupBy("doc_id", "doc_key", "item_id", "item_key", "n_windows", "bare").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("windows"),
         F.max("same").alias("copied"),
     )
-    enough = enough_of(F.col("windows"))
+    # As a copy and as a template: one row, the copy if it is one.
+    best = F.max_by(F.struct("windows", "n_windows"), F.struct("copied", "bare", "windows"))
+    one = found.where(enough_of(F.col("windows"))).groupBy("doc_id", "doc_key", "item_id", "item_key").agg(
+        F.max("copied").alias("copied"), best.alias("best")
+    )
     kind = F.when(F.col("copied"), "copy").otherwise("reparameterised")
-    return found.where(enough).select("doc_id", "doc_key", "item_id", kind.alias("kind"), "windows", "n_windows")
+    return one.select("doc_id", "doc_key", "item_id", kind.alias("kind"), "best.windows", "best.n_windows")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

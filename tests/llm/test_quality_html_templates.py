@@ -193,10 +193,50 @@ def test_against_brute_force(spark, docs_of):
     assert set(found(docs_of(docs), items(spark, bench))) == want and len(want) >= 40
 
 
-def test_short_items_and_poor_templates_never_match(spark, docs_of):
-    bench = items(spark, [(1, "one two three four"), (2, "1 2 3 4 5 6 7 8 9 10"), (3, None), (None, "a plain item without an id here")])
-    docs = docs_of([(1, "one two three four"), (2, "1 2 3 4 5 6 7 8 9 10"), (3, "see a plain item without an id here now")])
-    assert found(docs, bench) == {(3, None): "copy"}
+def test_short_items_and_poor_templates_match_as_copies_alone(spark, docs_of):
+    bench = items(
+        spark,
+        [(1, "one two three four"), (2, "1 2 3 4 5 6 7 8 9 10"), (3, None), (4, "two words"), (None, "a plain item without an id here")],
+    )
+    docs = docs_of(
+        [
+            (1, "one two three four"),
+            (2, "1 2 3 4 5 6 7 8 9 10"),
+            (3, "see a plain item without an id here now"),
+            (4, "11 12 13 14 15 16 17 18 19 20"),
+            (5, "two words"),
+            (6, "one two three five"),
+        ]
+    )
+    assert found(docs, bench) == {(1, 1): "copy", (2, 2): "copy", (3, None): "copy"}
+
+
+def test_copies_whatever_their_words(spark, docs_of):
+    rich = "On 12.03.1998 Anna Berg, Paul Stone and Mary Hill paid 1,250 kg, 17 km and 300 EUR to Bob Lake in Rome"
+    seven = "Which river runs through Paris and Rouen?"
+    eleven = "In what year did Marie Curie and Pierre Curie meet first?"
+    bench = items(spark, [(1, rich), (2, seven), (3, eleven)])
+    docs = docs_of(
+        [
+            (1, f"{prose(11, 20)} {rich} {prose(12, 20)}"),
+            (2, f"{prose(13, 20)}\n{seven}\n{prose(14, 20)}"),
+            (3, f"{prose(15, 20)} and {eleven.lower()} {prose(16, 20)}"),
+            (4, prose(17, 80)),
+            (5, "Which river runs through London and Oxford?"),
+        ]
+    )
+    got = found(docs, bench)
+    assert {k: v for k, v in got.items() if k[0] < 4} == {(1, 1): "copy", (2, 2): "copy", (3, 3): "copy"}
+    assert not any(k[0] == 4 for k in got)
+    assert got.get((5, 2), "reparameterised") == "reparameterised"
+
+
+def test_words_are_cut_as_python_cuts_them():
+    text = " a\x1cb\u2003c  12kg\n\u00a0d\u0085e 5m "
+    words = templates.Words()
+    got = words.template([text, "", "  ", "7kg x"])
+    assert [words.bare[n] for n in got.numbers] == ["a", "b", "c", "12", "kg", "d", "e", "5", "m", "7", "kg", "x"]
+    assert got.starts.tolist() == [0, 9, 9, 9, 12]
 
 
 def test_clean_keeps_the_rest(spark, docs_of, edge_rows):
