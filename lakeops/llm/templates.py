@@ -101,8 +101,12 @@ class Words:
         """Number of a word: its hash as a literal, kind, whether a unit, whether it ends a sentence, and its bare form."""
         at = self.number.get(word)
         if at is None:
-            bare = _EDGE.sub("", word)
-            kind = EMPTY if not bare else NUMBER if _NUMBER.fullmatch(bare) else LITERAL
+            if word.isalpha() or word[:-1].isalpha():  # no regular expression is needed for most words
+                bare = word if word[-1].isalnum() else word[:-1]
+                kind = LITERAL
+            else:
+                bare = _EDGE.sub("", word)
+                kind = EMPTY if not bare else NUMBER if _NUMBER.fullmatch(bare) else LITERAL
             if kind == LITERAL and len(bare) > 1 and bare[0].isupper() and bare[1:].islower():
                 kind = NAME
             low = bare.lower()
@@ -125,7 +129,7 @@ class Words:
             if at is None:
                 pair = self.pairs.get(word)
                 if pair is None:
-                    parts = _parted(word)
+                    parts = [word] if word.isalpha() else _parted(word)
                     if len(parts) == 1:
                         first[i] = self.of(word)
                         continue
