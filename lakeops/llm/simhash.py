@@ -267,7 +267,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, source: DataFrame, similarit
     sides = [sets.select(F.col("node").alias(s), F.col("shingles").alias(f"of_{s}")) for s in "ab"]
     shared, total = F.size(F.array_intersect("of_a", "of_b")), F.size("of_a") + F.size("of_b")
     linked = pairs.join(sides[0], "a").join(sides[1], "b").where(shared * (1 + similarity) >= total * similarity - 1e-9)
-    return written(linked.select("a", "b"), "verified")
+    found = written(linked.select("a", "b"), "verified")
+    for done in (wanted, sets):
+        forget(done)
+    return found
 
 
 def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -320,12 +323,18 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
     placed = lists.select("shingle", F.col("x.node").alias("node"), "x").join(labels, "node", "left")
     members = placed.groupBy("shingle", F.coalesce("label", "node").alias("label"), F.pmod("node", F.lit(PARTS)).alias("part")).agg(F.collect_list("x").alias("xs"))
     members = written(members.select("shingle", "label", "xs"), "members")
+    forget(lists)
     mixed = members.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("shingle")
-    members = members.join(mixed, "shingle")
-    other = members.select("shingle", F.col("label").alias("label_y"), F.col("xs").alias("ys"))
-    met = members.join(other, "shingle").where("label < label_y").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
+    several = members.join(mixed, "shingle")
+    other = several.select("shingle", F.col("label").alias("label_y"), F.col("xs").alias("ys"))
+    met = several.join(other, "shingle").where("label < label_y").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
     second = written(pairs(met, "x", "y").join(first, ["a", "b"], "left_anti"), "list-pairs")
-    labels = components(links.unionByName(_verified(second, classes, source, similarity, shingle)))
+    forget(members)
+    forget(first)
+    settled = _verified(second, classes, source, similarity, shingle)
+    forget(second)
+    forget(classes)
+    labels = components(links.unionByName(settled))
     return rows.join(labels, "node", "left").select("doc_id", "text_key", "node", F.coalesce("label", "node").alias("label"))
 
 
