@@ -203,7 +203,7 @@ def test_queries_against_their_sql(spark, name):
 
 def test_pipeline_names_and_registered_queries():
     names = [n.split("_")[0] for n in queries.QUERIES]
-    assert sorted(names) == sorted(f"op{k}" for k in range(1, 11))
+    assert sorted(names) == sorted(f"op{k}" for k in range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
