@@ -17,6 +17,10 @@ import numpy as np
 HEAD, CLASS_WORDS, TAIL_CLASSES = 2_048, 64, 32
 HIDDEN = 24
 WINDOW = 16
+#: Streams trained side by side and tokens whose probabilities are worked out at once: both fit the processor's cache, and
+#: neither is a power of two, at which rows of a matrix would fall on the same lines of it.
+STREAMS, PIECE = 500, 8_000
+LEAST_UPDATES = 64
 NAMES = ("inputs", "recurrent", "class_weight", "class_bias", "word_weight", "word_bias")
 
 
@@ -31,6 +35,19 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(letter + b"\0" + (b"" if last.isalnum() or last >= b"\x80" else last)) % TAIL_CLASSES
 
 
+def _softmax(scores: np.ndarray, bias: np.ndarray, picked: np.ndarray, at: np.ndarray, slopes: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Log of the picked share of each column; ``scores`` become shares, less one where picked, if slopes are wanted."""
+    scores += bias[:, None]
+    scores -= scores.max(axis=0)
+    chosen = scores[picked, at]
+    np.exp(scores, out=scores)
+    total = scores.sum(axis=0)
+    if slopes:
+        scores /= total
+        scores[picked, at] -= 1
+    return (chosen - np.log(total)).astype(np.float64), scores
+
+
 class Gru:
     """Parameters, by name in ``weights``; ``head`` words in the model."""
 
@@ -61,52 +78,69 @@ class Gru:
         return np.where(tokens < self.head, tokens // CLASS_WORDS, self.head_classes + tokens - self.head)
 
     def step(self, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
-        x, a = self.weights["inputs"][inputs], state @ self.weights["recurrent"]
-        gates = 1 / (1 + np.exp(-np.clip(x[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN], -20, 20)))
-        keep, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        inner = a[:, 2 * HIDDEN :]
-        new = np.tanh(x[:, 2 * HIDDEN :] + reset * inner)
-        return new + keep * (state - new), (state, keep, reset, inner, new)
+        """The next state of each row, and what the way back needs."""
+        new, memory = self._step(self.weights["inputs"].T[:, inputs], state.T)
+        return new.T, memory
+
+    def _step(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """The same with a column for each text: slices by unit are then contiguous."""
+        a = self.weights["recurrent"].T @ state
+        gates = a[: 2 * HIDDEN]
+        gates += x[: 2 * HIDDEN]
+        gates *= 0.5
+        np.tanh(gates, out=gates)  # the logistic function by way of tanh cannot overflow
+        gates += 1
+        gates *= 0.5
+        keep, reset, inner = gates[:HIDDEN], gates[HIDDEN:], a[2 * HIDDEN :]
+        new = reset * inner
+        new += x[2 * HIDDEN :]
+        np.tanh(new, out=new)
+        after = state - new
+        after *= keep
+        after += new
+        return after, (state, keep, reset, inner, new)
 
     def output(self, hidden: np.ndarray, tokens: np.ndarray, gradients: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each token (of its class, for the tail); with ``gradients``, that of ``hidden`` too."""
+        found, slope = self._output(np.ascontiguousarray(hidden.T), tokens, gradients)
+        return found, None if slope is None else slope.T
+
+    def _output(self, hidden: np.ndarray, tokens: np.ndarray, gradients: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+        """The same with a column for each token, in pieces that stay in the processor's cache."""
+        found, slope = np.empty(len(tokens)), None if gradients is None else np.empty_like(hidden)
+        for at in range(0, len(tokens), PIECE):
+            part = slice(at, at + PIECE)
+            kinds = self.classes(tokens[part])
+            order = np.argsort(kinds.astype(np.int16), kind="stable")
+            logs, back = self._piece(hidden[:, part].take(order, axis=1), tokens[part][order], kinds[order], gradients)
+            found[part][order] = logs
+            if slope is not None:
+                slope[:, part] = back.take(np.argsort(order), axis=1)
+        return found, slope
+
+    def _piece(self, hidden: np.ndarray, tokens: np.ndarray, kinds: np.ndarray, gradients: dict[str, np.ndarray] | None):
+        """Log probabilities and slopes of tokens that are sorted by class."""
         w = self.weights
-        kinds = self.classes(tokens)
         at = np.arange(len(tokens))
-        logits = hidden @ w["class_weight"] + w["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        chosen = logits[at, kinds]
-        np.exp(logits, out=logits)
-        total = logits.sum(axis=1)
-        found = (chosen - np.log(total)).astype(np.float64)
+        found, logits = _softmax(w["class_weight"].T @ hidden, w["class_bias"], kinds, at, gradients is not None)
         slope = None
         if gradients is not None:
-            logits /= total[:, None]
-            logits[at, kinds] -= 1
-            gradients["class_weight"] += hidden.T @ logits
-            gradients["class_bias"] += logits.sum(axis=0)
-            slope = logits @ w["class_weight"].T
-        order = np.argsort(kinds.astype(np.int16), kind="stable")
-        bounds = np.searchsorted(kinds[order], np.arange(self.head_classes + 1))
+            gradients["class_weight"] += hidden @ logits.T
+            gradients["class_bias"] += logits.sum(axis=1)
+            slope = w["class_weight"] @ logits
+        bounds = np.searchsorted(kinds, np.arange(self.head_classes + 1)).tolist()
         for k in range(self.head_classes):
-            rows = order[bounds[k] : bounds[k + 1]]
-            if not len(rows):
+            low, high = bounds[k], bounds[k + 1]
+            if low == high:
                 continue
             words = slice(k * CLASS_WORDS, min(self.head, (k + 1) * CLASS_WORDS))
-            own = hidden[rows]
-            scores = own @ w["word_weight"][words].T + w["word_bias"][words]
-            scores -= scores.max(axis=1, keepdims=True)
-            place, each = tokens[rows] - words.start, np.arange(len(rows))
-            picked = scores[each, place]
-            np.exp(scores, out=scores)
-            total = scores.sum(axis=1)
-            found[rows] += picked - np.log(total)
+            own, weight = hidden[:, low:high], w["word_weight"][words]
+            logs, scores = _softmax(weight @ own, w["word_bias"][words], tokens[low:high] - words.start, at[: high - low], gradients is not None)
+            found[low:high] += logs
             if gradients is not None:
-                scores /= total[:, None]
-                scores[each, place] -= 1
-                gradients["word_weight"][words] += scores.T @ own
-                gradients["word_bias"][words] += scores.sum(axis=0)
-                slope[rows] += scores @ w["word_weight"][words]
+                gradients["word_weight"][words] += scores @ own.T
+                gradients["word_bias"][words] += scores.sum(axis=1)
+                slope[:, low:high] += weight.T @ scores
         return found, slope
 
     def windows(self, texts: list[np.ndarray]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray], list[int]]]:
@@ -127,91 +161,113 @@ class Gru:
         """Natural log-likelihood of each whole text (without the shares within tail classes)."""
         out = np.zeros(len(texts))
         order = [k for k in np.argsort([-len(t) for t in texts], kind="stable") if len(texts[k])]
-        if not order:
-            return out
-        state = np.zeros((len(order), HIDDEN), dtype=np.float32)
-        sums = np.zeros(len(order))
-        for before, tokens, left in self.windows([texts[k] for k in order]):
+        for at in range(0, len(order), 2 * STREAMS):
+            some = order[at : at + 2 * STREAMS]
+            out[some] = self._of_sorted([texts[k] for k in some])
+        return out
+
+    def _of_sorted(self, texts: list[np.ndarray]) -> np.ndarray:
+        """The same for texts of falling length, none empty."""
+        state = np.zeros((HIDDEN, len(texts)), dtype=np.float32)
+        sums = np.zeros(len(texts))
+        table = np.ascontiguousarray(self.weights["inputs"].T)
+        for before, tokens, left in self.windows(texts):
             hidden = []
             for inputs, n in zip(before, left, strict=True):
-                state, _ = self.step(inputs, state[:n])
+                state, _ = self._step(table.take(inputs, axis=1), state[:, :n])
                 hidden.append(state)
-            found, _ = self.output(np.concatenate(hidden), np.concatenate(tokens))
+            found, _ = self._output(np.concatenate(hidden, axis=1), np.concatenate(tokens))
             at = 0
             for n in left:
                 sums[:n] += found[at : at + n]
                 at += n
-        out[order] = sums
-        return out
+        return sums
 
-    def train(self, texts: list[np.ndarray], rate: float = 0.01, streams: int = 96) -> None:
+    def train(self, texts: list[np.ndarray], rate: float = 0.01, streams: int = STREAMS) -> None:
         """One pass over the texts, laid end to end in parallel streams, by Adam with an update for each window.
 
-        The state is handed on from window to window and starts anew with each text.
+        The state is handed on from window to window and starts anew with each text. What is left behind the last whole
+        row of streams is one more, shorter stream.
         """
         texts = [t for t in texts if len(t)]
         if not texts:
             return
         start = self.head + TAIL_CLASSES
-        tokens = np.concatenate(texts)
-        before = np.concatenate([np.concatenate([[start], t[:-1]]) for t in texts])
-        streams = max(1, min(streams, len(tokens) // WINDOW))
+        tokens = np.concatenate(texts).astype(np.int64)
+        before = np.empty_like(tokens)
+        before[1:] = tokens[:-1]
+        before[np.concatenate([[0], np.cumsum([len(t) for t in texts])[:-1]])] = start
+        streams = max(1, min(streams, len(tokens) // (LEAST_UPDATES * WINDOW)))  # few texts make narrow windows, not few updates
         length = len(tokens) // streams
-        tokens, before = (a[: streams * length].reshape(streams, length).T for a in (tokens, before))
+        whole, rest = streams * length, len(tokens) % streams
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        state = np.zeros((streams, HIDDEN), dtype=np.float32)
-        n = -(-length // WINDOW)
-        for turn in range(n):
-            at = slice(turn * WINDOW, (turn + 1) * WINDOW)
-            state, gradients = self.gradients(before[at], tokens[at], state)
-            step = rate * (1 - 0.9 * turn / n) * np.sqrt(1 - 0.99 ** (turn + 1)) / (1 - 0.9 ** (turn + 1))
-            step = np.float32(step)
-            for name, g in gradients.items():
-                one, two = first[name], second[name]
-                # In place: a step costs the memory traffic of all parameters.
-                one *= np.float32(0.9)
-                two *= np.float32(0.99)
-                one += np.float32(0.1) * g
-                np.multiply(g, g, out=g)
-                g *= np.float32(0.01)
-                two += g
-                np.sqrt(two, out=g)
-                g += np.float32(1e-5)
-                np.divide(one, g, out=g)
-                g *= step
-                self.weights[name] -= g
+        n = -(-length // WINDOW) + -(-rest // WINDOW)
+        turn = 0
+        for part, wide in ((slice(0, whole), streams), (slice(whole, None), 1)):
+            seen, said = (np.ascontiguousarray(a[part].reshape(wide, -1).T) for a in (before, tokens))
+            state = np.zeros((wide, HIDDEN), dtype=np.float32)
+            for at in range(0, len(said), WINDOW):
+                state, gradients = self.gradients(seen[at : at + WINDOW], said[at : at + WINDOW], state)
+                # A short stream moves the model by its share of a full window's tokens.
+                scale = rate * (1 - 0.9 * turn / n) * min(1.0, said[at : at + WINDOW].size / min(streams * WINDOW, whole))
+                turn += 1
+                self._move(gradients, first, second, np.float32(scale * np.sqrt(1 - 0.99**turn) / (1 - 0.9**turn)))
+
+    def _move(self, gradients: dict[str, np.ndarray], first: dict[str, np.ndarray], second: dict[str, np.ndarray], step: np.float32) -> None:
+        """One update by Adam, in place: it costs the memory traffic of all parameters."""
+        for name, g in gradients.items():
+            one, two = first[name], second[name]
+            one *= np.float32(0.9)
+            two *= np.float32(0.99)
+            one += np.float32(0.1) * g
+            np.multiply(g, g, out=g)
+            g *= np.float32(0.01)
+            two += g
+            np.sqrt(two, out=g)
+            g += np.float32(1e-5)
+            np.divide(one, g, out=g)
+            g *= step
+            self.weights[name] -= g
 
     def gradients(self, before: np.ndarray, tokens: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         """Last state, and the mean gradients of one window (steps by streams) with what comes before it held fixed."""
         w, start = self.weights, self.head + TAIL_CLASSES
         hidden, kept = [], []
+        state = np.ascontiguousarray(state.T)
+        table = np.ascontiguousarray(w["inputs"].T)
         for inputs in before:
-            going_on = (inputs != start)[:, None].astype(np.float32)
-            state, memory = self.step(inputs, state * going_on)
+            going_on = (inputs != start).astype(state.dtype)
+            state, memory = self._step(table.take(inputs, axis=1), state * going_on)
             hidden.append(state)
             kept.append((*memory, going_on))
         gradients = {k: np.zeros_like(v) for k, v in w.items()}
-        _, slope = self.output(np.concatenate(hidden), tokens.ravel(), gradients)
-        slope = slope.reshape(len(hidden), -1, HIDDEN)
+        _, slope = self._output(np.concatenate(hidden, axis=1), tokens.ravel(), gradients)
+        wide = tokens.shape[1]
         later = np.zeros_like(state)
-        of_inputs = np.empty((*tokens.shape, 3 * HIDDEN), dtype=np.float32)
+        of_inputs = np.empty((3 * HIDDEN, tokens.size), dtype=state.dtype)
+        d_sum = np.empty((3 * HIDDEN, wide), dtype=state.dtype)
+        of_recurrent = np.zeros((3 * HIDDEN, HIDDEN), dtype=state.dtype)
         for t in range(len(hidden) - 1, -1, -1):
-            d = slope[t] + later
+            now = slice(t * wide, (t + 1) * wide)
+            d = slope[:, now] + later
             old, keep, reset, inner, new, going_on = kept[t]
-            d_new = d * (1 - keep) * (1 - new * new)
-            d_keep = d * (old - new) * keep * (1 - keep)
-            d_reset = d_new * inner * reset * (1 - reset)
-            d_sum = np.concatenate([d_keep, d_reset, d_new * reset], axis=1)
-            gradients["recurrent"] += old.T @ d_sum
-            of_inputs[t] = np.concatenate([d_keep, d_reset, d_new], axis=1)
-            later = (d * keep + d_sum @ w["recurrent"].T) * going_on
-        order = np.argsort(before.ravel(), kind="stable")
+            d_all = of_inputs[:, now]
+            d_new = d_all[2 * HIDDEN :]
+            np.multiply(d - d * keep, 1 - new * new, out=d_new)
+            np.multiply(d * (old - new), keep - keep * keep, out=d_all[:HIDDEN])
+            np.multiply(d_new * inner, reset - reset * reset, out=d_all[HIDDEN : 2 * HIDDEN])
+            d_sum[: 2 * HIDDEN] = d_all[: 2 * HIDDEN]
+            np.multiply(d_new, reset, out=d_sum[2 * HIDDEN :])
+            of_recurrent += d_sum @ old.T
+            later = (d * keep + w["recurrent"] @ d_sum) * going_on
+        gradients["recurrent"] += of_recurrent.T
+        order = np.argsort(before.ravel().astype(np.int16), kind="stable")
         rows, firsts = np.unique(before.ravel()[order], return_index=True)
-        gradients["inputs"][rows] = np.add.reduceat(of_inputs.reshape(-1, 3 * HIDDEN)[order], firsts, axis=0)
+        gradients["inputs"][rows] = np.add.reduceat(of_inputs.take(order, axis=1), firsts, axis=1).T
         for g in gradients.values():
             g /= tokens.size
-        return state, gradients
+        return state.T, gradients
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.weights[n].ravel() for n in NAMES])

@@ -2,8 +2,8 @@
 
 1. Word counts of all training texts (map-side sums, one shuffle).
 2. The commonest words, at most ``FREQUENT``, go to the workers; the ``HEAD`` first of them are the model's own words.
-3. The recurrent model learns from all training texts: in each round groups of texts train copies, whose
-   parameters Spark averages.
+3. The recurrent model learns from all training texts: each task trains a copy on its texts, lesson by lesson, and
+   Spark averages the copies' parameters.
 4. One pass scores all texts. What it needs to know about words that were not sent along, their counts, is
    joined afterwards: a shuffle of rare words only.
 """
@@ -25,10 +25,9 @@ from lakeops.llm.gru import HEAD, TAIL_CLASSES, Gru, tail_class
 
 #: Words sent to the workers, at most.
 FREQUENT = 1 << 18
-#: One in so many training texts teaches the recurrent model: all.
-TAUGHT = 1
-GROUP_TEXTS = 1_000
-ROUNDS = 2
+#: Training tokens of one copy of the model (a task), and of one lesson, which is held in memory.
+COPY_TOKENS, LESSON_TOKENS = 1 << 22, 1 << 20
+ROUNDS = 1
 #: Distinct words a task sums up before it hands them on, and tokens scored at once.
 HELD_WORDS, HELD_TOKENS = 300_000, 2_000_000
 #: Parameters in one row while they are averaged.
@@ -127,7 +126,7 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
 
 
 def taught(texts: DataFrame, known: Lexicon) -> Gru:
-    """The recurrent model after ``ROUNDS`` rounds over ``texts`` (columns ``key, text``)."""
+    """The recurrent model after ``ROUNDS`` rounds over ``texts`` (column ``text``)."""
     spark = texts.sparkSession
     model = Gru.fresh(known.counts[: known.head].astype(np.float64), known.tail_tokens)
     sent = spark.sparkContext.broadcast(known)
@@ -135,16 +134,15 @@ def taught(texts: DataFrame, known: Lexicon) -> Gru:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value.opened()
         for batch in batches:
-            tokens = [own.read(t)[1].astype("<i4").tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(tokens, pa.binary())], names=["key", "tokens"])
+            tokens = [own.read(t)[1].astype("<u2").tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary())], names=["tokens"])
 
-    lessons = written(texts.mapInArrow(read, "key long, tokens binary"), "lessons")
-    groups = max(1, lessons.count() // GROUP_TEXTS)
-    dealt = lessons.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups)))
+    lessons = written(texts.select("text").mapInArrow(read, "tokens binary"), "lessons")
+    # Dealt row by row: neither copies of a text nor a hot source come to one task.
+    dealt = lessons.repartition(max(1, -(-known.tokens // COPY_TOKENS)))
     for turn in range(ROUNDS):
         start = spark.sparkContext.broadcast((model.head, model.weights))
-        lesson = _lesson(start, 0.01 / (turn + 1))
-        copies = dealt.groupBy("group").applyInArrow(lesson, "block int, weight double, values array<double>")
+        copies = dealt.mapInArrow(_lesson(start, 0.01 / (turn + 1)), "block int, weight double, values array<double>")
         each = copies.select("block", "weight", F.posexplode("values").alias("at", "value"))
         mean = each.groupBy("block", "at").agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value"))
         found = mean.toArrow()  # one number for each parameter of the model
@@ -155,19 +153,32 @@ def taught(texts: DataFrame, known: Lexicon) -> Gru:
     return model
 
 
-def _lesson(start: Broadcast, rate: float) -> Callable[[pa.Table], pa.Table]:
-    """What a group of texts does to a copy of the model: its parameters in blocks, weighted by its tokens."""
+def _lesson(start: Broadcast, rate: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task's texts do to its copy of the model, lesson by lesson: its parameters in blocks, weighted by their tokens."""
 
-    def train(group: pa.Table) -> pa.Table:
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, weights = start.value
         own = Gru(head, {k: v.copy() for k, v in weights.items()})
-        group = group.sort_by([("key", "ascending"), ("tokens", "ascending")])
-        texts = [np.frombuffer(t, "<i4") for t in group["tokens"].to_pylist()]
+        texts: list[np.ndarray] = []
+        held = taught = 0
+        for batch in batches:
+            for tokens in batch.column("tokens").to_pylist():
+                texts.append(np.frombuffer(tokens, "<u2"))
+                held += len(texts[-1])
+                if held >= LESSON_TOKENS:
+                    own.train(texts, rate)
+                    texts, held, taught = [], 0, taught + held
         own.train(texts, rate)
-        flat = own.flat().astype(np.float64)
-        parts = [flat[at : at + BLOCK] for at in range(0, len(flat), BLOCK)]
-        weight = pa.array([float(sum(map(len, texts)))] * len(parts))
-        return pa.table({"block": pa.array(range(len(parts)), pa.int32()), "weight": weight, "values": pa.array(parts, pa.list_(pa.float64()))})
+        taught += held
+        if taught:
+            flat = own.flat().astype(np.float64)
+            parts = [flat[at : at + BLOCK] for at in range(0, len(flat), BLOCK)]
+            columns = [
+                pa.array(range(len(parts)), pa.int32()),
+                pa.array([float(taught)] * len(parts)),
+                pa.array(parts, pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "weight", "values"])
 
     return train
 
@@ -242,9 +253,7 @@ def score(df: DataFrame, learn_from: Column, doc_id: str = "doc_id", text: str =
     learnt = docs.where("learn")
     counts = written(word_counts(learnt.select("text")), "word-counts")
     known, least = lexicon(counts)
-    key = F.xxhash64("doc_id", "text")
-    lessons = learnt.where(F.pmod(F.xxhash64("doc_id", F.lit("lesson")), F.lit(TAUGHT)) == 0)
-    model = taught(lessons.select(key.alias("key"), "text"), known)
+    model = taught(learnt.select("text"), known)
     parts = written(_scored(docs.select("doc_id", "text"), known, model).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = parts.select("row", F.inline("rare"))
     seldom = counts.where(F.col("n") < least).select("word", F.col("n").alias("c"))

@@ -103,8 +103,7 @@ def test_gradients_by_differences():
         assert g[at] == pytest.approx((high - low) / 2e-5, rel=1e-3)
 
 
-def test_training_helps_on_held_out_texts(docs_of, monkeypatch):
-    monkeypatch.setattr(lm, "TAUGHT", 1)
+def test_training_helps_on_held_out_texts(docs_of):
     rng = random.Random(6)
     one, two = [f"a{k}" for k in range(20)], [f"b{k}" for k in range(20)]
     rows = [(k, " ".join(rng.choices(one if k % 2 else two, k=80))) for k in range(400)]
@@ -124,6 +123,17 @@ def test_every_training_text_teaches(docs_of, monkeypatch):
         assert dict(lessons)["lessons"].count() == len(rows)
 
 
+def test_training_uses_every_token(monkeypatch):
+    """Also those behind the last whole row of streams, and those of a long text in pieces."""
+    seen = []
+    original = gru.Gru.gradients
+    monkeypatch.setattr(gru.Gru, "gradients", lambda self, b, t, s: seen.append(t.size) or original(self, b, t, s))
+    for lengths in ((1,), (5, 40), (700, 3, 0, 1_001), (9_000,) * 3):
+        seen.clear()
+        toy().train([np.arange(n) % 150 for n in lengths], 0.01, streams=16)
+        assert sum(seen) == sum(lengths)
+
+
 # Top-k search
 
 
