@@ -113,14 +113,15 @@ def op10_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op10_pivot_top_k"] = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS vector FROM embeddings
+    SELECT row_number() OVER () AS rid, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS vector FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), ranked AS (
-    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.vector, c.vector) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+    SELECT q.rid AS query, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.vector, c.vector) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.rid <> c.rid WHERE q.vec_id % 50 = 0
 ), numbered AS (
-    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM ranked
+    SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM ranked
 )
 SELECT query_id, rank, vec_id, score FROM numbered WHERE rank <= 5
 """

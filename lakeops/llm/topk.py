@@ -47,7 +47,7 @@ def spread_out(sample: np.ndarray, n: int) -> np.ndarray:
 
 
 def with_pivot_distances(vectors: DataFrame, sample_size: int = PIVOT_SAMPLE) -> DataFrame:
-    """``id, vector, to_pivots`` from ``id, vector``; vectors shorter or longer than the pivots have the origin alone."""
+    """``id, row, vector, to_pivots`` from ``id, row, vector``; vectors shorter or longer than the pivots have the origin alone."""
     spark = vectors.sparkSession
     prepare_workers(spark)
     sample = vectors.orderBy(F.xxhash64("id"), "id").limit(sample_size).toArrow()["vector"].to_pylist()
@@ -62,11 +62,10 @@ def with_pivot_distances(vectors: DataFrame, sample_size: int = PIVOT_SAMPLE) ->
             for v in batch.column("vector").to_pylist():
                 v = np.array(v, dtype=np.float64)
                 found.append(np.linalg.norm(pivots - v, axis=1) if len(v) == size else np.array([np.linalg.norm(v)]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("vector"), pa.array(found, pa.list_(pa.float64()))], names=["id", "vector", "to_pivots"]
-            )
+            kept = [batch.column(name) for name in ("id", "row", "vector")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.list_(pa.float64()))], names=["id", "row", "vector", "to_pivots"])
 
-    return vectors.mapInArrow(run, "id long, vector array<double>, to_pivots array<double>")
+    return vectors.mapInArrow(run, "id long, row long, vector array<double>, to_pivots array<double>")
 
 
 def _scores(query: np.ndarray, candidates: np.ndarray) -> np.ndarray:
@@ -129,18 +128,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query id the k ids with the highest inner product.
 
     vectors: ``id`` (long), ``vector`` (array of whole numbers as double). is_query: over these columns. Rows whose id,
-    vector or any component is NULL or not finite take no part, vectors meet only those of their own length, and an id is
-    not its own candidate. Several rows with one id stand together: the best score between two ids counts. Ties go to the
-    smaller id; with fewer than k candidates all are returned; no rows give no rows.
+    vector or any component is NULL or not finite take no part; vectors meet only those of their own length, empty ones too.
+    Every row but the query's own is a candidate: rows that share an id are rows of their own, as queries (each with its own
+    ranks) and as results. Ties go to the smaller id; with fewer than k candidates all are returned; no rows give no rows.
+    Other columns are not looked at.
     """
     spark = vectors.sparkSession
     sound = F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    taken = vectors.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0)).where(sound)
-    table = written(with_pivot_distances(taken.select("id", "vector")), "pivot-table")
+    taken = vectors.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).where(sound)
+    # The written table fixes which row has which number.
+    numbered = taken.select("id", F.monotonically_increasing_id().alias("row"), "vector")
+    table = written(with_pivot_distances(numbered), "pivot-table")
     counts = table.agg(F.count("*").alias("rows"), F.count_if(is_query).alias("queries")).first()
     query_blocks = max(1, -(-counts["queries"] // QUERY_BLOCK))
     slices = max(1, -(-counts["rows"] // CANDIDATE_BLOCK))
-    dealt = F.xxhash64("id", F.lit("block"))
+    dealt = F.xxhash64("id", "row", F.lit("block"))
 
     def side(frame: DataFrame, own: str, own_n: int, other: str, other_n: int, flag: bool) -> DataFrame:
         return frame.select(
@@ -149,6 +151,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
             F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))).alias(other),
             F.lit(flag).alias("is_query"),
             "id",
+            "row",
             "vector",
             "to_pivots",
         )
@@ -158,21 +161,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     )
 
     def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("id", "ascending"), ("row", "ascending")])
         flags = np.asarray(group["is_query"].combine_chunks())
-        ids = np.asarray(group["id"].combine_chunks(), dtype=np.int64)
+        ids, rows = (np.asarray(group[name].combine_chunks(), dtype=np.int64) for name in ("id", "row"))
         all_vectors, all_pivots = _matrix(group["vector"]), _matrix(group["to_pivots"])
-        out: list[list] = [[], [], []]
+        out: list[list] = [[] for _ in range(5)]
         if flags.any() and not flags.all():
             mine = ~flags
-            for query, best_ids, best, _ in block_top_k(
-                ids[flags], all_vectors[flags], all_pivots[flags], ids[mine], all_vectors[mine], all_pivots[mine], k
-            ):
+            # Candidates go by their place: by id, then by row. A query that is none of them has no place.
+            places = {row: at for at, row in enumerate(rows[mine].tolist())}
+            own = np.array([places.get(row, -1) for row in rows[flags].tolist()])
+            best_of = block_top_k(own, all_vectors[flags], all_pivots[flags], np.arange(mine.sum()), all_vectors[mine], all_pivots[mine], k)
+            for query, row, (_, best_places, best, _) in zip(ids[flags].tolist(), rows[flags].tolist(), best_of, strict=True):
                 out[0] += [query] * len(best)
-                out[1] += best_ids.tolist()
-                out[2] += best.tolist()
-        return pa.table([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
-
-    found = both.groupBy("size", "query_block", "slice").applyInArrow(run, "query_id long, vec_id long, score long")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                out[1] += [row] * len(best)
+                out[2] += ids[mine][best_places].tolist()
+                out[3] += rows[mine][best_places].tolist()
+                out[4] += best.tolist()
+        return pa.table([pa.array(c, pa.int64()) for c in out], names=["query_id", "query_row", "vec_id", "row", "score"])
+
+    columns = "query_id long, query_row long, vec_id long, row long, score long"
+    found = both.groupBy("size", "query_block", "slice").applyInArrow(run, columns)
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

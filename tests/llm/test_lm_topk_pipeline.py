@@ -138,18 +138,15 @@ def test_training_uses_every_token(monkeypatch):
 
 
 def brute(rows, k, every):
-    kept = [(i, v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
-    out = set()
-    for q in {i for i, _ in kept if i % every == 0}:
-        best = {}
-        for i, v in kept:
-            for j, u in kept:
-                if i == q and j != q and len(u) == len(v):
-                    score = sum(int(a) * int(b) for a, b in zip(u, v, strict=True))
-                    best[j] = max(best.get(j, score), score)
-        for rank, (j, s) in enumerate(sorted(best.items(), key=lambda p: (-p[1], p[0]))[:k], 1):
-            out.add((q, rank, j, s))
-    return out
+    """Rows of the result, sorted: every row but the query's own is a candidate."""
+    kept = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, (q, u) in enumerate(kept):
+        if q % every == 0:
+            others = [(j, v) for b, (j, v) in enumerate(kept) if a != b and len(u) == len(v)]
+            scores = [(-sum(int(x) * int(y) for x, y in zip(u, v, strict=True)), j) for j, v in others]
+            out += [(q, rank, j, -s) for rank, (s, j) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out)
 
 
 def found(spark, rows, k, every):
@@ -166,9 +163,9 @@ def test_top_k_against_brute_force(spark, monkeypatch, block):
     rows = [(k, [float(c + rng.randint(-4, 4)) for c in rng.choice(centres)]) for k in range(150)]
     rows += [(200 + k, [3.0] * 6) for k in range(60)]  # ties
     rows += [(300, [1.0, 2.0]), (301, [5.0, 2.0]), (10, [9.0] * 6), (None, [1.0] * 6), (310, None), (311, [])]
+    rows += [(350, [7.0] * 6), (350, [7.0] * 6), (350, [8.0] * 6), (360, []), (320, [2.0] * 6)]  # ids of several rows, empty vectors
     rows += [(312, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (320, [float("nan")] * 6), (330, [float("inf")] * 6), (340, [0.0] * 6)]
-    got = found(spark, rows, 5, 10)
-    assert len(got) == len(set(got)) and set(got) == brute(rows, 5, 10)
+    assert sorted(found(spark, rows, 5, 10)) == brute(rows, 5, 10)
 
 
 def test_few_candidates_and_none(spark):
