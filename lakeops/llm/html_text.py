@@ -26,7 +26,10 @@ BLOCK = frozenset(
     " td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNREAD = frozenset("script style title noscript template iframe object svg canvas math textarea select button audio video".split())
+#: Elements whose content is no markup and ends with their end tag, or with the page.
+RAW = frozenset("script style title textarea iframe".split())
+#: Elements that hold markup which is no text of the page. Without an end tag of their own they hold nothing.
+EMBEDDED = frozenset("noscript template object svg canvas math select button audio video".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ASIDE = frozenset("nav footer aside form menu dialog search".split())
 #: Words in class, id and role names that mark what is not the article.
@@ -47,6 +50,11 @@ _TAG = re.compile(
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_EMBEDDED = re.compile(rf"<(?:{'|'.join(sorted(EMBEDDED))})(?=[\s/>])", re.I)
+#: First words of a name that says what its element goes with, not what it is ("with-sidebar", "no-comments").
+BESIDE = frozenset("with has have no not without".split())
+#: What follows "social" where a subject is named, not a bar of buttons.
+SUBJECTS = frozenset("science sciences studies history work policy security".split())
 
 FEATURES = (
     "words",
@@ -84,7 +92,41 @@ def _marks(name: str, attributes: str) -> bool:
         return False
     if _HIDDEN.search(attributes):
         return True
-    return any(w.lower() in CUES for value in _NAMES.findall(attributes) for w in _WORD.findall(value))
+    return any(_names_a_cue(one) for value in _NAMES.findall(attributes) for one in value.strip("\"'").split())
+
+
+def _names_a_cue(name: str) -> bool:
+    words = [w.lower() for w in _WORD.findall(name)]
+    subject = len(words) > 1 and words[0] == "social" and words[1] in SUBJECTS
+    return any(w in CUES for w in words) and words[0] not in BESIDE and not subject
+
+
+def _raw_end(page: str, name: str, at: int) -> int:
+    """Where a raw element ends whose content begins at ``at``."""
+    closing = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*(?:>|\\Z)", re.I).search(page, at)
+    return closing.end() if closing else len(page)
+
+
+def _embedded_ends(page: str) -> dict[int, int]:
+    """For each embedded element with an end tag: where its content begins, and where the element ends."""
+    ends: dict[int, int] = {}
+    if not _EMBEDDED.search(page):
+        return ends
+    opened: dict[str, list[int]] = {name: [] for name in EMBEDDED}
+    at = 0
+    while (tag := _TAG.search(page, at)) is not None:
+        at = tag.end()
+        name = (tag[2] or "").lower()
+        if name in RAW and not tag[1]:
+            at = _raw_end(page, name, at)
+        elif name in opened:
+            if not tag[1]:
+                if not tag[3].endswith("/"):
+                    opened[name].append(at)
+            elif opened[name]:
+                # An end tag belongs to the last open one, so an element that was left open ends nowhere.
+                ends[opened[name].pop()] = at
+    return ends
 
 
 def blocks(page: str) -> list[Block]:
@@ -125,7 +167,7 @@ def blocks(page: str) -> list[Block]:
             pieces.clear()
         linked = 0
 
-    at, end = 0, len(page)
+    at, end, embedded = 0, len(page), _embedded_ends(page)
     while at < end:
         tag = _TAG.search(page, at)
         if tag is None:
@@ -146,9 +188,11 @@ def blocks(page: str) -> list[Block]:
                 else:
                     del opened[where]
             continue
-        if name in UNREAD:
-            closing = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*(?:>|\\Z)", re.I).search(page, at)
-            at = closing.end() if closing else end
+        if name in RAW:
+            at = _raw_end(page, name, at)
+            continue
+        if name in EMBEDDED:
+            at = embedded.get(at, at)
             continue
         if name == "br":
             pieces.append(" ")

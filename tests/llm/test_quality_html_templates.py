@@ -122,6 +122,27 @@ def test_extract_keeps_rows(spark):
     assert html_text.extract(frame.limit(0)).count() == 0
 
 
+ARTICLE = "<article><h1>Snow</h1><p>The mayor spoke for some minutes and then left the hall.</p><p>End.</p></article>"
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "has-nav", "no-comments", "social-science"])
+def test_names_that_only_go_with_other_things(name):
+    tree = html_text.Tree(*html_text.labelled())
+    want = html_text.main_text(ARTICLE, tree)
+    assert want.startswith("Snow\nThe mayor") and html_text.main_text(f"<div class='{name}'>{ARTICLE}</div>", tree) == want
+    assert html_text.main_text(f"<div class='social-links'>{ARTICLE}</div>", tree) != want
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<svg/>%s", "<button>%s", "<noscript>%s", "<svg><svg></svg>icon</svg>%s", "<button>%s<button>b</button>", "<canvas>x</canvas>%s"]
+    + ["<script>a = '<button>'</script>%s", "<!-- <svg> -->%s<svg>x</svg>", "%s<script>never closed", "<object>%s<object>b</object>"],
+)
+def test_embedded_elements_take_nothing_with_them(page):
+    tree = html_text.Tree(*html_text.labelled())
+    assert html_text.main_text(page % ARTICLE, tree) == html_text.main_text(ARTICLE, tree)
+
+
 def test_all_pages_of_the_smallest_table(spark):
     """The given pages have one article element each; this reads it by another way."""
     import html
