@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import carried, prepare_workers, whole_text
+from lakeops.llm.common import carried, keeps_inner_names_apart, prepare_workers, whole_text
 
 END = "</w>"
 #: Distinct chunks of text remembered by a worker; a full memory is emptied. Speed only.
@@ -217,6 +217,7 @@ class _Chunks(dict):
         return ids
 
 
+@keeps_inner_names_apart
 def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add ``ids``, the token ids of each whole text.
 
@@ -249,6 +250,7 @@ def _lists(found: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
 
 
+@keeps_inner_names_apart
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add ``decoded``: the labels of the arcs, joined by one space as the file has no decoder.
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,35 @@ def carried(df: DataFrame, outputs: Iterable[str]) -> list[str]:
     return [name for name in df.columns if name.lower() not in taken]
 
 
+def fresh(df: DataFrame, stem: str) -> str:
+    """A name like ``stem`` that no column of the frame has, whatever the case."""
+    taken = {name.lower() for name in df.columns}
+    return next(name for name in (f"{stem}{k}" for k in range(len(taken) + 1)) if name.lower() not in taken)
+
+
+def keeps_inner_names_apart(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators whose inner columns begin with an underscore: the caller's columns so called go through under other
+    names and have their own again in the result. Arguments may name them.
+    """
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+        own = [name for name in df.columns if name.startswith("_")]
+        stem = fresh(df, "carried")
+        others = {name: f"{stem}_{k}" for k, name in enumerate(own)}
+        if not own:
+            return operator(df, *args, **kwargs)
+        told = {name.lower(): other for name, other in others.items()}
+
+        def renamed(value):
+            return told.get(value.lower(), value) if isinstance(value, str) else value
+
+        done = operator(df.withColumnsRenamed(others), *map(renamed, args), **{k: renamed(v) for k, v in kwargs.items()})
+        return done.withColumnsRenamed({other: name for name, other in others.items()})
+
+    return run
+
+
 def prepare_workers(spark: SparkSession) -> None:
     """Send this package to the workers, once for each application, and keep Arrow batches small: texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

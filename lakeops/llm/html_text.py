@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lakeops.llm.common import carried, prepare_workers, whole_text
+from lakeops.llm.common import carried, keeps_inner_names_apart, prepare_workers, whole_text
 
 # Element names of the HTML standard, by role.
 BLOCK = frozenset(
@@ -351,6 +351,7 @@ def main_text(page: str, tree: Tree) -> str:
     return "\n".join(b.text for b, kept in zip(found, tree.keeps(describe(found)), strict=True) if kept)
 
 
+@keeps_inner_names_apart
 def extract(df: DataFrame, html_column: str = "html", out: str = "text") -> DataFrame:
     """Add ``out``, the main text of each whole page: the empty string if there is none.
 

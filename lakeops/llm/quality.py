@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import carried, prepare_workers, whole_text
+from lakeops.llm.common import carried, keeps_inner_names_apart, prepare_workers, whole_text
 
 BUCKETS = 1 << 16
 FACTORS = 8
@@ -213,6 +213,7 @@ def fit(
     return train(rows, np.array(found["label"].to_pylist(), dtype=np.float64))
 
 
+@keeps_inner_names_apart
 def score(df: DataFrame, model: Machine, text: str = "text", n_chars: str = "n_chars", out: str = "score") -> DataFrame:
     """Add ``out``: the probability of label 1 for each whole text.
 

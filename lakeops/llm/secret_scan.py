@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import carried, whole_text
+from lakeops.llm.common import carried, keeps_inner_names_apart, whole_text
 
 # The base patterns, in the order of their kinds, and the least length of what each must hold.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -222,6 +222,7 @@ def thresholds(df: DataFrame, text: str = "text", alpha: float = ALPHA) -> dict[
     return lowest
 
 
+@keeps_inner_names_apart
 def scan(df: DataFrame, text: str = "text", out: str = "secrets", alpha: float = ALPHA) -> DataFrame:
     """Add ``out``: all secrets of each whole text, as structs ``start, kind, end``, in that order.
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import carried, forget, prepare_workers, whole_text, written
+from lakeops.llm.common import carried, forget, keeps_inner_names_apart, prepare_workers, whole_text, written
 from lakeops.llm.templates import bitmap, passing
 
 SEED = 42
@@ -90,6 +90,7 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int(fingerprint_words(text, shingle)[0])
 
 
+@keeps_inner_names_apart
 def fingerprints(df: DataFrame, shingle: int = 3, text: str = "text", out: str = "fp") -> DataFrame:
     """Add ``out``, the fingerprint of each whole text as a long. NULL texts count as empty."""
     prepare_workers(df.sparkSession)
@@ -338,6 +339,7 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
     return rows.join(labels, "node", "left").select("doc_id", "text_key", "node", F.coalesce("label", "node").alias("label"))
 
 
+@keeps_inner_names_apart
 def one_of_each(df: DataFrame, similarity: float = 0.8, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each class of similar ones, with all its columns: that with the smallest id, then text hash.
 

@@ -28,7 +28,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import prepare_workers, whole_text, written
+from lakeops.llm.common import keeps_inner_names_apart, prepare_workers, whole_text, written
 
 #: Template words in a window; an item with fewer is one window of its own length.
 WINDOW = 8
@@ -327,6 +327,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
     return one.select("doc_id", "doc_key", "item_id", kind.alias("kind"), "best.windows", "best.n_windows")
 
 
+@keeps_inner_names_apart
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents that hold no benchmark item, with all their columns."""
     bad = contaminations(docs, benchmark, doc_id=doc_id, text=text).select(F.col("doc_id").alias("_bad"), F.col("doc_key").alias("_key")).distinct()
