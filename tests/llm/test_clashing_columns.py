@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lakeops.llm import bpe, html_text, quality, secret_scan, simhash, templates
 from lakeops.llm.common import fresh
 
@@ -59,3 +60,17 @@ def test_arguments_may_name_such_columns(spark):
 
 def test_fresh_names(spark):
     assert fresh(docs(spark, ["FOUND0", "found1"]), "found") == "found2"
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES[:-1]], ids=[n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_carry_clashing_columns(spark, tmp_path, stage):
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    names = ["_quality", "quality0", "_secrets", "secrets0", "_clean", "clean0", "_id", "_key", "_bad"]
+    given, plain = docs(spark, names), docs(spark, [])
+    got = stage(spark, given, str(tmp_path))
+    assert got.columns == given.columns and dict(got.dtypes) == dict(given.dtypes)
+    rows = sorted(map(repr, got.select(*plain.columns).collect()))
+    assert rows == sorted(map(repr, stage(spark, plain, str(tmp_path)).collect()))
+    marks = {(i, mark) for i, _, mark in ROWS}
+    assert all(len(set(row[3:])) == 1 and (row[0], row[3]) in marks for row in got.collect())
