@@ -33,8 +33,6 @@ SEED = 42
 BYTES = 8
 #: Shingles hashed at once: bounds the memory of very long texts.
 SLICE = 1 << 16
-#: The wide fingerprint: 64-bit words, sets of three positions in its index, and the seed that draws them.
-WIDE, POSITION_SETS, DRAWN = 4, 128, 5
 #: One in so many texts is counted for the order of shingles, and the commonest ones that are put last, at most.
 COUNTED, COMMON = 16, 1 << 18
 #: Parts of the list that one class has under one shingle.
@@ -187,21 +185,6 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     return rows.join(of_class, "fp").select("doc_id", "fp", "component_id")
 
 
-def allowed_bits(similarity: float, bits: int) -> int:
-    """Differing bits up to which fingerprints count as similar.
-
-    Texts whose shingle sets have this Jaccard similarity differ in a share ``angle / pi`` of the bits, with
-    binomial spread; 1.3 standard deviations more let nine in ten pairs pass that are just at the threshold.
-    """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * share + 1.3 * math.sqrt(bits * share * (1 - share)))
-
-
-def _position_sets() -> np.ndarray:
-    every = np.array(list(combinations(range(BYTES * WIDE), 3)))
-    return every[np.random.default_rng(DRAWN).choice(len(every), POSITION_SETS, replace=False)]
-
-
 def shingle_set(text: str, shingle: int) -> np.ndarray:
     """XXH64 of the distinct shingles of a whole text, sorted; words and shingles as in :func:`fingerprint_words`."""
     tokens = text.encode("utf-8", "replace").lower().split()
@@ -283,9 +266,11 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
     ones (prefix filter), at places from which enough is left of both (position filter). Both are necessary
     conditions, no pair is lost.
 
-    First each set is compared with the smallest and the largest node of each of its lists, so that a large group of
-    near copies becomes one class at the cost of its size. Then all pairs in a list that are not of one class yet are
-    compared, list by list of the classes' members. All links are settled by the whole sets. text_key is the text's XXH64.
+    First each set is compared with three nodes of each of its lists, so that a large group of near copies becomes one class
+    at the cost of its size: the smallest, the largest, and the one with the least of its shingles before the list's, which
+    are the seldom ones; in a group of edited copies that is the text with the fewest edits, to which most are similar.
+    Then all pairs in a list that are not of one class yet are compared, list by list of the classes' members. Sets that
+    reach no size in a list are not in it. All links are settled by the whole sets. text_key is the text's XXH64.
     Texts that are NULL, empty or without words form one class.
     """
     spark = df.sparkSession
@@ -308,17 +293,26 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
     rows = written(source.mapInArrow(run, kinds), "shingle-prefixes")
     classes = written(rows.groupBy("node").agg(F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("prefix").alias("prefix")), "classes")
     postings = classes.select(F.posexplode("prefix").alias("pos", "shingle"), "node", "size").select("shingle", F.struct("node", "size", "pos").alias("x"))
-    ends = postings.groupBy("shingle").agg(F.min("x").alias("low"), F.max("x").alias("high")).where("low.node <> high.node")
-    lists = written(postings.join(ends, "shingle"), "lists")
+    hubs = [F.min("x").alias("low"), F.max("x").alias("high"), F.min_by("x", F.struct(F.col("x.pos") / F.col("x.size"), "x.node")).alias("plain")]
+    ends = postings.groupBy("shingle").agg(*hubs, F.min("x.size").alias("least")).where("low.node <> high.node")
+
+    def enough(left: Column, sizes: Column) -> Column:
+        """Whether sets of these sizes together can be similar if they share at most ``left`` shingles."""
+        return left * (1 + similarity) >= sizes * similarity - 1e-9
+
+    reaches = enough(F.col("x.size") - F.col("x.pos"), F.col("x.size") + F.col("least"))
+    lists = written(postings.join(ends, "shingle").where(reaches), "lists")
+
+    def similar(x: Column, y: Column) -> Column:
+        """Whether two entries are far enough from the ends of their sets to be similar."""
+        return (x["node"] != y["node"]) & enough(F.least(*(s["size"] - s["pos"] for s in (x, y))), x["size"] + y["size"])
 
-    def pairs(frame: DataFrame, x: str, y: str) -> DataFrame:
-        """Distinct pairs of two entries that are far enough from the ends of their sets to be similar."""
-        left = F.least(*(F.col(f"{s}.size") - F.col(f"{s}.pos") for s in (x, y)))
-        enough = left * (1 + similarity) >= (F.col(f"{x}.size") + F.col(f"{y}.size")) * similarity - 1e-9
-        met = frame.where((F.col(f"{x}.node") != F.col(f"{y}.node")) & enough)
-        return met.select(*(f(f"{x}.node", f"{y}.node").alias(s) for f, s in ((F.least, "a"), (F.greatest, "b")))).distinct()
+    def pairs(frame: DataFrame, others: Column) -> DataFrame:
+        """Distinct pairs of the entry ``x`` and those of ``others`` that it can be similar to."""
+        met = frame.select("x", F.explode(F.filter(others, lambda y: similar(F.col("x"), y))).alias("y"))
+        return met.select(*(f("x.node", "y.node").alias(s) for f, s in ((F.least, "a"), (F.greatest, "b")))).distinct()
 
-    first = written(pairs(lists.select("x", F.explode(F.array("low", "high")).alias("y")), "x", "y"), "star-pairs")
+    first = written(pairs(lists, F.array("low", "high", "plain")), "star-pairs")
     links = _verified(first, classes, source, similarity, shingle)
     labels = components(links)
     placed = lists.select("shingle", F.col("x.node").alias("node"), "x").join(labels, "node", "left")
@@ -328,8 +322,8 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
     mixed = members.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l <> h").select("shingle")
     several = members.join(mixed, "shingle")
     other = several.select("shingle", F.col("label").alias("label_y"), F.col("xs").alias("ys"))
-    met = several.join(other, "shingle").where("label < label_y").select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
-    second = written(pairs(met, "x", "y").join(first, ["a", "b"], "left_anti"), "list-pairs")
+    met = several.join(other, "shingle").where("label < label_y").select(F.explode("xs").alias("x"), "ys")
+    second = written(pairs(met, F.col("ys")).join(first, ["a", "b"], "left_anti"), "list-pairs")
     forget(members)
     forget(first)
     settled = _verified(second, classes, source, similarity, shingle)

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import random
 
-import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -129,11 +128,6 @@ def test_one_of_each_keeps_one_of_a_group_and_every_other(docs_of, edge_rows):
     assert sum(i in (2_002, 2_003, 2_004) for i in kept) == 1 and kept.count(None) == 1
 
 
-def test_allowed_bits():
-    assert simhash.allowed_bits(1.0, 256) == 0 < simhash.allowed_bits(0.9, 256) < simhash.allowed_bits(0.8, 256) < 64
-    assert np.unique(simhash._position_sets(), axis=0).shape == (simhash.POSITION_SETS, 3)
-
-
 def jaccard(a, b):
     sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a, b)]
     return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
@@ -188,3 +182,17 @@ def test_a_template_family_below_the_threshold_stays_whole(docs_of):
     assert sum(0.6 <= x < 0.8 for x in near) > 800
     want, got = classes_of(docs_of, texts)
     assert got == want
+
+
+def test_edited_copies_meet_by_the_one_with_the_fewest_edits(docs_of):
+    """Copies of one text with one to six words changed: some are similar to the text alone, some to nothing, sizes vary."""
+    rng = random.Random(13)
+    form, texts = words(79, 146), []
+    for k in range(110):
+        own = list(form[: 146 - rng.choice((0, 0, 0, 2, 9))])
+        for at in rng.sample(range(len(own)), k % 7):
+            own[at] = f"edit{k}x{at}"
+        texts.append(" ".join(own))
+    rng.shuffle(texts)
+    want, got = classes_of(docs_of, texts)
+    assert got == want and max(map(len, want)) > 40 and sum(len(g) == 1 for g in want) > 10
