@@ -266,9 +266,9 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
     ones (prefix filter), at places from which enough is left of both (position filter). Both are necessary
     conditions, no pair is lost.
 
-    First each set is compared with three nodes of each of its lists, so that a large group of near copies becomes one class
-    at the cost of its size: the smallest, the largest, and the one with the least of its shingles before the list's, which
-    are the seldom ones; in a group of edited copies that is the text with the fewest edits, to which most are similar.
+    First each set is compared with two nodes of each of its lists, so that a large group of near copies becomes one class
+    at the cost of its size: the smallest, and the one with the fewest shingles before the list's, which are the seldom
+    ones; in a group of edited copies that is the text with the fewest edits, to which most are similar.
     Then all pairs in a list that are not of one class yet are compared, list by list of the classes' members. Sets that
     reach no size in a list are not in it. All links are settled by the whole sets. text_key is the text's XXH64.
     Texts that are NULL, empty or without words form one class.
@@ -292,16 +292,20 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
     kinds = "doc_id long, text_key long, node long, size int, prefix array<long>"
     rows = written(source.mapInArrow(run, kinds), "shingle-prefixes")
     classes = written(rows.groupBy("node").agg(F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("prefix").alias("prefix")), "classes")
+    nodes = written(rows.select("doc_id", "text_key", "node"), "nodes")
+    forget(rows)
     postings = classes.select(F.posexplode("prefix").alias("pos", "shingle"), "node", "size").select("shingle", F.struct("node", "size", "pos").alias("x"))
-    hubs = [F.min("x").alias("low"), F.max("x").alias("high"), F.min_by("x", F.struct(F.col("x.pos") / F.col("x.size"), "x.node")).alias("plain")]
-    ends = postings.groupBy("shingle").agg(*hubs, F.min("x.size").alias("least")).where("low.node <> high.node")
+    # A shingle is in a set once, so its rows are its sets. Few and narrow columns: most shingles have one row, which they repeat.
+    plain = F.min(F.struct("x.pos", "x.size", "x.node"))
+    ends = postings.groupBy("shingle").agg(F.min("x").alias("low"), plain.alias("plain"), F.min("x.size").alias("least"), F.count("*").alias("n"))
 
     def enough(left: Column, sizes: Column) -> Column:
         """Whether sets of these sizes together can be similar if they share at most ``left`` shingles."""
         return left * (1 + similarity) >= sizes * similarity - 1e-9
 
     reaches = enough(F.col("x.size") - F.col("x.pos"), F.col("x.size") + F.col("least"))
-    lists = written(postings.join(ends, "shingle").where(reaches), "lists")
+    same_order = F.struct("plain.node", "plain.size", "plain.pos").alias("plain")
+    lists = written(postings.join(ends.where("n > 1"), "shingle").where(reaches).select("shingle", "x", "low", same_order), "lists")
 
     def similar(x: Column, y: Column) -> Column:
         """Whether two entries are far enough from the ends of their sets to be similar."""
@@ -312,7 +316,7 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
         met = frame.select("x", F.explode(F.filter(others, lambda y: similar(F.col("x"), y))).alias("y"))
         return met.select(*(f("x.node", "y.node").alias(s) for f, s in ((F.least, "a"), (F.greatest, "b")))).distinct()
 
-    first = written(pairs(lists, F.array("low", "high", "plain")), "star-pairs")
+    first = written(pairs(lists, F.array("low", "plain")), "star-pairs")
     links = _verified(first, classes, source, similarity, shingle)
     labels = components(links)
     placed = lists.select("shingle", F.col("x.node").alias("node"), "x").join(labels, "node", "left")
@@ -330,7 +334,7 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
     forget(second)
     forget(classes)
     labels = components(links.unionByName(settled))
-    return rows.join(labels, "node", "left").select("doc_id", "text_key", "node", F.coalesce("label", "node").alias("label"))
+    return nodes.join(labels, "node", "left").select("doc_id", "text_key", "node", F.coalesce("label", "node").alias("label"))
 
 
 @keeps_inner_names_apart
