@@ -32,6 +32,8 @@ def accepted_by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8): the smallest id.
 
+    Pairs come from the index of SimHash fingerprints first, then from the sets of shingles; the sets settle all of them.
+
     Of repeated rows one stays; a NULL id stays only where the group has no other, and ties go to the smaller text hash.
     """
     return simhash.one_of_each(docs, similarity=0.8, shingle=5).select(*docs.columns)

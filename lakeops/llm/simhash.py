@@ -10,7 +10,8 @@ differs within a list, so a list holds at most ``2 ** (8 k)`` fingerprints, what
 
 Only distinct fingerprints are indexed; documents with equal ones are members of one class beforehand.
 
-At wider distances, as similarities of 0.8 need, no minimum is guaranteed: see :func:`similar_documents`.
+At wider distances, as similarities of 0.8 need, no minimum is guaranteed: :func:`similar_documents` takes its first
+pairs from the fingerprints' classes, settles them by the whole sets of shingles, and finds the others by those sets.
 """
 
 from __future__ import annotations
@@ -52,35 +53,53 @@ def _spread(hashes: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def fingerprint_words(text: str, shingle: int, words: int = 1) -> np.ndarray:
-    """SimHash of a whole text in ``words`` 64-bit words.
+def _shingles(text: str, shingle: int) -> tuple[bytes, list[int], list[int]]:
+    """A text's words joined by spaces, and where each shingle begins and ends; no shingles without words.
 
-    A-Z are lower-cased, words are what lies between ASCII white space, shingles are counted as often as they
-    occur. Texts with fewer words are one shingle; a text without words has fingerprint zero. A bit is set if it
-    is set in over half of the shingles' hashes.
+    A-Z are lower-cased, words are what lies between ASCII white space, shingles are there as often as they occur.
+    Texts with fewer words are one shingle.
     """
     tokens = text.encode("utf-8", "replace").lower().split()
     if not tokens:
-        return np.zeros(words, dtype=np.int64)
-    joined = b" ".join(tokens)
+        return b"", [], []
     n = max(1, len(tokens) - shingle + 1)
     ends = np.cumsum([len(w) + 1 for w in tokens]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    first, last = starts[:n].tolist(), ends[min(shingle, len(tokens)) - 1 :].tolist()
+    return b" ".join(tokens), starts[:n].tolist(), ends[min(shingle, len(tokens)) - 1 :].tolist()
+
+
+def _hashes(joined: bytes, first: list[int], last: list[int]) -> np.ndarray:
+    """XXH64 of shingles."""
     digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(first, last, strict=True)), np.uint64, len(first))
+
+
+def _votes(hashes: np.ndarray, words: int) -> np.ndarray:
+    """How many of the shingles' hashes have each bit of ``words`` 64-bit words set."""
     width = BYTES * words
-    position = (np.arange(width) * 256).astype(np.int64)
-    counts = np.zeros((width, 8), dtype=np.int64)
-    for at in range(0, n, SLICE):
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(first[at : at + SLICE], last[at : at + SLICE], strict=True)], dtype="<u8")
-        split = _spread(hashes, words).view(np.uint8).reshape(-1, width)
-        if len(split) < 400:
-            counts += np.unpackbits(split, axis=1, bitorder="little").sum(axis=0, dtype=np.int64).reshape(width, 8)
-        else:
-            tally = np.bincount((split + position).ravel(), minlength=256 * width).reshape(width, 256)
-            counts += (tally.astype(np.float32) @ _BITS).astype(np.int64)
-    set_bits = (2 * counts > n).astype(np.uint8).ravel()
-    return np.packbits(set_bits, bitorder="little").view("<i8")
+    split = _spread(hashes, words).astype("<u8").view(np.uint8).reshape(-1, width)
+    if len(split) < 400:
+        return np.unpackbits(split, axis=1, bitorder="little").sum(axis=0, dtype=np.int64).reshape(width, 8)
+    tally = np.bincount((split + (np.arange(width) * 256).astype(np.int64)).ravel(), minlength=256 * width).reshape(width, 256)
+    return (tally.astype(np.float32) @ _BITS).astype(np.int64)
+
+
+def _majority(counts: np.ndarray, n: int) -> np.ndarray:
+    """The words whose bits are set in over half of ``n`` hashes."""
+    return np.packbits((2 * counts > n).astype(np.uint8).ravel(), bitorder="little").view("<i8")
+
+
+def fingerprint_words(text: str, shingle: int, words: int = 1) -> np.ndarray:
+    """SimHash of a whole text in ``words`` 64-bit words.
+
+    A bit is set if it is set in over half of the hashes of the shingles (:func:`_shingles`), repeats counted; a text
+    without words has fingerprint zero.
+    """
+    joined, first, last = _shingles(text, shingle)
+    counts = np.zeros((BYTES * words, 8), dtype=np.int64)
+    for at in range(0, len(first), SLICE):
+        counts += _votes(_hashes(joined, first[at : at + SLICE], last[at : at + SLICE]), words)
+    return _majority(counts, len(first))
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -186,16 +205,17 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 
 
 def shingle_set(text: str, shingle: int) -> np.ndarray:
-    """XXH64 of the distinct shingles of a whole text, sorted; words and shingles as in :func:`fingerprint_words`."""
-    tokens = text.encode("utf-8", "replace").lower().split()
-    if not tokens:
-        return np.zeros(0, dtype=np.uint64)
-    joined = b" ".join(tokens)
-    n = max(1, len(tokens) - shingle + 1)
-    ends = np.cumsum([len(w) + 1 for w in tokens]) - 1
-    first, last = np.concatenate([[0], ends[:-1] + 1])[:n].tolist(), ends[min(shingle, len(tokens)) - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(first, last, strict=True)), np.uint64, n))
+    """XXH64 of the distinct shingles of a whole text, sorted; words and shingles as in :func:`_shingles`."""
+    return np.unique(_hashes(*_shingles(text, shingle)))
+
+
+def set_and_fingerprint(text: str, shingle: int) -> tuple[np.ndarray, int]:
+    """:func:`shingle_set` and :func:`fingerprint` of a text, whose shingles are hashed once for both."""
+    hashes = _hashes(*_shingles(text, shingle))
+    counts = np.zeros((BYTES, 8), dtype=np.int64)
+    for at in range(0, len(hashes), SLICE):
+        counts += _votes(hashes[at : at + SLICE], 1)
+    return np.unique(hashes), int(_majority(counts, len(hashes))[0])
 
 
 def _prefix(shingles: np.ndarray, similarity: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -257,16 +277,41 @@ def _verified(pairs: DataFrame, classes: DataFrame, source: DataFrame, similarit
     return found
 
 
-def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, text_key, node, label``: classes of texts whose shingles are similar; equal labels mean one class.
+def _fingerprint_pairs(prints: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs ``a < b`` of each node and the smallest node of its fingerprints' component, from rows ``node, fp``.
+
+    Components are those of :func:`near_duplicates`. One pair for each node and fingerprint, however large a component is.
+    """
+    labels = components(linked_pairs(prints.select("fp").distinct(), max_bits))
+    placed = prints.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left").select("node", F.coalesce("label", "fp").alias("label"))
+    hubs = placed.groupBy("label").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other")
+    met = placed.join(hubs, "label").where("node <> hub")
+    return met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def _of_two_classes(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Those of ``a, b`` (nodes) that are not of one class yet."""
+    sides = [labels.select(F.col("node").alias(s), F.col("label").alias(f"of_{s}")) for s in "ab"]
+    placed = pairs.join(sides[0], "a", "left").join(sides[1], "b", "left")
+    return placed.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
+def similar_documents(
+    df: DataFrame, similarity: float = 0.8, shingle: int = 5, doc_id: str = "doc_id", text: str = "text", max_bits: int = 2
+) -> DataFrame:
+    """``doc_id, text_key, node, fp, label``: classes of texts whose shingles are similar; equal labels mean one class.
 
     Two texts are linked exactly if their sets of distinct shingles have at least this Jaccard similarity; classes are
-    the connected components of the links. At such similarities fingerprints guarantee no minimum of shared bytes, so
-    candidates come from the sets themselves: in one order of all shingles, two similar sets share one of their first
+    the connected components of the links.
+
+    First come the fingerprints: texts are put into the components that :func:`near_duplicates` makes of fingerprints (of
+    the same shingles, at most ``max_bits`` apart), and each is compared with one of its component. At such similarities
+    fingerprints guarantee no minimum of shared bytes, so what they do not link is then sought by
+    the sets themselves: in one order of all shingles, two similar sets share one of their first
     ones (prefix filter), at places from which enough is left of both (position filter). Both are necessary
     conditions, no pair is lost.
 
-    First each set is compared with two nodes of each of its lists, so that a large group of near copies becomes one class
+    There each set is first compared with two nodes of each of its lists, so that a large group of near copies becomes one class
     at the cost of its size: the smallest, and the one with the fewest shingles before the list's, which are the seldom
     ones; in a group of edited copies that is the text with the fewest edits, to which most are similar.
     Then all pairs in a list that are not of one class yet are compared, list by list of the classes' members. Sets that
@@ -281,19 +326,23 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, shingle) for t in batch.column("text").to_pylist()]
+            both = [set_and_fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
+            sets = [found for found, _ in both]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
             prefixes = pa.array([_prefix(s, similarity, *order.value).view(np.int64) for s in sets], pa.list_(pa.int64()))
-            columns = [pa.array(nodes), pa.array([len(s) for s in sets], pa.int32()), prefixes]
+            columns = [pa.array(nodes), pa.array([fp for _, fp in both], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), prefixes]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), *columns], names=["doc_id", "text_key", "node", "size", "prefix"]
+                [batch.column("doc_id"), batch.column("text_key"), *columns], names=["doc_id", "text_key", "node", "fp", "size", "prefix"]
             )
 
-    kinds = "doc_id long, text_key long, node long, size int, prefix array<long>"
+    kinds = "doc_id long, text_key long, node long, fp long, size int, prefix array<long>"
     rows = written(source.mapInArrow(run, kinds), "shingle-prefixes")
     classes = written(rows.groupBy("node").agg(F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("prefix").alias("prefix")), "classes")
-    nodes = written(rows.select("doc_id", "text_key", "node"), "nodes")
+    nodes = written(rows.select("doc_id", "text_key", "node", "fp"), "nodes")
     forget(rows)
+    near = written(_fingerprint_pairs(nodes.select("node", "fp").distinct(), max_bits), "fingerprint-pairs")
+    close = _verified(near, classes, source, similarity, shingle)
+    forget(near)
     postings = classes.select(F.posexplode("prefix").alias("pos", "shingle"), "node", "size").select("shingle", F.struct("node", "size", "pos").alias("x"))
     # A shingle is in a set once, so its rows are its sets. Few and narrow columns: most shingles have one row, which they repeat.
     plain = F.min(F.struct("x.pos", "x.size", "x.node"))
@@ -316,8 +365,8 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
         met = frame.select("x", F.explode(F.filter(others, lambda y: similar(F.col("x"), y))).alias("y"))
         return met.select(*(f("x.node", "y.node").alias(s) for f, s in ((F.least, "a"), (F.greatest, "b")))).distinct()
 
-    first = written(pairs(lists, F.array("low", "plain")), "star-pairs")
-    links = _verified(first, classes, source, similarity, shingle)
+    first = written(_of_two_classes(pairs(lists, F.array("low", "plain")), components(close)), "star-pairs")
+    links = close.unionByName(_verified(first, classes, source, similarity, shingle))
     labels = components(links)
     placed = lists.select("shingle", F.col("x.node").alias("node"), "x").join(labels, "node", "left")
     members = placed.groupBy("shingle", F.coalesce("label", "node").alias("label"), F.pmod("node", F.lit(PARTS)).alias("part")).agg(F.collect_list("x").alias("xs"))
@@ -334,12 +383,13 @@ def similar_documents(df: DataFrame, similarity: float = 0.8, shingle: int = 5,
     forget(second)
     forget(classes)
     labels = components(links.unionByName(settled))
-    return nodes.join(labels, "node", "left").select("doc_id", "text_key", "node", F.coalesce("label", "node").alias("label"))
+    return nodes.join(labels, "node", "left").select("doc_id", "text_key", "node", "fp", F.coalesce("label", "node").alias("label"))
 
 
 @keeps_inner_names_apart
 def one_of_each(df: DataFrame, similarity: float = 0.8, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each class of similar ones, with all its columns: that with the smallest id, then text hash.
+    """One document of each class of similar ones (:func:`similar_documents`), with all its columns: that with the smallest
+    id, then text hash.
 
     A NULL id is kept only where the class has no other. Rows that repeat an id and its text are one document.
     """

@@ -196,3 +196,55 @@ def test_edited_copies_meet_by_the_one_with_the_fewest_edits(docs_of):
     rng.shuffle(texts)
     want, got = classes_of(docs_of, texts)
     assert got == want and max(map(len, want)) > 40 and sum(len(g) == 1 for g in want) > 10
+
+
+def test_similar_documents_come_through_their_fingerprints(docs_of, edge_rows, monkeypatch):
+    """Each row carries its fingerprint, and the index is asked for the links of exactly these."""
+    rows = [(100 + k, prose) for k, prose in enumerate([" ".join(words(300 + k, 80)) for k in range(10)])] + edge_rows
+    asked, index = [], simhash.linked_pairs
+
+    def spied(distinct, max_bits=2, fp="fp"):
+        asked.append(({r[0] for r in distinct.select(fp).collect()}, max_bits))
+        return index(distinct, max_bits, fp)
+
+    monkeypatch.setattr(simhash, "linked_pairs", spied)
+    got = simhash.similar_documents(docs_of(rows)).collect()
+    want = sorted((i or 0, plain_fingerprint(t or "", 5)) for i, t in rows)
+    assert sorted((r.doc_id or 0, r.fp % (1 << 64)) for r in got) == want
+    assert asked == [({r.fp for r in got}, 2)]
+
+
+def test_fingerprint_pairs_are_stars_of_the_components(spark):
+    rng = random.Random(14)
+    prints = []
+    for _ in range(12):
+        at = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 6)):
+            prints.append(at)
+            at ^= sum(1 << b for b in rng.sample(range(64), rng.randint(0, 2)))
+    nodes = list(range(len(prints)))
+    rng.shuffle(nodes)
+    label = plain_components(prints)
+    groups = {}
+    for at, node in enumerate(nodes):
+        groups.setdefault(label[at], []).append(node)
+    want = {(min(g), node) for g in groups.values() for node in g if node != min(g)}
+    frame = spark.createDataFrame([(n, p - (1 << 64) if p >> 63 else p) for n, p in zip(nodes, prints, strict=True)], "node long, fp long")
+    assert {(r.a, r.b) for r in simhash._fingerprint_pairs(frame, 2).collect()} == want and want
+
+
+def test_close_fingerprints_of_different_texts_are_no_link(docs_of):
+    """One passage over and over decides both fingerprints; the sets of shingles share little."""
+    again = " ".join(["same old words here again"] * 3_000)
+    texts = [again + " " + " ".join(words(400 + k, 40)) for k in range(2)]
+    assert (plain_fingerprint(texts[0], 5) ^ plain_fingerprint(texts[1], 5)).bit_count() <= 2
+    want, got = classes_of(docs_of, texts)
+    assert got == want == [[0], [1]]
+
+
+@pytest.mark.parametrize("text", ["", "One", "a b c", "é É Ä x y z", " ".join(words(5, 3_000))])
+def test_set_and_fingerprint_are_those_of_the_text(text, monkeypatch):
+    monkeypatch.setattr(simhash, "SLICE", 700)
+    found, print_ = simhash.set_and_fingerprint(text, 5)
+    assert print_ == simhash.fingerprint(text, 5) and print_ % (1 << 64) == plain_fingerprint(text, 5)
+    assert found.tolist() == simhash.shingle_set(text, 5).tolist()
