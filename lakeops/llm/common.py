@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
 from pathlib import Path
 
@@ -77,6 +77,18 @@ def prepare_workers(spark: SparkSession) -> None:
     _sent.add(context.applicationId)
 
 
+def slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges ``first, last`` (exclusive) of consecutive texts with at most so many characters together, or of one text."""
+    first = held = 0
+    for at, text in enumerate(texts):
+        if at > first and held + len(text) > most:
+            yield first, at
+            first, held = at, 0
+        held += len(text)
+    if texts:
+        yield first, len(texts)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read again: recomputed by no later job."""
     spark = df.sparkSession

@@ -28,7 +28,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import keeps_inner_names_apart, prepare_workers, whole_text, written
+from lakeops.llm.common import keeps_inner_names_apart, prepare_workers, slices, whole_text, written
 
 #: Template words in a window; an item with fewer is one window of its own length.
 WINDOW = 8
@@ -38,6 +38,8 @@ LEAST_WORDS, LEAST_COPIED = 5, 3
 LEAST_LITERALS = 0.5
 #: A document is contaminated by an item if it has this share of its windows, or this many: thirteen words in a row.
 LEAST_SHARE, ENOUGH_WINDOWS = 0.5, 6
+#: Characters of the texts that a worker looks at together, unless one text alone has more.
+TOGETHER = 1 << 19
 #: Bits of the bitmap: 2 MB whatever the benchmark holds.
 BITMAP_BITS = 24
 
@@ -85,7 +87,7 @@ class Template:
 class Words:
     """What a worker knows about raw words; emptied when full. A word's role depends on the word before it as well."""
 
-    FULL = 250_000
+    FULL = 120_000
 
     def __init__(self):
         self.clear()
@@ -261,15 +263,16 @@ def document_windows(docs: DataFrame, words_of: Broadcast, lengths: list[int], d
         words = Words()
         for batch in batches:
             names, keys, texts = (batch.column(c).to_pylist() for c in ("doc_id", "doc_key", "text"))
-            template = words.template(texts)
             rows = []
-            for length in lengths:
-                at, hashes = windows(template, length)
-                passed = passing(hashes, words_of.value)
-                at, hashes = at[passed], hashes[passed]
-                doc = np.searchsorted(template.starts, at, side="right") - 1
-                for a, h, d in zip(at.tolist(), hashes.view(np.int64).tolist(), doc.tolist(), strict=True):
-                    rows.append((names[d], keys[d], a - int(template.starts[d]), length, h, template.slots(a, length)))
+            for first, last in slices(texts, TOGETHER):
+                template = words.template(texts[first:last])
+                for length in lengths:
+                    at, hashes = windows(template, length)
+                    passed = passing(hashes, words_of.value)
+                    at, hashes = at[passed], hashes[passed]
+                    doc = np.searchsorted(template.starts, at, side="right") - 1
+                    for a, h, d in zip(at.tolist(), hashes.view(np.int64).tolist(), doc.tolist(), strict=True):
+                        rows.append((names[first + d], keys[first + d], a - int(template.starts[d]), length, h, template.slots(a, length)))
             yield pa.RecordBatch.from_pylist([dict(zip(_names(MEETING), r, strict=True)) for r in rows], schema=_arrow(MEETING))
 
     return source.mapInArrow(run, MEETING)
