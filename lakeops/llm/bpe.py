@@ -34,8 +34,9 @@ from pyspark.sql import types as T
 from lakeops.llm.common import carried, keeps_inner_names_apart, prepare_workers, whole_text
 
 END = "</w>"
-#: Distinct chunks of text remembered by a worker; a full memory is emptied. Speed only.
-REMEMBERED = 600_000
+#: Distinct chunks of text, and arcs, that a worker remembers. Speed only: chunks come in two generations of this size, and
+#: those that do not occur again during one are forgotten; a full memory of arcs is emptied.
+REMEMBERED, ARCS = 200_000, 200_000
 NEVER = 1 << 60
 #: White space that a text normaliser folds but Python's str.split() does not agree on.
 _CONTROL_SPACE = re.compile("[\x1c-\x1f]")
@@ -83,15 +84,7 @@ class Automaton:
             w = vocab[first + second]
             self.left[w], self.right[w], self.born[w] = u, v, rank
             self.gadget[u, v] = rank
-        self.trie: dict[tuple[int, str], int] = {}
-        self.terminal: dict[int, int] = {}
-        for text, number in vocab.items():
-            if len(text.removesuffix(END)) > 1 and number not in self.born:
-                continue
-            node = 0
-            for symbol in self.symbols(text):
-                node = self.trie.setdefault((node, symbol), len(self.trie) + 1)
-            self.terminal[node] = number
+        self.tokens = [number for text, number in vocab.items() if len(text.removesuffix(END)) <= 1 or number in self.born]
         self.start()
 
     @staticmethod
@@ -103,14 +96,25 @@ class Automaton:
         return [*body[:-1], body[-1] + END]
 
     def start(self) -> None:
-        """What is not sent along: compiled patterns and memories."""
+        """What is not sent along: compiled patterns, the trie and memories."""
         self.find, self.scan = regex.compile(self.pattern).findall, regex.compile(self.pattern).finditer
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.ends = [letter + END for letter in self.letters]
+        #: For each symbol the node behind it, None without any arcs, and the token that ends there, if one does.
+        self.trie: dict[str, list] = {}
+        for number in self.tokens:
+            node, step = self.trie, [None, None]
+            for symbol in self.symbols(self.labels[number]):
+                if node is None:
+                    node = step[0] = {}
+                step = node.setdefault(symbol, [None, None])
+                node = step[0]
+            step[1] = number
         self.arcs: dict[tuple[int, int], bool] = {}
         self.chunks = _Chunks(self)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("find", "scan", "cut", "arcs", "chunks")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("find", "scan", "cut", "ends", "trie", "arcs", "chunks")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -140,28 +144,31 @@ class Automaton:
         """Tokens of one word by table-driven transitions."""
         n = len(symbols)
         state, origin = [-1] * (n + 1), [0] * (n + 1)
-        trie, terminal, arcs = self.trie, self.terminal, self.arcs
+        state[0] = 0
+        trie, arcs = self.trie, self.arcs
         for i in range(n):
             here = state[i]
-            if i and here < 0:
+            if here < 0:
                 continue
-            node = 0
-            for j in range(i, n):
-                node = trie.get((node, symbols[j]))
+            node, j = trie, i
+            for symbol in symbols[i:] if i else symbols:
+                step = node.get(symbol)
+                if step is None:
+                    break
+                j += 1
+                node, token = step
+                if token is not None and state[j] < 0:
+                    fits = True
+                    if i:
+                        fits = arcs.get((here, token))
+                        if fits is None:
+                            if len(arcs) >= ARCS:
+                                arcs.clear()
+                            fits = arcs[here, token] = self.arc(here, token)
+                    if fits:
+                        state[j], origin[j] = token, i
                 if node is None:
                     break
-                token = terminal.get(node)
-                if token is None or state[j + 1] >= 0:
-                    continue
-                if i:
-                    fits = arcs.get((here, token))
-                    if fits is None:
-                        if len(arcs) > 2_000_000:
-                            arcs.clear()
-                        fits = arcs[here, token] = self.arc(here, token)
-                    if not fits:
-                        continue
-                state[j + 1], origin[j + 1] = token, i
         tokens = []
         while n:
             tokens.append(state[n])
@@ -177,12 +184,15 @@ class Automaton:
 
     def chunk(self, text: str) -> bytes:
         """Ids of a piece of text without white space, as bytes of 32-bit numbers."""
-        text = unicodedata.normalize("NFC", text)
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
         text = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
         ids: list[int] = []
+        letters = self.letters
         for word in self.words(text):
-            symbols = [self.letters[b] for b in word.encode("utf-8", "replace")]
-            symbols[-1] += END
+            data = word.encode("utf-8", "replace")
+            symbols = [letters[b] for b in data]
+            symbols[-1] = self.ends[data[-1]]
             ids += self.word(symbols)
         return np.array(ids, dtype="<i4").tobytes()
 
@@ -202,16 +212,19 @@ class Automaton:
 
 
 class _Chunks(dict):
-    """Ids of chunks seen before."""
+    """Ids of chunks seen before: in this generation, and in ``older`` in the one before."""
 
     def __init__(self, automaton: Automaton):
         super().__init__()
-        self.automaton = automaton
+        self.automaton, self.older = automaton, {}
 
     def __missing__(self, text: str) -> bytes:
-        ids = self.automaton.chunk(text)
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.automaton.chunk(text)
         if len(text) <= 64:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[text] = ids
         return ids
@@ -267,15 +280,34 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "ids", decoded: str = "deco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = pa.array(labels.value)
         for batch in batches:
-            lists = batch.column(at)
-            words = pc.take(names, lists.flatten())
-            offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
-            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words), " ")
+            joined = _joined(names, batch.column(at))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), joined], names=[*keep, decoded])
 
     return source.mapInArrow(run, schema)
 
 
-def round_trip(df: DataFrame, tokenizer: str) -> DataFrame:
-    """Documents with ``ids`` and ``decoded``."""
-    return decode(encode(df, tokenizer), tokenizer)
+def _joined(names: pa.Array, lists: pa.ListArray) -> pa.Array:
+    """The labels of each list's ids, joined by one space."""
+    words = pc.take(names, lists.flatten())
+    offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words), " ")
+
+
+@keeps_inner_names_apart
+def round_trip(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
+    """Documents with ``ids`` and ``decoded``: :func:`encode`, and :func:`decode` of its ids, in one pass over the texts."""
+    spark = df.sparkSession
+    prepare_workers(spark)
+    tables = spark.sparkContext.broadcast(Automaton(tokenizer))
+    keep, at = carried(df, ["ids", "decoded"]), "_text_to_encode"
+    source = df.select(*keep, whole_text(text).alias(at))
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.StringType(), False)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = tables.value
+        names = pa.array(automaton.labels)
+        for batch in batches:
+            lists = _lists([automaton.encode(t) for t in batch.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), lists, _joined(names, lists)], names=[*keep, "ids", "decoded"])
+
+    return source.mapInArrow(run, T.StructType([*df.select(*keep).schema, *added]))

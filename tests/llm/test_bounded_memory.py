@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import random
 
-from lakeops.llm import common, templates
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from lakeops.llm import bpe, common, templates
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def prose(seed, n):
@@ -29,3 +34,23 @@ def test_slices_of_documents_keep_their_own_windows(spark, docs_of):
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = templates.contaminations(docs_of(rows).coalesce(1), benchmark).collect()
     assert [(r.doc_id, r.item_id, r.kind) for r in got] == [(5_000, 1, "copy")]
+
+
+def test_two_generations_of_chunks_change_no_ids(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 30)
+    monkeypatch.setattr(bpe, "ARCS", 20)
+    automaton, library = bpe.Automaton(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    for text in [prose(k % 7, 60) for k in range(21)]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert automaton.encode(text) == b"".join(n.to_bytes(4, "little") for n in ids)
+        assert max(len(automaton.chunks), len(automaton.chunks.older)) <= 30 and len(automaton.arcs) <= 20
+    assert automaton.chunks.older
+
+
+def test_a_round_trip_goes_through_python_once(docs_of, edge_rows):
+    docs = docs_of(edge_rows)
+    done = bpe.round_trip(docs, WORD_BPE)
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    apart = bpe.decode(bpe.encode(docs, WORD_BPE), WORD_BPE)
+    assert done.schema == apart.schema
+    assert sorted(map(str, done.collect())) == sorted(map(str, apart.collect()))
