@@ -20,6 +20,8 @@ WINDOW = 16
 #: Streams trained side by side and tokens whose probabilities are worked out at once: both fit the processor's cache, and
 #: neither is a power of two, at which rows of a matrix would fall on the same lines of it.
 STREAMS, PIECE = 500, 8_000
+#: Tokens of one softmax, scores whose exponentials 32-bit numbers can sum, and parameters moved at once.
+SHARES, SMALL, MOVED = 2_000, 60.0, 1 << 14
 LEAST_UPDATES = 64
 NAMES = ("inputs", "recurrent", "class_weight", "class_bias", "word_weight", "word_bias")
 
@@ -35,15 +37,18 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(letter + b"\0" + (b"" if last.isalnum() or last >= b"\x80" else last)) % TAIL_CLASSES
 
 
-def _softmax(scores: np.ndarray, bias: np.ndarray, picked: np.ndarray, at: np.ndarray, slopes: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Log of the picked share of each column; ``scores`` become shares, less one where picked, if slopes are wanted."""
-    scores += bias[:, None]
-    scores -= scores.max(axis=0)
+def _softmax(scores: np.ndarray, picked: np.ndarray, at: np.ndarray, small: bool, slopes: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Log of the picked share of each column; ``scores`` become shares, less one where picked, if slopes are wanted.
+
+    small: no score is beyond ``SMALL``, so that their exponentials can be summed as they are.
+    """
+    if not small:
+        scores -= scores.max(axis=0)
     chosen = scores[picked, at]
     np.exp(scores, out=scores)
     total = scores.sum(axis=0)
     if slopes:
-        scores /= total
+        scores *= 1 / total
         scores[picked, at] -= 1
     return (chosen - np.log(total)).astype(np.float64), scores
 
@@ -53,6 +58,7 @@ class Gru:
 
     def __init__(self, head: int, weights: dict[str, np.ndarray]):
         self.head, self.weights = head, weights
+        self.rooms: dict[str, np.ndarray] = {}
         self.head_classes = -(-head // CLASS_WORDS)
 
     @classmethod
@@ -79,75 +85,102 @@ class Gru:
 
     def step(self, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
         """The next state of each row, and what the way back needs."""
-        new, memory = self._step(self.weights["inputs"].T[:, inputs], state.T)
-        return new.T, memory
-
-    def _step(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """The same with a column for each text: slices by unit are then contiguous."""
-        a = self.weights["recurrent"].T @ state
-        gates = a[: 2 * HIDDEN]
-        gates += x[: 2 * HIDDEN]
-        gates *= 0.5
-        np.tanh(gates, out=gates)  # the logistic function by way of tanh cannot overflow
-        gates += 1
+        table, recurrent = self._by_gate()
+        return self._step(table.take(inputs, axis=1), state, recurrent)
+
+    def _by_gate(self) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs and recurrent weights by gate, so that each gate's units lie side by side; those of the first two are halved."""
+        both = (self.weights[name].reshape(-1, 3, HIDDEN).transpose(1, 0, 2) for name in ("inputs", "recurrent"))
+        table, recurrent = (np.ascontiguousarray(a) for a in both)
+        table[:2] *= 0.5
+        recurrent[:2] *= 0.5
+        return table, recurrent
+
+    def _step(self, x: np.ndarray, state: np.ndarray, recurrent: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """The same from the inputs by gate."""
+        a = state @ recurrent
+        gates = a[:2]
+        gates += x[:2]
+        np.tanh(gates, out=gates)  # the logistic function by way of tanh of half cannot overflow
         gates *= 0.5
-        keep, reset, inner = gates[:HIDDEN], gates[HIDDEN:], a[2 * HIDDEN :]
+        gates += 0.5
+        keep, reset, inner = a
         new = reset * inner
-        new += x[2 * HIDDEN :]
+        new += x[2]
         np.tanh(new, out=new)
-        after = state - new
-        after *= keep
-        after += new
-        return after, (state, keep, reset, inner, new)
+        kept = state - new
+        kept *= keep
+        return kept + new, (keep, reset, inner, new, kept)
 
     def output(self, hidden: np.ndarray, tokens: np.ndarray, gradients: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each token (of its class, for the tail); with ``gradients``, that of ``hidden`` too."""
-        found, slope = self._output(np.ascontiguousarray(hidden.T), tokens, gradients)
-        return found, None if slope is None else slope.T
+        return self._output(np.concatenate([hidden, np.ones_like(hidden[:, :1])], axis=1), tokens, gradients)
 
     def _output(self, hidden: np.ndarray, tokens: np.ndarray, gradients: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """The same with a column for each token, in pieces that stay in the processor's cache."""
-        found, slope = np.empty(len(tokens)), None if gradients is None else np.empty_like(hidden)
+        """The same with a last column of ones in ``hidden``, which stands for the bias."""
+        w = self.weights
+        of_class = np.concatenate([w["class_weight"], w["class_bias"][None]])
+        of_word = np.concatenate([w["word_weight"], w["word_bias"][:, None]], axis=1)
+        reach = max(hidden.max(initial=1), -hidden.min(initial=0))
+        most = max(np.abs(of_class).sum(axis=0).max(initial=0), np.abs(of_word).sum(axis=1).max(initial=0))
+        small = bool(reach * most < SMALL)
+        found, slope = np.empty(len(tokens)), None if gradients is None else np.empty((len(tokens), HIDDEN), dtype=hidden.dtype)
         for at in range(0, len(tokens), PIECE):
             part = slice(at, at + PIECE)
             kinds = self.classes(tokens[part])
             order = np.argsort(kinds.astype(np.int16), kind="stable")
-            logs, back = self._piece(hidden[:, part].take(order, axis=1), tokens[part][order], kinds[order], gradients)
+            logs, back = self._piece(hidden[part].take(order, axis=0), tokens[part][order], kinds[order], of_class, of_word, small, gradients)
             found[part][order] = logs
             if slope is not None:
-                slope[:, part] = back.take(np.argsort(order), axis=1)
+                place = np.empty_like(order)
+                place[order] = np.arange(len(order))
+                slope[part] = back.take(place, axis=0)
         return found, slope
 
-    def _piece(self, hidden: np.ndarray, tokens: np.ndarray, kinds: np.ndarray, gradients: dict[str, np.ndarray] | None):
-        """Log probabilities and slopes of tokens that are sorted by class."""
-        w = self.weights
-        at = np.arange(len(tokens))
-        found, logits = _softmax(w["class_weight"].T @ hidden, w["class_bias"], kinds, at, gradients is not None)
-        slope = None
-        if gradients is not None:
-            gradients["class_weight"] += hidden @ logits.T
-            gradients["class_bias"] += logits.sum(axis=1)
-            slope = w["class_weight"] @ logits
+    def _piece(
+        self,
+        hidden: np.ndarray,
+        tokens: np.ndarray,
+        kinds: np.ndarray,
+        of_class: np.ndarray,
+        of_word: np.ndarray,
+        small: bool,
+        gradients: dict[str, np.ndarray] | None,
+    ) -> tuple[np.ndarray, np.ndarray | None]:
+        """Log probabilities and slopes of tokens that are sorted by class; scores have a column for each token."""
+        at, found = np.arange(len(tokens)), np.empty(len(tokens))
+        slopes = gradients is not None
+        slope = np.empty((len(tokens), HIDDEN), dtype=hidden.dtype) if slopes else None
+        for low in range(0, len(tokens), SHARES):
+            part = slice(low, low + SHARES)
+            own = hidden[part]
+            found[part], scores = _softmax(of_class.T @ own.T, kinds[part], at[: len(own)], small, slopes)
+            if slopes:
+                sums = scores @ own
+                gradients["class_weight"] += sums[:, :HIDDEN].T
+                gradients["class_bias"] += sums[:, HIDDEN]
+                slope[part] = scores.T @ of_class[:HIDDEN].T
         bounds = np.searchsorted(kinds, np.arange(self.head_classes + 1)).tolist()
         for k in range(self.head_classes):
-            low, high = bounds[k], bounds[k + 1]
-            if low == high:
-                continue
             words = slice(k * CLASS_WORDS, min(self.head, (k + 1) * CLASS_WORDS))
-            own, weight = hidden[:, low:high], w["word_weight"][words]
-            logs, scores = _softmax(weight @ own, w["word_bias"][words], tokens[low:high] - words.start, at[: high - low], gradients is not None)
-            found[low:high] += logs
-            if gradients is not None:
-                gradients["word_weight"][words] += scores @ own.T
-                gradients["word_bias"][words] += scores.sum(axis=1)
-                slope[:, low:high] += weight.T @ scores
+            weight = of_word[words]
+            for low in range(bounds[k], bounds[k + 1], SHARES):
+                part = slice(low, min(bounds[k + 1], low + SHARES))
+                own = hidden[part]
+                logs, scores = _softmax(weight @ own.T, tokens[part] - words.start, at[: len(own)], small, slopes)
+                found[part] += logs
+                if slopes:
+                    sums = scores @ own
+                    gradients["word_weight"][words] += sums[:, :HIDDEN]
+                    gradients["word_bias"][words] += sums[:, HIDDEN]
+                    slope[part] += scores.T @ weight[:, :HIDDEN]
         return found, slope
 
     def windows(self, texts: list[np.ndarray]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray], list[int]]]:
         """Windows over texts sorted by falling length: inputs and tokens of each step, and how many texts are left in it."""
         lengths = np.array([len(t) for t in texts])
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        flat = np.concatenate(texts)
+        flat = np.concatenate(texts).astype(np.int64)
         longest = int(lengths[0])
         left = np.searchsorted(-lengths, -np.arange(longest), side="left")
         for begin in range(0, longest, WINDOW):
@@ -168,15 +201,17 @@ class Gru:
 
     def _of_sorted(self, texts: list[np.ndarray]) -> np.ndarray:
         """The same for texts of falling length, none empty."""
-        state = np.zeros((HIDDEN, len(texts)), dtype=np.float32)
+        state = np.zeros((len(texts), HIDDEN), dtype=np.float32)
         sums = np.zeros(len(texts))
-        table = np.ascontiguousarray(self.weights["inputs"].T)
+        table, recurrent = self._by_gate()
         for before, tokens, left in self.windows(texts):
-            hidden = []
+            hidden = np.ones((sum(left), HIDDEN + 1), dtype=np.float32)
+            at = 0
             for inputs, n in zip(before, left, strict=True):
-                state, _ = self._step(table.take(inputs, axis=1), state[:, :n])
-                hidden.append(state)
-            found, _ = self._output(np.concatenate(hidden, axis=1), np.concatenate(tokens))
+                state, _ = self._step(table.take(inputs, axis=1), state[:n], recurrent)
+                hidden[at : at + n, :HIDDEN] = state
+                at += n
+            found, _ = self._output(hidden, np.concatenate(tokens))
             at = 0
             for n in left:
                 sums[:n] += found[at : at + n]
@@ -215,59 +250,92 @@ class Gru:
                 self._move(gradients, first, second, np.float32(scale * np.sqrt(1 - 0.99**turn) / (1 - 0.9**turn)))
 
     def _move(self, gradients: dict[str, np.ndarray], first: dict[str, np.ndarray], second: dict[str, np.ndarray], step: np.float32) -> None:
-        """One update by Adam, in place: it costs the memory traffic of all parameters."""
-        for name, g in gradients.items():
-            one, two = first[name], second[name]
-            one *= np.float32(0.9)
-            two *= np.float32(0.99)
-            one += np.float32(0.1) * g
-            np.multiply(g, g, out=g)
-            g *= np.float32(0.01)
-            two += g
-            np.sqrt(two, out=g)
-            g += np.float32(1e-5)
-            np.divide(one, g, out=g)
-            g *= step
-            self.weights[name] -= g
+        """One update by Adam, in place, in pieces that stay in the processor's cache."""
+        for name in gradients:
+            whole = [a.reshape(-1) for a in (gradients[name], first[name], second[name], self.weights[name])]
+            for at in range(0, len(whole[0]), MOVED):
+                g, one, two, weight = (a[at : at + MOVED] for a in whole)
+                one *= np.float32(0.9)
+                two *= np.float32(0.99)
+                one += np.float32(0.1) * g
+                np.multiply(g, g, out=g)
+                g *= np.float32(0.01)
+                two += g
+                np.sqrt(two, out=g)
+                g += np.float32(1e-5)
+                np.divide(one, g, out=g)
+                g *= step
+                weight -= g
 
     def gradients(self, before: np.ndarray, tokens: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         """Last state, and the mean gradients of one window (steps by streams) with what comes before it held fixed."""
         w, start = self.weights, self.head + TAIL_CLASSES
-        hidden, kept = [], []
-        state = np.ascontiguousarray(state.T)
-        table = np.ascontiguousarray(w["inputs"].T)
-        for inputs in before:
-            going_on = (inputs != start).astype(state.dtype)
-            state, memory = self._step(table.take(inputs, axis=1), state * going_on)
-            hidden.append(state)
-            kept.append((*memory, going_on))
+        steps, wide = tokens.shape
+        table, recurrent = self._by_gate()
+        hidden = self._room("hidden", (steps, wide, HIDDEN + 1), state.dtype)  # its last column stays one
+        olds = self._room("olds", (steps, wide, HIDDEN), state.dtype)
+        memories, fresh = [], [np.flatnonzero(inputs == start) for inputs in before]
+        for t, inputs in enumerate(before):
+            olds[t] = state
+            olds[t, fresh[t]] = 0
+            state, memory = self._step(table.take(inputs, axis=1), olds[t], recurrent)
+            hidden[t, :, :HIDDEN] = state
+            memories.append(memory)
         gradients = {k: np.zeros_like(v) for k, v in w.items()}
-        _, slope = self._output(np.concatenate(hidden, axis=1), tokens.ravel(), gradients)
-        wide = tokens.shape[1]
+        _, slope = self._output(hidden.reshape(-1, HIDDEN + 1), tokens.ravel(), gradients)
+        slope = slope.reshape(steps, wide, HIDDEN)
+        # Four blocks of columns: the new state behind its reset gate, both gates, the new state itself. The first three are
+        # the slopes of the recurrent sums, the last three those of the inputs.
+        back = self._room("back", (steps, wide, 4 * HIDDEN), state.dtype)
+        weight = np.concatenate([w["recurrent"][:, 2 * HIDDEN :], w["recurrent"][:, : 2 * HIDDEN]], axis=1).T.copy()
         later = np.zeros_like(state)
-        of_inputs = np.empty((3 * HIDDEN, tokens.size), dtype=state.dtype)
-        d_sum = np.empty((3 * HIDDEN, wide), dtype=state.dtype)
         of_recurrent = np.zeros((3 * HIDDEN, HIDDEN), dtype=state.dtype)
-        for t in range(len(hidden) - 1, -1, -1):
-            now = slice(t * wide, (t + 1) * wide)
-            d = slope[:, now] + later
-            old, keep, reset, inner, new, going_on = kept[t]
-            d_all = of_inputs[:, now]
-            d_new = d_all[2 * HIDDEN :]
-            np.multiply(d - d * keep, 1 - new * new, out=d_new)
-            np.multiply(d * (old - new), keep - keep * keep, out=d_all[:HIDDEN])
-            np.multiply(d_new * inner, reset - reset * reset, out=d_all[HIDDEN : 2 * HIDDEN])
-            d_sum[: 2 * HIDDEN] = d_all[: 2 * HIDDEN]
-            np.multiply(d_new, reset, out=d_sum[2 * HIDDEN :])
-            of_recurrent += d_sum @ old.T
-            later = (d * keep + w["recurrent"] @ d_sum) * going_on
-        gradients["recurrent"] += of_recurrent.T
-        order = np.argsort(before.ravel().astype(np.int16), kind="stable")
-        rows, firsts = np.unique(before.ravel()[order], return_index=True)
-        gradients["inputs"][rows] = np.add.reduceat(of_inputs.take(order, axis=1), firsts, axis=1).T
+        for t in range(steps - 1, -1, -1):
+            keep, reset, inner, new, kept = memories[t]
+            d = slope[t] + later
+            later = d * keep
+            d -= later
+            back[t, :, HIDDEN : 2 * HIDDEN] = d * kept
+            new *= new
+            np.subtract(1, new, out=new)
+            d *= new
+            back[t, :, 3 * HIDDEN :] = d
+            d *= reset
+            back[t, :, :HIDDEN] = d
+            reset *= d
+            d -= reset
+            d *= inner
+            back[t, :, 2 * HIDDEN : 3 * HIDDEN] = d
+            later += back[t, :, : 3 * HIDDEN] @ weight
+            of_recurrent += back[t, :, : 3 * HIDDEN].T @ olds[t]
+            later[fresh[t]] = 0
+        gradients["recurrent"][:, : 2 * HIDDEN] = of_recurrent[HIDDEN:].T
+        gradients["recurrent"][:, 2 * HIDDEN :] = of_recurrent[:HIDDEN].T
+        self._sum_by_input(back.reshape(-1, 4 * HIDDEN), before.ravel(), gradients["inputs"])
         for g in gradients.values():
             g /= tokens.size
-        return state.T, gradients
+        return state, gradients
+
+    def _sum_by_input(self, back: np.ndarray, inputs: np.ndarray, sums: np.ndarray) -> None:
+        """Sums of the last three blocks of ``back`` for each input: inputs that occur equally often are summed together."""
+        times = np.bincount(inputs, minlength=len(sums))
+        by_times = np.argsort(times, kind="stable")
+        rank = np.empty(len(times), dtype=np.int16)
+        rank[by_times] = np.arange(len(times))
+        order = np.argsort(rank[inputs], kind="stable")
+        at = 0
+        for n, first, many in zip(*(a.tolist() for a in np.unique(times[by_times], return_index=True, return_counts=True)), strict=True):
+            if n:
+                block = back.take(order[at : at + many * n], axis=0)[:, HIDDEN:]
+                sums[by_times[first : first + many]] = block.reshape(many, n, 3 * HIDDEN).sum(axis=1)
+                at += many * n
+
+    def _room(self, name: str, shape: tuple[int, ...], kind: np.dtype) -> np.ndarray:
+        """Memory that one window after the other uses, ones at first: asked for anew, it would be handed back and cleared each time."""
+        held = self.rooms.get(name)
+        if held is None or held.shape != shape or held.dtype != kind:
+            held = self.rooms[name] = np.ones(shape, dtype=kind)
+        return held
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.weights[n].ravel() for n in NAMES])

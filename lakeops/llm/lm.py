@@ -2,10 +2,12 @@
 
 1. Word counts of all training texts (map-side sums, one shuffle).
 2. The commonest words, at most ``FREQUENT``, go to the workers; the ``HEAD`` first of them are the model's own words.
-3. The recurrent model learns from all training texts: each task trains a copy on its texts, lesson by lesson, and
-   Spark averages the copies' parameters.
-4. One pass scores all texts. What it needs to know about words that were not sent along, their counts, is
-   joined afterwards: a shuffle of rare words only.
+3. One pass reads all texts: their words become the model's tokens, and what the counts say of them is summed up.
+   What it needs to know about words that were not sent along, their counts, is joined afterwards: a shuffle of rare
+   words only.
+4. The recurrent model learns from the tokens of all training texts: each task trains a copy on its texts, lesson by
+   lesson, and Spark averages the copies' parameters.
+5. The model scores the tokens of all texts.
 """
 
 from __future__ import annotations
@@ -16,11 +18,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import prepare_workers, whole_text, written
+from lakeops.llm.common import prepare_workers, slices, whole_text, written
 from lakeops.llm.gru import HEAD, TAIL_CLASSES, Gru, tail_class
 
 #: Words sent to the workers, at most.
@@ -28,8 +31,8 @@ FREQUENT = 1 << 18
 #: Training tokens of one copy of the model (a task), and of one lesson, which is held in memory.
 COPY_TOKENS, LESSON_TOKENS = 1 << 22, 1 << 20
 ROUNDS = 1
-#: Distinct words a task sums up before it hands them on, and tokens scored at once.
-HELD_WORDS, HELD_TOKENS = 300_000, 2_000_000
+#: Distinct words a task sums up before it hands them on, characters read and tokens scored at once.
+HELD_WORDS, TOGETHER, HELD_TOKENS = 300_000, 1 << 17, 2_000_000
 #: Parameters in one row while they are averaged.
 BLOCK = 4_096
 END = b""
@@ -75,23 +78,37 @@ class Lexicon:
         self.head = min(HEAD, len(words))
 
     def opened(self) -> Lexicon:
-        """With its look-up tables, which are not sent."""
+        """With its look-up tables, which are not sent. The last entry of each is that of words not known here.
+
+        A worker keeps them for its next tasks.
+        """
+        if hasattr(self, "at"):
+            return self
         self.at = {w: k for k, w in enumerate(self.words)}
-        self.token = np.arange(len(self.words), dtype=np.int64)
-        self.token[self.head :] = [self.head + tail_class(w) for w in self.words[self.head :]]
-        self.logs = np.log10(self.counts + 1.0)
+        kinds = np.array([tail_class(w) for w in self.words[self.head :]], dtype=np.int64)
+        self.token = np.concatenate([np.arange(self.head), self.head + kinds, [0]]).astype("<u2")
+        self.logs = np.append(np.log10(self.counts + 1.0), 0.0)
         self.room = np.log10(self.tail_tokens + self.tail_words + 1.0)
+        self.within = self.logs.copy()
+        self.within[: self.head] = 0
+        self.within[self.head : -1] -= self.room[kinds]
         return self
 
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Index of each word (-1 if not known here), its model token, and the words not known."""
-        words = words_of(text)
-        index = np.array(list(map(self.at.get, words, repeat(-1))), dtype=np.int64)
-        tokens = self.token[index] if len(self.token) else np.zeros(len(words), dtype=np.int64)
+    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Of all words of some texts: where each text ends, the index of each word (-1 if not known here) and its model
+        token, and where the words not known are, and which.
+        """
+        words: list[bytes] = []
+        ends = np.empty(len(texts), dtype=np.int64)
+        for k, text in enumerate(texts):
+            words += words_of(text)
+            ends[k] = len(words)
+        index = np.fromiter(map(self.at.get, words, repeat(-1)), dtype=np.int32, count=len(words))
+        tokens = self.token[index]
         missing = np.flatnonzero(index < 0)
         rare = [words[k] for k in missing.tolist()]
         tokens[missing] = [self.head + tail_class(w) for w in rare]
-        return index, tokens, rare
+        return ends, index, tokens, missing, rare
 
 
 def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
@@ -125,19 +142,60 @@ def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
     return Lexicon(words, numbers, tail_tokens, tail_words, total, distinct), least
 
 
-def taught(texts: DataFrame, known: Lexicon) -> Gru:
-    """The recurrent model after ``ROUNDS`` rounds over ``texts`` (column ``text``)."""
-    spark = texts.sparkSession
-    model = Gru.fresh(known.counts[: known.head].astype(np.float64), known.tail_tokens)
-    sent = spark.sparkContext.broadcast(known)
+READ = (
+    "doc_id long, learn boolean, n_tokens long, n_known long, base_score double, within double, tokens binary, "
+    "rare array<struct<word:binary,n:int>>"
+)
+
+
+def _read(docs: DataFrame, known: Lexicon) -> DataFrame:
+    """Model tokens of each text, counts and base scores without the words the workers do not know, and those words.
+
+    within: log10 of the shares of the text's words within their tail classes.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(known)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value.opened()
+        total = np.log10(own.tokens + own.distinct + 1.0)
         for batch in batches:
-            tokens = [own.read(t)[1].astype("<u2").tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary())], names=["tokens"])
-
-    lessons = written(texts.select("text").mapInArrow(read, "tokens binary"), "lessons")
+            texts = batch.column("text").to_pylist()
+            for first, last in slices(texts, TOGETHER):
+                ends, index, tokens, missing, rare = own.read(texts[first:last])
+                starts = np.concatenate([[0], ends[:-1]])
+                within = own.within[index]
+                within[missing] -= own.room[tokens[missing].astype(np.int64) - own.head]
+                data, bounds = tokens.tobytes(), zip((2 * starts).tolist(), (2 * ends).tolist(), strict=True)
+                upto = np.searchsorted(missing, np.concatenate([[0], ends])).tolist()
+                counted = [Counter(rare[a:b]) for a, b in zip(upto, upto[1:], strict=False)]
+                pairs = pa.StructArray.from_arrays(
+                    [
+                        pa.array([w for c in counted for w in c], pa.binary()),
+                        pa.array([n for c in counted for n in c.values()], pa.int32()),
+                    ],
+                    names=["word", "n"],
+                )
+                places = np.concatenate([[0], np.cumsum([len(c) for c in counted])])
+                columns = [
+                    batch.column("doc_id").slice(first, last - first),
+                    batch.column("learn").slice(first, last - first),
+                    pa.array(ends - starts, pa.int64()),
+                    pa.array(np.add.reduceat((index >= 0).astype(np.int64), starts), pa.int64()),
+                    pa.array(np.add.reduceat(own.logs[index], starts) - (ends - starts) * total, pa.float64()),
+                    pa.array(np.add.reduceat(within, starts), pa.float64()),
+                    pa.array([data[a:b] for a, b in bounds], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(places, pa.int32()), pairs),
+                ]
+                names = ["doc_id", "learn", "n_tokens", "n_known", "base_score", "within", "tokens", "rare"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.mapInArrow(run, READ)
+
+
+def taught(lessons: DataFrame, known: Lexicon) -> Gru:
+    """The recurrent model after ``ROUNDS`` rounds over ``lessons`` (column ``tokens``)."""
+    spark = lessons.sparkSession
+    model = Gru.fresh(known.counts[: known.head].astype(np.float64), known.tail_tokens)
     # Dealt row by row: neither copies of a text nor a hot source come to one task.
     dealt = lessons.repartition(max(1, -(-known.tokens // COPY_TOKENS)))
     for turn in range(ROUNDS):
@@ -183,60 +241,37 @@ def _lesson(start: Broadcast, rate: float) -> Callable[[Iterator[pa.RecordBatch]
     return train
 
 
-PARTS = "doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<struct<word:binary,n:int>>"
+PARTS = "row long, doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
-def _scored(docs: DataFrame, known: Lexicon, model: Gru) -> DataFrame:
-    """Counts and scores without the counts of words the workers do not know, and those words."""
-    sent = docs.sparkSession.sparkContext.broadcast((known, model.head, model.weights))
-    kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
+def _scored(texts: DataFrame, model: Gru) -> DataFrame:
+    """Texts that were read, with the model's score of their tokens."""
+    sent = texts.sparkSession.sparkContext.broadcast((model.head, model.weights))
+    same = ["row", "doc_id", "n_tokens", "n_known", "base_score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, head, weights = sent.value
-        own, gru = own.opened(), Gru(head, weights)
-        total = np.log10(own.tokens + own.distinct + 1.0)
-        names: list[int | None] = []
-        rows: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
-
-        def done() -> pa.RecordBatch:
-            likelihoods = gru.log_likelihoods([tokens for _, tokens, _ in rows]) / np.log(10)
-            columns: list[list] = [[] for _ in range(5)]
-            for (index, tokens, rare), likelihood in zip(rows, likelihoods, strict=True):
-                logs = own.logs[index[index >= 0]]
-                tail = tokens >= own.head
-                within = own.logs[index[tail & (index >= 0)]].sum() - own.room[tokens[tail] - own.head].sum()
-                counted = Counter(rare)
-                for column, value in zip(
-                    columns,
-                    (
-                        len(index),
-                        len(logs),
-                        logs.sum() - len(index) * total,
-                        likelihood + within,
-                        [{"word": w, "n": n} for w, n in counted.items()],
-                    ),
-                    strict=True,
-                ):
-                    column.append(value)
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), kind)
-            arrays = [pa.array(names, pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))]
-            names.clear()
-            rows.clear()
-            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "n_known", "base_score", "score", "rare"])
-
+        gru = Gru(*sent.value)
+
+        def done(some: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tokens = [np.frombuffer(t, "<u2") for batch in some for t in batch.column("tokens").to_pylist()]
+            likelihoods = gru.log_likelihoods(tokens) / np.log(10)
+            at = 0
+            for batch in some:
+                scores = likelihoods[at : at + batch.num_rows] + np.asarray(batch.column("within"))
+                at += batch.num_rows
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in same), pa.array(scores)], names=[*same, "score"])
+
+        some: list[pa.RecordBatch] = []
         held = 0
         for batch in batches:
-            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                names.append(name)
-                rows.append(own.read(text))
-                held += len(rows[-1][0])
-                if held > HELD_TOKENS:
-                    yield done()
-                    held = 0
-        if rows:
-            yield done()
+            some.append(batch)
+            held += pc.sum(batch.column("n_tokens")).as_py() or 0
+            if held > HELD_TOKENS:
+                yield from done(some)
+                some, held = [], 0
+        yield from done(some)
 
-    return docs.mapInArrow(run, PARTS)
+    return texts.select(*same, "within", "tokens").mapInArrow(run, PARTS)
 
 
 def score(df: DataFrame, learn_from: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -253,16 +288,17 @@ def score(df: DataFrame, learn_from: Column, doc_id: str = "doc_id", text: str =
     learnt = docs.where("learn")
     counts = written(word_counts(learnt.select("text")), "word-counts")
     known, least = lexicon(counts)
-    model = taught(learnt.select("text"), known)
-    parts = written(_scored(docs.select("doc_id", "text"), known, model).withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = parts.select("row", F.inline("rare"))
+    texts = written(_read(docs, known).withColumn("row", F.monotonically_increasing_id()), "lessons")
+    model = taught(texts.where("learn").select("tokens"), known)
+    parts = written(_scored(texts, model), "scored")
+    rare = texts.select("row", F.inline("rare"))
     seldom = counts.where(F.col("n") < least).select("word", F.col("n").alias("c"))
     found = rare.join(seldom, "word", "left").groupBy("row").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("more"),
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("found"),
     )
     more = F.coalesce("more", F.lit(0.0))
-    return parts.drop("rare").join(found, "row", "left").select(
+    return parts.join(found, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),

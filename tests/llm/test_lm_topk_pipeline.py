@@ -123,6 +123,45 @@ def test_every_training_text_teaches(docs_of, monkeypatch):
         assert dict(lessons)["lessons"].count() == len(rows)
 
 
+def test_texts_are_read_twice_and_scored_from_their_tokens(docs_of, monkeypatch):
+    """Once for their counts and once for their tokens; neither lessons nor scores go back to the texts."""
+    texts_in = {}
+    original = lm.written
+
+    def written(df, label):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        texts_in[label] = "text" in plan
+        return original(df, label)
+
+    monkeypatch.setattr(lm, "written", written)
+    lm.score(docs_of([(k, f"word{k % 7} x y") for k in range(20)]), F.lit(True)).collect()
+    assert texts_in == {"word-counts": True, "lessons": True, "scored": False}
+
+
+def test_a_texts_parts_do_not_depend_on_how_it_is_read(docs_of, monkeypatch):
+    """Words known here, in tail classes, not known here and repeated, in slices of one text or of all."""
+    monkeypatch.setattr(lm, "FREQUENT", 30)
+    monkeypatch.setattr(gru, "HEAD", 10)
+    monkeypatch.setattr(lm, "HEAD", 10)
+    rows = [(k, prose(k, 25) + " new" * (k % 4)) for k in range(40)] + [(50, None), (51, "")]
+    found = []
+    for together in (1, 1 << 20):
+        monkeypatch.setattr(lm, "TOGETHER", together)
+        got = lm.score(docs_of(rows).coalesce(1), F.col("doc_id") < 30).orderBy("doc_id").collect()
+        found.append([(r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 3)) for r in got])
+    assert found[0] == found[1] and [r[0] for r in found[0]] == [i for i, _ in rows]
+
+
+def test_large_scores_do_not_overflow():
+    """Weights whose scores no 32-bit exponential holds, beside the same scores less a constant."""
+    plain, shifted = toy(8), toy(8)
+    for name in ("class_bias", "word_bias"):
+        shifted.weights[name] = shifted.weights[name] + np.float32(500)
+    tokens = np.arange(plain.head + gru.TAIL_CLASSES)
+    hidden = np.random.default_rng(9).uniform(-1, 1, (len(tokens), gru.HIDDEN)).astype(np.float32)
+    assert shifted.output(hidden, tokens)[0] == pytest.approx(plain.output(hidden, tokens)[0], abs=1e-2)
+
+
 def test_training_uses_every_token(monkeypatch):
     """Also those behind the last whole row of streams, and those of a long text in pieces."""
     seen = []
