@@ -11,9 +11,9 @@ the one the merges produce. A copied state differs from its original in one arc,
 stored: a state is the token that led to it, and ``gadget`` holds the merge that cut the arc
 ``(u, v)``. :meth:`Automaton.arc` looks an arc up by walking the two short spines of halves.
 
-Encoding walks a word once. Each position that a tokenization reaches has one state; from there the
-trie of tokens gives the possible next arcs, and the arc table says which exist. Decoding emits the
-labels of the arcs.
+Each position that a tokenization reaches has one state; from there the trie of tokens gives the possible next
+arcs, and the arc table says which exist. Encoding follows the longest arc and goes back to a shorter one where that
+leads nowhere; it leaves each position once at most. Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 from lakeops.llm.common import carried, keeps_inner_names_apart, prepare_workers, whole_text
 
 END = "</w>"
-#: Distinct chunks of text, and arcs, that a worker remembers. Speed only: chunks come in two generations of this size, and
-#: those that do not occur again during one are forgotten; a full memory of arcs is emptied.
+#: Distinct chunks of text, as many words in them, and arcs, that a worker remembers. Speed only: chunks and words come in two
+#: generations of this size, and those that do not occur again during one are forgotten; a full memory of arcs is emptied.
 REMEMBERED, ARCS = 200_000, 200_000
 NEVER = 1 << 60
 #: White space that a text normaliser folds but Python's str.split() does not agree on.
@@ -111,10 +111,10 @@ class Automaton:
                 node = step[0]
             step[1] = number
         self.arcs: dict[tuple[int, int], bool] = {}
-        self.chunks = _Chunks(self)
+        self.chunks, self.pieces = _Memory(self.chunk), _Memory(self.piece)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("find", "scan", "cut", "ends", "trie", "arcs", "chunks")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("find", "scan", "cut", "ends", "trie", "arcs", "chunks", "pieces")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -141,43 +141,56 @@ class Automaton:
             x, until_x = self.right[x], self.born[x]
 
     def word(self, symbols: list[str]) -> list[int]:
-        """Tokens of one word by table-driven transitions."""
-        n = len(symbols)
-        state, origin = [-1] * (n + 1), [0] * (n + 1)
-        state[0] = 0
-        trie, arcs = self.trie, self.arcs
-        for i in range(n):
-            here = state[i]
-            if here < 0:
+        """Tokens of one word by table-driven transitions, the longest first.
+
+        What is read up to a position has one token sequence, so a position that led nowhere is not tried again.
+        """
+        n, arcs = len(symbols), self.arcs
+        tried = bytearray(n + 1)
+        tokens: list[int] = []
+        ways = [self.ways(symbols, 0)]
+        while True:
+            way = ways[-1]
+            if not way:
+                ways.pop()
+                tokens.pop()
                 continue
-            node, j = trie, i
-            for symbol in symbols[i:] if i else symbols:
-                step = node.get(symbol)
-                if step is None:
-                    break
-                j += 1
-                node, token = step
-                if token is not None and state[j] < 0:
-                    fits = True
-                    if i:
-                        fits = arcs.get((here, token))
-                        if fits is None:
-                            if len(arcs) >= ARCS:
-                                arcs.clear()
-                            fits = arcs[here, token] = self.arc(here, token)
-                    if fits:
-                        state[j], origin[j] = token, i
-                if node is None:
-                    break
-        tokens = []
-        while n:
-            tokens.append(state[n])
-            n = origin[n]
-        return tokens[::-1]
+            j, token = way.pop()
+            if tried[j]:
+                continue
+            if tokens:
+                arc = (tokens[-1], token)
+                fits = arcs.get(arc)
+                if fits is None:
+                    if len(arcs) >= ARCS:
+                        arcs.clear()
+                    fits = arcs[arc] = self.arc(*arc)
+                if not fits:
+                    continue
+            tokens.append(token)
+            if j == n:
+                return tokens
+            tried[j] = 1
+            ways.append(self.ways(symbols, j))
+
+    def ways(self, symbols: list[str], i: int) -> list[tuple[int, int]]:
+        """Tokens of the vocabulary that the symbols from ``i`` on begin with, and where each ends, by rising length."""
+        node, j, found = self.trie, i, []
+        for symbol in symbols[i:] if i else symbols:
+            step = node.get(symbol)
+            if step is None:
+                break
+            j += 1
+            node, token = step
+            if token is not None:
+                found.append((j, token))
+            if node is None:
+                break
+        return found
 
     def words(self, text: str) -> list[str]:
         """Pieces by the file's pattern; a letter newer than Python's own tables counts as a symbol."""
-        if text.isascii():
+        if text.isascii() or text.isprintable():  # what Python has no table of does not count as printable
             return self.find(text)
         known = "".join("\ue000" if unicodedata.category(c) == "Cn" else c for c in text)
         return [text[m.start() : m.end()] for m in self.scan(known)]
@@ -187,14 +200,16 @@ class Automaton:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
         text = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
-        ids: list[int] = []
+        pieces = self.pieces
+        return b"".join([pieces[word] for word in self.words(text)])
+
+    def piece(self, word: str) -> bytes:
+        """Ids of one word, as bytes of 32-bit numbers."""
+        data = word.encode("utf-8", "replace")
         letters = self.letters
-        for word in self.words(text):
-            data = word.encode("utf-8", "replace")
-            symbols = [letters[b] for b in data]
-            symbols[-1] = self.ends[data[-1]]
-            ids += self.word(symbols)
-        return np.array(ids, dtype="<i4").tobytes()
+        symbols = [letters[b] for b in data]
+        symbols[-1] = self.ends[data[-1]]
+        return np.array(self.word(symbols), dtype="<i4").tobytes()
 
     def plain(self, text: str) -> bytes:
         """Ids of a text without special tokens."""
@@ -211,17 +226,17 @@ class Automaton:
         )
 
 
-class _Chunks(dict):
-    """Ids of chunks seen before: in this generation, and in ``older`` in the one before."""
+class _Memory(dict):
+    """Ids of texts seen before: in this generation, and in ``older`` in the one before. Others are worked out by ``ids_of``."""
 
-    def __init__(self, automaton: Automaton):
+    def __init__(self, ids_of: Callable[[str], bytes]):
         super().__init__()
-        self.automaton, self.older = automaton, {}
+        self.ids_of, self.older = ids_of, {}
 
     def __missing__(self, text: str) -> bytes:
         ids = self.older.get(text)
         if ids is None:
-            ids = self.automaton.chunk(text)
+            ids = self.ids_of(text)
         if len(text) <= 64:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)

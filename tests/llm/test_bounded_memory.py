@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import unicodedata
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -54,3 +55,36 @@ def test_a_round_trip_goes_through_python_once(docs_of, edge_rows):
     apart = bpe.decode(bpe.encode(docs, WORD_BPE), WORD_BPE)
     assert done.schema == apart.schema
     assert sorted(map(str, done.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_a_word_is_worked_out_once_in_all_chunks(monkeypatch):
+    worked_out = []
+    original = bpe.Automaton.word
+    monkeypatch.setattr(bpe.Automaton, "word", lambda self, symbols: worked_out.append("".join(symbols)) or original(self, symbols))
+    automaton, library = bpe.Automaton(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    text = "Kalomi, kalomi. (kalomi) KALOMI! kalomi-kalomi"
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert automaton.encode(text) == b"".join(n.to_bytes(4, "little") for n in ids)
+    assert worked_out.count("kalomi</w>") == 1
+
+
+def test_a_word_leaves_each_position_once_at_most(monkeypatch):
+    """Words that lead the longest arcs astray, long ones too, encode as the library does."""
+    left = []
+    original = getattr(bpe.Automaton, "ways", None)
+    monkeypatch.setattr(bpe.Automaton, "ways", lambda self, symbols, i: left.append(i) or original(self, symbols, i), raising=False)
+    automaton, library, rng = bpe.Automaton(WORD_BPE), Tokenizer.from_file(WORD_BPE), random.Random(41)
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 60))) for letters in ("ab", "tionsrea", "osn", "éüa") for _ in range(200)]
+    steps = 0
+    for word in ["of" * 2_000, *words, "a" * 3_000, "re" * 2_000, "in the".replace(" ", "") * 500]:
+        left.clear()
+        ids = library.encode(word, add_special_tokens=False).ids
+        assert automaton.encode(word) == b"".join(n.to_bytes(4, "little") for n in ids)
+        assert len(left) == len(set(left))
+        steps += len(left)
+    assert steps > 3_000
+
+
+def test_what_python_has_no_table_of_is_not_printable():
+    new = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
+    assert new and not any(c.isprintable() for c in new)
