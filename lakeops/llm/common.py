@@ -79,14 +79,19 @@ def prepare_workers(spark: SparkSession) -> None:
 
 def slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
     """Ranges ``first, last`` (exclusive) of consecutive texts with at most so many characters together, or of one text."""
-    first = held = 0
-    for at, text in enumerate(texts):
-        if at > first and held + len(text) > most:
-            yield first, at
-            first, held = at, 0
-        held += len(text)
-    if texts:
-        yield first, len(texts)
+    return spans(map(len, texts), most)
+
+
+def spans(lengths: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
+    """The same from the lengths of the texts."""
+    first = held = at = 0
+    for at, length in enumerate(lengths, 1):
+        if at - 1 > first and held + length > most:
+            yield first, at - 1
+            first, held = at - 1, 0
+        held += length
+    if at:
+        yield first, at
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

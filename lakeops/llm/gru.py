@@ -9,8 +9,10 @@ state handed on from window to window, and so is scoring, so a text's log-likeli
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 
@@ -23,34 +25,64 @@ STREAMS, PIECE = 500, 8_000
 #: Tokens of one softmax, scores whose exponentials 32-bit numbers can sum, and parameters moved at once.
 SHARES, SMALL, MOVED = 2_000, 60.0, 1 << 14
 LEAST_UPDATES = 64
+#: The first two bytes of the first letter beyond ASCII.
+BEYOND = re.compile(rb"[\x80-\xff].?", re.DOTALL)
 NAMES = ("inputs", "recurrent", "class_weight", "class_bias", "word_weight", "word_bias")
 
 
 def tail_class(word: bytes) -> int:
     """The class of a word outside the head: by its first letter beyond ASCII and its last character."""
-    if word.isascii():
-        letter = b""
-    else:
-        at = next(k for k, b in enumerate(word) if b >= 128)
-        letter = word[at : at + 2]
-    last = word[-1:]
-    return zlib.crc32(letter + b"\0" + (b"" if last.isalnum() or last >= b"\x80" else last)) % TAIL_CLASSES
+    return _class_of(b"" if word.isascii() else BEYOND.search(word)[0], word[-1:])
 
 
-def _softmax(scores: np.ndarray, picked: np.ndarray, at: np.ndarray, small: bool, slopes: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Log of the picked share of each column; ``scores`` become shares, less one where picked, if slopes are wanted.
+@lru_cache(1 << 16)
+def _class_of(letter: bytes, last: bytes) -> int:
+    return zlib.crc32(letter + b"\0" + (b"" if last.isalnum() or last >= b"\x80" else last)) % TAIL_CLASSES
 
-    small: no score is beyond ``SMALL``, so that their exponentials can be summed as they are.
-    """
+
+def _scores(hidden: np.ndarray, weight: np.ndarray, small: bool) -> np.ndarray:
+    """A row of scores for each token, less its largest one unless none is beyond ``SMALL``: 32-bit numbers can sum their exponentials."""
+    scores = hidden @ weight
     if not small:
-        scores -= scores.max(axis=0)
-    chosen = scores[picked, at]
+        scores -= scores.max(axis=1, keepdims=True)
+    return scores
+
+
+def _exponentials(scores: np.ndarray) -> np.ndarray:
+    """``scores`` become their exponentials; the sum of each row."""
     np.exp(scores, out=scores)
-    total = scores.sum(axis=0)
-    if slopes:
-        scores *= 1 / total
-        scores[picked, at] -= 1
-    return (chosen - np.log(total)).astype(np.float64), scores
+    return scores @ np.ones(scores.shape[1], dtype=scores.dtype)
+
+
+def _logs(scores: np.ndarray, picked: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log of the picked share of each row."""
+    chosen = scores[at[: len(scores)], picked]
+    return (chosen - np.log(_exponentials(scores))).astype(np.float64)
+
+
+def _slopes(scores: np.ndarray, picked: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``scores`` become the shares of each row, less one where picked."""
+    scores *= (1 / _exponentials(scores))[:, None]
+    scores[at[: len(scores)], picked] -= 1
+    return scores
+
+
+def _side_by_side(begins: np.ndarray, size: int, streams: int) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """``size`` tokens of texts with these first places, in at most so many streams of whole texts that are read side by side:
+    places of the tokens, step by step, and how many streams are left in each step; about ``PIECE`` tokens at once.
+    """
+    _, firsts = np.unique(begins * streams // size, return_index=True)
+    starts = begins[firsts]
+    lengths = np.diff(starts, append=size)
+    by_length = np.argsort(-lengths, kind="stable")
+    starts, lengths = starts[by_length], lengths[by_length]
+    left = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
+    upto = np.cumsum(left)
+    step = done = 0
+    while step < len(left):
+        last = max(step + 1, int(np.searchsorted(upto, done + PIECE, side="right")))
+        yield np.concatenate([starts[: left[t]] + t for t in range(step, last)]), left[step:last].tolist()
+        step, done = last, upto[last - 1]
 
 
 class Gru:
@@ -112,26 +144,30 @@ class Gru:
         kept *= keep
         return kept + new, (keep, reset, inner, new, kept)
 
-    def output(self, hidden: np.ndarray, tokens: np.ndarray, gradients: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log probability of each token (of its class, for the tail); with ``gradients``, that of ``hidden`` too."""
+    def output(self, hidden: np.ndarray, tokens: np.ndarray, gradients: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray | None, np.ndarray | None]:
+        """Natural log probability of each token (of its class, for the tail); with ``gradients``, to which it adds, the slopes of
+        ``hidden`` instead.
+        """
         return self._output(np.concatenate([hidden, np.ones_like(hidden[:, :1])], axis=1), tokens, gradients)
 
-    def _output(self, hidden: np.ndarray, tokens: np.ndarray, gradients: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    def _output(self, hidden: np.ndarray, tokens: np.ndarray, gradients: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray | None, np.ndarray | None]:
         """The same with a last column of ones in ``hidden``, which stands for the bias."""
         w = self.weights
         of_class = np.concatenate([w["class_weight"], w["class_bias"][None]])
-        of_word = np.concatenate([w["word_weight"], w["word_bias"][:, None]], axis=1)
+        of_word = np.concatenate([w["word_weight"].T, w["word_bias"][None]])
         reach = max(hidden.max(initial=1), -hidden.min(initial=0))
-        most = max(np.abs(of_class).sum(axis=0).max(initial=0), np.abs(of_word).sum(axis=1).max(initial=0))
+        most = max(np.abs(a).sum(axis=0).max(initial=0) for a in (of_class, of_word))
         small = bool(reach * most < SMALL)
-        found, slope = np.empty(len(tokens)), None if gradients is None else np.empty((len(tokens), HIDDEN), dtype=hidden.dtype)
+        found = np.empty(len(tokens)) if gradients is None else None
+        slope = None if gradients is None else np.empty((len(tokens), HIDDEN), dtype=hidden.dtype)
         for at in range(0, len(tokens), PIECE):
             part = slice(at, at + PIECE)
             kinds = self.classes(tokens[part])
             order = np.argsort(kinds.astype(np.int16), kind="stable")
             logs, back = self._piece(hidden[part].take(order, axis=0), tokens[part][order], kinds[order], of_class, of_word, small, gradients)
-            found[part][order] = logs
-            if slope is not None:
+            if gradients is None:
+                found[part][order] = logs
+            else:
                 place = np.empty_like(order)
                 place[order] = np.arange(len(order))
                 slope[part] = back.take(place, axis=0)
@@ -146,77 +182,76 @@ class Gru:
         of_word: np.ndarray,
         small: bool,
         gradients: dict[str, np.ndarray] | None,
-    ) -> tuple[np.ndarray, np.ndarray | None]:
-        """Log probabilities and slopes of tokens that are sorted by class; scores have a column for each token."""
-        at, found = np.arange(len(tokens)), np.empty(len(tokens))
-        slopes = gradients is not None
-        slope = np.empty((len(tokens), HIDDEN), dtype=hidden.dtype) if slopes else None
+    ) -> tuple[np.ndarray | None, np.ndarray | None]:
+        """Log probabilities of tokens that are sorted by class or, with ``gradients``, slopes; scores have a row for each token."""
+        at = np.arange(SHARES)
+        if gradients is None:
+            found = np.empty(len(tokens))
+            for low in range(0, len(tokens), SHARES):
+                part = slice(low, low + SHARES)
+                found[part] = _logs(_scores(hidden[part], of_class, small), kinds[part], at)
+            for words, part in self._by_class(kinds):
+                found[part] += _logs(_scores(hidden[part], of_word[:, words], small), tokens[part] - words.start, at)
+            return found, None
+        slope = np.empty((len(tokens), HIDDEN), dtype=hidden.dtype)
+        weight = of_class[:HIDDEN].T.copy()
         for low in range(0, len(tokens), SHARES):
             part = slice(low, low + SHARES)
             own = hidden[part]
-            found[part], scores = _softmax(of_class.T @ own.T, kinds[part], at[: len(own)], small, slopes)
-            if slopes:
-                sums = scores @ own
-                gradients["class_weight"] += sums[:, :HIDDEN].T
-                gradients["class_bias"] += sums[:, HIDDEN]
-                slope[part] = scores.T @ of_class[:HIDDEN].T
+            scores = _slopes(_scores(own, of_class, small), kinds[part], at)
+            sums = own.T @ scores
+            gradients["class_weight"] += sums[:HIDDEN]
+            gradients["class_bias"] += sums[HIDDEN]
+            np.matmul(scores, weight, out=slope[part])
+        for words, part in self._by_class(kinds):
+            own = hidden[part]
+            scores = _slopes(_scores(own, of_word[:, words], small), tokens[part] - words.start, at)
+            sums = scores.T @ own
+            gradients["word_weight"][words] += sums[:, :HIDDEN]
+            gradients["word_bias"][words] += sums[:, HIDDEN]
+            slope[part] += scores @ self.weights["word_weight"][words]
+        return None, slope
+
+    def _by_class(self, kinds: np.ndarray) -> Iterator[tuple[slice, slice]]:
+        """Of tokens that are sorted by class: the words of each head class and some of its tokens at once."""
         bounds = np.searchsorted(kinds, np.arange(self.head_classes + 1)).tolist()
         for k in range(self.head_classes):
             words = slice(k * CLASS_WORDS, min(self.head, (k + 1) * CLASS_WORDS))
-            weight = of_word[words]
             for low in range(bounds[k], bounds[k + 1], SHARES):
-                part = slice(low, min(bounds[k + 1], low + SHARES))
-                own = hidden[part]
-                logs, scores = _softmax(weight @ own.T, tokens[part] - words.start, at[: len(own)], small, slopes)
-                found[part] += logs
-                if slopes:
-                    sums = scores @ own
-                    gradients["word_weight"][words] += sums[:, :HIDDEN]
-                    gradients["word_bias"][words] += sums[:, HIDDEN]
-                    slope[part] += scores.T @ weight[:, :HIDDEN]
-        return found, slope
+                yield words, slice(low, min(bounds[k + 1], low + SHARES))
 
-    def windows(self, texts: list[np.ndarray]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray], list[int]]]:
-        """Windows over texts sorted by falling length: inputs and tokens of each step, and how many texts are left in it."""
-        lengths = np.array([len(t) for t in texts])
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        flat = np.concatenate(texts).astype(np.int64)
-        longest = int(lengths[0])
-        left = np.searchsorted(-lengths, -np.arange(longest), side="left")
-        for begin in range(0, longest, WINDOW):
-            steps = range(begin, min(longest, begin + WINDOW))
-            tokens = [flat[starts[: left[t]] + t] for t in steps]
-            first = self.head + TAIL_CLASSES
-            before = [np.full(left[t], first) if t == 0 else flat[starts[: left[t]] + t - 1] for t in steps]
-            yield before, tokens, [int(left[t]) for t in steps]
-
-    def log_likelihoods(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Natural log-likelihood of each whole text (without the shares within tail classes)."""
-        out = np.zeros(len(texts))
-        order = [k for k in np.argsort([-len(t) for t in texts], kind="stable") if len(texts[k])]
-        for at in range(0, len(order), 2 * STREAMS):
-            some = order[at : at + 2 * STREAMS]
-            out[some] = self._of_sorted([texts[k] for k in some])
-        return out
+    def log_likelihoods(self, texts: list[np.ndarray], streams: int = 2 * STREAMS) -> np.ndarray:
+        """Natural log-likelihood of each whole text (without the shares within tail classes).
 
-    def _of_sorted(self, texts: list[np.ndarray]) -> np.ndarray:
-        """The same for texts of falling length, none empty."""
-        state = np.zeros((len(texts), HIDDEN), dtype=np.float32)
-        sums = np.zeros(len(texts))
+        The texts are laid end to end in parallel streams of about one length, so that few steps have few rows. A text
+        lies in one stream as a whole, and the state starts anew with it.
+        """
+        out, lengths = np.zeros(len(texts)), np.array([len(t) for t in texts], dtype=np.int64)
+        order = np.argsort(-lengths, kind="stable")[: np.count_nonzero(lengths)]
+        if not len(order):
+            return out
+        start = self.head + TAIL_CLASSES
+        flat = np.concatenate([texts[k] for k in order])
+        begins = np.concatenate([[0], np.cumsum(lengths[order])[:-1]])
+        before = np.empty(len(flat), dtype=np.uint16)
+        before[1:] = flat[:-1]
+        before[begins] = start
+        logs = np.empty(len(flat), dtype=np.float32)
         table, recurrent = self._by_gate()
-        for before, tokens, left in self.windows(texts):
-            hidden = np.ones((sum(left), HIDDEN + 1), dtype=np.float32)
-            at = 0
-            for inputs, n in zip(before, left, strict=True):
-                state, _ = self._step(table.take(inputs, axis=1), state[:n], recurrent)
-                hidden[at : at + n, :HIDDEN] = state
-                at += n
-            found, _ = self._output(hidden, np.concatenate(tokens))
-            at = 0
+        state = np.zeros((streams, HIDDEN), dtype=np.float32)
+        for at, left in _side_by_side(begins, len(flat), streams):
+            inputs, hidden = before[at].astype(np.int64), np.ones((len(at), HIDDEN + 1), dtype=np.float32)
+            low = 0
             for n in left:
-                sums[:n] += found[at : at + n]
-                at += n
-        return sums
+                part = slice(low, low + n)
+                state = state[:n]
+                state[np.flatnonzero(inputs[part] == start)] = 0
+                state, _ = self._step(table.take(inputs[part], axis=1), state, recurrent)
+                hidden[part, :HIDDEN] = state
+                low += n
+            logs[at] = self._output(hidden, flat[at].astype(np.int64))[0]
+        out[order] = np.add.reduceat(logs, begins, dtype=np.float64)
+        return out
 
     def train(self, texts: list[np.ndarray], rate: float = 0.01, streams: int = STREAMS) -> None:
         """One pass over the texts, laid end to end in parallel streams, by Adam with an update for each window.
@@ -250,19 +285,21 @@ class Gru:
                 self._move(gradients, first, second, np.float32(scale * np.sqrt(1 - 0.99**turn) / (1 - 0.9**turn)))
 
     def _move(self, gradients: dict[str, np.ndarray], first: dict[str, np.ndarray], second: dict[str, np.ndarray], step: np.float32) -> None:
-        """One update by Adam, in place, in pieces that stay in the processor's cache."""
+        """One update by Adam, in place, in pieces that stay in the processor's cache.
+
+        ``first`` and ``second`` hold ten times the running mean and a hundred times that of the squares: their ratio is the same.
+        """
         for name in gradients:
             whole = [a.reshape(-1) for a in (gradients[name], first[name], second[name], self.weights[name])]
             for at in range(0, len(whole[0]), MOVED):
                 g, one, two, weight = (a[at : at + MOVED] for a in whole)
                 one *= np.float32(0.9)
                 two *= np.float32(0.99)
-                one += np.float32(0.1) * g
+                one += g
                 np.multiply(g, g, out=g)
-                g *= np.float32(0.01)
                 two += g
                 np.sqrt(two, out=g)
-                g += np.float32(1e-5)
+                g += np.float32(1e-4)
                 np.divide(one, g, out=g)
                 g *= step
                 weight -= g
@@ -295,7 +332,7 @@ class Gru:
             d = slope[t] + later
             later = d * keep
             d -= later
-            back[t, :, HIDDEN : 2 * HIDDEN] = d * kept
+            np.multiply(d, kept, out=back[t, :, HIDDEN : 2 * HIDDEN])
             new *= new
             np.subtract(1, new, out=new)
             d *= new
@@ -304,8 +341,7 @@ class Gru:
             back[t, :, :HIDDEN] = d
             reset *= d
             d -= reset
-            d *= inner
-            back[t, :, 2 * HIDDEN : 3 * HIDDEN] = d
+            np.multiply(d, inner, out=back[t, :, 2 * HIDDEN : 3 * HIDDEN])
             later += back[t, :, : 3 * HIDDEN] @ weight
             of_recurrent += back[t, :, : 3 * HIDDEN].T @ olds[t]
             later[fresh[t]] = 0

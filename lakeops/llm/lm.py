@@ -12,7 +12,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import repeat
 
@@ -23,7 +22,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import prepare_workers, slices, whole_text, written
+from lakeops.llm.common import prepare_workers, spans, whole_text, written
 from lakeops.llm.gru import HEAD, TAIL_CLASSES, Gru, tail_class
 
 #: Words sent to the workers, at most.
@@ -31,8 +30,8 @@ FREQUENT = 1 << 18
 #: Training tokens of one copy of the model (a task), and of one lesson, which is held in memory.
 COPY_TOKENS, LESSON_TOKENS = 1 << 22, 1 << 20
 ROUNDS = 1
-#: Distinct words a task sums up before it hands them on, characters read and tokens scored at once.
-HELD_WORDS, TOGETHER, HELD_TOKENS = 300_000, 1 << 17, 2_000_000
+#: Bytes of words a task counts together, bytes of text split and tokens scored at once.
+HELD_BYTES, TOGETHER, HELD_TOKENS = 1 << 24, 1 << 19, 2_000_000
 #: Parameters in one row while they are averaged.
 BLOCK = 4_096
 END = b""
@@ -43,24 +42,40 @@ def words_of(text: str) -> list[bytes]:
     return [*text.encode("utf-8", "replace").lower().split(), END]
 
 
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts one after the other, as :func:`words_of` gives them, and how many each text has."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    # White space behind the last word leaves an empty one there: the end.
+    blank, space = (pa.scalar(x, texts.type) for x in ("", " "))
+    closed = pc.if_else(pc.equal(trimmed, blank), blank, pc.binary_join_element_wise(trimmed, blank, space))
+    lists = pc.ascii_split_whitespace(closed)
+    return lists.flatten().cast(pa.binary()), pc.list_value_length(lists).to_numpy().astype(np.int64)
+
+
+def listed(words: pa.Array) -> list[bytes]:
+    """Words as Python has them. None holds white space, so one split finds them all."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b" ")[0].as_py().split(b" ")
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, n`` over all texts (column ``text``); the end of a text is the empty word."""
     prepare_workers(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+        held: list[pa.Array] = []
 
         def handed_on() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"]
-            )
+            counted = pc.value_counts(pa.chunked_array(held, pa.binary()))
             held.clear()
-            return batch
+            return pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], names=["word", "n"])
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.update(words_of(text))
-                if len(held) > HELD_WORDS:
+            column = batch.column("text")
+            for first, last in spans(pc.binary_length(column).to_pylist(), TOGETHER):
+                held.append(split(column.slice(first, last - first))[0])
+                if sum(words.nbytes for words in held) > HELD_BYTES:
                     yield handed_on()
         if held:
             yield handed_on()
@@ -94,21 +109,15 @@ class Lexicon:
         self.within[self.head : -1] -= self.room[kinds]
         return self
 
-    def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        """Of all words of some texts: where each text ends, the index of each word (-1 if not known here) and its model
-        token, and where the words not known are, and which.
-        """
-        words: list[bytes] = []
-        ends = np.empty(len(texts), dtype=np.int64)
-        for k, text in enumerate(texts):
-            words += words_of(text)
-            ends[k] = len(words)
+    def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word: its index (-1 if not known here), its model token, and log10 of its share within its tail class."""
         index = np.fromiter(map(self.at.get, words, repeat(-1)), dtype=np.int32, count=len(words))
-        tokens = self.token[index]
+        tokens, within = self.token[index], self.within[index]
         missing = np.flatnonzero(index < 0)
-        rare = [words[k] for k in missing.tolist()]
-        tokens[missing] = [self.head + tail_class(w) for w in rare]
-        return ends, index, tokens, missing, rare
+        kinds = np.array([tail_class(words[k]) for k in missing.tolist()], dtype=np.int64)
+        tokens[missing] = self.head + kinds
+        within[missing] -= self.room[kinds]
+        return index, tokens, within
 
 
 def lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
@@ -159,30 +168,29 @@ def _read(docs: DataFrame, known: Lexicon) -> DataFrame:
         own = sent.value.opened()
         total = np.log10(own.tokens + own.distinct + 1.0)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for first, last in slices(texts, TOGETHER):
-                ends, index, tokens, missing, rare = own.read(texts[first:last])
-                starts = np.concatenate([[0], ends[:-1]])
-                within = own.within[index]
-                within[missing] -= own.room[tokens[missing].astype(np.int64) - own.head]
-                data, bounds = tokens.tobytes(), zip((2 * starts).tolist(), (2 * ends).tolist(), strict=True)
-                upto = np.searchsorted(missing, np.concatenate([[0], ends])).tolist()
-                counted = [Counter(rare[a:b]) for a, b in zip(upto, upto[1:], strict=False)]
+            column = batch.column("text")
+            for first, last in spans(pc.binary_length(column).to_pylist(), TOGETHER):
+                words, lengths = split(column.slice(first, last - first))
+                ends = np.cumsum(lengths)
+                starts = ends - lengths
+                coded = words.dictionary_encode()  # each distinct word is looked up once
+                at = coded.indices.to_numpy()
+                index, tokens, within = own.read(listed(coded.dictionary))
+                data, bounds = tokens[at].tobytes(), zip((2 * starts).tolist(), (2 * ends).tolist(), strict=True)
+                missing = np.flatnonzero((index < 0)[at])
+                of_text = np.searchsorted(ends, missing, side="right")
+                rare, times = np.unique(of_text * len(index) + at[missing], return_counts=True)
                 pairs = pa.StructArray.from_arrays(
-                    [
-                        pa.array([w for c in counted for w in c], pa.binary()),
-                        pa.array([n for c in counted for n in c.values()], pa.int32()),
-                    ],
-                    names=["word", "n"],
+                    [coded.dictionary.take(pa.array(rare % len(index))), pa.array(times, pa.int32())], names=["word", "n"]
                 )
-                places = np.concatenate([[0], np.cumsum([len(c) for c in counted])])
+                places = np.searchsorted(rare, np.arange(last - first + 1) * len(index))
                 columns = [
                     batch.column("doc_id").slice(first, last - first),
                     batch.column("learn").slice(first, last - first),
-                    pa.array(ends - starts, pa.int64()),
-                    pa.array(np.add.reduceat((index >= 0).astype(np.int64), starts), pa.int64()),
-                    pa.array(np.add.reduceat(own.logs[index], starts) - (ends - starts) * total, pa.float64()),
-                    pa.array(np.add.reduceat(within, starts), pa.float64()),
+                    pa.array(lengths, pa.int64()),
+                    pa.array(np.add.reduceat((index >= 0)[at].astype(np.int64), starts), pa.int64()),
+                    pa.array(np.add.reduceat(own.logs[index][at], starts) - lengths * total, pa.float64()),
+                    pa.array(np.add.reduceat(within[at], starts), pa.float64()),
                     pa.array([data[a:b] for a, b in bounds], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(places, pa.int32()), pairs),
                 ]

@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +174,68 @@ def test_training_uses_every_token(monkeypatch):
         assert sum(seen) == sum(lengths)
 
 
+def test_words_are_split_at_ascii_white_space_only():
+    """By Arrow as by Python: blank texts, white space at both ends, letters beyond ASCII, what only looks like white space."""
+    rng = random.Random(12)
+    texts = ["", " ", "\n\t", "a", " a ", "A\x0bB\x0c", "\x1c a\x85b\xa0c\u2003d", "\u0130\u00c9 \U0001f600", "x" * 5_000]
+    texts += ["".join(rng.choices("aB\u00e9 \t\r\n\x1d\xa0", k=rng.randint(0, 30))) for _ in range(500)]
+    want = [lm.words_of(t) for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        words, lengths = lm.split(pa.array(["cut off", *texts], kind).slice(1))
+        assert words.to_pylist() == [w for one in want for w in one] and lengths.tolist() == [len(one) for one in want]
+        coded = words.dictionary_encode()
+        assert lm.listed(coded.dictionary) == coded.dictionary.to_pylist()
+
+
+def test_word_counts_by_hand(docs_of, edge_rows, monkeypatch):
+    """Handed on after every slice, or once for a task; also bytes that are no letters."""
+    docs = docs_of(edge_rows).select(F.coalesce("text", F.lit("")).alias("text"))
+    want = Counter(w for _, t in edge_rows for w in lm.words_of(t or ""))
+    for held_bytes, together in ((1, 1), (1 << 25, 1 << 20)):
+        monkeypatch.setattr(lm, "HELD_BYTES", held_bytes)
+        monkeypatch.setattr(lm, "TOGETHER", together)
+        assert {bytes(r.word): r.n for r in lm.word_counts(docs).collect()} == want
+    broken = docs.limit(1).select(F.unhex(F.lit("61FF20C3")).cast("string").alias("text"))
+    assert {bytes(r.word): r.n for r in lm.word_counts(broken).collect()} == {b"a\xff": 1, b"\xc3": 1, b"": 1}
+
+
+def test_each_distinct_word_is_looked_up_once(monkeypatch):
+    """Rare words too: their class is found once for a slice, not at each place."""
+    seen = []
+    monkeypatch.setattr(lm, "tail_class", lambda word: seen.append(word) or gru.tail_class(word))
+    known = lm.Lexicon([b"", b"a"], np.array([5, 4]), np.ones(gru.TAIL_CLASSES), np.ones(gru.TAIL_CLASSES), 9, 2).opened()
+    words, _ = lm.split(pa.array(["a rare rare", "rare other a"] * 50))
+    index, tokens, within = known.read(lm.listed(words.dictionary_encode().dictionary))
+    assert sorted(seen) == [b"other", b"rare"] and index.tolist() == [1, -1, 0, -1]
+    assert tokens.tolist() == [1, 2 + gru.tail_class(b"rare"), 0, 2 + gru.tail_class(b"other")]
+    assert within[[1, 3]] == pytest.approx([-math.log10(3)] * 2) and within[[0, 2]].tolist() == [0, 0]
+
+
+def test_short_texts_fill_the_streams_beside_long_ones(monkeypatch):
+    """As many steps as the longest text has words, not those of each group of texts besides."""
+    model, rng, wide = toy(13), np.random.default_rng(14), []
+    texts = [rng.integers(0, model.head + gru.TAIL_CLASSES, n) for n in [20] * 3_000 + [200] * 10 + [0]]
+    alone = [model.log_likelihoods([t])[0] for t in texts[-20:]]
+    original = gru.Gru._step
+    monkeypatch.setattr(gru.Gru, "_step", lambda self, x, s, r: wide.append(len(s)) or original(self, x, s, r))
+    found = model.log_likelihoods(texts)
+    assert sum(wide) == sum(map(len, texts)) and len(wide) <= 220
+    assert found[-20:] == pytest.approx(alone, rel=1e-5)
+
+
+def test_gradients_of_large_scores():
+    """Scores that no 32-bit exponential holds have the slopes of the same scores less a constant."""
+    plain, shifted = toy(15), toy(15)
+    for name in ("class_bias", "word_bias"):
+        shifted.weights[name] = shifted.weights[name] + np.float32(500)
+    rng = np.random.default_rng(16)
+    before, tokens = (rng.integers(0, plain.head + gru.TAIL_CLASSES, (6, 40)) for _ in range(2))
+    state = rng.normal(0, 0.1, (40, gru.HIDDEN)).astype(np.float32)
+    one, two = (model.gradients(before, tokens, state)[1] for model in (plain, shifted))
+    for name in gru.NAMES:
+        assert two[name] == pytest.approx(one[name], abs=1e-4)
+
+
 # Top-k search
 
 
