@@ -145,7 +145,8 @@ def linked_pairs(distinct: DataFrame, max_bits: int = 2, fp: str = "fp") -> Data
     masks = [_signed(sum(255 << (8 * at) for at in kept)) for kept in combinations(range(BYTES), least)]
     keys = F.array(*(F.col(fp).bitwiseAND(F.lit(m).cast("long")) for m in masks))
     index = distinct.select(F.col(fp).alias("fp"), F.posexplode(keys).alias("positions", "bytes"))
-    a, b = index.alias("a"), index.alias("b")
+    # Spark sizes the index as one row for each fingerprint, whatever the explode makes of it: too low to broadcast it by that.
+    a, b = index.alias("a").hint("merge"), index.alias("b")
     difference = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     met = a.join(
         b,
@@ -201,7 +202,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     smallest = linked.groupBy("label").agg(F.min("first").alias("smallest"))
     known = linked.join(smallest, "label").select("fp", "smallest")
     of_class = classes.join(known, "fp", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"))
-    return rows.join(of_class, "fp").select("doc_id", "fp", "component_id")
+    # Each row has a class, so this join keeps the same rows as an inner one. It never broadcasts the rows, whose files may be small.
+    return rows.join(of_class, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def shingle_set(text: str, shingle: int) -> np.ndarray:

@@ -72,6 +72,16 @@ def test_dense_cluster_under_one_key(spark):
     assert found.count() == want
 
 
+def test_the_index_is_never_broadcast(spark, tmp_path):
+    """Its rows are many times what Spark takes them for, so even a short table under the threshold is merged."""
+    signed = [4, 5, 6, -1, 1 << 40]
+    spark.createDataFrame([(p,) for p in signed], "fp long").write.parquet(f"{tmp_path}/prints")
+    found = simhash.linked_pairs(spark.read.parquet(f"{tmp_path}/prints").distinct())
+    assert sorted((r.a, r.b, r.met_under) for r in found.collect()) == [(4, 5, 7), (4, 6, 7), (4, 1 << 40, 1), (5, 6, 7)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(200, 200), (-5, 300), (300, -7)]
     got = {r.node: r.label for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -96,6 +106,15 @@ def test_near_duplicates_against_brute_force(docs_of, edge_rows):
         assert want[row.doc_id, row.fp % (1 << 64)] == row.component_id
 
 
+def test_the_rows_are_never_broadcast(docs_of):
+    """Equal texts and ids in order take few bytes in files and many in memory; the classes are what is small."""
+    found = simhash.near_duplicates(docs_of([(k, "a b c d") for k in range(40)] + [(None, None), (90, "e f g h")]))
+    got = [(r.doc_id, r.component_id) for r in found.collect()]
+    assert sorted(got, key=str) == sorted([(k, 0) for k in range(40)] + [(None, None), (90, 90)], key=str)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan.split("Initial Plan")[-1].split("FileScan")[0]
+
+
 def test_extra_columns_and_no_rows(docs_of):
     frame = docs_of([(1, "a b c d")]).withColumn("fp", F.lit("mine")).withColumn("component_id", F.lit("mine"))
     assert simhash.near_duplicates(frame).first().component_id == 1
